@@ -69,3 +69,10 @@ def anti_join_split(df: DataFrame, sample: DataFrame, on: str | Sequence[str]) -
 
 def persist(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when the frame has fewer partitions than the cluster has
+    task slots (small inputs before an iterative, CPU-bound fit); a no-op for large inputs."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df

@@ -688,13 +688,19 @@ def q_rf_train_score(spark, sf):
     return _train(spark, sf).metrics
 
 
+def model_path(spark, sf) -> str:
+    """Train (once per session and scale) and save the forest the scoring queries load."""
+    return _model_path(spark, sf)
+
+
 def _model_path(spark, sf) -> str:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MODEL_CACHE:
         path = scratch_path(spark, "forest")
         p = _prepared(spark, sf, CFG)
         train, _ = split(p.frame, CFG.label, CFG.train_fractions, C.SEED, "hash", CFG.dedup_keys)
-        m = model.fit_forest(balance.smoothed_weight(train), CFG.label, C.FOREST_PARAMS, weight="smoothed_weight")
+        train = sampling.spread(balance.smoothed_weight(train))
+        m = model.fit_forest(train, CFG.label, C.FOREST_PARAMS, weight="smoothed_weight")
         from ..sources.models import save_model
         save_model(m, path)
         _MODEL_CACHE[key] = path

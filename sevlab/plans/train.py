@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.balance import smoothed_weight
 from ..operators.model import evaluate, fit_forest, score
-from ..operators.sampling import anti_join_split, hash_split, persist, stratified_sample, with_row_id
+from ..operators.sampling import anti_join_split, hash_split, persist, spread, stratified_sample, with_row_id
 from ..operators.stats import crosstab
 from ..sources.models import load_forest, save_model
 
@@ -41,7 +41,7 @@ def train_and_evaluate(table: DataFrame, label: str, fractions: Mapping, params:
                        weight: str = "class_weight", model_path: str | None = None) -> Trained:
     t = smoothed_weight(table, weight, "smoothed_weight")
     train, test = split(t, label, fractions, seed, method, hash_cols)
-    train, test = persist(train), persist(test)
+    train, test = persist(spread(train)), persist(test)
     model = fit_forest(train, label, params, weight="smoothed_weight")
     pred = model.transform(test)
     metrics = evaluate(pred, label)
