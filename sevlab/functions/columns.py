@@ -35,7 +35,7 @@ def cast_to(c: str | Column, dtype: str, on_error: str = "fail") -> Column:
 def parse_date(c: str | Column, fmt: str, on_error: str = "fail") -> Column:
     """Text in ``fmt`` (e.g. ``dd/MM/yyyy``) -> date."""
     x = _col(c)
-    return F.try_to_date(x, F.lit(fmt)) if on_error == "null" else F.to_date(x, fmt)
+    return F.try_to_date(x, fmt) if on_error == "null" else F.to_date(x, fmt)
 
 
 def hour_of(c: str | Column, sep: str = ":", on_error: str = "fail") -> Column:

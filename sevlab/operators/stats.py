@@ -111,24 +111,22 @@ def crosstab(df: DataFrame, a: str, b: str, b_values: Sequence) -> DataFrame:
 def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column pair, long form (i, j, col_i, col_j, r).
 
-    One aggregation computes the k(k-1)/2 distinct pairs (co-moment sums, merged
-    per partition, no vector materialisation); the matrix is symmetric with 1.0 on the
-    diagonal (NaN for a constant column)."""
+    One aggregation computes the k(k-1)/2 sample covariances and the k standard deviations
+    (co-moments merged per partition; no vector is built). As Spark ML's ``Correlation.corr``:
+    1.0 on the diagonal, NaN where a column is constant (no ANSI division error)."""
     k = len(cols)
-    aggs = []
-    for i in range(k):
-        aggs.append(F.stddev_samp(F.col(cols[i]).cast("double")).alias(f"s{i}"))
-        for j in range(i + 1, k):
-            aggs.append(F.corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"c{i}_{j}"))
+    x = [F.col(c).cast("double") for c in cols]
+    aggs = [F.stddev_samp(x[i]).alias(f"s{i}") for i in range(k)]
+    aggs += [F.covar_samp(x[i], x[j]).alias(f"c{i}_{j}") for i in range(k) for j in range(i + 1, k)]
     wide = df.agg(*aggs)
     cells = []
     for i in range(k):
         for j in range(k):
             if i == j:
-                r = F.when(F.col(f"s{i}") > 0, F.lit(1.0)).otherwise(F.lit(float("nan")))
+                r = F.lit(1.0)
             else:
                 a, b = min(i, j), max(i, j)
-                r = F.col(f"c{a}_{b}")
+                r = F.coalesce(F.try_divide(F.col(f"c{a}_{b}"), F.col(f"s{a}") * F.col(f"s{b}")), F.lit(float("nan")))
             cells.append(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(cols[i]).alias("col_i"),
                                   F.lit(cols[j]).alias("col_j"), r.alias("r")))
     return wide.select(F.explode(F.array(*cells)).alias("m")).select("m.*")

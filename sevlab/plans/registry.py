@@ -438,9 +438,11 @@ def _corr_sql() -> str:
     cells = []
     for i, a in enumerate(_CORR_COLS):
         for j, b in enumerate(_CORR_COLS):
-            r = (f"CASE WHEN stddev_samp(CAST({a} AS DOUBLE)) > 0 THEN 1.0 ELSE 'NaN'::DOUBLE END" if i == j
-                 else f"round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), {R})")
-            cells.append(f"SELECT {i} AS i, {j} AS j, {lit(a)} AS col_i, {lit(b)} AS col_j, {r} AS r FROM d")
+            if i == j:
+                cells.append(f"SELECT {i} AS i, {j} AS j, {lit(a)} AS col_i, {lit(b)} AS col_j, CAST(1.0 AS DOUBLE) AS r")
+            else:
+                r = f"round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), {R})"
+                cells.append(f"SELECT {i} AS i, {j} AS j, {lit(a)} AS col_i, {lit(b)} AS col_j, {r} AS r FROM d")
     nn = " AND ".join(f"{c} IS NOT NULL" for c in _CORR_COLS)
     return f"WITH joined AS ({JOINED_SQL}), d AS (SELECT {sel} FROM joined WHERE {nn}) " + " UNION ALL ".join(cells)
 
