@@ -102,17 +102,20 @@ def fill_values(df: DataFrame, values: Mapping[str, Any]) -> DataFrame:
 
 
 def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], rel_error: float) -> dict[str, list | None]:
-    """Quantiles of several columns in ONE aggregation (one job, one pass).
-
-    ``rel_error > 0``: Spark's GK sketch, identical to ``DataFrame.approxQuantile`` with that
-    error (accuracy = 1/error); the sketch is bounded, so any column size is fine.
-    ``rel_error == 0``: exact (``percentile_disc``: the value at rank floor((n-1)p)); its
-    buffer holds one count per distinct value, so use it on coded / bounded-domain columns.
-    Values are doubles (columns are cast first, as ``approxQuantile`` does); an all-null
-    column gives ``None``.
+    """Quantiles of several columns, all columns sharing each pass.
+
+    ``rel_error > 0``: Spark's GK sketch in ONE aggregation, identical to
+    ``DataFrame.approxQuantile`` with that error (accuracy = 1/error).
+    ``rel_error == 0``: exact (``PERCENTILE_DISC``: smallest v with #(x <= v) >= p*n), with
+    bounded memory on any size and cardinality (see ``operators.quantiles``).
+    Values are doubles (columns are cast first, as ``approxQuantile`` does); a column
+    with no value gives ``None``.
     """
     if not cols:
         return {}
+    if rel_error == 0:
+        from .quantiles import exact_quantiles
+        return exact_quantiles(df, cols, probs)[0]
     aggs = [quantile_expr(c, probs, rel_error).alias(f"q{i}") for i, c in enumerate(cols)]
     row = df.agg(*aggs).first()
     out: dict[str, list | None] = {}
@@ -123,12 +126,11 @@ def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], re
 
 
 def quantile_expr(c: str, probs: Sequence[float], rel_error: float) -> Column:
-    """Aggregate expression returning ``array<double>`` of the quantiles of ``c``."""
-    x = F.col(c).cast("double")
-    if rel_error > 0:
-        accuracy = int(math.ceil(1.0 / rel_error))
-        return F.percentile_approx(x, list(probs), accuracy)
-    return F.array(*[F.expr(f"percentile_disc({float(p)!r}) WITHIN GROUP (ORDER BY CAST(`{c}` AS DOUBLE))") for p in probs])
+    """Aggregate expression (approximate): ``array<double>`` of the quantiles of ``c``."""
+    if rel_error <= 0:
+        raise ValueError("exact quantiles are computed by fit_quantiles (several passes), not one expression")
+    accuracy = int(math.ceil(1.0 / rel_error))
+    return F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy)
 
 
 def fit_medians(df: DataFrame, cols: Sequence[str], rel_error: float) -> dict[str, float | None]:
@@ -158,10 +160,15 @@ def impute_mode(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[str
 def fit_medians_and_modes(
     df: DataFrame, median_cols: Sequence[str], mode_cols: Sequence[str], rel_error: float
 ) -> tuple[dict[str, float | None], dict[str, Any]]:
-    """Medians and modes from the same table in a single pass (one job instead of two).
+    """Medians and modes from the same table, sharing the passes (one pass when approximate).
     Valid because the mode columns and the median columns are imputed independently."""
-    aggs = [quantile_expr(c, [0.5], rel_error).alias(f"m{i}") for i, c in enumerate(median_cols)]
-    aggs += [F.mode(c, True).alias(f"o{i}") for i, c in enumerate(mode_cols)]
+    modes_aggs = [F.mode(c, True).alias(f"o{i}") for i, c in enumerate(mode_cols)]
+    if rel_error == 0 and median_cols:
+        from .quantiles import exact_quantiles
+        q, row = exact_quantiles(df, median_cols, [0.5], modes_aggs)
+        medians = {c: (v[0] if v else None) for c, v in q.items()}
+        return medians, {c: row[f"o{i}"] for i, c in enumerate(mode_cols)}
+    aggs = [quantile_expr(c, [0.5], rel_error).alias(f"m{i}") for i, c in enumerate(median_cols)] + modes_aggs
     if not aggs:
         return {}, {}
     row = df.agg(*aggs).first()

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import is_missing
-from .clean import quantile_expr
+from .clean import fit_quantiles, quantile_expr
 
 
 def step_row_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
@@ -66,7 +66,13 @@ def missing_total(df: DataFrame) -> DataFrame:
 
 
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], rel_error: float) -> DataFrame:
-    """Long form (column_name, prob, value) of several quantiles of several columns, one pass."""
+    """Long form (column_name, prob, value) of several quantiles of several columns.
+    Approximate: one lazy aggregation. Exact: the bounded multi-pass selection, whose
+    few numbers (columns x probabilities) become a small table."""
+    if rel_error == 0:
+        q = fit_quantiles(df, cols, probs, 0.0)
+        rows = [(c, float(p), (q[c][i] if q[c] else None)) for c in cols for i, p in enumerate(probs)]
+        return df.sparkSession.createDataFrame(rows, "column_name string, prob double, value double")
     wide = df.agg(*[quantile_expr(c, probs, rel_error).alias(c) for c in cols])
     parts = [
         F.struct(F.lit(c).alias("column_name"), F.lit(float(p)).alias("prob"), F.col(c)[i].alias("value"))
@@ -77,10 +83,11 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], r
 
 
 def iqr_table(df: DataFrame, cols: Sequence[str], rel_error: float, factor: float = 1.5) -> DataFrame:
-    """(column_name, q1, q3, iqr, lower_bound, upper_bound), one pass over the data."""
-    wide = df.agg(*[quantile_expr(c, [0.25, 0.75], rel_error).alias(c) for c in cols])
-    parts = [F.struct(F.lit(c).alias("column_name"), F.col(c)[0].alias("q1"), F.col(c)[1].alias("q3")) for c in cols]
-    t = wide.select(F.explode(F.array(*parts)).alias("q")).select("q.*")
+    """(column_name, q1, q3, iqr, lower_bound, upper_bound) of every column."""
+    q = quantile_table(df, cols, [0.25, 0.75], rel_error)
+    t = q.groupBy("column_name").agg(
+        F.max(F.when(F.col("prob") == 0.25, F.col("value"))).alias("q1"),
+        F.max(F.when(F.col("prob") == 0.75, F.col("value"))).alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     return t.select(
         "column_name", "q1", "q3", iqr.alias("iqr"),

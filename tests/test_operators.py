@@ -164,3 +164,23 @@ def test_feature_list_guard():
         replace(C.ROAD_CASUALTY, variant="other")
     assert C.LABEL not in C.ROAD_CASUALTY.feature_columns()
     assert len(C.ROAD_CASUALTY.feature_columns()) == 12
+
+
+def test_exact_quantiles_match_percentile_disc(spark):
+    from sevlab.operators.quantiles import exact_quantiles
+    # skewed data: one value holds a third of the rows, plus nulls and a long tail
+    df = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise((F.col("id") * 7919 % 10007).cast("double")).alias("x"),
+        F.when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.col("id") % 97).alias("y"))
+    probs = [0.0, 0.01, 0.1, 0.25, 0.3, 0.5, 0.7, 0.75, 0.9, 0.95, 0.999, 1.0]
+    exp = {}
+    for c in ["x", "y"]:
+        row = df.agg(*[F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY CAST({c} AS DOUBLE))").alias(f"p{i}")
+                       for i, p in enumerate(probs)]).first()
+        exp[c] = [float(row[f"p{i}"]) for i in range(len(probs))]
+    got, _ = exact_quantiles(df, ["x", "y"], probs)
+    assert got == exp
+    # force the narrowing passes: tiny collect budget and a coarse sketch
+    got2, _ = exact_quantiles(df, ["x", "y"], probs, max_band=50, accuracy=200)
+    assert got2 == exp
+    assert exact_quantiles(df.filter("x < -1"), ["x"], [0.5])[0] == {"x": None}

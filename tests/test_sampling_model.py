@@ -20,7 +20,11 @@ def table(spark):
     for i in range(600):
         y = 1 + (i % 3)
         rows.append((i, Vectors.dense([float(i % 7), float(y * 10 + i % 5), float(i % 2)]), y, 1.0 + (y == 1)))
-    return spark.createDataFrame(rows, "id int, features vector, casualty_severity int, class_weight double")
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+    schema = StructType([StructField("id", IntegerType()), StructField("features", VectorUDT()),
+                         StructField("casualty_severity", IntegerType()), StructField("class_weight", DoubleType())])
+    return spark.createDataFrame(rows, schema)
 
 
 def test_hash_split_is_a_partition(spark, table):
