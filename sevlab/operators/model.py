@@ -10,10 +10,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Execution settings that do not change the fitted trees: each row's node id is cached between
+# levels instead of re-walking the trees (much faster for deep trees; the cache is
+# checkpointed to the shared folder every 10 levels).
+EXECUTION_DEFAULTS = {"cacheNodeIds": True}
+
+
 def fit_forest(train: DataFrame, label: str, params: Mapping, weight: str | None = None,
                features: str = "features") -> RandomForestClassificationModel:
     """Weighted random forest (Spark ML; split statistics aggregated on the executors)."""
-    rf = RandomForestClassifier(featuresCol=features, labelCol=label, **dict(params))
+    rf = RandomForestClassifier(featuresCol=features, labelCol=label, **{**EXECUTION_DEFAULTS, **dict(params)})
     if weight:
         rf = rf.setWeightCol(weight)
     return rf.fit(train)
@@ -29,18 +35,18 @@ def score(model, df: DataFrame, classes: int | None = None) -> DataFrame:
 
 def evaluate(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     """One row (f1, accuracy): weighted F1 and accuracy, as Spark's
-    ``MulticlassClassificationEvaluator`` defines them, from one aggregation of the
-    (label, prediction) pairs; the per-class step runs over one row per class."""
+    ``MulticlassClassificationEvaluator`` defines them. One pass over the predictions
+    (counts per (label, prediction) pair); class totals are windows over those few pairs."""
     p = pred.select(F.col(label).cast("double").alias("y"), F.col(prediction).cast("double").alias("yhat"))
     pairs = p.groupBy("y", "yhat").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    all_w = Window.partitionBy()
-    per_label = pairs.groupBy(F.col("y").alias("c")).agg(
-        F.sum("n").alias("support"), F.sum(F.when(F.col("y") == F.col("yhat"), F.col("n")).otherwise(0.0)).alias("tp"))
-    per_pred = pairs.groupBy(F.col("yhat").alias("c")).agg(F.sum("n").alias("predicted"))
-    cls = per_label.join(per_pred, "c", "left").fillna(0.0, ["predicted"])
-    prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
-    rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
-    f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0)
-    total = F.sum("support").over(all_w)
-    per = cls.select((f1 * F.col("support") / total).alias("wf1"), (F.col("tp") / total).alias("acc"))
-    return per.agg(F.sum("wf1").alias("f1"), F.sum("acc").alias("accuracy"))
+    t = pairs.select(
+        "y", "yhat", "n",
+        F.sum("n").over(Window.partitionBy("y")).alias("support"),
+        F.sum("n").over(Window.partitionBy("yhat")).alias("predicted"),
+        F.sum("n").over(Window.partitionBy()).alias("total"),
+    ).filter(F.col("y") == F.col("yhat"))  # classes never predicted right have F1 = 0
+    prec = F.col("n") / F.col("predicted")
+    rec = F.col("n") / F.col("support")
+    f1 = 2 * prec * rec / (prec + rec)
+    return t.agg(F.coalesce(F.sum(f1 * F.col("support") / F.col("total")), F.lit(0.0)).alias("f1"),
+                 F.coalesce(F.sum(F.col("n") / F.col("total")), F.lit(0.0)).alias("accuracy"))

@@ -44,6 +44,16 @@ def hash_stratified_sample(df: DataFrame, label: str, fractions: Mapping[Any, fl
     return df.filter(hash_sample_condition(label, fractions, hash_cols))
 
 
+def bernoulli_split(df: DataFrame, label: str, fractions: Mapping[Any, float], seed: int) -> tuple[DataFrame, DataFrame]:
+    """Per-class Bernoulli split without an id or a join: one uniform draw per row (``rand``,
+    seeded per partition) decides train (draw < class fraction) or test; unlisted or null
+    classes go to test. ``df`` is persisted first so both sides see the same rows in the
+    same order (a lost cached partition is recomputed from a deterministic scan)."""
+    base = persist(df).withColumn("_u", F.rand(seed))
+    cond = F.col("_u") < _fraction_of(F.col(label), fractions)
+    return base.filter(cond).drop("_u"), base.filter(~cond).drop("_u")
+
+
 def hash_split(df: DataFrame, label: str, fractions: Mapping[Any, float], hash_cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Train/test split as two complementary filters: no id, no join, no shuffle.
     Identical rows land on the same side, so nothing leaks from train into test."""

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 
 from ..operators.balance import smoothed_weight
 from ..operators.model import evaluate, fit_forest, score
-from ..operators.sampling import anti_join_split, hash_split, persist, spread, stratified_sample, with_row_id
+from ..operators.sampling import (anti_join_split, bernoulli_split, hash_split, persist, spread, stratified_sample,
+                                  with_row_id)
 from ..operators.stats import crosstab
 from ..sources.models import load_forest, save_model
 
@@ -24,12 +25,17 @@ class Trained:
     test: DataFrame
 
 
-def split(table: DataFrame, label: str, fractions: Mapping, seed: int, method: str = "anti_join",
+def split(table: DataFrame, label: str, fractions: Mapping, seed: int, method: str = "bernoulli",
           hash_cols: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """``anti_join``: Bernoulli sample per class + anti join on a row id (as the training script);
-    ``hash``: deterministic complementary filters (no id, no join)."""
+    """``bernoulli`` (default): per-class Bernoulli draw, test = the complement, as two filters
+    over one persisted input (no id, no join, no shuffle).
+    ``anti_join``: ``sampleBy`` + anti join on a row id, literally as the training script
+    (two shuffles of the table). Same distribution of splits; both depend on the layout.
+    ``hash``: md5 of ``hash_cols`` — the same split on any layout, rerun or engine."""
     if method == "hash":
         return hash_split(table, label, fractions, hash_cols or table.columns)
+    if method == "bernoulli":
+        return bernoulli_split(table, label, fractions, seed)
     t = with_row_id(table)
     train = stratified_sample(t, label, fractions, seed)
     test = anti_join_split(t, train, "id")
@@ -37,11 +43,14 @@ def split(table: DataFrame, label: str, fractions: Mapping, seed: int, method: s
 
 
 def train_and_evaluate(table: DataFrame, label: str, fractions: Mapping, params: Mapping, seed: int,
-                       labels: Sequence, method: str = "anti_join", hash_cols: Sequence[str] | None = None,
+                       labels: Sequence, method: str = "bernoulli", hash_cols: Sequence[str] | None = None,
                        weight: str = "class_weight", model_path: str | None = None) -> Trained:
     t = smoothed_weight(table, weight, "smoothed_weight")
     train, test = split(t, label, fractions, seed, method, hash_cols)
-    train, test = persist(spread(train)), persist(test)
+    if method == "bernoulli":
+        train = persist(spread(train))  # the input is persisted already; RF iterates over train
+    else:
+        train, test = persist(spread(train)), persist(test)
     model = fit_forest(train, label, params, weight="smoothed_weight")
     pred = model.transform(test)
     metrics = evaluate(pred, label)
