@@ -201,22 +201,33 @@ def box_stats(df: DataFrame, label: str, col: str, factor: float = 1.5, max_clas
 def histogram(df: DataFrame, label: str, col: str, bins: int) -> DataFrame:
     """Equal-width histogram of ``col`` per ``label``: (label, bin, bin_low, bin_high, count).
     Edges span the column's min..max; the maximum falls in the last bin."""
-    mm = df.agg(F.min(F.col(col).cast("double")).alias("lo"), F.max(F.col(col).cast("double")).alias("hi")).first()
-    lo, hi = mm["lo"], mm["hi"]
+    return histograms(df, label, {col: bins})[col]
+
+
+def histograms(df: DataFrame, label: str, bins_by_col: Mapping[str, int]) -> dict[str, DataFrame]:
+    """Histograms of several columns; their min/max come from one shared aggregation."""
+    cols = list(bins_by_col)
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double")
+        aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+    mm = df.agg(*aggs).first()
     spark = df.sparkSession
     schema = f"{label} {dict(df.dtypes)[label]}, bin int, bin_low double, bin_high double, count bigint"
-    if lo is None:
-        return spark.createDataFrame([], schema)
-    width = (hi - lo) / bins
-    x = F.col(col).cast("double")
-    if width > 0:
-        b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(bins - 1))
-    else:
-        b = F.lit(0)
-    counted = df.filter(x.isNotNull()).groupBy(label, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    return counted.select(
-        label, "bin",
-        (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_low"),
-        (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_high"),
-        "count",
-    )
+    out = {}
+    for i, c in enumerate(cols):
+        lo, hi, bins = mm[f"lo{i}"], mm[f"hi{i}"], bins_by_col[c]
+        if lo is None:
+            out[c] = spark.createDataFrame([], schema)
+            continue
+        width = (hi - lo) / bins
+        x = F.col(c).cast("double")
+        b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(bins - 1)) if width > 0 else F.lit(0)
+        counted = df.filter(x.isNotNull()).groupBy(label, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+        out[c] = counted.select(
+            label, "bin",
+            (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_low"),
+            (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_high"),
+            "count",
+        )
+    return out

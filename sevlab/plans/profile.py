@@ -8,18 +8,43 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from ..operators.clean import sentinels_to_null
-from ..operators.stats import box_stats, class_share, histogram, missing_report, missing_total
+from ..operators.sampling import persist
+from ..operators.stats import box_stats, class_share, histograms, missing_report, missing_total
 
 
 def profile(df: DataFrame, sentinels: Mapping, label: str, box_col: str,
             hist_bins: Mapping[str, int]) -> dict[str, DataFrame]:
-    d = sentinels_to_null(df, sentinels)
+    d = persist(sentinels_to_null(df, sentinels))  # read by every part below; unpersist when done
     out = {
         "missing_report": missing_report(d),
         "missing_total": missing_total(d),
         "class_share": class_share(d, label),
         "box_stats": box_stats(d, label, box_col),
     }
-    for c, bins in hist_bins.items():
-        out[f"histogram_{c}"] = histogram(d, label, c, bins)
+    for c, h in histograms(d, label, hist_bins).items():
+        out[f"histogram_{c}"] = h
     return out
+
+
+def profile_long(parts: dict[str, DataFrame], label: str) -> DataFrame:
+    """All profile outputs as one long table (section, <label>, name, value)."""
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    lt = dict(parts["class_share"].dtypes)[label]
+    out = [parts["missing_report"].select(F.lit("missing").alias("section"), F.lit(None).cast(lt).alias(label),
+                                          F.col("feature").alias("name"), F.col("missing").cast("double").alias("value"))]
+    for name in ("count", "percent"):
+        out.append(parts["class_share"].select(F.lit("class_share").alias("section"), label, F.lit(name).alias("name"),
+                                               F.col(name).cast("double").alias("value")))
+    box_stats_cols = [c for c in parts["box_stats"].columns if c != label]
+    for c in box_stats_cols:
+        out.append(parts["box_stats"].select(F.lit("box").alias("section"), label, F.lit(c).alias("name"),
+                                             F.col(c).cast("double").alias("value")))
+    for key, df in parts.items():
+        if key.startswith("histogram_"):
+            out.append(df.select(F.lit(key).alias("section"), label,
+                                 F.concat(F.lit("bin_"), F.col("bin").cast("string")).alias("name"),
+                                 F.col("count").cast("double").alias("value")))
+    return reduce(DataFrame.unionByName, out)

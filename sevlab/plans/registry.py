@@ -487,9 +487,9 @@ def _hist_sql() -> str:
 
 @register("histogram", _hist_sql())
 def q_histogram(spark, sf):
-    j = tb.joined(spark, sf)
-    parts = [stats.histogram(j, "severity", c, bins).select(F.lit(c).alias("column_name"), "severity", "bin", rnd("bin_low"),
-                                                               rnd("bin_high"), "count") for c, bins in _HIST.items()]
+    hs = stats.histograms(tb.joined(spark, sf), "severity", _HIST)
+    parts = [h.select(F.lit(c).alias("column_name"), "severity", "bin", rnd("bin_low"), rnd("bin_high"), "count")
+             for c, h in hs.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -724,3 +724,43 @@ def q_batch_score(spark, sf):
     p = _prepared(spark, sf, CFG).frame.select("l_orderkey", "l_linenumber", "features")
     out = score_job(_model_path(spark, sf), p)
     return out.select("l_orderkey", "l_linenumber", "prediction", *[rnd(f"p_{k}") for k in range(4)])
+
+
+# ---------------------------------------------------------------- the profile job
+
+def _profile_sql() -> str:
+    src = "nulled"
+    miss = " UNION ALL ".join(f"SELECT {lit(c)} AS name, count(*) FILTER (WHERE {c} IS NULL) AS m FROM {src}" for c in JOINED_COLS)
+    parts = [f"SELECT 'missing' AS section, CAST(NULL AS INTEGER) AS severity, name, CAST(m AS DOUBLE) AS value FROM ({miss}) WHERE m > 0"]
+    parts.append(f"SELECT 'class_share', severity, 'count', CAST(count(*) AS DOUBLE) FROM {src} GROUP BY severity")
+    parts.append(f"SELECT 'class_share', severity, 'percent', round(count(*) * 100.0 / sum(count(*)) OVER (), {R}) FROM {src} GROUP BY severity")
+    col = "l_quantity"
+    box = (f"bq AS (SELECT severity, count(*) AS n, quantile_cont(CAST({col} AS DOUBLE), 0.25) AS q1, "
+           f"quantile_cont(CAST({col} AS DOUBLE), 0.5) AS median, quantile_cont(CAST({col} AS DOUBLE), 0.75) AS q3 "
+           f"FROM {src} WHERE {col} IS NOT NULL GROUP BY severity), "
+           "bf AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM bq), "
+           f"bw AS (SELECT bf.severity, min(CASE WHEN s.{col} >= lower_fence AND s.{col} <= upper_fence THEN s.{col} END) AS whisker_low, "
+           f"max(CASE WHEN s.{col} >= lower_fence AND s.{col} <= upper_fence THEN s.{col} END) AS whisker_high, "
+           f"count(*) FILTER (WHERE NOT (s.{col} >= lower_fence AND s.{col} <= upper_fence)) AS outliers "
+           f"FROM {src} s JOIN bf ON s.severity = bf.severity WHERE s.{col} IS NOT NULL GROUP BY bf.severity), "
+           "box AS (SELECT bf.*, bw.whisker_low, bw.whisker_high, bw.outliers FROM bf JOIN bw USING (severity))")
+    for st in ["n", "q1", "median", "q3", "lower_fence", "upper_fence", "whisker_low", "whisker_high", "outliers"]:
+        parts.append(f"SELECT 'box', severity, {lit(st)}, round(CAST({st} AS DOUBLE), {R}) FROM box")
+    for c, bins in C.HISTOGRAM_BINS.items():
+        tc = {"age_of_casualty": "l_quantity", "speed_limit": "l_tax"}[c]
+        parts.append(
+            f"SELECT 'histogram_{tc}', severity, 'bin_' || CAST(bin AS VARCHAR), CAST(count(*) AS DOUBLE) FROM (SELECT s.severity, "
+            f"CAST(least(floor((CAST(s.{tc} AS DOUBLE) - mm.lo) / mm.w), {bins - 1}) AS INTEGER) AS bin FROM {src} s CROSS JOIN "
+            f"(SELECT min(CAST({tc} AS DOUBLE)) AS lo, (max(CAST({tc} AS DOUBLE)) - min(CAST({tc} AS DOUBLE))) / {bins} AS w FROM {src}) mm "
+            f"WHERE s.{tc} IS NOT NULL) GROUP BY ALL")
+    return testbed_ctes(CFG, "nulled") + ", " + box + " " + " UNION ALL ".join(parts)
+
+
+@register("profile", _profile_sql())
+def q_profile(spark, sf):
+    """Missing values, class shares, box numbers of quantity per severity and the 30/15-bin
+    histograms (quantity, tax), after sentinels -> null: one long table."""
+    from .profile import profile, profile_long
+    bins = {"l_quantity": C.HISTOGRAM_BINS["age_of_casualty"], "l_tax": C.HISTOGRAM_BINS["speed_limit"]}
+    parts = profile(tb.joined(spark, sf), CFG.sentinels, "severity", "l_quantity", bins)
+    return profile_long(parts, "severity").select("section", "severity", "name", rnd("value"))

@@ -91,3 +91,34 @@ def test_entry_smoke(spark):
     import __spark_entry__ as entry
     df = entry.entry(spark)
     assert df.count() > 0 and "f_0" in df.columns and "class_weight" in df.columns
+
+
+def test_hot_key_join_is_split(spark):
+    """One collision key holds a third of all casualty rows: AQE splits that partition
+    (several tasks read it, the matching collision rows are replicated) instead of one task."""
+    from pyspark.sql import functions as F
+    from sevlab.plans.integrate import join_slice
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        cas = spark.range(60000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000).alias("collision_index"),
+            (F.col("id") % 7).alias("casualty_class"))
+        col = spark.range(5000).select(F.col("id").alias("collision_index"), (F.col("id") % 4).alias("road_type"))
+        j = join_slice(cas, col, "collision_index")
+        assert len(j.collect()) == 60000
+        final = j._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
