@@ -184,3 +184,12 @@ def test_exact_quantiles_match_percentile_disc(spark):
     got2, _ = exact_quantiles(df, ["x", "y"], probs, max_band=50, accuracy=200)
     assert got2 == exp
     assert exact_quantiles(df.filter("x < -1"), ["x"], [0.5])[0] == {"x": None}
+
+
+def test_assemble_keep_vs_error(spark):
+    from sevlab.operators.features import assemble
+    df = spark.createDataFrame([(1.0, None), (2.0, 3.0)], "a double, b double")
+    kept = assemble(df, ["a", "b"], "v", "keep").orderBy("a").collect()
+    assert math.isnan(kept[0].v[1]) and list(kept[1].v) == [2.0, 3.0]
+    with pytest.raises(Exception):
+        assemble(df, ["a", "b"], "v", "error").collect()
