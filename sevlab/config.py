@@ -172,10 +172,13 @@ class PrepConfig:
     dedup_order: Sequence[str] | None = None  # deterministic survivor; None = any row (as Spark's dropDuplicates)
     time_bin_column: str = "time_bin"
     encoded_order: Sequence[str] = ()  # explicit order of encoded features; default: indexes then extras
+    fit_on: str = "all"  # "all" as the original (fits see every row), or "train": fits see the train split only
 
     def __post_init__(self) -> None:
         if self.variant not in ("drop", "flag"):
             raise ValueError(f"variant must be 'drop' or 'flag', got {self.variant!r}")
+        if self.fit_on not in ("all", "train"):
+            raise ValueError(f"fit_on must be 'all' or 'train', got {self.fit_on!r}")
         if not 0.0 <= self.quantile_error < 1.0:
             raise ValueError("quantile_error must be in [0, 1)")
         if self.label in self.numeric or self.label in self.categorical or self.label in self.extra_features:

@@ -36,6 +36,19 @@ def typed_projection(df: DataFrame, spec: Mapping[str, str | Column], on_error:
     return df.select(*out)
 
 
+def reject_counts(raw: DataFrame, spec: Mapping[str, str | Column | None]) -> DataFrame:
+    """One row: for each typed column that has a raw column of the same name, the number of
+    rows whose raw text is present but does not parse (``<col>_rejected``). ``spec`` is the
+    null-on-error typing (e.g. ``typed_projection`` spec built with ``on_error='null'``)."""
+    aggs = []
+    for name, how in spec.items():
+        if how is None or name not in raw.columns:
+            continue
+        typed = how if isinstance(how, Column) else cast_to(name, how, "null")
+        aggs.append(F.count(F.when(F.col(name).isNotNull() & typed.isNull(), F.lit(1))).alias(f"{name}_rejected"))
+    return raw.agg(*aggs) if aggs else raw.limit(1).select(F.lit(0).alias("rejected"))
+
+
 def cast_by_rule(
     df: DataFrame,
     strings: Sequence[str],

@@ -104,8 +104,17 @@ def apply_fitted(df: DataFrame, cfg: PrepConfig, fitted: dict, indexer: Pipeline
 
 
 def prepare(df: DataFrame, cfg: PrepConfig, base_path: str | None = None) -> Prepared:
+    """``cfg.fit_on == "train"``: every fitted number (medians, modes, indexes, fences,
+    class weights, mean/std) comes from the md5 train split of the rows only (no leakage
+    into the test rows); the output gets an ``is_train`` column. Default: all rows, as the
+    original."""
     stages = clean(df, cfg)
     base = cut_lineage(stages["dedup"], "prepare-base", base_path)
+    full = base
+    if cfg.fit_on == "train":
+        from ..operators.sampling import hash_sample_condition
+        full = base.withColumn("is_train", hash_sample_condition(cfg.label, cfg.train_fractions, cfg.dedup_keys))
+        base = full.filter(F.col("is_train"))
 
     medians, modes = fit_medians_and_modes(base, cfg.median_columns, cfg.mode_columns, cfg.quantile_error)
     fill = {**medians, **modes, **dict(cfg.constant_fill)}
@@ -135,7 +144,7 @@ def prepare(df: DataFrame, cfg: PrepConfig, base_path: str | None = None) -> Pre
     fitted["scale"] = combine_moments(rows, cfg.label, list(cfg.numeric))
     fitted["index_labels"] = dict(zip(cfg.categorical, indexer.stages[0].labelsArray))
 
-    final = apply_fitted(base, cfg, fitted, indexer)
+    final = apply_fitted(full, cfg, fitted, indexer)
     stages.update({"imputed": imputed, "encoded": indexer.transform(binned), "kept": kept, "final": final})
     return Prepared(final, fitted, indexer, stages)
 

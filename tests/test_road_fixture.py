@@ -115,3 +115,26 @@ def test_full_casualty_rule(spark):
 def test_union_of_two_slices(spark, csv_dir):
     j = road.integrate_csv(spark, [(f"{csv_dir}/casualty", f"{csv_dir}/collision")] * 2)
     assert j.count() == 12  # union keeps duplicates
+
+
+def test_reject_counts_and_null_on_error(spark):
+    raw = spark.createDataFrame([("C1", "3", "05/03/2019", "08:15"), ("C2", "x", "1/2/2024", "bad"), ("C3", None, None, None)],
+                                "collision_index string, road_type string, date string, time string")
+    spec = {"collision_index": None, "road_type": "int",
+            "date": road.parse_date("date", C.DATE_FORMAT, "null"), "time": road.hour_of("time", ":", "null")}
+    r = clean.reject_counts(raw, spec).first().asDict()
+    assert r == {"road_type_rejected": 1, "date_rejected": 1, "time_rejected": 1}
+    typed = clean.typed_projection(raw, spec, on_error="null").orderBy("collision_index").collect()
+    assert [(t.road_type, t.time) for t in typed] == [(3, 8), (None, None), (None, None)]
+
+
+def test_fit_on_train_marks_rows(spark):
+    from dataclasses import replace
+    from sevlab.plans import testbed as tb
+    from sevlab.plans.prepare import prepare
+    cfg = replace(tb.TESTBED_FLAG, fit_on="train")
+    p = prepare(tb.joined(spark, "/root/testdata/sf0.001"), cfg)
+    counts = {r.is_train: r["count"] for r in p.frame.groupBy("is_train").count().collect()}
+    assert set(counts) == {True, False} and counts[True] > counts[False]
+    train_total = sum(p.fitted["class_count"].values())
+    assert train_total == counts[True]  # weights fitted on the train rows only
