@@ -357,7 +357,8 @@ _PROBS = [0.25, 0.5, 0.75]
 
 
 @register("quantiles", " UNION ALL ".join(
-    f"SELECT {lit(c)} AS column_name, {p!r} AS prob, CAST(quantile_disc(CAST({c} AS DOUBLE), {p!r}) AS DOUBLE) AS value FROM lineitem"
+    f"SELECT {lit(c)} AS column_name, CAST({p!r} AS DOUBLE) AS prob, CAST(quantile_disc(CAST({c} AS DOUBLE), {p!r}) AS DOUBLE) AS value "
+    "FROM lineitem"
     for c in _Q_COLS for p in _PROBS))
 def q_quantiles(spark, sf):
     return stats.quantile_table(_lineitem(spark, sf), _Q_COLS, _PROBS, 0.0)
