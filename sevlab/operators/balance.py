@@ -51,12 +51,14 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
 
 def class_weight_table(df: DataFrame, label: str) -> DataFrame:
     """(label, count, class_weight) with class_weight = largest class count / class count.
-    The max is a window over the aggregated classes (one row per class)."""
-    from pyspark.sql import Window
-
-    counts = class_counts(df, label)
-    mx = F.max("count").over(Window.partitionBy())
-    return counts.select(label, "count", (mx.cast("double") / F.col("count")).alias("class_weight"))
+    One aggregation; the per-class rows are size-checked and the max taken over them
+    (the null class counts towards the max, as a groupBy includes it)."""
+    from .stats import small_rows
+
+    rows = small_rows(class_counts(df, label), f"class weights of {label!r}")
+    mx = max((r["count"] for r in rows), default=0)
+    out = [(r[label], r["count"], mx / r["count"]) for r in rows]
+    return df.sparkSession.createDataFrame(out, f"{label} {dict(df.dtypes)[label]}, count bigint, class_weight double")
 
 
 def attach_class_weight(df: DataFrame, label: str, weights: DataFrame | None = None,

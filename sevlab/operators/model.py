@@ -6,7 +6,7 @@ from typing import Mapping
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -35,18 +35,27 @@ def score(model, df: DataFrame, classes: int | None = None) -> DataFrame:
 
 def evaluate(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     """One row (f1, accuracy): weighted F1 and accuracy, as Spark's
-    ``MulticlassClassificationEvaluator`` defines them. One pass over the predictions
-    (counts per (label, prediction) pair); class totals are windows over those few pairs."""
+    ``MulticlassClassificationEvaluator`` defines them (labels = classes present in the label
+    column). One pass over the predictions: counts per (label, prediction) pair, which are
+    few (size-checked) and combined on the driver, as Spark's own metrics do."""
+    from .stats import small_rows
+
     p = pred.select(F.col(label).cast("double").alias("y"), F.col(prediction).cast("double").alias("yhat"))
-    pairs = p.groupBy("y", "yhat").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    t = pairs.select(
-        "y", "yhat", "n",
-        F.sum("n").over(Window.partitionBy("y")).alias("support"),
-        F.sum("n").over(Window.partitionBy("yhat")).alias("predicted"),
-        F.sum("n").over(Window.partitionBy()).alias("total"),
-    ).filter(F.col("y") == F.col("yhat"))  # classes never predicted right have F1 = 0
-    prec = F.col("n") / F.col("predicted")
-    rec = F.col("n") / F.col("support")
-    f1 = 2 * prec * rec / (prec + rec)
-    return t.agg(F.coalesce(F.sum(f1 * F.col("support") / F.col("total")), F.lit(0.0)).alias("f1"),
-                 F.coalesce(F.sum(F.col("n") / F.col("total")), F.lit(0.0)).alias("accuracy"))
+    pairs = small_rows(p.groupBy("y", "yhat").agg(F.count(F.lit(1)).alias("n")), "confusion pairs", 1_000_000)
+    support: dict = {}
+    predicted: dict = {}
+    tp: dict = {}
+    for r in pairs:
+        support[r["y"]] = support.get(r["y"], 0) + r["n"]
+        predicted[r["yhat"]] = predicted.get(r["yhat"], 0) + r["n"]
+        if r["y"] == r["yhat"]:
+            tp[r["y"]] = r["n"]
+    total = sum(support.values())
+    f1 = acc = 0.0
+    for c, s in support.items():
+        t = tp.get(c, 0)
+        prec = t / predicted[c] if predicted.get(c) else 0.0
+        rec = t / s
+        f1 += (2 * prec * rec / (prec + rec) if prec + rec > 0 else 0.0) * s / total
+        acc += t / total
+    return pred.sparkSession.createDataFrame([(float(f1), float(acc))], "f1 double, accuracy double")

@@ -8,7 +8,7 @@ from typing import Mapping, Sequence
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import ChiSquareTest
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import is_missing
@@ -30,12 +30,25 @@ def group_count(df: DataFrame, key: str | Sequence[str], name: str = "count") ->
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
+MAX_CLASSES = 1000  # per-class results are collected (size-checked) rather than windowed in one task
+
+
+def small_rows(df: DataFrame, what: str, limit: int = MAX_CLASSES) -> list:
+    """Collect an aggregated result that must be small; refuse (not truncate) beyond ``limit``."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"{what}: more than {limit} rows; not a class-sized table")
+    return rows
+
+
 def class_share(df: DataFrame, label: str) -> DataFrame:
-    """Rows per class and their percentage of all rows. The total is a window over the
-    aggregated classes (one row per class), not over the data."""
+    """Rows per class and their percentage of all rows. One aggregation; the per-class rows
+    (size-checked) give the total, so no window gathers them in one task."""
     counts = group_count(df, label)
-    total = F.sum("count").over(Window.partitionBy())
-    return counts.select(label, "count", (F.col("count") * 100.0 / total).alias("percent"))
+    rows = small_rows(counts, f"class_share({label})")
+    total = sum(r["count"] for r in rows)
+    out = [(r[label], r["count"], r["count"] * 100.0 / total) for r in rows]
+    return df.sparkSession.createDataFrame(out, f"{label} {dict(df.dtypes)[label]}, count bigint, percent double")
 
 
 def min_max(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -139,13 +152,6 @@ def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.select(F.explode(F.array(*cells)).alias("m")).select("m.*")
 
 
-def _name_of_index(names: Sequence[str], idx: Column) -> Column:
-    expr = None
-    for i, n in enumerate(names):
-        expr = F.when(idx == i, F.lit(n)) if expr is None else expr.when(idx == i, F.lit(n))
-    return expr
-
-
 def chi_square(df: DataFrame, feature_cols: Sequence[str], label: str) -> DataFrame:
     """Pearson chi-square independence test of each feature against the label
     (Spark ML ``ChiSquareTest``, all features in one distributed pass).
@@ -153,14 +159,12 @@ def chi_square(df: DataFrame, feature_cols: Sequence[str], label: str) -> DataFr
     vec = VectorAssembler(inputCols=list(feature_cols), outputCol="_chi_features", handleInvalid="keep")
     data = vec.transform(df.select(*feature_cols, F.col(label).cast("double").alias(label)))
     res = ChiSquareTest.test(data.select("_chi_features", label), "_chi_features", label, flatten=True)
-    named = res.select(
-        _name_of_index(feature_cols, F.col("featureIndex")).alias("feature"),
-        F.col("statistic"),
-        F.col("degreesOfFreedom").alias("degrees_of_freedom"),
-        F.col("pValue").alias("p_value"),
-    )
-    # ranking over one row per feature (bounded by the feature count)
-    return named.withColumn("rank", F.row_number().over(Window.orderBy(F.col("statistic").desc(), F.col("feature"))))
+    rows = small_rows(res, "chi-square features")
+    ranked = sorted(((feature_cols[r["featureIndex"]], float(r["statistic"]), int(r["degreesOfFreedom"]), float(r["pValue"]))
+                     for r in rows), key=lambda t: (-t[1], t[0]))
+    out = [t + (k + 1,) for k, t in enumerate(ranked)]
+    return df.sparkSession.createDataFrame(
+        out, "feature string, statistic double, degrees_of_freedom int, p_value double, rank int")
 
 
 def box_stats(df: DataFrame, label: str, col: str, factor: float = 1.5, max_classes: int = 1000) -> DataFrame:
