@@ -167,13 +167,16 @@ def chi_square(df: DataFrame, feature_cols: Sequence[str], label: str) -> DataFr
         out, "feature string, statistic double, degrees_of_freedom int, p_value double, rank int")
 
 
-def box_stats(df: DataFrame, label: str, col: str, factor: float = 1.5, max_classes: int = 1000) -> DataFrame:
+def box_stats(df: DataFrame, label: str, col: str, factor: float = 1.5, max_classes: int = 1000,
+              rel_error: float = 0.0) -> DataFrame:
     """Box-plot numbers of ``col`` per ``label``: quartiles (linear interpolation), IQR fences,
     whiskers at the last value inside the fences, outlier count. Whole data, no sample.
 
-    Two aggregations: exact per-class quartiles (buffer = one count per distinct value, fine
-    for a coded column such as age), collected as one row per class (size-checked), then
-    whiskers and outliers with the fences applied as literals (no join)."""
+    Two aggregations: per-class quartiles, collected as one row per class (size-checked),
+    then whiskers and outliers with the fences applied as literals (no join).
+    ``rel_error == 0``: exact interpolated quartiles (buffer = one count per distinct value
+    per class: right for coded columns such as age); ``rel_error > 0``: Spark's GK sketch,
+    bounded memory for continuous columns of any size."""
     from .balance import literal_lookup
 
     x = F.col(col)
@@ -181,7 +184,9 @@ def box_stats(df: DataFrame, label: str, col: str, factor: float = 1.5, max_clas
     q = (
         df.filter(x.isNotNull())
         .groupBy(label)
-        .agg(F.count(F.lit(1)).alias("n"), F.percentile(x.cast("double"), [0.25, 0.5, 0.75]).alias("_q"))
+        .agg(F.count(F.lit(1)).alias("n"),
+             (F.percentile(x.cast("double"), [0.25, 0.5, 0.75]) if rel_error == 0
+              else quantile_expr(col, [0.25, 0.5, 0.75], rel_error)).alias("_q"))
         .select(label, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
         .select("*", (F.col("q1") - F.lit(factor) * iqr).alias("lower_fence"),
                 (F.col("q3") + F.lit(factor) * iqr).alias("upper_fence"))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..config import DATE_FORMAT, DOMAIN_BOUNDS, IQR_FACTOR, SEED, TRAIN_FRACTIONS, PrepConfig
 from ..functions import hour_of, parse_date, remap
 
-# Test-binding values (ours, not the reference's): label coding of l_returnflag.
+# Test-binding values (ours, not the original pipeline's): label coding of l_returnflag.
 SEVERITY_CODES = {"A": 1, "N": 2, "R": 3}
 ROW_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 

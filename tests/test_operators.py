@@ -193,3 +193,11 @@ def test_assemble_keep_vs_error(spark):
     assert math.isnan(kept[0].v[1]) and list(kept[1].v) == [2.0, 3.0]
     with pytest.raises(Exception):
         assemble(df, ["a", "b"], "v", "error").collect()
+
+
+def test_box_stats_approximate_mode(spark):
+    rows = [(1, float(v)) for v in range(1, 1001)]
+    df = spark.createDataFrame(rows, "y int, x double")
+    exact = stats.box_stats(df, "y", "x").first()
+    approx = stats.box_stats(df, "y", "x", rel_error=0.01).first()
+    assert abs(approx.median - exact.median) <= 10 and approx.n == exact.n == 1000
