@@ -88,18 +88,7 @@ def train_road(table: DataFrame, model_path: str | None = None, full: bool = Fal
                               weight=weight, model_path=model_path)
 
 
-def _main(argv: Sequence[str] | None = None) -> None:
-    ap = argparse.ArgumentParser(prog="sevlab.plans.road")
-    ap.add_argument("job", choices=["integrate", "prepare", "correlate", "profile", "train", "score"])
-    ap.add_argument("--slice", nargs=2, action="append", metavar=("CASUALTY", "COLLISION"))
-    ap.add_argument("--input")
-    ap.add_argument("--out")
-    ap.add_argument("--model")
-    ap.add_argument("--variant", default="drop", choices=["drop", "flag"])
-    ap.add_argument("--full", action="store_true")
-    ap.add_argument("--on-error", default="fail", choices=["fail", "null"])
-    a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName(f"sevlab-{a.job}").getOrCreate()
+def run(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.job == "integrate":
         write_parquet(integrate_csv(spark, a.slice, a.on_error), a.out)
     elif a.job == "prepare":
@@ -111,13 +100,34 @@ def _main(argv: Sequence[str] | None = None) -> None:
             write_parquet(df, f"{a.out}/{name}")
     elif a.job == "train":
         t = train_road(read_parquet(spark, a.input, recursive=True), a.model, a.full)
-        t.metrics.show()
-        t.confusion.show()
+        write_parquet(t.metrics, f"{a.model}-metrics")
+        write_parquet(t.confusion, f"{a.model}-confusion")
     elif a.job == "score":
         rows = read_parquet(spark, a.input, recursive=True)
         write_parquet(score_job(a.model, rows).drop("rawPrediction", "probability").withColumn(
             "prediction", F.col("prediction").cast("int")), a.out)
-    spark.stop()
+
+
+def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
+    ap = argparse.ArgumentParser(prog="sevlab.plans.road")
+    ap.add_argument("job", choices=["integrate", "prepare", "correlate", "profile", "train", "score"])
+    ap.add_argument("--slice", nargs=2, action="append", metavar=("CASUALTY", "COLLISION"))
+    ap.add_argument("--input")
+    ap.add_argument("--out")
+    ap.add_argument("--model")
+    ap.add_argument("--variant", default="drop", choices=["drop", "flag"])
+    ap.add_argument("--full", action="store_true")
+    ap.add_argument("--on-error", default="fail", choices=["fail", "null"])
+    return ap.parse_args(argv)
+
+
+def _main(argv: Sequence[str] | None = None) -> None:
+    a = parse_args(argv)
+    spark = SparkSession.builder.appName(f"sevlab-{a.job}").getOrCreate()
+    try:
+        run(spark, a)
+    finally:
+        spark.stop()
 
 
 if __name__ == "__main__":

@@ -138,3 +138,42 @@ def test_fit_on_train_marks_rows(spark):
     assert set(counts) == {True, False} and counts[True] > counts[False]
     train_total = sum(p.fitted["class_count"].values())
     assert train_total == counts[True]  # weights fitted on the train rows only
+
+
+def _write_generated_csv(d: str, n: int = 400) -> tuple[str, str]:
+    """A larger made-up casualty/collision pair (deterministic) for the job entry points."""
+    import os
+    os.makedirs(f"{d}/cas")
+    os.makedirs(f"{d}/col")
+    with open(f"{d}/cas/part-0.csv", "w") as f:
+        f.write("collision_index,casualty_class,sex_of_casualty,age_of_casualty,casualty_severity,casualty_type\n")
+        for i in range(n):
+            sev = 1 if i % 11 == 0 else (2 if i % 4 == 0 else 3)
+            f.write(f"K{i % 150},{1 + i % 3},{[1, 2, 9, -1][i % 4]},{(i * 7) % 90 if i % 13 else -1},{sev},{i % 5}\n")
+    with open(f"{d}/col/part-0.csv", "w") as f:
+        f.write("collision_index,collision_severity,date,day_of_week,time,road_type,speed_limit,light_conditions,"
+                "weather_conditions,road_surface_conditions,urban_or_rural_area\n")
+        for k in range(150):
+            f.write(f"K{k},{1 + k % 3},{1 + k % 28:02d}/{1 + k % 12:02d}/20{10 + k % 15},{1 + k % 7},{k % 24:02d}:{k % 60:02d},"
+                    f"{[1, 2, 3, 6, -1][k % 5]},{[20, 30, 40, 60, 70][k % 5]},{1 + k % 4},{1 + k % 3},{1 + k % 2},{1 + k % 2}\n")
+    return f"{d}/cas", f"{d}/col"
+
+
+def test_road_jobs_end_to_end(spark):
+    """integrate -> prepare -> correlate -> profile -> train -> score through the job entry points."""
+    import tempfile
+    from sevlab.plans.road import parse_args, run
+    out = tempfile.mkdtemp(prefix="sevlab-jobs-")
+    cas, col = _write_generated_csv(out)
+    run(spark, parse_args(["integrate", "--slice", cas, col, "--out", f"{out}/joined"]))
+    run(spark, parse_args(["prepare", "--input", f"{out}/joined", "--out", f"{out}/prep", "--variant", "flag"]))
+    run(spark, parse_args(["correlate", "--input", f"{out}/joined", "--out", f"{out}/corr"]))
+    run(spark, parse_args(["profile", "--input", f"{out}/joined", "--out", f"{out}/profile"]))
+    run(spark, parse_args(["train", "--input", f"{out}/prep/train", "--model", f"{out}/forest"]))
+    run(spark, parse_args(["score", "--model", f"{out}/forest", "--input", f"{out}/prep/train", "--out", f"{out}/scored"]))
+    assert spark.read.parquet(f"{out}/joined").count() == 400
+    assert spark.read.parquet(f"{out}/prep/train").columns == ["features", "casualty_severity", "class_weight"]
+    assert spark.read.parquet(f"{out}/corr").count() == 14 * 14
+    assert spark.read.parquet(f"{out}/scored").count() == spark.read.parquet(f"{out}/prep/train").count()
+    m = spark.read.parquet(f"{out}/forest-metrics").first()
+    assert 0.0 <= m.accuracy <= 1.0
