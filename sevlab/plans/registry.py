@@ -671,6 +671,27 @@ def q_integrate(spark, sf):
     return integ.integrate(slices, "l_orderkey")
 
 
+@register("integrate_csv", _integrate_sql())
+def q_integrate_csv(spark, sf):
+    """The integrate job on real header-CSV files: the raw tables are first written as CSV text
+    per period (archive years / latest year, split by the collision's year, as the published
+    files are), then read back as all-string tables, pruned, typed, joined per period and
+    unioned by name."""
+    base = scratch_path(spark, "raw-csv")
+    raw_c, raw_k = tb.raw_casualty(spark, sf), tb.raw_collision(spark, sf)
+    year = F.substring(F.col("o_orderdate"), 7, 4)  # dd/MM/yyyy text
+    period = raw_k.select(F.col("o_orderkey").alias("l_orderkey"), (year < "2001").alias("_archive"))
+    tagged = raw_c.join(period, "l_orderkey")
+    slices = []
+    for name, flag in (("archive", True), ("latest", False)):
+        files.write_csv(tagged.filter(F.col("_archive") == flag).drop("_archive"), f"{base}/casualty-{name}")
+        files.write_csv(raw_k.filter((year < "2001") == flag), f"{base}/collision-{name}")
+        cas = integ.type_table(files.read_csv(spark, f"{base}/casualty-{name}"), tb.CASUALTY_KEEP, tb.casualty_typing())
+        col = integ.type_table(files.read_csv(spark, f"{base}/collision-{name}"), tb.COLLISION_KEEP, tb.collision_typing())
+        slices.append((cas, col))
+    return integ.integrate(slices, "l_orderkey")
+
+
 # ---------------------------------------------------------------- model jobs (no SQL oracle)
 
 _MODEL_CACHE: dict[tuple[str, str], str] = {}
