@@ -118,13 +118,13 @@ def testbed_ctes(cfg: PrepConfig, upto: str = "final") -> str:
         for c in cfg.outlier_columns)
     steps.append(("iqr", f"SELECT {fence} FROM iqr0"))
     if cfg.variant == "drop":
-        cond = " AND ".join(f"e.{c} >= iqr.lo_{c} AND e.{c} <= iqr.hi_{c}" for c in cfg.outlier_columns)
-        steps.append(("kept", f"SELECT e.* FROM encoded e CROSS JOIN iqr WHERE {cond}"))
+        cond = " AND ".join(f"e.{c} >= (SELECT lo_{c} FROM iqr) AND e.{c} <= (SELECT hi_{c} FROM iqr)" for c in cfg.outlier_columns)
+        steps.append(("kept", f"SELECT e.* FROM encoded e WHERE {cond}"))
     else:
         flags = ", ".join(
-            f"CASE WHEN e.{c} IS NULL THEN 0 WHEN e.{c} < iqr.lo_{c} OR e.{c} > iqr.hi_{c} THEN 1 ELSE 0 END AS {c}_is_outlier"
-            for c in cfg.outlier_columns)
-        steps.append(("flagged", f"SELECT e.*, {flags} FROM encoded e CROSS JOIN iqr"))
+            f"CASE WHEN e.{c} IS NULL THEN 0 WHEN e.{c} < (SELECT lo_{c} FROM iqr) OR e.{c} > (SELECT hi_{c} FROM iqr) "
+            f"THEN 1 ELSE 0 END AS {c}_is_outlier" for c in cfg.outlier_columns)
+        steps.append(("flagged", f"SELECT e.*, {flags} FROM encoded e"))
         anyf = " + ".join(f"{c}_is_outlier" for c in cfg.outlier_columns)
         dom = " AND ".join(f"({c} IS NULL OR ({c} >= {lo} AND {c} <= {hi}))" for c, (lo, hi) in cfg.domain_bounds.items())
         steps.append(("kept", f"SELECT *, CASE WHEN {anyf} > 0 THEN 1 ELSE 0 END AS has_any_outlier FROM flagged WHERE {dom}"))
@@ -132,8 +132,9 @@ def testbed_ctes(cfg: PrepConfig, upto: str = "final") -> str:
                         f"FROM kept GROUP BY {cfg.label}"))
     mom = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS mean_{c}, stddev_samp(CAST({c} AS DOUBLE)) AS std_{c}" for c in cfg.numeric)
     steps.append(("sc", f"SELECT {mom} FROM kept"))
-    z = ", ".join(f"(CAST(k.{c} AS DOUBLE) - sc.mean_{c}) * (1.0 / sc.std_{c}) AS z_{c}" for c in cfg.numeric)
-    steps.append(("final", f"SELECT k.*, cw.class_weight, {z} FROM kept k LEFT JOIN cw ON k.{cfg.label} = cw.{cfg.label} CROSS JOIN sc"))
+    z = ", ".join(f"(CAST(k.{c} AS DOUBLE) - (SELECT mean_{c} FROM sc)) * (1.0 / (SELECT std_{c} FROM sc)) AS z_{c}"
+                  for c in cfg.numeric)
+    steps.append(("final", f"SELECT k.*, cw.class_weight, {z} FROM kept k LEFT JOIN cw ON k.{cfg.label} = cw.{cfg.label}"))
     names = [n for n, _ in steps]
     cut = names.index(upto) + 1
     return "WITH " + ",\n".join(f"{n} AS ({s})" for n, s in steps[:cut])

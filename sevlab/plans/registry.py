@@ -219,14 +219,14 @@ def _price_filtered(spark, sf):
     return outliers.drop_outside(o, outliers.fences(b))
 
 
-@register("outlier_filter", _PRICE_IQR + " SELECT o.* FROM orders o CROSS JOIN f WHERE o.o_totalprice >= f.lo AND o.o_totalprice <= f.hi")
+@register("outlier_filter", _PRICE_IQR + " SELECT o.* FROM orders o WHERE o.o_totalprice >= (SELECT lo FROM f) AND o.o_totalprice <= (SELECT hi FROM f)")
 def q_outlier_filter(spark, sf):
     return _price_filtered(spark, sf)
 
 
 @register("min_max_check", _PRICE_IQR + " SELECT min(o.o_totalprice) AS min_o_totalprice, max(o.o_totalprice) AS max_o_totalprice, "
           "min(o.o_custkey) AS min_o_custkey, max(o.o_custkey) AS max_o_custkey "
-          "FROM orders o CROSS JOIN f WHERE o.o_totalprice >= f.lo AND o.o_totalprice <= f.hi")
+          "FROM orders o WHERE o.o_totalprice >= (SELECT lo FROM f) AND o.o_totalprice <= (SELECT hi FROM f)")
 def q_min_max_check(spark, sf):
     return stats.min_max(_price_filtered(spark, sf), ["o_totalprice", "o_custkey"])
 
@@ -247,9 +247,10 @@ _FLAG_COLS = ["l_quantity", "o_totalprice"]
           + ", ".join(f"CAST(quantile_disc(CAST({c} AS DOUBLE), 0.25) AS DOUBLE) AS q1_{c}, "
                       f"CAST(quantile_disc(CAST({c} AS DOUBLE), 0.75) AS DOUBLE) AS q3_{c}" for c in _FLAG_COLS)
           + " FROM nulled), fl AS (SELECT n.l_orderkey, n.l_linenumber, n.l_quantity, n.o_totalprice, "
-          + ", ".join(f"CASE WHEN n.{c} IS NULL THEN 0 WHEN n.{c} < q1_{c} - 1.5 * (q3_{c} - q1_{c}) "
-                      f"OR n.{c} > q3_{c} + 1.5 * (q3_{c} - q1_{c}) THEN 1 ELSE 0 END AS {c}_is_outlier" for c in _FLAG_COLS)
-          + " FROM nulled n CROSS JOIN q) SELECT *, CASE WHEN "
+          + ", ".join(f"CASE WHEN n.{c} IS NULL THEN 0 WHEN n.{c} < (SELECT q1_{c} - 1.5 * (q3_{c} - q1_{c}) FROM q) "
+                      f"OR n.{c} > (SELECT q3_{c} + 1.5 * (q3_{c} - q1_{c}) FROM q) THEN 1 ELSE 0 END AS {c}_is_outlier"
+                      for c in _FLAG_COLS)
+          + " FROM nulled n) SELECT *, CASE WHEN "
           + " + ".join(f"{c}_is_outlier" for c in _FLAG_COLS) + " > 0 THEN 1 ELSE 0 END AS has_any_outlier FROM fl")
 def q_outlier_flag(spark, sf):
     d = _nulled(spark, sf).select("l_orderkey", "l_linenumber", *_FLAG_COLS)
@@ -477,12 +478,13 @@ _HIST = {"l_quantity": 30, "l_tax": 15}
 def _hist_sql() -> str:
     parts = []
     for c, bins in _HIST.items():
+        lo = f"(SELECT min(CAST({c} AS DOUBLE)) FROM joined)"
+        w = f"((SELECT max(CAST({c} AS DOUBLE)) - min(CAST({c} AS DOUBLE)) FROM joined) / {bins})"
         parts.append(
             f"SELECT {lit(c)} AS column_name, severity, bin, round(lo + bin * w, {R}) AS bin_low, "
             f"round(lo + (bin + 1) * w, {R}) AS bin_high, count FROM (SELECT j.severity, "
-            f"CAST(least(floor((CAST(j.{c} AS DOUBLE) - mm.lo) / mm.w), {bins - 1}) AS INTEGER) AS bin, mm.lo, mm.w, count(*) AS count "
-            f"FROM joined j CROSS JOIN (SELECT min(CAST({c} AS DOUBLE)) AS lo, (max(CAST({c} AS DOUBLE)) - min(CAST({c} AS DOUBLE))) / {bins} AS w "
-            f"FROM joined) mm WHERE j.{c} IS NOT NULL GROUP BY ALL)")
+            f"CAST(least(floor((CAST(j.{c} AS DOUBLE) - {lo}) / {w}), {bins - 1}) AS INTEGER) AS bin, {lo} AS lo, {w} AS w, "
+            f"count(*) AS count FROM joined j WHERE j.{c} IS NOT NULL GROUP BY ALL)")
     return f"WITH joined AS ({JOINED_SQL}) " + " UNION ALL ".join(parts)
 
 
@@ -575,8 +577,9 @@ _Z = ["l_quantity", "o_totalprice"]
 @register("zscore", f"WITH joined AS ({JOINED_SQL}), s AS (SELECT "
           + ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_samp(CAST({c} AS DOUBLE)) AS s_{c}" for c in _Z)
           + " FROM joined) SELECT l_orderkey, l_linenumber, "
-          + ", ".join(f"round((CAST({c} AS DOUBLE) - m_{c}) / s_{c}, {R}) AS z_{i}" for i, c in enumerate(_Z))
-          + " FROM joined CROSS JOIN s")
+          + ", ".join(f"round((CAST({c} AS DOUBLE) - (SELECT m_{c} FROM s)) / (SELECT s_{c} FROM s), {R}) AS z_{i}"
+                      for i, c in enumerate(_Z))
+          + " FROM joined")
 def q_zscore(spark, sf):
     d, _ = features.zscore(tb.joined(spark, sf).select("l_orderkey", "l_linenumber", *_Z), _Z, "raw", "scaled")
     out = features.vector_columns(d.select("l_orderkey", "l_linenumber", "scaled"), "scaled", [f"z_{i}" for i in range(len(_Z))])
@@ -586,9 +589,10 @@ def q_zscore(spark, sf):
 def _pipeline_sql(cfg) -> str:
     ctes = testbed_ctes(cfg, "encoded") + ", sc AS (SELECT " + ", ".join(
         f"avg(CAST({c} AS DOUBLE)) AS mean_{c}, stddev_samp(CAST({c} AS DOUBLE)) AS std_{c}" for c in cfg.numeric) + " FROM encoded)"
-    feats = [f"(CAST({c} AS DOUBLE) - mean_{c}) * (1.0 / std_{c})" for c in cfg.numeric] + [f"CAST({c} AS DOUBLE)" for c in cfg.encoded_features]
+    feats = [f"(CAST({c} AS DOUBLE) - (SELECT mean_{c} FROM sc)) * (1.0 / (SELECT std_{c} FROM sc))" for c in cfg.numeric]
+    feats += [f"CAST({c} AS DOUBLE)" for c in cfg.encoded_features]
     return ctes + " SELECT l_orderkey, l_linenumber, l_quantity, l_linestatus, " + ", ".join(
-        f"round({e}, {R}) AS f_{i}" for i, e in enumerate(feats)) + " FROM encoded CROSS JOIN sc"
+        f"round({e}, {R}) AS f_{i}" for i, e in enumerate(feats)) + " FROM encoded"
 
 
 @register("feature_pipeline", _pipeline_sql(tb.TESTBED_DROP))
@@ -772,9 +776,9 @@ def _profile_sql() -> str:
         tc = {"age_of_casualty": "l_quantity", "speed_limit": "l_tax"}[c]
         parts.append(
             f"SELECT 'histogram_{tc}', severity, 'bin_' || CAST(bin AS VARCHAR), CAST(count(*) AS DOUBLE) FROM (SELECT s.severity, "
-            f"CAST(least(floor((CAST(s.{tc} AS DOUBLE) - mm.lo) / mm.w), {bins - 1}) AS INTEGER) AS bin FROM {src} s CROSS JOIN "
-            f"(SELECT min(CAST({tc} AS DOUBLE)) AS lo, (max(CAST({tc} AS DOUBLE)) - min(CAST({tc} AS DOUBLE))) / {bins} AS w FROM {src}) mm "
-            f"WHERE s.{tc} IS NOT NULL) GROUP BY ALL")
+            f"CAST(least(floor((CAST(s.{tc} AS DOUBLE) - (SELECT min(CAST({tc} AS DOUBLE)) FROM {src})) / "
+            f"((SELECT max(CAST({tc} AS DOUBLE)) - min(CAST({tc} AS DOUBLE)) FROM {src}) / {bins})), {bins - 1}) AS INTEGER) AS bin "
+            f"FROM {src} s WHERE s.{tc} IS NOT NULL) GROUP BY ALL")
     return testbed_ctes(CFG, "nulled") + ", " + box + " " + " UNION ALL ".join(parts)
 
 

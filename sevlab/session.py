@@ -43,7 +43,10 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="sevlab-ckpt-")
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder on shared storage (HDFS/S3/...): "
+                             "lineage cuts and model files must be visible to every executor")
+        d = tempfile.mkdtemp(prefix="sevlab-ckpt-")  # local mode only: driver and executors share this disk
         sc.setCheckpointDir(d)
     elif sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
