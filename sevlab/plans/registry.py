@@ -577,7 +577,7 @@ _Z = ["l_quantity", "o_totalprice"]
 @register("zscore", f"WITH joined AS ({JOINED_SQL}), s AS (SELECT "
           + ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_samp(CAST({c} AS DOUBLE)) AS s_{c}" for c in _Z)
           + " FROM joined) SELECT l_orderkey, l_linenumber, "
-          + ", ".join(f"round((CAST({c} AS DOUBLE) - (SELECT m_{c} FROM s)) / (SELECT s_{c} FROM s), {R}) AS z_{i}"
+          + ", ".join(f"round((CAST({c} AS DOUBLE) - (SELECT m_{c} FROM s)) * (1.0 / (SELECT s_{c} FROM s)), {R}) AS z_{i}"
                       for i, c in enumerate(_Z))
           + " FROM joined")
 def q_zscore(spark, sf):
