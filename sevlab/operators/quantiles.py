@@ -127,3 +127,81 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             out[c] = []
         out[c].append(float(answers[j]))
     return out, row
+
+
+def grouped_cont_quantiles(df: DataFrame, group: str, col: str, probs: Sequence[float], max_groups: int = 1000,
+                           max_band: int = MAX_BAND, accuracy: int = ACCURACY, grid: int = 1024,
+                           with_counts: bool = False) -> dict:
+    """Exact interpolated quantiles (``quantile_cont``: x[h] with h = (n-1)p, linear between the
+    neighbouring order statistics) of ``col`` per value of ``group``, bounded memory.
+
+      pass 1  per group: count and a sketch on a probability grid (one row per group,
+              size-checked) -> a bracket [a, b] around every needed order statistic
+      pass 2  per group and target: rows below a, distinct values inside [a, b] (HLL); a
+              bracket with more than ``max_band`` distinct values is refused, never truncated
+      pass 3  the (value, count) pairs inside the brackets, grouped, collected
+    Returns {group value: [quantile per prob]} (with ``with_counts``: {group value: (n, [...])});
+    groups whose column is all null are absent.
+    """
+    from .stats import small_rows
+
+    x = F.col(col).cast("double")
+    d = df.filter(x.isNotNull())
+    probs_grid = [k / grid for k in range(grid + 1)]
+    rows = small_rows(d.groupBy(group).agg(F.count(F.lit(1)).alias("n"),
+                                          F.percentile_approx(x, probs_grid, accuracy).alias("sk")),
+                      f"groups of {group!r}", max_groups)
+    eps = MARGIN / accuracy + 1.0 / grid
+    targets = []  # [group value, need, a, b]
+    for r in rows:
+        n, sk = r["n"], r["sk"]
+        for p in probs:
+            h = (n - 1) * p
+            for k in sorted({math.floor(h), math.ceil(h)}):
+                need = k + 1
+                lo_p, hi_p = _bracket_probs(need / n, eps)
+                targets.append([r[group], need, sk[int(math.floor(lo_p * grid))], sk[int(math.ceil(hi_p * grid))]])
+    if not targets:
+        return {}
+    gcol = F.col(group)
+
+    def per_target(j: int, expr):
+        t = targets[j]
+        return F.when(gcol == F.lit(t[0]), expr(F.lit(t[2]), F.lit(t[3])))
+
+    aggs = []
+    for j in range(len(targets)):
+        aggs.append(F.count(per_target(j, lambda a, b: F.when(x < a, F.lit(1)))).alias(f"below{j}"))
+        aggs.append(F.approx_count_distinct(per_target(j, lambda a, b: F.when((x >= a) & (x <= b), x)), 0.05).alias(f"d{j}"))
+    r2 = d.agg(*aggs).first()
+    for j, t in enumerate(targets):
+        if r2[f"d{j}"] * 1.2 > max_band:
+            raise ValueError(f"exact quantiles of {col!r} per {group!r}: a bracket holds about {r2[f'd{j}']} distinct "
+                             f"values; use an approximate error instead")
+    in_band = None
+    for j in range(len(targets)):
+        e = per_target(j, lambda a, b: (x >= a) & (x <= b))
+        in_band = e if in_band is None else (in_band | e)
+    pairs = d.filter(F.coalesce(in_band, F.lit(False))).groupBy(group, x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    by_group: dict = {}
+    for r in pairs.collect():
+        by_group.setdefault(r[group], []).append((r["v"], r["c"]))
+    stat: dict = {}
+    for j, (gv, need, a, b) in enumerate(targets):
+        cum = r2[f"below{j}"]
+        for v, c in sorted((v, c) for v, c in by_group.get(gv, []) if a <= v <= b):
+            cum += c
+            if cum >= need:
+                stat[(gv, need)] = v
+                break
+        else:
+            raise RuntimeError(f"exact quantiles of {col!r} per {group!r}: bracket missed")
+    out = {}
+    for r in rows:
+        n, vals = r["n"], []
+        for p in probs:
+            h = (n - 1) * p
+            lo, hi = stat[(r[group], math.floor(h) + 1)], stat[(r[group], math.ceil(h) + 1)]
+            vals.append(lo + (h - math.floor(h)) * (hi - lo))
+        out[r[group]] = (n, vals) if with_counts else vals
+    return out

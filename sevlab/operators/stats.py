@@ -172,39 +172,33 @@ def box_stats(df: DataFrame, label: str, col: str, factor: float = 1.5, max_clas
     """Box-plot numbers of ``col`` per ``label``: quartiles (linear interpolation), IQR fences,
     whiskers at the last value inside the fences, outlier count. Whole data, no sample.
 
-    Two aggregations: per-class quartiles, collected as one row per class (size-checked),
-    then whiskers and outliers with the fences applied as literals (no join).
-    ``rel_error == 0``: exact interpolated quartiles (buffer = one count per distinct value
-    per class: right for coded columns such as age); ``rel_error > 0``: Spark's GK sketch,
-    bounded memory for continuous columns of any size."""
+    Per-class quartiles come back as one row per class (size-checked): exact with bounded
+    memory (``quantiles.grouped_cont_quantiles``) when ``rel_error == 0``, else Spark's GK
+    sketch. Then one aggregation computes whiskers and outliers with the fences applied as
+    literals (no join)."""
     from .balance import literal_lookup
 
     x = F.col(col)
-    iqr = F.col("q3") - F.col("q1")
-    q = (
-        df.filter(x.isNotNull())
-        .groupBy(label)
-        .agg(F.count(F.lit(1)).alias("n"),
-             (F.percentile(x.cast("double"), [0.25, 0.5, 0.75]) if rel_error == 0
-              else quantile_expr(col, [0.25, 0.5, 0.75], rel_error)).alias("_q"))
-        .select(label, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
-        .select("*", (F.col("q1") - F.lit(factor) * iqr).alias("lower_fence"),
-                (F.col("q3") + F.lit(factor) * iqr).alias("upper_fence"))
-    )
-    rows = q.limit(max_classes + 1).collect()
-    if len(rows) > max_classes:
-        raise ValueError(f"box_stats: more than {max_classes} classes in {label!r}")
-    stats = ["n", "q1", "median", "q3", "lower_fence", "upper_fence"]
-    types = dict(q.dtypes)
-    lk = {c: literal_lookup(rows, label, c, F.col(label)).cast(types[c]) for c in stats}
+    if rel_error == 0:
+        from .quantiles import grouped_cont_quantiles
+        q = grouped_cont_quantiles(df, label, col, [0.25, 0.5, 0.75], max_groups=max_classes, with_counts=True)
+        base = [{label: k, "n": n, "q1": v[0], "median": v[1], "q3": v[2]} for k, (n, v) in q.items()]
+    else:
+        agg = (df.filter(x.isNotNull()).groupBy(label)
+               .agg(F.count(F.lit(1)).alias("n"), quantile_expr(col, [0.25, 0.5, 0.75], rel_error).alias("_q")))
+        base = [{label: r[label], "n": r["n"], "q1": r["_q"][0], "median": r["_q"][1], "q3": r["_q"][2]}
+                for r in small_rows(agg, f"box_stats({label})", max_classes)]
+    rows = [dict(b, lower_fence=b["q1"] - factor * (b["q3"] - b["q1"]), upper_fence=b["q3"] + factor * (b["q3"] - b["q1"]))
+            for b in base]
+    types = {"n": "bigint", "q1": "double", "median": "double", "q3": "double", "lower_fence": "double", "upper_fence": "double"}
+    lk = {c: literal_lookup(rows, label, c, F.col(label)).cast(t) for c, t in types.items()}
     inside = (x >= lk["lower_fence"]) & (x <= lk["upper_fence"])
     w = df.filter(x.isNotNull()).groupBy(label).agg(
         F.min(F.when(inside, x)).cast("double").alias("whisker_low"),
         F.max(F.when(inside, x)).cast("double").alias("whisker_high"),
         F.count(F.when(~inside, F.lit(1))).alias("outliers"),
     )
-    return w.select(label, *[literal_lookup(rows, label, c, F.col(label)).cast(types[c]).alias(c) for c in stats],
-                    "whisker_low", "whisker_high", "outliers")
+    return w.select(label, *[lk[c].alias(c) for c in types], "whisker_low", "whisker_high", "outliers")
 
 
 def histogram(df: DataFrame, label: str, col: str, bins: int) -> DataFrame:
