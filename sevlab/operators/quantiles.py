@@ -135,6 +135,8 @@ def grouped_cont_quantiles(df: DataFrame, group: str, col: str, probs: Sequence[
     """Exact interpolated quantiles (``quantile_cont``: x[h] with h = (n-1)p, linear between the
     neighbouring order statistics) of ``col`` per value of ``group``, bounded memory.
 
+      pass 0  distinct values per group (HLL); if their total is within ``max_band``, Spark's
+              exact percentile runs instead (its buffers hold at most that many counts)
       pass 1  per group: count and a sketch on a probability grid (one row per group,
               size-checked) -> a bracket [a, b] around every needed order statistic
       pass 2  per group and target: rows below a, distinct values inside [a, b] (HLL); a
@@ -147,6 +149,13 @@ def grouped_cont_quantiles(df: DataFrame, group: str, col: str, probs: Sequence[
 
     x = F.col(col).cast("double")
     d = df.filter(x.isNotNull())
+    # fast path: few distinct values in all (coded columns such as age or speed) -> Spark's
+    # exact percentile, whose buffers hold one count per distinct value: at most that total
+    dist = small_rows(d.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(x, 0.05).alias("d")),
+                      f"groups of {group!r}", max_groups)
+    if sum(r["d"] for r in dist) * 1.2 <= max_band:
+        ex = d.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.percentile(x, list(probs)).alias("q")).collect()
+        return {r[group]: ((r["n"], [float(v) for v in r["q"]]) if with_counts else [float(v) for v in r["q"]]) for r in ex}
     probs_grid = [k / grid for k in range(grid + 1)]
     rows = small_rows(d.groupBy(group).agg(F.count(F.lit(1)).alias("n"),
                                           F.percentile_approx(x, probs_grid, accuracy).alias("sk")),
