@@ -571,6 +571,17 @@ def q_assemble_features(spark, sf):
     return features.vector_columns(d.select("l_orderkey", "vec"), "vec", [f"v_{i}" for i in range(len(_ASM))])
 
 
+@register("assemble_strict", f"WITH joined AS ({JOINED_SQL}) SELECT l_orderkey, l_linenumber, "
+          + ", ".join(f"CAST({c} AS DOUBLE) AS v_{i}" for i, c in enumerate(_CORR_COLS)) + " FROM joined WHERE "
+          + " AND ".join(f"{c} IS NOT NULL" for c in _CORR_COLS))
+def q_assemble_strict(spark, sf):
+    """Complete rows assembled with handleInvalid='error' (a null would fail the job), as the
+    correlation input is; the vector is returned as one column per slot."""
+    d = tb.joined(spark, sf).select("l_orderkey", "l_linenumber", *_CORR_COLS).dropna()
+    v = features.assemble(d, _CORR_COLS, "vec", "error").select("l_orderkey", "l_linenumber", "vec")
+    return features.vector_columns(v, "vec", [f"v_{i}" for i in range(len(_CORR_COLS))])
+
+
 _Z = ["l_quantity", "o_totalprice"]
 
 
