@@ -577,7 +577,7 @@ def q_assemble_features(spark, sf):
 def q_assemble_strict(spark, sf):
     """Complete rows assembled with handleInvalid='error' (a null would fail the job), as the
     correlation input is; the vector is returned as one column per slot."""
-    d = tb.joined(spark, sf).select("l_orderkey", "l_linenumber", *_CORR_COLS).dropna()
+    d = tb.joined(spark, sf).select("l_orderkey", *_CORR_COLS).dropna()  # l_linenumber is among the columns
     v = features.assemble(d, _CORR_COLS, "vec", "error").select("l_orderkey", "l_linenumber", "vec")
     return features.vector_columns(v, "vec", [f"v_{i}" for i in range(len(_CORR_COLS))])
 
