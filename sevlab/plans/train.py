@@ -46,10 +46,12 @@ def train_and_evaluate(table: DataFrame, label: str, fractions: Mapping, params:
                        labels: Sequence, method: str = "bernoulli", hash_cols: Sequence[str] | None = None,
                        weight: str = "class_weight", model_path: str | None = None) -> Trained:
     t = smoothed_weight(table, weight, "smoothed_weight")
-    train, test = split(t, label, fractions, seed, method, hash_cols)
     if method == "bernoulli":
-        train = persist(spread(train))  # the input is persisted already; RF iterates over train
+        # one cached copy: the spread input is persisted by the split, train and test are
+        # narrow filters over it (the forest keeps its own binned copy of train)
+        train, test = split(spread(t), label, fractions, seed, method, hash_cols)
     else:
+        train, test = split(t, label, fractions, seed, method, hash_cols)
         train, test = persist(spread(train)), persist(test)
     model = fit_forest(train, label, params, weight="smoothed_weight")
     pred = model.transform(test)
