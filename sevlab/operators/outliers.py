@@ -5,7 +5,6 @@ from __future__ import annotations
 from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions import any_flag, between, null_or_between, outside_flag
 from .clean import fit_quantiles

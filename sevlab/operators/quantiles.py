@@ -5,8 +5,9 @@ The answer for probability p over n non-null values is the smallest value v with
 
   pass 1   count + a GK sketch (``percentile_approx``) at p -/+ a margin larger than the
            sketch's rank error: the answer lies in the bracket [a, b] between the two values.
-  pass 2+  if a bracket may still hold more than ``max_band`` rows, one aggregation narrows
-           every bracket at once with a sketch of just the rows inside it.
+  pass 2+  only if a bracket may hold more than ``max_band`` distinct values: one aggregation
+           measures them (HLL) and narrows every such bracket at once with a sketch of just
+           the rows inside it.
   last     one aggregation per target: rows below ``a`` counted, rows inside [a, b] grouped
            by value; at most ``max_band`` (value, count) pairs per target reach the driver,
            however many rows share a value (a value holding a third of the rows is one pair).

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Any, Sequence
 
-from ..config import DOMAIN_BOUNDS, TIME_BIN_OTHER, TIME_BINS, TRAIN_FRACTIONS, PrepConfig
+from ..config import TIME_BIN_OTHER, TIME_BINS, PrepConfig
 from .testbed import SEVERITY_CODES
 
 R = 6  # decimals kept for computed doubles on both sides (engines sum in different orders)
@@ -165,4 +165,4 @@ def hash_condition_sql(label: str, fractions, cols: Sequence[str], buckets: int
 
 
 __all__ = ["CASUALTY_SQL", "COLLISION_SQL", "JOINED_SQL", "JOINED_COLS", "testbed_ctes", "prepared_select_sql",
-           "hash_condition_sql", "unit_hash_sql", "lit", "R", "DOMAIN_BOUNDS", "TRAIN_FRACTIONS"]
+           "hash_condition_sql", "unit_hash_sql", "lit", "R"]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions import bin_by_ranges, hour_of, null_if, parse_date, remap
+from ..functions import bin_by_ranges, hour_of, parse_date, remap
 from ..operators import balance, clean, features, model, outliers, sampling, stats
 from ..session import scratch_path
 from ..sources import files

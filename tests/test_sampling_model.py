@@ -8,8 +8,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from sevlab.operators import model, sampling
-from sevlab.plans.train import split, train_and_evaluate
-from sevlab.sources import load_forest, rows_to_frame, save_model
+from sevlab.plans.train import train_and_evaluate
+from sevlab.sources import load_forest, rows_to_frame
 
 SMALL_FOREST = {"numTrees": 5, "maxDepth": 4, "maxBins": 64, "seed": 42}
 
