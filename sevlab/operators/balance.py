@@ -14,17 +14,23 @@ from .stats import group_count
 SMALL_TABLE_ROWS = 1000
 
 
+CASE_LIMIT = 64  # up to this many entries a CASE chain; beyond, a literal map (hashed lookup)
+
+
 def literal_lookup(rows: Sequence[Any], key: str, col: str, key_expr: Column) -> Column:
-    """CASE key WHEN k1 THEN v1 ... END over collected rows; unmatched (and null) key -> null,
-    exactly what a left join gives."""
+    """Value of ``col`` for the row whose ``key`` equals ``key_expr``, from collected rows;
+    unmatched (and null) keys give null, exactly what a left join gives."""
+    pairs = [(r[key], r[col]) for r in rows if r[key] is not None]  # a null key never matches
+    if not pairs:
+        return F.lit(None)
+    if len(pairs) > CASE_LIMIT and all(v is not None for _, v in pairs):
+        m = F.create_map(*[x for k, v in pairs for x in (F.lit(k), F.lit(v))])
+        return F.try_element_at(m, key_expr)
     expr = None
-    for r in rows:
-        k = r[key]
-        if k is None:
-            continue  # a null key never matches in a join
+    for k, v in pairs:
         cond = key_expr == F.lit(k)
-        expr = F.when(cond, F.lit(r[col])) if expr is None else expr.when(cond, F.lit(r[col]))
-    return F.lit(None) if expr is None else expr
+        expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
+    return expr
 
 
 def attach_small(

@@ -217,3 +217,12 @@ def test_grouped_cont_quantiles_match_percentile(spark):
             assert all(abs(a - b) <= 1e-9 * max(1.0, abs(b)) for a, b in zip(got[g], want[g])), (g, got[g], want[g])
     with pytest.raises(ValueError):
         grouped_cont_quantiles(df, "g", "x", [0.5], max_band=5)
+
+
+def test_attach_small_map_path(spark):
+    df = spark.range(400).select((F.col("id") % 250).alias("k"))
+    table = spark.range(300).select(F.col("id").alias("k"), (F.col("id") * 0.5).alias("v"))
+    via_map = balance.attach_small(df, table, "k", ["v"], max_rows=1000)  # > CASE_LIMIT entries
+    via_join = balance.attach_small(df, table, "k", ["v"], max_rows=10)
+    assert sorted(map(tuple, via_map.collect())) == sorted(map(tuple, via_join.collect()))
+    assert "Join" not in via_map._jdf.queryExecution().optimizedPlan().toString()
