@@ -5,7 +5,7 @@ Passes over the data (each a distributed aggregation returning a few numbers):
   1. clean (sentinels, required, dedup) -> written once to the shared folder (lineage cut:
      every later fit reads the compact parquet copy, and a lost executor recomputes from it)
   2. medians + modes, one aggregation
-  3. category counts for all indexes, one pass (multi-column StringIndexer)
+  3. category counts for all indexes, one pass (multi-column StringIndexer), concurrently with
   4. IQR quartiles of all outlier columns, one aggregation
   5. class counts + per-class mean/variance of the numeric features, one aggregation
      (gives both the class weights and the z-score mean/std)
@@ -14,6 +14,7 @@ The rest is one projection/filter chain over the parquet copy: no join, no shuff
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -122,8 +123,12 @@ def prepare(df: DataFrame, cfg: PrepConfig, base_path: str | None = None) -> Pre
     binned = imputed
     if cfg.time_column:
         binned = imputed.withColumn(cfg.time_bin_column, bin_by_ranges(cfg.time_column, TIME_BINS, TIME_BIN_OTHER))
-    indexer = Pipeline(stages=[string_indexer(cfg.categorical)]).fit(binned)
-    bounds = fit_iqr_bounds(imputed, cfg.outlier_columns, cfg.quantile_error, cfg.iqr_factor)
+    # the index counts and the IQR quartiles both read only the imputed table: run the two
+    # fitting jobs concurrently (Spark schedules jobs from several driver threads)
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        f_index = pool.submit(Pipeline(stages=[string_indexer(cfg.categorical)]).fit, binned)
+        f_bounds = pool.submit(fit_iqr_bounds, imputed, cfg.outlier_columns, cfg.quantile_error, cfg.iqr_factor)
+        indexer, bounds = f_index.result(), f_bounds.result()
 
     fitted: dict[str, Any] = {"medians": medians, "modes": modes, "fill": fill, "bounds": bounds}
     kept = apply_fitted(base, cfg, {**fitted, "class_weight": {}, "scale": {c: (0.0, 1.0) for c in cfg.numeric}},
