@@ -51,6 +51,29 @@ def clean(df: DataFrame, cfg: PrepConfig) -> dict[str, DataFrame]:
     return {"input": df, "sentinels_to_null": nulled, "required": required, "dedup": deduped}
 
 
+def clean_counts(df: DataFrame, cfg: PrepConfig) -> DataFrame:
+    """Rows after each cleaning step, (step_no, step, rows), in two passes instead of one per
+    step: sentinels drop no row and the required-columns step is a filter, so the input,
+    sentinel and required counts come from one aggregation; the dedup count is the number of
+    key groups (null keys equal), one more aggregation."""
+    from functools import reduce
+
+    nulled = sentinels_to_null(df, cfg.sentinels)
+    ok = None
+    for c in cfg.required:
+        e = F.col(c).isNotNull()
+        ok = e if ok is None else ok & e
+    first = nulled.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(ok, F.lit(1))).alias("r"))
+    steps = [(0, "input", "n"), (1, "sentinels_to_null", "n"), (2, "required", "r")]
+    rows3 = first.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("step_no"), F.lit(name).alias("step"), F.col(c).alias("rows")) for i, name, c in steps
+    ])).alias("s")).select("s.*")
+    parts = [rows3]
+    groups = nulled.filter(ok).groupBy(*cfg.dedup_keys).agg(F.lit(1).alias("_g"))
+    parts.append(groups.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(3).alias("step_no"), F.lit("dedup").alias("step"), "rows"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def cut_lineage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write to the shared folder and read back (reliable; never a local checkpoint)."""
     spark = df.sparkSession

@@ -327,8 +327,10 @@ _STEP_SQL = testbed_ctes(CFG, "dedup") + (
 
 @register("step_row_counts", _STEP_SQL)
 def q_step_row_counts(spark, sf):
-    from .prepare import clean as clean_steps
-    return stats.step_row_counts(clean_steps(tb.joined(spark, sf), CFG))
+    """Rows after each cleaning step (the generic ``stats.step_row_counts`` counts any named
+    stages; the cleaning steps need only two passes, see ``prepare.clean_counts``)."""
+    from .prepare import clean_counts
+    return clean_counts(tb.joined(spark, sf), CFG)
 
 
 @register("dedup_subset", testbed_ctes(CFG, "dedup") + " SELECT * FROM dedup")
