@@ -208,29 +208,47 @@ def histogram(df: DataFrame, label: str, col: str, bins: int) -> DataFrame:
 
 
 def histograms(df: DataFrame, label: str, bins_by_col: Mapping[str, int]) -> dict[str, DataFrame]:
-    """Histograms of several columns; their min/max come from one shared aggregation."""
+    """Histograms of several columns as separate frames (views of ``histogram_long``)."""
+    long = histogram_long(df, label, bins_by_col)
+    return {c: long.filter(F.col("column_name") == c).drop("column_name") for c in bins_by_col}
+
+
+def histogram_long(df: DataFrame, label: str, bins_by_col: Mapping[str, int]) -> DataFrame:
+    """Equal-width histograms of several columns per ``label`` in long form
+    (column_name, label, bin, bin_low, bin_high, count). Two passes whatever the number of
+    columns: one shared min/max aggregation, then one aggregation over (column, bin) pairs
+    exploded from each row. Edges span each column's min..max; the maximum is in the last bin."""
     cols = list(bins_by_col)
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     mm = df.agg(*aggs).first()
-    spark = df.sparkSession
-    schema = f"{label} {dict(df.dtypes)[label]}, bin int, bin_low double, bin_high double, count bigint"
-    out = {}
+    edges = {}
     for i, c in enumerate(cols):
-        lo, hi, bins = mm[f"lo{i}"], mm[f"hi{i}"], bins_by_col[c]
-        if lo is None:
-            out[c] = spark.createDataFrame([], schema)
-            continue
-        width = (hi - lo) / bins
+        lo, hi = mm[f"lo{i}"], mm[f"hi{i}"]
+        if lo is not None:
+            edges[c] = (lo, (hi - lo) / bins_by_col[c])
+    schema = (f"column_name string, {label} {dict(df.dtypes)[label]}, bin int, bin_low double, bin_high double, "
+              "count bigint")
+    if not edges:
+        return df.sparkSession.createDataFrame([], schema)
+    cells = []
+    for c, (lo, width) in edges.items():
         x = F.col(c).cast("double")
-        b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(bins - 1)) if width > 0 else F.lit(0)
-        counted = df.filter(x.isNotNull()).groupBy(label, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-        out[c] = counted.select(
-            label, "bin",
-            (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_low"),
-            (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_high"),
-            "count",
-        )
-    return out
+        last = bins_by_col[c] - 1
+        b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(last)) if width > 0 else F.lit(0)
+        cells.append(F.struct(F.lit(c).alias("column_name"), F.when(x.isNotNull(), b).alias("bin")))
+    exploded = df.select(F.col(label), F.explode(F.array(*cells)).alias("h")).select(label, "h.*").filter(F.col("bin").isNotNull())
+    counted = exploded.groupBy("column_name", label, "bin").agg(F.count(F.lit(1)).alias("count"))
+    lo_e = width_e = None
+    for c, (lo, width) in edges.items():
+        cond = F.col("column_name") == F.lit(c)
+        lo_e = F.when(cond, F.lit(lo)) if lo_e is None else lo_e.when(cond, F.lit(lo))
+        width_e = F.when(cond, F.lit(width)) if width_e is None else width_e.when(cond, F.lit(width))
+    return counted.select(
+        "column_name", label, "bin",
+        (lo_e + F.col("bin") * width_e).alias("bin_low"),
+        (lo_e + (F.col("bin") + 1) * width_e).alias("bin_high"),
+        "count",
+    )

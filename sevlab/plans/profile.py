@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.clean import sentinels_to_null
 from ..operators.sampling import persist
-from ..operators.stats import box_stats, class_share, histograms, missing_report, missing_total
+from ..operators.stats import box_stats, class_share, histogram_long, missing_report, missing_total
 
 
 def profile(df: DataFrame, sentinels: Mapping, label: str, box_col: str,
@@ -21,8 +21,7 @@ def profile(df: DataFrame, sentinels: Mapping, label: str, box_col: str,
         "class_share": class_share(d, label),
         "box_stats": box_stats(d, label, box_col),
     }
-    for c, h in histograms(d, label, hist_bins).items():
-        out[f"histogram_{c}"] = h
+    out["histograms"] = histogram_long(d, label, hist_bins)  # all columns, one aggregation
     return out
 
 
@@ -42,9 +41,8 @@ def profile_long(parts: dict[str, DataFrame], label: str) -> DataFrame:
     for c in box_stats_cols:
         out.append(parts["box_stats"].select(F.lit("box").alias("section"), label, F.lit(c).alias("name"),
                                              F.col(c).cast("double").alias("value")))
-    for key, df in parts.items():
-        if key.startswith("histogram_"):
-            out.append(df.select(F.lit(key).alias("section"), label,
-                                 F.concat(F.lit("bin_"), F.col("bin").cast("string")).alias("name"),
-                                 F.col("count").cast("double").alias("value")))
+    if "histograms" in parts:
+        out.append(parts["histograms"].select(F.concat(F.lit("histogram_"), F.col("column_name")).alias("section"), label,
+                                              F.concat(F.lit("bin_"), F.col("bin").cast("string")).alias("name"),
+                                              F.col("count").cast("double").alias("value")))
     return reduce(DataFrame.unionByName, out)

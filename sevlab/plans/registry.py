@@ -492,10 +492,8 @@ def _hist_sql() -> str:
 
 @register("histogram", _hist_sql())
 def q_histogram(spark, sf):
-    hs = stats.histograms(tb.joined(spark, sf), "severity", _HIST)
-    parts = [h.select(F.lit(c).alias("column_name"), "severity", "bin", rnd("bin_low"), rnd("bin_high"), "count")
-             for c, h in hs.items()]
-    return reduce(DataFrame.unionByName, parts)
+    h = stats.histogram_long(tb.joined(spark, sf), "severity", _HIST)
+    return h.select("column_name", "severity", "bin", rnd("bin_low"), rnd("bin_high"), "count")
 
 
 # ---------------------------------------------------------------- sampling and splits
