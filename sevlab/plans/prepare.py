@@ -8,7 +8,8 @@ Passes over the data (each a distributed aggregation returning a few numbers):
   3. category counts for all indexes, one pass (multi-column StringIndexer), concurrently with
   4. IQR quartiles of all outlier columns, one aggregation
   5. class counts + per-class mean/variance of the numeric features, one aggregation
-     (gives both the class weights and the z-score mean/std)
+     (gives both the class weights and the z-score mean/std); concurrent with 3-4 in the
+     flag variant
 The rest is one projection/filter chain over the parquet copy: no join, no shuffle.
 """
 
@@ -146,26 +147,32 @@ def prepare(df: DataFrame, cfg: PrepConfig, base_path: str | None = None) -> Pre
     binned = imputed
     if cfg.time_column:
         binned = imputed.withColumn(cfg.time_bin_column, bin_by_ranges(cfg.time_column, TIME_BINS, TIME_BIN_OTHER))
-    # the index counts and the IQR quartiles both read only the imputed table: run the two
-    # fitting jobs concurrently (Spark schedules jobs from several driver threads)
-    with ThreadPoolExecutor(max_workers=2) as pool:
+    def class_pass(kept_rows: DataFrame) -> list:
+        """Class counts and per-class moments in one pass (one row per class to the driver)."""
+        aggs = [F.count(F.lit(1)).alias("count")]
+        for c in cfg.numeric:
+            x = F.col(c).cast("double")
+            aggs += [F.count(x).alias(f"n_{c}"), F.avg(x).alias(f"mean_{c}"), F.var_pop(x).alias(f"var_{c}")]
+        out = kept_rows.groupBy(cfg.label).agg(*aggs).limit(SMALL_TABLE_ROWS + 1).collect()
+        if len(out) > SMALL_TABLE_ROWS:
+            raise ValueError(f"label {cfg.label!r} has more than {SMALL_TABLE_ROWS} classes")
+        return out
+
+    # The index counts and the IQR quartiles read only the imputed table, so they run as
+    # concurrent jobs (Spark schedules jobs from several driver threads). In the flag variant
+    # the kept rows do not depend on the fences (flags only add columns), so the class pass
+    # joins them; in the drop variant it waits for the fences.
+    with ThreadPoolExecutor(max_workers=3) as pool:
         f_index = pool.submit(Pipeline(stages=[string_indexer(cfg.categorical)]).fit, binned)
         f_bounds = pool.submit(fit_iqr_bounds, imputed, cfg.outlier_columns, cfg.quantile_error, cfg.iqr_factor)
+        f_rows = pool.submit(class_pass, domain_filter(imputed, cfg.domain_bounds)) if cfg.variant == "flag" else None
         indexer, bounds = f_index.result(), f_bounds.result()
+        fitted: dict[str, Any] = {"medians": medians, "modes": modes, "fill": fill, "bounds": bounds}
+        kept = apply_fitted(base, cfg, {**fitted, "class_weight": {}, "scale": {c: (0.0, 1.0) for c in cfg.numeric}},
+                            indexer, with_weight=False)
+        kept = kept.drop(NUM_VEC, NUM_SCALED, "features")
+        rows = f_rows.result() if f_rows is not None else class_pass(kept)
 
-    fitted: dict[str, Any] = {"medians": medians, "modes": modes, "fill": fill, "bounds": bounds}
-    kept = apply_fitted(base, cfg, {**fitted, "class_weight": {}, "scale": {c: (0.0, 1.0) for c in cfg.numeric}},
-                        indexer, with_weight=False)
-    kept = kept.drop(NUM_VEC, NUM_SCALED, "features")
-
-    # class counts and per-class moments in one pass (one row per class reaches the driver)
-    aggs = [F.count(F.lit(1)).alias("count")]
-    for c in cfg.numeric:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n_{c}"), F.avg(x).alias(f"mean_{c}"), F.var_pop(x).alias(f"var_{c}")]
-    rows = kept.groupBy(cfg.label).agg(*aggs).limit(SMALL_TABLE_ROWS + 1).collect()
-    if len(rows) > SMALL_TABLE_ROWS:
-        raise ValueError(f"label {cfg.label!r} has more than {SMALL_TABLE_ROWS} classes")
     max_count = max((r["count"] for r in rows), default=0)
     fitted["class_count"] = {r[cfg.label]: r["count"] for r in rows}
     fitted["class_weight"] = {r[cfg.label]: max_count / r["count"] for r in rows if r[cfg.label] is not None}
