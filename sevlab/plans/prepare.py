@@ -42,6 +42,15 @@ class Prepared:
     fitted: dict[str, Any]
     indexer: PipelineModel
     stages: dict[str, DataFrame] = field(default_factory=dict)
+    base_path: str | None = None
+
+    def release(self) -> None:
+        """Delete the cleaned copy in the shared folder once ``frame`` has been written or
+        consumed (the frame reads it lazily, so release only afterwards)."""
+        if self.base_path:
+            from ..session import delete_path
+            delete_path(self.frame.sparkSession, self.base_path)
+            self.base_path = None
 
 
 def clean(df: DataFrame, cfg: PrepConfig) -> dict[str, DataFrame]:
@@ -77,10 +86,12 @@ def clean_counts(df: DataFrame, cfg: PrepConfig) -> DataFrame:
 
 def cut_lineage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write to the shared folder and read back (reliable; never a local checkpoint)."""
-    spark = df.sparkSession
-    p = path or scratch_path(spark, name)
-    write_parquet(df, p)
-    return read_parquet(spark, p)
+    return cut_lineage_at(df, path or scratch_path(df.sparkSession, name))
+
+
+def cut_lineage_at(df: DataFrame, path: str) -> DataFrame:
+    write_parquet(df, path)
+    return read_parquet(df.sparkSession, path)
 
 
 def combine_moments(rows, label: str, cols: list[str]) -> dict[str, tuple[float | None, float | None]]:
@@ -134,7 +145,9 @@ def prepare(df: DataFrame, cfg: PrepConfig, base_path: str | None = None) -> Pre
     into the test rows); the output gets an ``is_train`` column. Default: all rows, as the
     original."""
     stages = clean(df, cfg)
-    base = cut_lineage(stages["dedup"], "prepare-base", base_path)
+    own_copy = base_path is None
+    base_path = base_path or scratch_path(df.sparkSession, "prepare-base")
+    base = cut_lineage_at(stages["dedup"], base_path)
     full = base
     if cfg.fit_on == "train":
         from ..operators.sampling import hash_sample_condition
@@ -181,7 +194,7 @@ def prepare(df: DataFrame, cfg: PrepConfig, base_path: str | None = None) -> Pre
 
     final = apply_fitted(full, cfg, fitted, indexer)
     stages.update({"imputed": imputed, "encoded": indexer.transform(binned), "kept": kept, "final": final})
-    return Prepared(final, fitted, indexer, stages)
+    return Prepared(final, fitted, indexer, stages, base_path if own_copy else None)
 
 
 def training_table(prepared: DataFrame, label: str) -> DataFrame:
@@ -194,5 +207,6 @@ def prepare_job(df: DataFrame, cfg: PrepConfig, out_dir: str) -> Prepared:
     (``clean`` and ``train``; not nested, so overwriting one never deletes the other)."""
     p = prepare(df, cfg)
     write_parquet(p.frame, f"{out_dir}/clean")
-    write_parquet(training_table(p.frame, cfg.label), f"{out_dir}/train")
+    write_parquet(training_table(read_parquet(df.sparkSession, f"{out_dir}/clean"), cfg.label), f"{out_dir}/train")
+    p.release()  # both outputs are written; the scratch copy is no longer read
     return p

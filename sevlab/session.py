@@ -56,3 +56,12 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder (never a machine-local temp dir on a cluster)."""
     return f"{shared_dir(spark)}/sevlab/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete a folder on the session's file system (HDFS/S3/local), e.g. a
+    scratch copy that is no longer read."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(p, True))

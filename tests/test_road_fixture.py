@@ -177,3 +177,15 @@ def test_road_jobs_end_to_end(spark):
     assert spark.read.parquet(f"{out}/scored").count() == spark.read.parquet(f"{out}/prep/train").count()
     m = spark.read.parquet(f"{out}/forest-metrics").first()
     assert 0.0 <= m.accuracy <= 1.0
+
+
+def test_prepared_copy_released(spark):
+    import os
+    from sevlab.plans import testbed as tb
+    from sevlab.plans.prepare import prepare
+    p = prepare(tb.joined(spark, "/root/testdata/sf0.001"), tb.TESTBED_FLAG)
+    path = p.base_path
+    n = p.frame.count()
+    assert os.path.exists(path.replace("file:", "")) and n > 0
+    p.release()
+    assert not os.path.exists(path.replace("file:", "")) and p.base_path is None
