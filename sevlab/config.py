@@ -131,7 +131,8 @@ CORRELATION_COLUMNS = [
 SEVERITY_SWAP = {1: 3, 3: 1}
 SWAPPED_COLUMNS = ["casualty_severity", "collision_severity"]
 
-# Random forest of the training script, and of the saved "full" model.
+# Random forest of the training script (weights: sqrt of class_weight), and of the saved
+# "full" model (weights: class_weight itself).
 FOREST_PARAMS = {"numTrees": 50, "maxDepth": 12, "maxBins": 64, "seed": 42}
 FOREST_PARAMS_FULL = {"numTrees": 100, "maxDepth": 15, "maxBins": 64, "seed": 42}
 

@@ -82,10 +82,11 @@ def profile_road(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def train_road(table: DataFrame, model_path: str | None = None, full: bool = False) -> Trained:
+    """The training script's forest (50 trees, depth 12, sqrt-smoothed class weight), or with
+    ``full`` the saved full model's settings (100 trees, depth 15, the class weight itself)."""
     params = C.FOREST_PARAMS_FULL if full else C.FOREST_PARAMS
-    weight = "class_weight"
     return train_and_evaluate(table, C.LABEL, C.TRAIN_FRACTIONS, params, C.SEED, labels=[1, 2, 3],
-                              weight=weight, model_path=model_path)
+                              weight="class_weight", model_path=model_path, smooth=not full)
 
 
 def run(spark: SparkSession, a: argparse.Namespace) -> None:

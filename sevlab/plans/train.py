@@ -44,8 +44,9 @@ def split(table: DataFrame, label: str, fractions: Mapping, seed: int, method: s
 
 def train_and_evaluate(table: DataFrame, label: str, fractions: Mapping, params: Mapping, seed: int,
                        labels: Sequence, method: str = "bernoulli", hash_cols: Sequence[str] | None = None,
-                       weight: str = "class_weight", model_path: str | None = None) -> Trained:
-    t = smoothed_weight(table, weight, "smoothed_weight")
+                       weight: str = "class_weight", model_path: str | None = None, smooth: bool = True) -> Trained:
+    """``smooth``: train with sqrt(weight) (the training script) or with the weight itself."""
+    t = smoothed_weight(table, weight, "smoothed_weight") if smooth else table.withColumn("smoothed_weight", table[weight])
     if method == "bernoulli":
         # one cached copy: the spread input is persisted by the split, train and test are
         # narrow filters over it (the forest keeps its own binned copy of train)
