@@ -650,7 +650,7 @@ def _chi_sql(cfg) -> str:
     feats = cfg.encoded_features
     hc = hash_condition_sql(cfg.label, cfg.train_fractions, cfg.dedup_keys)
     longs = " UNION ALL ".join(f"SELECT {lit(f)} AS feature, CAST({f} AS DOUBLE) AS v, {cfg.label} AS y FROM tr" for f in feats)
-    return (testbed_ctes(cfg, "encoded") + f", tr AS (SELECT * FROM encoded WHERE {hc}), lg AS ({longs}),"
+    return (testbed_ctes(cfg, "kept") + f", tr AS (SELECT * FROM kept WHERE {hc}), lg AS ({longs}),"
             " obs AS (SELECT feature, v, y, CAST(count(*) AS DOUBLE) AS o FROM lg GROUP BY ALL),"
             " rt AS (SELECT feature, v, sum(o) AS r FROM obs GROUP BY ALL),"
             " ct AS (SELECT feature, y, sum(o) AS c FROM obs GROUP BY ALL),"
@@ -665,8 +665,8 @@ def _chi_sql(cfg) -> str:
 
 @register("chi_square_rank", _chi_sql(CFG))
 def q_chi_square_rank(spark, sf):
-    e = _prepared(spark, sf, CFG).stages["encoded"]
-    train = sampling.hash_stratified_sample(e, CFG.label, CFG.train_fractions, CFG.dedup_keys)
+    final = _prepared(spark, sf, CFG).frame  # after the outlier step, as the original tests its train rows
+    train = sampling.hash_stratified_sample(final, CFG.label, CFG.train_fractions, CFG.dedup_keys)
     r = stats.chi_square(train, CFG.encoded_features, CFG.label)
     return r.select("feature", F.round("statistic", 6).alias("statistic"), "degrees_of_freedom", "rank")
 
