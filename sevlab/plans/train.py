@@ -64,5 +64,7 @@ def train_and_evaluate(table: DataFrame, label: str, fractions: Mapping, params:
 
 
 def score_job(model_path: str, rows: DataFrame) -> DataFrame:
-    """Load a saved forest and score a table: prediction and one probability per class."""
-    return score(load_forest(model_path), rows)
+    """Load a saved forest and score a table: prediction and one probability per class.
+    Scoring is CPU-bound per row, so a frame with fewer partitions than task slots is
+    spread first (a no-op for large inputs)."""
+    return score(load_forest(model_path), spread(rows))
