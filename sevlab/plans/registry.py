@@ -752,7 +752,8 @@ def q_model_roundtrip(spark, sf):
     from ..sources.models import load_forest
     m = load_forest(_model_path(spark, sf))
     p = _prepared(spark, sf, CFG).frame
-    return m.transform(p.select("l_orderkey", "l_linenumber", "features")).select("l_orderkey", "l_linenumber", "prediction")
+    rows = sampling.spread(p.select("l_orderkey", "l_linenumber", "features"))
+    return m.transform(rows).select("l_orderkey", "l_linenumber", "prediction")
 
 
 @register("batch_score")
