@@ -28,14 +28,49 @@ def join_slice(casualty: DataFrame, collision: DataFrame, key: str) -> DataFrame
     return casualty.join(collision, on=key, how="inner")
 
 
+def hot_keys(df: DataFrame, key: str, min_share: float) -> list:
+    """Keys holding at least ``min_share`` of the rows: one aggregation (partial counts per
+    map task); at most 1/min_share keys can qualify, so the collected list is bounded."""
+    from pyspark.sql import functions as F
+
+    total = df.count()
+    if not total:
+        return []
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    rows = counts.filter(F.col("_n") >= F.lit(min_share * total)).limit(int(1 / min_share) + 1).collect()
+    return [r[key] for r in rows if r[key] is not None]
+
+
+def join_slice_salted(casualty: DataFrame, collision: DataFrame, key: str, hot: list, buckets: int) -> DataFrame:
+    """The same inner join with hot keys salted, for sessions without AQE skew splitting:
+    casualty rows of a hot key are spread over ``buckets`` salt values (by a hash of the row),
+    and only the collision rows of hot keys are replicated ``buckets`` times; other keys keep
+    salt 0. The join is on (key, salt), so one hot key is processed by ``buckets`` tasks."""
+    from pyspark.sql import functions as F
+
+    if not hot:
+        return join_slice(casualty, collision, key)
+    is_hot = F.col(key).isin(hot)
+    row_hash = F.xxhash64(*[F.col(c) for c in casualty.columns])
+    cas = casualty.withColumn("_salt", F.when(is_hot, F.pmod(row_hash, F.lit(buckets))).otherwise(F.lit(0)).cast("int"))
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    col = collision.withColumn("_salt", F.explode(salts))
+    return cas.join(col, on=[key, "_salt"], how="inner").drop("_salt")
+
+
 def union_slices(parts: Sequence[DataFrame]) -> DataFrame:
     """Union by column name, duplicates kept."""
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def integrate(slices: Sequence[tuple[DataFrame, DataFrame]], key: str) -> DataFrame:
-    """``slices``: (typed casualty, typed collision) pairs; each pair joined, all unioned."""
-    return union_slices([join_slice(c, k, key) for c, k in slices])
+def integrate(slices: Sequence[tuple[DataFrame, DataFrame]], key: str, salt_share: float | None = None,
+              salt_buckets: int = 64) -> DataFrame:
+    """``slices``: (typed casualty, typed collision) pairs; each pair joined, all unioned.
+    ``salt_share``: salt keys holding at least that share of a slice's casualty rows
+    (for sessions without AQE; with AQE, skewed partitions are split at run time)."""
+    if salt_share is None:
+        return union_slices([join_slice(c, k, key) for c, k in slices])
+    return union_slices([join_slice_salted(c, k, key, hot_keys(c, key, salt_share), salt_buckets) for c, k in slices])
 
 
 def integrate_job(slices: Sequence[tuple[DataFrame, DataFrame]], key: str, out_path: str) -> str:

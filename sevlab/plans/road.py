@@ -51,12 +51,15 @@ def typed_collision(raw: DataFrame, on_error: str = "fail") -> DataFrame:
     return type_table(raw, C.COLLISION_COLUMNS, collision_typing(on_error), on_error)
 
 
-def integrate_csv(spark: SparkSession, slices: Sequence[tuple[str, str]], on_error: str = "fail") -> DataFrame:
+def integrate_csv(spark: SparkSession, slices: Sequence[tuple[str, str]], on_error: str = "fail",
+                  salt_share: float | None = None) -> DataFrame:
     """Each (casualty CSV, collision CSV) pair typed and joined on collision_index; all pairs
-    unioned by name (the archive file and the provisional year, for instance)."""
+    unioned by name (the archive file and the provisional year, for instance).
+    ``salt_share``: salt collisions holding at least that share of casualty rows (use when
+    the session runs without AQE skew-join splitting)."""
     pairs = [(typed_casualty(read_csv(spark, c), on_error), typed_collision(read_csv(spark, k), on_error))
              for c, k in slices]
-    return integrate(pairs, "collision_index")
+    return integrate(pairs, "collision_index", salt_share=salt_share)
 
 
 def full_casualty(raw: DataFrame, on_error: str = "fail") -> DataFrame:
@@ -91,7 +94,7 @@ def train_road(table: DataFrame, model_path: str | None = None, full: bool = Fal
 
 def run(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.job == "integrate":
-        write_parquet(integrate_csv(spark, a.slice, a.on_error), a.out)
+        write_parquet(integrate_csv(spark, a.slice, a.on_error, a.salt_share), a.out)
     elif a.job == "prepare":
         prepare_job(read_parquet(spark, a.input, recursive=True), config(a.variant), a.out)
     elif a.job == "correlate":
@@ -119,6 +122,8 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--variant", default="drop", choices=["drop", "flag"])
     ap.add_argument("--full", action="store_true")
     ap.add_argument("--on-error", default="fail", choices=["fail", "null"])
+    ap.add_argument("--salt-share", type=float, default=None,
+                    help="salt join keys holding at least this share of rows (sessions without AQE)")
     return ap.parse_args(argv)
 
 

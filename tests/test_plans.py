@@ -122,3 +122,20 @@ def test_hot_key_join_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_salted_join_equals_plain_join(spark):
+    from pyspark.sql import functions as F
+    from sevlab.plans.integrate import hot_keys, join_slice, join_slice_salted
+    cas = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 2000).alias("collision_index"),
+        (F.col("id") % 5).alias("casualty_class"), F.col("id").alias("rid"))
+    col = spark.range(2000).select(F.col("id").alias("collision_index"), (F.col("id") % 4).alias("road_type"))
+    hot = hot_keys(cas, "collision_index", 0.1)
+    assert hot == [7]
+    salted = join_slice_salted(cas, col, "collision_index", hot, 16)
+    plain = join_slice(cas, col, "collision_index")
+    assert sorted(map(tuple, salted.select(*plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+    # the hot key's rows are spread over several salt buckets
+    spread = cas.filter("collision_index = 7").select(F.pmod(F.xxhash64(*[F.col(c) for c in cas.columns]), F.lit(16)).alias("s"))
+    assert spread.distinct().count() == 16
