@@ -139,3 +139,12 @@ def test_salted_join_equals_plain_join(spark):
     # the hot key's rows are spread over several salt buckets
     spread = cas.filter("collision_index = 7").select(F.pmod(F.xxhash64(*[F.col(c) for c in cas.columns]), F.lit(16)).alias("s"))
     assert spread.distinct().count() == 16
+
+
+def test_integrate_salt_option_on_test_tables(spark):
+    from sevlab.plans.integrate import hot_keys, integrate
+    cas, col = tb.casualty(spark, SF), tb.collision(spark, SF)
+    plain = integrate([(cas, col)], "l_orderkey")
+    salted = integrate([(cas, col)], "l_orderkey", salt_share=0.2)  # no key holds 20%: plain join
+    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
+    assert hot_keys(cas.limit(0), "l_orderkey", 0.2) == []
