@@ -189,3 +189,16 @@ def test_prepared_copy_released(spark):
     assert os.path.exists(path.replace("file:", "")) and n > 0
     p.release()
     assert not os.path.exists(path.replace("file:", "")) and p.base_path is None
+
+
+def test_full_preset_uses_raw_weights(spark):
+    import tempfile
+    from pyspark.sql import functions as F
+    from sevlab.plans.road import parse_args, run, train_road
+    out = tempfile.mkdtemp(prefix="sevlab-full-")
+    cas, col = _write_generated_csv(out)
+    run(spark, parse_args(["integrate", "--slice", cas, col, "--out", f"{out}/joined"]))
+    run(spark, parse_args(["prepare", "--input", f"{out}/joined", "--out", f"{out}/prep", "--variant", "flag"]))
+    t = train_road(spark.read.parquet(f"{out}/prep/train"), full=True)
+    assert t.train.filter(F.col("smoothed_weight") != F.col("class_weight")).count() == 0
+    assert t.model.getNumTrees == 100 and t.model.getOrDefault("maxDepth") == 15
