@@ -3,6 +3,8 @@
 The answer for probability p over n non-null values is the smallest value v with
 #(x <= v) >= p*n (the SQL ``PERCENTILE_DISC``; the minimum for p = 0).
 
+  pass 0   distinct values per column (HLL); a column with few of them (coded columns) is
+           finished by Spark's exact ``percentile_disc`` (buffer <= that many counts).
   pass 1   count + a GK sketch (``percentile_approx``) at p -/+ a margin larger than the
            sketch's rank error: the answer lies in the bracket [a, b] between the two values.
   pass 2+  only if a bracket may hold more than ``max_band`` distinct values: one aggregation
@@ -42,6 +44,30 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     ``extra`` aggregate expressions ride along in the first pass (e.g. modes)."""
     xs = [F.col(c).cast("double") for c in cols]
     eps = margin / accuracy
+    # pass 0: distinct values per column (HLL). Columns with few of them (coded columns) are
+    # answered by Spark's exact percentile_disc, whose buffer holds at most that many counts.
+    first = df.agg(*[F.approx_count_distinct(x, 0.05).alias(f"d{i}") for i, x in enumerate(xs)], *extra).first()
+    small = [i for i in range(len(cols)) if first[f"d{i}"] * 1.2 <= max_band]
+    out_small: dict[str, list[float] | None] = {}
+    if small:
+        aggs = [F.array(*[F.expr(f"percentile_disc({float(p)!r}) WITHIN GROUP (ORDER BY CAST(`{cols[i]}` AS DOUBLE))")
+                          for p in probs]).alias(f"q{i}") for i in small]
+        r = df.agg(*aggs).first()
+        for i in small:
+            v = r[f"q{i}"]
+            out_small[cols[i]] = None if v is None or any(x is None for x in v) else [float(x) for x in v]
+    if len(small) == len(cols):
+        return out_small, first
+    large = [c for i, c in enumerate(cols) if i not in small]
+    rest, _ = _sketch_quantiles(df, large, probs, max_band, accuracy, margin)
+    return {c: (out_small[c] if c in out_small else rest[c]) for c in cols}, first
+
+
+def _sketch_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                      max_band: int = MAX_BAND, accuracy: int = ACCURACY, margin: float = MARGIN, extra: Sequence = ()):
+    """The bracket path for high-cardinality columns (see the module docstring)."""
+    xs = [F.col(c).cast("double") for c in cols]
+    eps = margin / accuracy
     # pass 1: counts and a whole-column sketch at the bracket edges of every probability
     edge_probs = sorted({e for p in probs for e in _bracket_probs(p, eps)})
     aggs = []
@@ -117,7 +143,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         # never return a wrong value: redo those columns with a four times wider bracket
         if margin * 4 > accuracy:
             raise RuntimeError(f"exact quantiles of {missed} could not be bracketed")
-        again, _ = exact_quantiles(df, missed, probs, (), max_band, accuracy, margin * 4)
+        again, _ = _sketch_quantiles(df, missed, probs, max_band, accuracy, margin * 4)
     out: dict[str, list[float] | None] = {c: None for c in cols}
     for j, (i, p, need, a, b, est) in enumerate(targets):
         c = cols[i]
