@@ -202,3 +202,10 @@ def test_full_preset_uses_raw_weights(spark):
     t = train_road(spark.read.parquet(f"{out}/prep/train"), full=True)
     assert t.train.filter(F.col("smoothed_weight") != F.col("class_weight")).count() == 0
     assert t.model.getNumTrees == 100 and t.model.getOrDefault("maxDepth") == 15
+
+
+def test_clean_counts_equal_generic_step_counts(joined):
+    from sevlab.plans.prepare import clean as clean_steps, clean_counts
+    fast = sorted(map(tuple, clean_counts(joined, C.ROAD_CASUALTY).collect()))
+    generic = sorted(map(tuple, stats.step_row_counts(clean_steps(joined, C.ROAD_CASUALTY)).collect()))
+    assert fast == generic == [(0, "input", 6), (1, "sentinels_to_null", 6), (2, "required", 5), (3, "dedup", 4)]
