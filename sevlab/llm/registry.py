@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sevlab.llm import mcd_rules
+from sevlab.llm import jump_shards, mcd_rules, oracles
 from sevlab.llm.common import documents
 
 
@@ -14,7 +14,14 @@ def op1_mcd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mcd_rules.judge(documents(spark, sf_dir))
 
 
+def op4_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jump_shards.assign(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mcd_quality": op1_mcd_quality,
+    "op4_jump_shards": op4_jump_shards,
+}
+ORACLES: dict[str, str] = {
+    "op4_jump_shards": oracles.OP4,
 }
-ORACLES: dict[str, str] = {}
