@@ -26,3 +26,23 @@ SELECT s.doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS tex
   CAST(row_number() OVER (PARTITION BY shard ORDER BY s.doc_id, text_crc32, size) - 1 AS BIGINT) AS slot, CAST(grown_shard AS INTEGER) AS grown_shard
 FROM sums s JOIN shards k ON s.doc_id IS NOT DISTINCT FROM k.doc_id
 """
+
+#: Shingles, pairs that share one, their similarity, and reachability.
+OP9 = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
+  JOIN sizes m ON m.doc_id = x.doc_id JOIN sizes k ON k.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, m.n, k.n HAVING 100 * count(*) >= 85 * (m.n + k.n - count(*))
+), reach AS (
+  SELECT a AS doc_id, a AS other FROM links UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
+"""

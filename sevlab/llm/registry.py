@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sevlab.llm import jump_shards, mcd_rules, oracles
+from sevlab.llm import jaccard_join, jump_shards, mcd_rules, oracles
 from sevlab.llm.common import documents
 
 
@@ -18,10 +18,16 @@ def op4_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_shards.assign(documents(spark, sf_dir))
 
 
+def op9_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mcd_quality": op1_mcd_quality,
     "op4_jump_shards": op4_jump_shards,
+    "op9_signature_join": op9_signature_join,
 }
 ORACLES: dict[str, str] = {
     "op4_jump_shards": oracles.OP4,
+    "op9_signature_join": oracles.OP9,
 }
