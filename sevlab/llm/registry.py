@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sevlab.llm import jaccard_join, jump_shards, mcd_rules, oracles
+from sevlab.llm import jaccard_join, jump_shards, mcd_rules, oracles, token_blocks
 from sevlab.llm.common import documents
 
 
@@ -18,6 +18,17 @@ def op4_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_shards.assign(documents(spark, sf_dir))
 
 
+#: The vocabulary file of op6 and the id that ends a document.
+TOKENIZER_FILE, END_ID = "word_bpe_49k.json", 2
+
+
+def op6_patched_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    segments = token_blocks.write_segments(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER_FILE), END_ID)
+    return token_blocks.read_documents(segments)
+
+
 def op9_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(documents(spark, sf_dir))
 
@@ -25,6 +36,7 @@ def op9_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mcd_quality": op1_mcd_quality,
     "op4_jump_shards": op4_jump_shards,
+    "op6_patched_blocks": op6_patched_blocks,
     "op9_signature_join": op9_signature_join,
 }
 ORACLES: dict[str, str] = {
