@@ -1,5 +1,8 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+from sevlab.llm.blob_ledger import RULES
+from sevlab.llm.license_templates import PERCENT, TEMPLATES
+
 #: The recursion is the jump hash; the checksum runs over the text's UTF-8 half bytes, low half first, with CRC-32's table of 16.
 OP4 = """
 WITH RECURSIVE keys AS (
@@ -46,3 +49,55 @@ WITH RECURSIVE words AS (
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id
 FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
 """
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def op8() -> str:
+    """Matches from the texts between them, kept if long enough, listed in order."""
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{r.kind}') AS n_{r.kind}" for r in RULES if r.base)
+    columns = ", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in RULES if r.base)
+    per_rule = " UNION ALL ".join(
+        f"SELECT doc_id, text, {i} AS rank, {_quoted(r.kind)} AS kind, {r.least} AS least, {r.base} AS base, string_split_regex(text, {_quoted(r.pattern)}) AS gaps, "
+        f"regexp_extract_all(text, {_quoted(r.pattern)}, 0) AS hits, regexp_extract_all(text, {_quoted(r.pattern)}, {r.group}) AS groups FROM documents WHERE regexp_matches(text, {_quoted(r.pattern)})"
+        for i, r in enumerate(RULES))
+    return f"""
+WITH found AS ({per_rule}), hits AS (
+  SELECT doc_id, rank, kind, least, base, unnest(range(1, len(hits) + 1)) AS i, unnest(gaps[1:len(hits)]) AS gap, unnest(hits) AS hit, unnest(groups) AS part FROM found
+), placed AS (
+  SELECT *, CAST(sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id, rank ORDER BY i) AS BIGINT) AS stop FROM hits
+), spans AS (
+  SELECT doc_id, rank, kind, base, stop - length(hit) AS start, kind || ':' || (stop - length(hit)) || ':' || stop AS span FROM placed WHERE length(part) >= least
+), listed AS (
+  SELECT doc_id, {counts}, string_agg(span, ',' ORDER BY start, rank) FILTER (WHERE base) AS base_spans, string_agg(span, ',' ORDER BY start, rank) AS spans FROM spans GROUP BY doc_id
+)
+SELECT doc_id, {columns}, sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans FROM documents LEFT JOIN listed USING (doc_id)
+"""
+
+
+def op10() -> str:
+    """Distinct bigrams of lines and whole texts against those of the templates."""
+    templates = ", ".join(f"({i}, {_quoted(name)}, {_quoted(text)})" for i, (name, text) in enumerate(TEMPLATES))
+    words = "list_filter(string_split_regex(lower({}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')"
+    return f"""
+WITH units AS (
+  SELECT doc_id, unnest(range(len(lines))) AS line, unnest(lines) AS unit FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)
+  UNION ALL SELECT doc_id, -1, text FROM documents WHERE contains(text, chr(10))
+), words AS (
+  SELECT doc_id, line, {words.format("unit")} AS w FROM units
+), bigrams AS (
+  SELECT DISTINCT doc_id, line, w[i] || ' ' || w[i + 1] AS b FROM (SELECT *, unnest(range(1, len(w))) AS i FROM words)
+), sizes AS (
+  SELECT doc_id, line, count(*) AS n FROM bigrams GROUP BY ALL
+), templates AS (
+  SELECT DISTINCT id, license, w[i] || ' ' || w[i + 1] AS b FROM (SELECT id, license, w, unnest(range(1, len(w))) AS i FROM (SELECT id, license, {words.format("notice")} AS w FROM (VALUES {templates}) AS t(id, license, notice)))
+), template_sizes AS (
+  SELECT id, license, count(*) AS m FROM templates GROUP BY ALL
+), scored AS (
+  SELECT doc_id, line, t.id, license, count(*) AS shared FROM bigrams JOIN templates t USING (b) GROUP BY ALL
+)
+SELECT doc_id, CAST(line AS INTEGER) AS line, s.license, CAST(max(2000 * shared // (n + m)) AS INTEGER) AS dice_permille
+FROM scored s JOIN sizes USING (doc_id, line) JOIN template_sizes k ON k.id = s.id WHERE 200 * shared >= {PERCENT} * (n + m) GROUP BY doc_id, line, s.license
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sevlab.llm import jaccard_join, jump_shards, mcd_rules, oracles, token_blocks
+from sevlab.llm import blob_ledger, jaccard_join, jump_shards, license_templates, mcd_rules, oracles, token_blocks
 from sevlab.llm.common import documents
 
 
@@ -29,17 +29,29 @@ def op6_patched_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.read_documents(segments)
 
 
+def op8_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blob_ledger.secrets(documents(spark, sf_dir))
+
+
 def op9_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(documents(spark, sf_dir))
 
 
+def op10_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_templates.scan(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mcd_quality": op1_mcd_quality,
     "op4_jump_shards": op4_jump_shards,
     "op6_patched_blocks": op6_patched_blocks,
+    "op8_blob_ledger": op8_blob_ledger,
     "op9_signature_join": op9_signature_join,
+    "op10_license_dice": op10_license_dice,
 }
 ORACLES: dict[str, str] = {
     "op4_jump_shards": oracles.OP4,
+    "op8_blob_ledger": oracles.op8(),
     "op9_signature_join": oracles.OP9,
+    "op10_license_dice": oracles.op10(),
 }
