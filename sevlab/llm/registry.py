@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sevlab.llm import blob_ledger, jaccard_join, jump_shards, license_templates, mcd_rules, oracles, token_blocks
+from sevlab.llm import blob_ledger, jaccard_join, jump_shards, latent_leaks, license_templates, mcd_rules, oracles, token_blocks
 from sevlab.llm.common import documents
 
 
@@ -14,6 +14,10 @@ def op1_mcd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mcd_rules.judge(documents(spark, sf_dir))
 
 
+def op2_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latent_leaks.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op4_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_shards.assign(documents(spark, sf_dir))
 
@@ -43,6 +47,7 @@ def op10_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mcd_quality": op1_mcd_quality,
+    "op2_latent_leaks": op2_latent_leaks,
     "op4_jump_shards": op4_jump_shards,
     "op6_patched_blocks": op6_patched_blocks,
     "op8_blob_ledger": op8_blob_ledger,
