@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sevlab.llm import blob_ledger, jaccard_join, jump_shards, latent_leaks, license_templates, mcd_rules, oracles, token_blocks
+from sevlab.llm import blob_ledger, jaccard_join, jump_shards, latent_leaks, license_templates, mcd_rules, oracles, token_blocks, unit_dedup
 from sevlab.llm.common import documents
 
 
@@ -33,6 +33,10 @@ def op6_patched_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.read_documents(segments)
 
 
+def op7_repeated_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unit_dedup.repeated_runs(documents(spark, sf_dir))
+
+
 def op8_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blob_ledger.secrets(documents(spark, sf_dir))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_latent_leaks": op2_latent_leaks,
     "op4_jump_shards": op4_jump_shards,
     "op6_patched_blocks": op6_patched_blocks,
+    "op7_repeated_units": op7_repeated_units,
     "op8_blob_ledger": op8_blob_ledger,
     "op9_signature_join": op9_signature_join,
     "op10_license_dice": op10_license_dice,
