@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sevlab.llm import blob_ledger, jaccard_join, jump_shards, latent_leaks, license_templates, mcd_rules, oracles, token_blocks, unit_dedup
+from sevlab.llm import blob_ledger, crf_pii, jaccard_join, jump_shards, latent_leaks, license_templates, mcd_rules, oracles, token_blocks, unit_dedup
 from sevlab.llm.common import documents
 
 
@@ -18,6 +18,10 @@ def op2_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latent_leaks.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op3_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf_pii.find(documents(spark, sf_dir))
+
+
 def op4_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_shards.assign(documents(spark, sf_dir))
 
@@ -52,6 +56,7 @@ def op10_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mcd_quality": op1_mcd_quality,
     "op2_latent_leaks": op2_latent_leaks,
+    "op3_crf_pii": op3_crf_pii,
     "op4_jump_shards": op4_jump_shards,
     "op6_patched_blocks": op6_patched_blocks,
     "op7_repeated_units": op7_repeated_units,
