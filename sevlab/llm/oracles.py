@@ -30,6 +30,42 @@ SELECT s.doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS tex
 FROM sums s JOIN shards k ON s.doc_id IS NOT DISTINCT FROM k.doc_id
 """
 
+#: Thirty halvings of the exponent, quotas, epochs with a running sum over the hash, and blocks.
+OP5 = """
+WITH RECURSIVE tokens AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS n_tokens FROM documents
+), sums AS (
+  SELECT source, sum(n_tokens)::BIGINT AS tokens, sum(n_tokens) / (SELECT sum(n_tokens) FROM tokens)::DOUBLE AS share FROM tokens GROUP BY source
+), facts AS (
+  SELECT -sum(share * ln(share)) AS own_entropy, ln(count(*)) AS uniform, ln(max(share) / min(share)) AS spread, count(*) AS n FROM sums WHERE tokens > 0
+), halving AS (
+  SELECT 0 AS k, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high
+  UNION ALL
+  SELECT k + 1, CASE WHEN meets THEN low ELSE mid END, CASE WHEN meets THEN mid ELSE high END FROM (
+    SELECT k, low, high, (low + high) / 2 AS mid,
+      (SELECT ln(sum(exp((low + high) / 2 * ln(share)))) - (low + high) / 2 * sum(ln(share) * exp((low + high) / 2 * ln(share))) / sum(exp((low + high) / 2 * ln(share))) FROM sums WHERE tokens > 0)
+        <= (SELECT own_entropy + 0.5 * (uniform - own_entropy) FROM facts) AND (1 - (low + high) / 2) * (SELECT spread FROM facts) <= ln(4.0) AS meets
+    FROM halving WHERE k < 30)
+), powers AS (
+  SELECT source, tokens, share, pow(share, CASE WHEN (SELECT n FROM facts) < 2 THEN 1.0 ELSE (SELECT round(high, 6) FROM halving WHERE k = 30) END) AS power FROM sums WHERE tokens > 0
+), budget AS (
+  SELECT sum(power) AS norm, CAST(ceil(round(max(share / power) * sum(power) * (SELECT sum(n_tokens) FROM tokens), 3)) AS BIGINT) AS budget FROM powers
+), quotas AS (
+  SELECT source, tokens, CAST(floor(round(power / norm * budget::DOUBLE, 3)) AS BIGINT) AS quota, greatest(1, (budget + 999999) // 1000000) AS blocks FROM powers, budget
+  UNION ALL SELECT source, tokens, 0, 1 FROM sums WHERE tokens = 0
+), copies AS (
+  SELECT doc_id, t.source, n_tokens, tokens, quota, blocks, unnest(range(CASE WHEN tokens = 0 THEN 1 ELSE quota // tokens + 1 END)) AS epoch FROM tokens t JOIN quotas q ON t.source IS NOT DISTINCT FROM q.source
+), hashed AS (
+  SELECT *, CAST('0x' || md5('17:' || epoch || ':' || coalesce(doc_id::VARCHAR, ''))[1:15] AS BIGINT) AS h FROM copies
+), placed AS (
+  SELECT *, epoch * tokens + coalesce(sum(n_tokens) OVER (PARTITION BY source, epoch ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spot FROM hashed
+), blocked AS (
+  SELECT *, CASE WHEN quota > 0 THEN least(CAST(floor(spot::DOUBLE / quota::DOUBLE * blocks::DOUBLE) AS BIGINT), blocks - 1) ELSE 0 END AS block FROM placed WHERE spot < quota OR tokens = 0
+)
+SELECT doc_id, source, n_tokens, CAST(epoch AS INTEGER) AS epoch, CAST(block AS BIGINT) AS block,
+  CAST('0x' || md5('17:' || epoch || '/' || block || ':' || coalesce(doc_id::VARCHAR, ''))[1:15] AS BIGINT) AS draw FROM blocked
+"""
+
 #: Shingles, pairs that share one, their similarity, and reachability.
 OP9 = """
 WITH RECURSIVE words AS (

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sevlab.llm import blob_ledger, crf_pii, jaccard_join, jump_shards, latent_leaks, license_templates, mcd_rules, oracles, token_blocks, unit_dedup
+from sevlab.llm import blob_ledger, crf_pii, jaccard_join, jump_shards, latent_leaks, license_templates, mcd_rules, oracles, temperature_mix, token_blocks, unit_dedup
 from sevlab.llm.common import documents
 
 
@@ -26,6 +26,10 @@ def op4_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_shards.assign(documents(spark, sf_dir))
 
 
+def op5_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return temperature_mix.mixture(documents(spark, sf_dir))
+
+
 #: The vocabulary file of op6 and the id that ends a document.
 TOKENIZER_FILE, END_ID = "word_bpe_49k.json", 2
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_latent_leaks": op2_latent_leaks,
     "op3_crf_pii": op3_crf_pii,
     "op4_jump_shards": op4_jump_shards,
+    "op5_temperature_mix": op5_temperature_mix,
     "op6_patched_blocks": op6_patched_blocks,
     "op7_repeated_units": op7_repeated_units,
     "op8_blob_ledger": op8_blob_ledger,
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op4_jump_shards": oracles.OP4,
+    "op5_temperature_mix": oracles.OP5,
     "op8_blob_ledger": oracles.op8(),
     "op9_signature_join": oracles.OP9,
     "op10_license_dice": oracles.op10(),
