@@ -9,9 +9,11 @@ from .columns import (  # noqa: F401
     is_missing,
     null_if,
     null_or_between,
+    number,
     outside_flag,
     parse_date,
     remap,
     to_int,
     unit_hash,
+    without_nan,
 )

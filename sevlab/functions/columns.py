@@ -65,12 +65,23 @@ def remap(c: str | Column, mapping: Mapping[Any, Any]) -> Column:
     return x if expr is None else expr.otherwise(x)
 
 
+FRACTIONAL = ("double", "float")
+
+
+def without_nan(c: str, dtype: str) -> Column:
+    """The column with NaN turned into null, so that one null test finds every missing value."""
+    return F.when(~F.isnan(c), F.col(c)) if dtype in FRACTIONAL else F.col(c)
+
+
 def is_missing(c: str, dtype: str) -> Column:
-    """Null, or NaN for float/double columns."""
-    cond = F.col(c).isNull()
-    if dtype in ("double", "float"):
-        cond = cond | F.isnan(F.col(c))
-    return cond
+    """No value: null, or NaN in a column of fractions."""
+    return without_nan(c, dtype).isNull()
+
+
+def number(c: str) -> Column:
+    """The column as double, NaN as null."""
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
 
 
 def between(c: str | Column, lo: Any, hi: Any) -> Column:
@@ -86,17 +97,15 @@ def null_or_between(c: str | Column, lo: Any, hi: Any) -> Column:
 
 
 def outside_flag(c: str | Column, lo: Any, hi: Any) -> Column:
-    """1 when the value lies outside ``[lo, hi]``, 0 when inside or null."""
-    x = _col(c)
-    return F.when(x.isNull(), F.lit(0)).when((x < F.lit(lo)) | (x > F.lit(hi)), F.lit(1)).otherwise(F.lit(0))
+    """1 when the value lies outside ``[lo, hi]``, 0 when inside or null: the range test, negated, with
+    an unknown answer counted as inside."""
+    return F.coalesce(~between(c, lo, hi), F.lit(False)).cast("int")
 
 
 def any_flag(flags: Sequence[str | Column]) -> Column:
-    """1 when the sum of 0/1 flags is positive, else 0."""
-    total = None
-    for f in flags:
-        total = _col(f) if total is None else total + _col(f)
-    return F.when(total > 0, F.lit(1)).otherwise(F.lit(0))
+    """The greatest of 0/1 flags."""
+    cols = [_col(f) for f in flags]
+    return cols[0] if len(cols) == 1 else F.greatest(*cols)
 
 
 def unit_hash(cols: Sequence[str | Column], buckets: int = 1000) -> Column:

@@ -1,54 +1,20 @@
-"""Class balance: counts, inverse-frequency weights, weight smoothing, small-table attach."""
+"""Class balance: counts, inverse-frequency weights, weight smoothing, attaching a table by key."""
 
 from __future__ import annotations
 
-from typing import Any, Sequence
+from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .stats import group_count
 
-# A lookup table up to this many rows is applied as literal CASE expressions (no join, no
-# exchange). Beyond it, a plain left join is used and Spark/AQE pick the strategy from sizes.
-SMALL_TABLE_ROWS = 1000
-
-
-CASE_LIMIT = 64  # up to this many entries a CASE chain; beyond, a literal map (hashed lookup)
-
-
-def literal_lookup(rows: Sequence[Any], key: str, col: str, key_expr: Column) -> Column:
-    """Value of ``col`` for the row whose ``key`` equals ``key_expr``, from collected rows;
-    unmatched (and null) keys give null, exactly what a left join gives."""
-    pairs = [(r[key], r[col]) for r in rows if r[key] is not None]  # a null key never matches
-    if not pairs:
-        return F.lit(None)
-    if len(pairs) > CASE_LIMIT and all(v is not None for _, v in pairs):
-        m = F.create_map(*[x for k, v in pairs for x in (F.lit(k), F.lit(v))])
-        return F.try_element_at(m, key_expr)
-    expr = None
-    for k, v in pairs:
-        cond = key_expr == F.lit(k)
-        expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
-    return expr
-
-
-def attach_small(
-    df: DataFrame, table: DataFrame, key: str, cols: Sequence[str], max_rows: int = SMALL_TABLE_ROWS
-) -> DataFrame:
-    """Left-join ``table`` (one row per ``key``) onto ``df``.
-
-    The table is size-checked first: if it has at most ``max_rows`` rows it is collected and
-    applied as literal expressions (a projection: no broadcast exchange, no shuffle of ``df``).
-    Otherwise a normal left join runs (sort-merge, or broadcast if Spark's own size estimate
-    allows it)."""
-    rows = table.select(key, *cols).limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        types = dict(table.dtypes)
-        return df.select(
-            "*", *[literal_lookup(rows, key, c, F.col(key)).cast(types[c]).alias(c) for c in cols]
-        )
-    return df.join(table.select(key, *cols), on=key, how="left")
+def attach(df: DataFrame, table: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """Left-join ``cols`` of ``table`` (one row per ``key``) after the columns of ``df``. Spark picks the join
+    from the sizes that it measures; the columns are the same at any size. A null key matches nothing."""
+    other = table.select(F.col(key).alias("_attach_key"), *[F.col(c).alias(f"_attach_{c}") for c in cols])
+    joined = df.join(other, df[key] == F.col("_attach_key"), "left")
+    return joined.select(*[df[c] for c in df.columns], *[F.col(f"_attach_{c}").alias(c) for c in cols])
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:
@@ -56,15 +22,12 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
 
 
 def class_weight_table(df: DataFrame, label: str) -> DataFrame:
-    """(label, count, class_weight) with class_weight = largest class count / class count.
-    One aggregation; the per-class rows are size-checked and the max taken over them
-    (the null class counts towards the max, as a groupBy includes it)."""
-    from .stats import small_rows
-
-    rows = small_rows(class_counts(df, label), f"class weights of {label!r}")
-    mx = max((r["count"] for r in rows), default=0)
-    out = [(r[label], r["count"], mx / r["count"]) for r in rows]
-    return df.sparkSession.createDataFrame(out, f"{label} {dict(df.dtypes)[label]}, count bigint, class_weight double")
+    """(label, count, class_weight) with class_weight = largest class count / class count, for any
+    number of classes (the null class counts towards the max, as a groupBy includes it). Only the
+    max comes to the driver."""
+    counts = class_counts(df, label)
+    most = counts.agg(F.max("count")).first()[0] or 0
+    return counts.withColumn("class_weight", F.lit(float(most)) / F.col("count"))
 
 
 def attach_class_weight(df: DataFrame, label: str, weights: DataFrame | None = None,
@@ -73,7 +36,7 @@ def attach_class_weight(df: DataFrame, label: str, weights: DataFrame | None = N
     w = class_weight_table(df, label) if weights is None else weights
     if out != "class_weight":
         w = w.withColumnRenamed("class_weight", out)
-    return attach_small(df, w, label, [out])
+    return attach(df, w, label, [out])
 
 
 def smoothed_weight(df: DataFrame, weight: str = "class_weight", out: str = "smoothed_weight") -> DataFrame:

@@ -8,7 +8,7 @@ from typing import Any, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import cast_to, null_if
+from ..functions import cast_to, null_if, number, without_nan
 
 
 def keep_columns(df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -117,18 +117,18 @@ def fill_values(df: DataFrame, values: Mapping[str, Any]) -> DataFrame:
 def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], rel_error: float) -> dict[str, list | None]:
     """Quantiles of several columns, all columns sharing each pass.
 
-    ``rel_error > 0``: Spark's GK sketch in ONE aggregation, identical to
-    ``DataFrame.approxQuantile`` with that error (accuracy = 1/error).
-    ``rel_error == 0``: exact (``PERCENTILE_DISC``: smallest v with #(x <= v) >= p*n), with
-    bounded memory on any size and cardinality (see ``operators.quantiles``).
-    Values are doubles (columns are cast first, as ``approxQuantile`` does); a column
-    with no value gives ``None``.
+    ``rel_error > 0``: Spark's GK sketch in ONE aggregation (accuracy = 1/error), with the rank
+    error of ``DataFrame.approxQuantile``.
+    ``rel_error == 0``: exact (``PERCENTILE_DISC``: smallest v with #(x <= v) >= p*n), from value
+    counts (see ``operators.quantiles``).
+    Values are doubles (columns are cast first, as ``approxQuantile`` does); nulls and NaN are
+    left out; a column with no value gives ``None``.
     """
     if not cols:
         return {}
     if rel_error == 0:
         from .quantiles import exact_quantiles
-        return exact_quantiles(df, cols, probs)[0]
+        return exact_quantiles(df, cols, probs)
     aggs = [quantile_expr(c, probs, rel_error).alias(f"q{i}") for i, c in enumerate(cols)]
     row = df.agg(*aggs).first()
     out: dict[str, list | None] = {}
@@ -143,7 +143,7 @@ def quantile_expr(c: str, probs: Sequence[float], rel_error: float) -> Column:
     if rel_error <= 0:
         raise ValueError("exact quantiles are computed by fit_quantiles (several passes), not one expression")
     accuracy = int(math.ceil(1.0 / rel_error))
-    return F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy)
+    return F.percentile_approx(number(c), list(probs), accuracy)
 
 
 def fit_medians(df: DataFrame, cols: Sequence[str], rel_error: float) -> dict[str, float | None]:
@@ -152,12 +152,20 @@ def fit_medians(df: DataFrame, cols: Sequence[str], rel_error: float) -> dict[st
 
 
 def fit_modes(df: DataFrame, cols: Sequence[str]) -> dict[str, Any]:
-    """Most frequent value of each column in one aggregation; on a tie the smallest value
-    (deterministic, unlike a plain ``mode``). Nulls are not counted."""
+    """Most frequent value of each column; on a tie the smallest (deterministic, unlike a plain
+    ``mode``). Nulls and NaN are not counted. One value count of all columns with a map-side combine;
+    the winner of each column is an aggregate too, so no task holds a column's values."""
     if not cols:
         return {}
-    row = df.agg(*[F.mode(c, True).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
+    types = dict(df.dtypes)
+    numeric = lambda c: types[c] in ("tinyint", "smallint", "int", "bigint", "float", "double") or types[c].startswith("decimal")
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), (number(c) if numeric(c) else F.lit(None).cast("double")).alias("x"),
+                               without_nan(c, types[c]).cast("string").alias("s")) for i, c in enumerate(cols)])
+    counts = df.select(F.explode(cells).alias("e")).select("e.*").filter(F.col("s").isNotNull()).groupBy("c", "x", "s").agg(F.count(F.lit(1)).alias("n"))
+    best = counts.groupBy("c").agg(F.min(F.struct((-F.col("n")).alias("k"), "x", "s")).alias("b")).select("c", "b.s")
+    found = {r.c: r.s for r in best.collect()}
+    typed = df.sparkSession.range(1).select(*[F.lit(found.get(i)).cast(types[c]).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    return {c: typed[i] for i, c in enumerate(cols)}
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], rel_error: float) -> tuple[DataFrame, dict[str, float | None]]:
@@ -173,21 +181,5 @@ def impute_mode(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[str
 def fit_medians_and_modes(
     df: DataFrame, median_cols: Sequence[str], mode_cols: Sequence[str], rel_error: float
 ) -> tuple[dict[str, float | None], dict[str, Any]]:
-    """Medians and modes from the same table, sharing the passes (one pass when approximate).
-    Valid because the mode columns and the median columns are imputed independently."""
-    modes_aggs = [F.mode(c, True).alias(f"o{i}") for i, c in enumerate(mode_cols)]
-    if rel_error == 0 and median_cols:
-        from .quantiles import exact_quantiles
-        q, row = exact_quantiles(df, median_cols, [0.5], modes_aggs)
-        medians = {c: (v[0] if v else None) for c, v in q.items()}
-        return medians, {c: row[f"o{i}"] for i, c in enumerate(mode_cols)}
-    aggs = [quantile_expr(c, [0.5], rel_error).alias(f"m{i}") for i, c in enumerate(median_cols)] + modes_aggs
-    if not aggs:
-        return {}, {}
-    row = df.agg(*aggs).first()
-    medians = {}
-    for i, c in enumerate(median_cols):
-        v = row[f"m{i}"]
-        medians[c] = None if v is None or v[0] is None else float(v[0])
-    modes = {c: row[f"o{i}"] for i, c in enumerate(mode_cols)}
-    return medians, modes
+    """Medians and modes of the same table (the columns are imputed independently)."""
+    return fit_medians(df, median_cols, rel_error), fit_modes(df, mode_cols)

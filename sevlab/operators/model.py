@@ -26,36 +26,25 @@ def fit_forest(train: DataFrame, label: str, params: Mapping, weight: str | None
 
 
 def score(model, df: DataFrame, classes: int | None = None) -> DataFrame:
-    """``prediction`` plus ``p_<k>`` = probability of class k, one column per class."""
+    """``prediction`` plus ``p_<k>`` = probability of class k, one column per class. The vector becomes an
+    array once."""
     out = model.transform(df)
     n = classes if classes is not None else model.numClasses
-    arr = vector_to_array(F.col("probability"))
-    return out.select("*", *[arr[k].alias(f"p_{k}") for k in range(n)])
+    arrays = out.withColumn("_probabilities", vector_to_array(F.col("probability")))
+    return arrays.select(*out.columns, *[F.col("_probabilities")[k].alias(f"p_{k}") for k in range(n)])
 
 
 def evaluate(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     """One row (f1, accuracy): weighted F1 and accuracy, as Spark's
     ``MulticlassClassificationEvaluator`` defines them (labels = classes present in the label
-    column). One pass over the predictions: counts per (label, prediction) pair, which are
-    few (size-checked) and combined on the driver, as Spark's own metrics do."""
-    from .stats import small_rows
-
+    column). One pass counts the (label, prediction) pairs; all else is over these counts, for
+    any number of classes."""
     p = pred.select(F.col(label).cast("double").alias("y"), F.col(prediction).cast("double").alias("yhat"))
-    pairs = small_rows(p.groupBy("y", "yhat").agg(F.count(F.lit(1)).alias("n")), "confusion pairs", 1_000_000)
-    support: dict = {}
-    predicted: dict = {}
-    tp: dict = {}
-    for r in pairs:
-        support[r["y"]] = support.get(r["y"], 0) + r["n"]
-        predicted[r["yhat"]] = predicted.get(r["yhat"], 0) + r["n"]
-        if r["y"] == r["yhat"]:
-            tp[r["y"]] = r["n"]
-    total = sum(support.values())
-    f1 = acc = 0.0
-    for c, s in support.items():
-        t = tp.get(c, 0)
-        prec = t / predicted[c] if predicted.get(c) else 0.0
-        rec = t / s
-        f1 += (2 * prec * rec / (prec + rec) if prec + rec > 0 else 0.0) * s / total
-        acc += t / total
-    return pred.sparkSession.createDataFrame([(float(f1), float(acc))], "f1 double, accuracy double")
+    pairs = p.groupBy("y", "yhat").agg(F.count(F.lit(1)).alias("n"))
+    by_label = pairs.groupBy("y").agg(F.sum("n").alias("support"), F.sum(F.when(F.col("y") == F.col("yhat"), F.col("n")).otherwise(0)).alias("hits"))
+    by_guess = pairs.groupBy("yhat").agg(F.sum("n").alias("predicted"))
+    both = by_label.join(by_guess, F.col("y").eqNullSafe(F.col("yhat")), "left")
+    f1 = 2.0 * F.col("hits") / (F.col("support") + F.coalesce("predicted", F.lit(0)))  # = 2 p r / (p + r)
+    total = F.sum("support")
+    return both.agg(F.coalesce(F.try_divide(F.sum(f1 * F.col("support")), total), F.lit(0.0)).alias("f1"),
+                    F.coalesce(F.try_divide(F.sum("hits"), total), F.lit(0.0)).cast("double").alias("accuracy"))

@@ -7,21 +7,13 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from ..functions import any_flag, between, null_or_between, outside_flag
-from .clean import fit_quantiles
+from .stats import iqr_table
 
 
 def fit_iqr_bounds(df: DataFrame, cols: Sequence[str], rel_error: float, factor: float = 1.5) -> dict[str, dict]:
-    """q1, q3, iqr and the fences q1 - factor*iqr, q3 + factor*iqr of every column,
-    all from one aggregation. A column with no value gets no bounds."""
-    q = fit_quantiles(df, cols, [0.25, 0.75], rel_error)
-    out = {}
-    for c, v in q.items():
-        if v is None:
-            continue
-        q1, q3 = v
-        iqr = q3 - q1
-        out[c] = {"q1": q1, "q3": q3, "iqr": iqr, "lower_bound": q1 - factor * iqr, "upper_bound": q3 + factor * iqr}
-    return out
+    """The rows of ``iqr_table`` by column name. A column with no value gets no bounds."""
+    rows = iqr_table(df, cols, rel_error, factor).filter("iqr IS NOT NULL").collect() if cols else []
+    return {r.column_name: {k: v for k, v in r.asDict().items() if k != "column_name"} for r in rows}
 
 
 def drop_outside(df: DataFrame, bounds: Mapping[str, tuple[float, float]]) -> DataFrame:

@@ -1,243 +1,82 @@
-"""Exact quantiles with bounded memory, for any column size and cardinality.
-
-The answer for probability p over n non-null values is the smallest value v with
-#(x <= v) >= p*n (the SQL ``PERCENTILE_DISC``; the minimum for p = 0).
-
-  pass 0   distinct values per column (HLL); a column with few of them (coded columns) is
-           finished by Spark's exact ``percentile_disc`` (buffer <= that many counts).
-  pass 1   count + a GK sketch (``percentile_approx``) at p -/+ a margin larger than the
-           sketch's rank error: the answer lies in the bracket [a, b] between the two values.
-  pass 2+  only if a bracket may hold more than ``max_band`` distinct values: one aggregation
-           measures them (HLL) and narrows every such bracket at once with a sketch of just
-           the rows inside it.
-  last     one aggregation per target: rows below ``a`` counted, rows inside [a, b] grouped
-           by value; at most ``max_band`` (value, count) pairs per target reach the driver,
-           however many rows share a value (a value holding a third of the rows is one pair).
-
-All targets of all columns share each pass. At the test scales this is two passes; at
-10^12 rows about three (each a scan of the needed columns only).
+"""Exact quantiles from value counts, for any column size and cardinality.
+
+The answer for probability p over n values is the smallest value v with #(x <= v) >= p*n (the SQL
+``PERCENTILE_DISC``; the minimum for p = 0). Nulls and NaN are no values, as for ``approxQuantile``.
+
+One aggregation counts the rows of every (column, group, value), with a map-side combine, so a value
+that holds a third of the rows is one row. The counts are sorted by range into a table of the shared
+folder; running sums inside each range partition plus the sums of the partitions before give every
+value its ranks, and the wanted ranks are picked by a filter. No column, group or value list is held
+by one task or the driver, and the same code runs at every size. All columns share the passes.
 """
 
 from __future__ import annotations
 
-import math
-from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000      # sketch accuracy: rank error <= n / ACCURACY
-MARGIN = 3.0           # bracket half-width, in units of the sketch's rank error
-GRID = 512             # quantile grid of a narrowing sketch
-MAX_BAND = 1_000_000   # most (value, count) pairs collected per target
-MAX_ROUNDS = 8         # narrowing passes at most (each shrinks a bracket ~100x)
-
-
-def _bracket_probs(q: float, width: float) -> tuple[float, float]:
-    return max(0.0, q - width), min(1.0, q + width)
-
-
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], extra: Sequence = (),
-                    max_band: int = MAX_BAND, accuracy: int = ACCURACY, margin: float = MARGIN):
-    """Returns ({column: [value per prob] or None if the column has no value}, extra_row);
-    ``extra`` aggregate expressions ride along in the first pass (e.g. modes)."""
-    xs = [F.col(c).cast("double") for c in cols]
-    eps = margin / accuracy
-    # pass 0: distinct values per column (HLL). Columns with few of them (coded columns) are
-    # answered by Spark's exact percentile_disc, whose buffer holds at most that many counts.
-    first = df.agg(*[F.approx_count_distinct(x, 0.05).alias(f"d{i}") for i, x in enumerate(xs)], *extra).first()
-    small = [i for i in range(len(cols)) if first[f"d{i}"] * 1.2 <= max_band]
-    out_small: dict[str, list[float] | None] = {}
-    if small:
-        aggs = [F.array(*[F.expr(f"percentile_disc({float(p)!r}) WITHIN GROUP (ORDER BY CAST(`{cols[i]}` AS DOUBLE))")
-                          for p in probs]).alias(f"q{i}") for i in small]
-        r = df.agg(*aggs).first()
-        for i in small:
-            v = r[f"q{i}"]
-            out_small[cols[i]] = None if v is None or any(x is None for x in v) else [float(x) for x in v]
-    if len(small) == len(cols):
-        return out_small, first
-    large = [c for i, c in enumerate(cols) if i not in small]
-    rest, _ = _sketch_quantiles(df, large, probs, max_band, accuracy, margin)
-    return {c: (out_small[c] if c in out_small else rest[c]) for c in cols}, first
-
-
-def _sketch_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                      max_band: int = MAX_BAND, accuracy: int = ACCURACY, margin: float = MARGIN, extra: Sequence = ()):
-    """The bracket path for high-cardinality columns (see the module docstring)."""
-    xs = [F.col(c).cast("double") for c in cols]
-    eps = margin / accuracy
-    # pass 1: counts and a whole-column sketch at the bracket edges of every probability
-    edge_probs = sorted({e for p in probs for e in _bracket_probs(p, eps)})
-    aggs = []
-    for i, x in enumerate(xs):
-        aggs += [F.count(x).alias(f"n{i}"), F.percentile_approx(x, edge_probs, accuracy).alias(f"s{i}")]
-    row = df.agg(*aggs, *extra).first()
-    # targets: [col index, p, need (count threshold), a, b, est. rows inside [a, b]]
-    targets = []
-    for i in range(len(cols)):
-        n = row[f"n{i}"]
-        if not n:
-            continue
-        sk = dict(zip(edge_probs, row[f"s{i}"]))
-        for p in probs:
-            lo_p, hi_p = _bracket_probs(p, eps)
-            est = n * min(1.0, 2 * eps + 2.0 / accuracy)
-            targets.append([i, p, max(p * n, 1.0), sk[lo_p], sk[hi_p], est])
-
-    # narrowing passes, only while some bracket may still hold too many distinct values to
-    # collect. The stop test counts distinct values (HLL), not rows: a bracket around a value
-    # that holds a third of the rows cannot shrink in rows, but it is one (value, count) pair.
-    for _ in range(MAX_ROUNDS):
-        wide = [t for t in targets if t[5] > max_band and t[3] < t[4]]
-        if not wide:
-            break
-        grid = [k / GRID for k in range(GRID + 1)]
-        aggs = []
-        for j, (i, p, need, a, b, est) in enumerate(wide):
-            x = xs[i]
-            inside = F.when((x >= F.lit(a)) & (x <= F.lit(b)), x)
-            aggs += [F.count(F.when(x < F.lit(a), F.lit(1))).alias(f"below{j}"), F.count(inside).alias(f"m{j}"),
-                     F.approx_count_distinct(inside, 0.05).alias(f"d{j}"),
-                     F.percentile_approx(inside, grid, accuracy).alias(f"g{j}")]
-        r = df.agg(*aggs).first()
-        for j, t in enumerate(wide):
-            below, m, d, g = r[f"below{j}"], r[f"m{j}"], r[f"d{j}"], r[f"g{j}"]
-            if d * 1.2 <= max_band:  # the current bracket is already small enough to collect
-                t[5] = d
-                continue
-            q = (t[2] - below) / m if m else 0.0
-            lo_p, hi_p = _bracket_probs(q, eps + 1.0 / GRID)
-            t[3], t[4] = g[int(math.floor(lo_p * GRID))], g[int(math.ceil(hi_p * GRID))]
-            t[5] = min(d, m * min(1.0, 2 * (eps + 1.0 / GRID) + 2.0 / accuracy))
-    else:
-        if any(t[5] > max_band and t[3] < t[4] for t in targets):
-            raise RuntimeError("exact quantiles: brackets did not narrow; raise max_band")
-
-    # last pass: per target, the count below the bracket and the value counts inside it
-    parts = []
-    for j, (i, p, need, a, b, est) in enumerate(targets):
-        x = xs[i]
-        key = F.when(x < F.lit(a), F.lit(None).cast("double")).otherwise(x)
-        parts.append(df.filter(x <= F.lit(b)).groupBy(key.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-                     .select(F.lit(j).alias("t"), "v", "c"))
-    answers: dict[int, float] = {}
-    if parts:
-        rows = reduce(DataFrame.unionByName, parts).collect()
-        by_t: dict[int, list] = {}
-        for r in rows:
-            by_t.setdefault(r["t"], []).append((r["v"], r["c"]))
-        for j, (i, p, need, a, b, est) in enumerate(targets):
-            pairs = by_t.get(j, [])
-            cum = sum(c for v, c in pairs if v is None)
-            if cum >= need:
-                continue  # answer below the bracket: the sketch bound did not hold, retried below
-            for v, c in sorted((v, c) for v, c in pairs if v is not None):
-                cum += c
-                if cum >= need:
-                    answers[j] = v
-                    break
-    missed = sorted({cols[t[0]] for j, t in enumerate(targets) if j not in answers})
-    if missed:
-        # never return a wrong value: redo those columns with a four times wider bracket
-        if margin * 4 > accuracy:
-            raise RuntimeError(f"exact quantiles of {missed} could not be bracketed")
-        again, _ = _sketch_quantiles(df, missed, probs, max_band, accuracy, margin * 4)
-    out: dict[str, list[float] | None] = {c: None for c in cols}
-    for j, (i, p, need, a, b, est) in enumerate(targets):
-        c = cols[i]
-        if c in missed:
-            out[c] = again[c]
-            continue
-        if out[c] is None:
-            out[c] = []
-        out[c].append(float(answers[j]))
-    return out, row
-
-
-def grouped_cont_quantiles(df: DataFrame, group: str, col: str, probs: Sequence[float], max_groups: int = 1000,
-                           max_band: int = MAX_BAND, accuracy: int = ACCURACY, grid: int = 1024,
-                           with_counts: bool = False) -> dict:
-    """Exact interpolated quantiles (``quantile_cont``: x[h] with h = (n-1)p, linear between the
-    neighbouring order statistics) of ``col`` per value of ``group``, bounded memory.
-
-      pass 0  distinct values per group (HLL); if their total is within ``max_band``, Spark's
-              exact percentile runs instead (its buffers hold at most that many counts)
-      pass 1  per group: count and a sketch on a probability grid (one row per group,
-              size-checked) -> a bracket [a, b] around every needed order statistic
-      pass 2  per group and target: rows below a, distinct values inside [a, b] (HLL); a
-              bracket with more than ``max_band`` distinct values is refused, never truncated
-      pass 3  the (value, count) pairs inside the brackets, grouped, collected
-    Returns {group value: [quantile per prob]} (with ``with_counts``: {group value: (n, [...])});
-    groups whose column is all null are absent.
-    """
-    from .stats import small_rows
-
-    x = F.col(col).cast("double")
-    d = df.filter(x.isNotNull())
-    # fast path: few distinct values in all (coded columns such as age or speed) -> Spark's
-    # exact percentile, whose buffers hold one count per distinct value: at most that total
-    dist = small_rows(d.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(x, 0.05).alias("d")),
-                      f"groups of {group!r}", max_groups)
-    if sum(r["d"] for r in dist) * 1.2 <= max_band:
-        ex = d.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.percentile(x, list(probs)).alias("q")).collect()
-        return {r[group]: ((r["n"], [float(v) for v in r["q"]]) if with_counts else [float(v) for v in r["q"]]) for r in ex}
-    probs_grid = [k / grid for k in range(grid + 1)]
-    rows = small_rows(d.groupBy(group).agg(F.count(F.lit(1)).alias("n"),
-                                          F.percentile_approx(x, probs_grid, accuracy).alias("sk")),
-                      f"groups of {group!r}", max_groups)
-    eps = MARGIN / accuracy + 1.0 / grid
-    targets = []  # [group value, need, a, b]
-    for r in rows:
-        n, sk = r["n"], r["sk"]
-        for p in probs:
-            h = (n - 1) * p
-            for k in sorted({math.floor(h), math.ceil(h)}):
-                need = k + 1
-                lo_p, hi_p = _bracket_probs(need / n, eps)
-                targets.append([r[group], need, sk[int(math.floor(lo_p * grid))], sk[int(math.ceil(hi_p * grid))]])
-    if not targets:
+from ..functions import number
+from ..session import scratch_path
+
+
+def value_counts(df: DataFrame, cols: Sequence[str], by: str | None = None) -> DataFrame:
+    """(c, g, v, n): rows of each value of column number ``c`` in group ``g`` (null without ``by``)."""
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), number(c).alias("v")) for i, c in enumerate(cols)])
+    group = F.col(by) if by else F.lit(None).cast("string")
+    return (df.select(group.alias("g"), F.explode(cells).alias("x")).select("x.c", "g", "x.v").filter(F.col("v").isNotNull())
+            .groupBy("c", "g", "v").agg(F.count(F.lit(1)).alias("n")))
+
+
+def ranked(counts: DataFrame) -> DataFrame:
+    """``counts`` with ``before`` and ``upto`` (rows below a value, and with it) and ``total``."""
+    order = ["c", "g", "v"]
+    path = scratch_path(counts.sparkSession, "value-counts")
+    counts.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()).write.parquet(path)
+    table = counts.sparkSession.read.parquet(path)
+    sums = table.groupBy("c", "g", "part").agg(F.sum("n").alias("n"))
+    whole = Window.partitionBy("c", "g")
+    earlier = F.sum("n").over(whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sums.select(F.col("c").alias("c2"), F.col("g").alias("g2"), F.col("part").alias("part2"),
+                          F.coalesce(earlier, F.lit(0)).alias("offset"), F.sum("n").over(whole).alias("total"))
+    upto = F.sum("n").over(Window.partitionBy("c", "g", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    inside = table.withColumn("inside", upto)
+    same = (F.col("c") == F.col("c2")) & F.col("g").eqNullSafe(F.col("g2")) & (F.col("part") == F.col("part2"))
+    rows = inside.join(offsets, same).withColumn("upto", F.col("offset") + F.col("inside"))
+    return rows.select("c", "g", "v", "n", (F.col("upto") - F.col("n")).alias("before"), "upto", "total")
+
+
+def _holding(rank: Column) -> Column:
+    """The value that holds a rank (counted from 1), as an aggregate over ranked values."""
+    return F.max(F.when((F.col("before") < rank) & (F.col("upto") >= rank), F.col("v")))
+
+
+def discrete(ranks: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(c, g, q): the smallest value with at least p * total rows up to it, for each probability."""
+    wanted = [_holding(F.greatest(F.lit(float(p)) * F.col("total"), F.lit(1.0))) for p in probs]
+    return ranks.groupBy("c", "g").agg(F.array(*wanted).alias("q"))
+
+
+def interpolated(ranks: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(c, g, n, q): x[h] with h = (n - 1) p, linear between neighbouring order statistics."""
+    place = [F.lit(float(p)) * (F.col("total") - 1) for p in probs]
+    pairs = [F.struct(_holding(F.floor(h) + 1).alias("low"), _holding(F.ceil(h) + 1).alias("high"), F.max(h - F.floor(h)).alias("part")) for h in place]
+    found = ranks.groupBy("c", "g").agg(F.max("total").alias("n"), *[p.alias(f"p{i}") for i, p in enumerate(pairs)])
+    values = [F.col(f"p{i}.low") + F.col(f"p{i}.part") * (F.col(f"p{i}.high") - F.col(f"p{i}.low")) for i in range(len(probs))]
+    return found.select("c", "g", "n", F.array(*values).alias("q"))
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float] | None]:
+    """{column: [value per probability], or None if the column has no value}. One row a column
+    comes to the driver."""
+    if not cols:
         return {}
-    gcol = F.col(group)
-
-    def per_target(j: int, expr):
-        t = targets[j]
-        return F.when(gcol == F.lit(t[0]), expr(F.lit(t[2]), F.lit(t[3])))
-
-    aggs = []
-    for j in range(len(targets)):
-        aggs.append(F.count(per_target(j, lambda a, b: F.when(x < a, F.lit(1)))).alias(f"below{j}"))
-        aggs.append(F.approx_count_distinct(per_target(j, lambda a, b: F.when((x >= a) & (x <= b), x)), 0.05).alias(f"d{j}"))
-    r2 = d.agg(*aggs).first()
-    for j, t in enumerate(targets):
-        if r2[f"d{j}"] * 1.2 > max_band:
-            raise ValueError(f"exact quantiles of {col!r} per {group!r}: a bracket holds about {r2[f'd{j}']} distinct "
-                             f"values; use an approximate error instead")
-    in_band = None
-    for j in range(len(targets)):
-        e = per_target(j, lambda a, b: (x >= a) & (x <= b))
-        in_band = e if in_band is None else (in_band | e)
-    pairs = d.filter(F.coalesce(in_band, F.lit(False))).groupBy(group, x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    by_group: dict = {}
-    for r in pairs.collect():
-        by_group.setdefault(r[group], []).append((r["v"], r["c"]))
-    stat: dict = {}
-    for j, (gv, need, a, b) in enumerate(targets):
-        cum = r2[f"below{j}"]
-        for v, c in sorted((v, c) for v, c in by_group.get(gv, []) if a <= v <= b):
-            cum += c
-            if cum >= need:
-                stat[(gv, need)] = v
-                break
-        else:
-            raise RuntimeError(f"exact quantiles of {col!r} per {group!r}: bracket missed")
-    out = {}
-    for r in rows:
-        n, vals = r["n"], []
-        for p in probs:
-            h = (n - 1) * p
-            lo, hi = stat[(r[group], math.floor(h) + 1)], stat[(r[group], math.ceil(h) + 1)]
-            vals.append(lo + (h - math.floor(h)) * (hi - lo))
-        out[r[group]] = (n, vals) if with_counts else vals
-    return out
+    found = {r.c: list(r.q) for r in discrete(ranked(value_counts(df, cols)), probs).collect()}
+    return {c: found.get(i) for i, c in enumerate(cols)}
+
+
+def grouped_quantiles(df: DataFrame, group: str, col: str, probs: Sequence[float]) -> DataFrame:
+    """(group, n, q): interpolated quantiles of ``col`` for each value of ``group``, a null one included;
+    groups without a value are absent."""
+    return interpolated(ranked(value_counts(df, [col], group)), probs).select(F.col("g").alias(group), "n", "q")

@@ -47,9 +47,10 @@ def hash_stratified_sample(df: DataFrame, label: str, fractions: Mapping[Any, fl
 def bernoulli_split(df: DataFrame, label: str, fractions: Mapping[Any, float], seed: int) -> tuple[DataFrame, DataFrame]:
     """Per-class Bernoulli split without an id or a join: one uniform draw per row (``rand``,
     seeded per partition) decides train (draw < class fraction) or test; unlisted or null
-    classes go to test. ``df`` is persisted first so both sides see the same rows in the
-    same order (a lost cached partition is recomputed from a deterministic scan)."""
-    base = persist(df).withColumn("_u", F.rand(seed))
+    classes go to test. ``df`` must be a plain scan of a written table: both sides draw again,
+    and only a scan gives the same rows in the same order each time. ``hash_split`` has no
+    such condition."""
+    base = df.withColumn("_u", F.rand(seed))
     cond = F.col("_u") < _fraction_of(F.col(label), fractions)
     return base.filter(cond).drop("_u"), base.filter(~cond).drop("_u")
 
@@ -78,11 +79,5 @@ def anti_join_split(df: DataFrame, sample: DataFrame, on: str | Sequence[str]) -
 
 
 def persist(df: DataFrame) -> DataFrame:
+    """Memory and disk; the caller unpersists."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when the frame has fewer partitions than the cluster has
-    task slots (small inputs before an iterative, CPU-bound fit); a no-op for large inputs."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df

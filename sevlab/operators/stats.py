@@ -11,7 +11,7 @@ from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import is_missing
+from ..functions import is_missing, number
 from .clean import fit_quantiles, quantile_expr
 
 
@@ -30,25 +30,10 @@ def group_count(df: DataFrame, key: str | Sequence[str], name: str = "count") ->
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-MAX_CLASSES = 1000  # per-class results are collected (size-checked) rather than windowed in one task
-
-
-def small_rows(df: DataFrame, what: str, limit: int = MAX_CLASSES) -> list:
-    """Collect an aggregated result that must be small; refuse (not truncate) beyond ``limit``."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{what}: more than {limit} rows; not a class-sized table")
-    return rows
-
-
 def class_share(df: DataFrame, label: str) -> DataFrame:
-    """Rows per class and their percentage of all rows. One aggregation; the per-class rows
-    (size-checked) give the total, so no window gathers them in one task."""
-    counts = group_count(df, label)
-    rows = small_rows(counts, f"class_share({label})")
-    total = sum(r["count"] for r in rows)
-    out = [(r[label], r["count"], r["count"] * 100.0 / total) for r in rows]
-    return df.sparkSession.createDataFrame(out, f"{label} {dict(df.dtypes)[label]}, count bigint, percent double")
+    """Rows per class and their percentage of all rows, for any number of classes. Only the total
+    comes to the driver; no window gathers the classes in one task."""
+    return group_count(df, label).withColumn("percent", F.col("count") * 100.0 / F.lit(df.count()))
 
 
 def min_max(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -80,8 +65,7 @@ def missing_total(df: DataFrame) -> DataFrame:
 
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], rel_error: float) -> DataFrame:
     """Long form (column_name, prob, value) of several quantiles of several columns.
-    Approximate: one lazy aggregation. Exact: the bounded multi-pass selection, whose
-    few numbers (columns x probabilities) become a small table."""
+    Approximate: one lazy aggregation. Exact: from value counts; a row a column becomes a small table."""
     if rel_error == 0:
         q = fit_quantiles(df, cols, probs, 0.0)
         rows = [(c, float(p), (q[c][i] if q[c] else None)) for c in cols for i, p in enumerate(probs)]
@@ -120,12 +104,12 @@ def confusion_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def crosstab(df: DataFrame, a: str, b: str, b_values: Sequence) -> DataFrame:
-    """Wide cross tabulation, one column per listed value of ``b`` (0 where absent).
-    The values are passed in, so no pass is spent discovering them; rows ordered by ``a``."""
-    return (
-        df.groupBy(a).pivot(b, list(b_values)).agg(F.count(F.lit(1))).na.fill(0)
-        .orderBy(F.col(a))
-    )
+    """Wide cross tabulation: one column per listed value of ``b`` (0 where absent) and ``other`` for
+    all other values and nulls, so every row is counted. The values are passed in, so no pass is
+    spent discovering them; rows ordered by ``a``."""
+    listed = [F.count_if(F.col(b) == F.lit(v)).alias(str(v)) for v in b_values]
+    other = F.count_if(~F.coalesce(F.col(b).isin(list(b_values)), F.lit(False))).alias("other")
+    return df.groupBy(a).agg(*listed, other).orderBy(F.col(a))
 
 
 def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -133,9 +117,11 @@ def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
     One aggregation computes the k(k-1)/2 sample covariances and the k standard deviations
     (co-moments merged per partition; no vector is built). As Spark ML's ``Correlation.corr``:
-    1.0 on the diagonal, NaN where a column is constant (no ANSI division error)."""
+    1.0 on the diagonal, NaN where a column is constant (no ANSI division error). Rows with a
+    missing value in any of the columns are left out, so every pair is over the same rows."""
     k = len(cols)
-    x = [F.col(c).cast("double") for c in cols]
+    df = df.select(*[number(c).alias(c) for c in cols]).dropna()
+    x = [F.col(c) for c in cols]
     aggs = [F.stddev_samp(x[i]).alias(f"s{i}") for i in range(k)]
     aggs += [F.covar_samp(x[i], x[j]).alias(f"c{i}_{j}") for i in range(k) for j in range(i + 1, k)]
     wide = df.agg(*aggs)
@@ -159,7 +145,7 @@ def chi_square(df: DataFrame, feature_cols: Sequence[str], label: str) -> DataFr
     vec = VectorAssembler(inputCols=list(feature_cols), outputCol="_chi_features", handleInvalid="keep")
     data = vec.transform(df.select(*feature_cols, F.col(label).cast("double").alias(label)))
     res = ChiSquareTest.test(data.select("_chi_features", label), "_chi_features", label, flatten=True)
-    rows = small_rows(res, "chi-square features")
+    rows = res.collect()  # a row for each listed feature
     ranked = sorted(((feature_cols[r["featureIndex"]], float(r["statistic"]), int(r["degreesOfFreedom"]), float(r["pValue"]))
                      for r in rows), key=lambda t: (-t[1], t[0]))
     out = [t + (k + 1,) for k, t in enumerate(ranked)]
@@ -167,38 +153,25 @@ def chi_square(df: DataFrame, feature_cols: Sequence[str], label: str) -> DataFr
         out, "feature string, statistic double, degrees_of_freedom int, p_value double, rank int")
 
 
-def box_stats(df: DataFrame, label: str, col: str, factor: float = 1.5, max_classes: int = 1000,
-              rel_error: float = 0.0) -> DataFrame:
-    """Box-plot numbers of ``col`` per ``label``: quartiles (linear interpolation), IQR fences,
-    whiskers at the last value inside the fences, outlier count. Whole data, no sample.
-
-    Per-class quartiles come back as one row per class (size-checked): exact with bounded
-    memory (``quantiles.grouped_cont_quantiles``) when ``rel_error == 0``, else Spark's GK
-    sketch. Then one aggregation computes whiskers and outliers with the fences applied as
-    literals (no join)."""
-    from .balance import literal_lookup
+def box_stats(df: DataFrame, label: str, col: str, factor: float = 1.5) -> DataFrame:
+    """Box-plot numbers of ``col`` per ``label`` (a null label too): quartiles (linear interpolation),
+    IQR fences, whiskers at the last value inside the fences, outlier count. Whole data, no sample;
+    nulls and NaN are left out. All numbers come from one count of the (label, value) pairs, which
+    is much smaller than the rows; the pairs meet their label's fences in an equi join."""
+    from .quantiles import interpolated, ranked, value_counts
 
-    x = F.col(col)
-    if rel_error == 0:
-        from .quantiles import grouped_cont_quantiles
-        q = grouped_cont_quantiles(df, label, col, [0.25, 0.5, 0.75], max_groups=max_classes, with_counts=True)
-        base = [{label: k, "n": n, "q1": v[0], "median": v[1], "q3": v[2]} for k, (n, v) in q.items()]
-    else:
-        agg = (df.filter(x.isNotNull()).groupBy(label)
-               .agg(F.count(F.lit(1)).alias("n"), quantile_expr(col, [0.25, 0.5, 0.75], rel_error).alias("_q")))
-        base = [{label: r[label], "n": r["n"], "q1": r["_q"][0], "median": r["_q"][1], "q3": r["_q"][2]}
-                for r in small_rows(agg, f"box_stats({label})", max_classes)]
-    rows = [dict(b, lower_fence=b["q1"] - factor * (b["q3"] - b["q1"]), upper_fence=b["q3"] + factor * (b["q3"] - b["q1"]))
-            for b in base]
-    types = {"n": "bigint", "q1": "double", "median": "double", "q3": "double", "lower_fence": "double", "upper_fence": "double"}
-    lk = {c: literal_lookup(rows, label, c, F.col(label)).cast(t) for c, t in types.items()}
-    inside = (x >= lk["lower_fence"]) & (x <= lk["upper_fence"])
-    w = df.filter(x.isNotNull()).groupBy(label).agg(
-        F.min(F.when(inside, x)).cast("double").alias("whisker_low"),
-        F.max(F.when(inside, x)).cast("double").alias("whisker_high"),
-        F.count(F.when(~inside, F.lit(1))).alias("outliers"),
+    ranks = ranked(value_counts(df, [col], label))
+    q = interpolated(ranks, [0.25, 0.5, 0.75]).select(F.col("g").alias("label"), "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    iqr = F.col("q3") - F.col("q1")
+    q = q.withColumns({"lower_fence": F.col("q1") - factor * iqr, "upper_fence": F.col("q3") + factor * iqr})
+    pairs = ranks.select("g", "v", F.col("n").alias("rows"))
+    inside = F.col("v").between(F.col("lower_fence"), F.col("upper_fence"))
+    numbers = ["n", "q1", "median", "q3", "lower_fence", "upper_fence"]
+    return pairs.join(q, F.col("g").eqNullSafe(F.col("label"))).groupBy(F.col("label").alias(label), *numbers).agg(
+        F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
+        F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
+        F.coalesce(F.sum(F.when(~inside, F.col("rows"))), F.lit(0)).alias("outliers"),
     )
-    return w.select(label, *[lk[c].alias(c) for c in types], "whisker_low", "whisker_high", "outliers")
 
 
 def histogram(df: DataFrame, label: str, col: str, bins: int) -> DataFrame:
@@ -221,7 +194,7 @@ def histogram_long(df: DataFrame, label: str, bins_by_col: Mapping[str, int]) ->
     cols = list(bins_by_col)
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = number(c)
         aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     mm = df.agg(*aggs).first()
     edges = {}
@@ -235,7 +208,7 @@ def histogram_long(df: DataFrame, label: str, bins_by_col: Mapping[str, int]) ->
         return df.sparkSession.createDataFrame([], schema)
     cells = []
     for c, (lo, width) in edges.items():
-        x = F.col(c).cast("double")
+        x = number(c)
         last = bins_by_col[c] - 1
         b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(last)) if width > 0 else F.lit(0)
         cells.append(F.struct(F.lit(c).alias("column_name"), F.when(x.isNotNull(), b).alias("bin")))

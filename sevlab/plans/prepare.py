@@ -4,13 +4,15 @@ scaled training table. Variant "drop" or "flag" (see ``PrepConfig``).
 Passes over the data (each a distributed aggregation returning a few numbers):
   1. clean (sentinels, required, dedup) -> written once to the shared folder (lineage cut:
      every later fit reads the compact parquet copy, and a lost executor recomputes from it)
-  2. medians + modes, one aggregation
-  3. category counts for all indexes, one pass (multi-column StringIndexer), concurrently with
-  4. IQR quartiles of all outlier columns, one aggregation
-  5. class counts + per-class mean/variance of the numeric features, one aggregation
-     (gives both the class weights and the z-score mean/std); concurrent with 3-4 in the
+  2. medians, from one count of all median columns' values (exact), or one sketch
+  3. modes, from one count of all mode columns' values
+  4. category counts for all indexes, one pass (multi-column StringIndexer), concurrently with
+  5. IQR quartiles of all outlier columns, as the medians
+  6. class counts + per-class mean/variance of the numeric features, one aggregation
+     (gives both the class weights and the z-score mean/std); concurrent with 4-5 in the
      flag variant
-The rest is one projection/filter chain over the parquet copy: no join, no shuffle.
+The rest is one projection/filter chain over the parquet copy and an equi join of the class
+weights, which Spark broadcasts if it measures them as small.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..config import TIME_BIN_OTHER, TIME_BINS, PrepConfig
 from ..functions import bin_by_ranges
-from ..operators.balance import SMALL_TABLE_ROWS, literal_lookup
+from ..operators.balance import attach
 from ..operators.clean import dedup, drop_nulls, fill_values, fit_medians_and_modes, sentinels_to_null
 from ..operators.features import assembler, string_indexer
 from ..operators.outliers import domain_filter, drop_outside, fences, fit_iqr_bounds, flag_outliers
@@ -69,10 +71,9 @@ def clean_counts(df: DataFrame, cfg: PrepConfig) -> DataFrame:
     from functools import reduce
 
     nulled = sentinels_to_null(df, cfg.sentinels)
-    ok = None
+    ok = F.lit(True)
     for c in cfg.required:
-        e = F.col(c).isNotNull()
-        ok = e if ok is None else ok & e
+        ok = ok & F.col(c).isNotNull()
     first = nulled.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(ok, F.lit(1))).alias("r"))
     steps = [(0, "input", "n"), (1, "sentinels_to_null", "n"), (2, "required", "r")]
     rows3 = first.select(F.explode(F.array(*[
@@ -94,21 +95,14 @@ def cut_lineage_at(df: DataFrame, path: str) -> DataFrame:
     return read_parquet(df.sparkSession, path)
 
 
-def combine_moments(rows, label: str, cols: list[str]) -> dict[str, tuple[float | None, float | None]]:
-    """Global mean and sample std of each column from per-class (n, mean, population variance)
-    rows (Chan et al.'s parallel combination; numerically stable)."""
-    out = {}
-    for c in cols:
-        parts = [(r[f"n_{c}"], r[f"mean_{c}"], r[f"var_{c}"]) for r in rows if r[f"n_{c}"]]
-        n = sum(p[0] for p in parts)
-        if n == 0:
-            out[c] = (None, None)
-            continue
-        mean = sum(p[0] * p[1] for p in parts) / n
-        m2 = sum(p[0] * p[2] + p[0] * (p[1] - mean) ** 2 for p in parts)
-        std = (m2 / (n - 1)) ** 0.5 if n > 1 else 0.0
-        out[c] = (mean, std)
-    return out
+def combine_moments(rows: DataFrame, cols: list[str]) -> dict[str, tuple[float | None, float | None]]:
+    """Overall mean and sample std of each column from per-class (n, mean, population variance) rows: the
+    weighted mean, then the variances inside and between the classes. Two rows come to the driver."""
+    sums = rows.agg(*[F.struct(F.sum(f"n_{c}"), F.sum(F.col(f"n_{c}") * F.col(f"mean_{c}"))) for c in cols]).first()
+    means = {c: (s[0] or 0, s[1] / s[0] if s[0] else None) for c, s in zip(cols, sums)}
+    spread = [F.sum(F.col(f"n_{c}") * (F.col(f"var_{c}") + F.pow(F.col(f"mean_{c}") - F.lit(means[c][1]), F.lit(2.0)))) for c in cols]
+    squares = rows.agg(*spread).first()
+    return {c: (mean, None if mean is None else ((m2 / (n - 1)) ** 0.5 if n > 1 else 0.0)) for (c, (n, mean)), m2 in zip(means.items(), squares)}
 
 
 def apply_fitted(df: DataFrame, cfg: PrepConfig, fitted: dict, indexer: PipelineModel, with_weight: bool = True) -> DataFrame:
@@ -123,8 +117,7 @@ def apply_fitted(df: DataFrame, cfg: PrepConfig, fitted: dict, indexer: Pipeline
     else:
         out = domain_filter(flag_outliers(out, fences(fitted["bounds"])), cfg.domain_bounds)
     if with_weight:
-        rows = [{cfg.label: k, "w": v} for k, v in fitted["class_weight"].items()]
-        out = out.withColumn("class_weight", literal_lookup(rows, cfg.label, "w", F.col(cfg.label)).cast("double"))
+        out = attach(out, fitted["class_weights"], cfg.label, ["class_weight"])
     scaled = []
     for c in cfg.numeric:
         mean, std = fitted["scale"][c]
@@ -160,16 +153,13 @@ def prepare(df: DataFrame, cfg: PrepConfig, base_path: str | None = None) -> Pre
     binned = imputed
     if cfg.time_column:
         binned = imputed.withColumn(cfg.time_bin_column, bin_by_ranges(cfg.time_column, TIME_BINS, TIME_BIN_OTHER))
-    def class_pass(kept_rows: DataFrame) -> list:
-        """Class counts and per-class moments in one pass (one row per class to the driver)."""
+    def class_pass(kept_rows: DataFrame) -> DataFrame:
+        """Class counts and per-class moments in one pass, as a small table of the shared folder."""
         aggs = [F.count(F.lit(1)).alias("count")]
         for c in cfg.numeric:
             x = F.col(c).cast("double")
             aggs += [F.count(x).alias(f"n_{c}"), F.avg(x).alias(f"mean_{c}"), F.var_pop(x).alias(f"var_{c}")]
-        out = kept_rows.groupBy(cfg.label).agg(*aggs).limit(SMALL_TABLE_ROWS + 1).collect()
-        if len(out) > SMALL_TABLE_ROWS:
-            raise ValueError(f"label {cfg.label!r} has more than {SMALL_TABLE_ROWS} classes")
-        return out
+        return cut_lineage(kept_rows.groupBy(cfg.label).agg(*aggs), "classes")
 
     # The index counts and the IQR quartiles read only the imputed table, so they run as
     # concurrent jobs (Spark schedules jobs from several driver threads). In the flag variant
@@ -181,15 +171,14 @@ def prepare(df: DataFrame, cfg: PrepConfig, base_path: str | None = None) -> Pre
         f_rows = pool.submit(class_pass, domain_filter(imputed, cfg.domain_bounds)) if cfg.variant == "flag" else None
         indexer, bounds = f_index.result(), f_bounds.result()
         fitted: dict[str, Any] = {"medians": medians, "modes": modes, "fill": fill, "bounds": bounds}
-        kept = apply_fitted(base, cfg, {**fitted, "class_weight": {}, "scale": {c: (0.0, 1.0) for c in cfg.numeric}},
+        kept = apply_fitted(base, cfg, {**fitted, "scale": {c: (0.0, 1.0) for c in cfg.numeric}},
                             indexer, with_weight=False)
         kept = kept.drop(NUM_VEC, NUM_SCALED, "features")
         rows = f_rows.result() if f_rows is not None else class_pass(kept)
 
-    max_count = max((r["count"] for r in rows), default=0)
-    fitted["class_count"] = {r[cfg.label]: r["count"] for r in rows}
-    fitted["class_weight"] = {r[cfg.label]: max_count / r["count"] for r in rows if r[cfg.label] is not None}
-    fitted["scale"] = combine_moments(rows, cfg.label, list(cfg.numeric))
+    most = rows.agg(F.max("count")).first()[0] or 0
+    fitted["class_weights"] = rows.select(cfg.label, "count", (F.lit(float(most)) / F.col("count")).alias("class_weight"))
+    fitted["scale"] = combine_moments(rows, list(cfg.numeric))
     fitted["index_labels"] = dict(zip(cfg.categorical, indexer.stages[0].labelsArray))
 
     final = apply_fitted(full, cfg, fitted, indexer)

@@ -8,13 +8,14 @@ from typing import Mapping
 from pyspark.sql import DataFrame
 
 from ..operators.clean import sentinels_to_null
-from ..operators.sampling import persist
+from .prepare import cut_lineage
 from ..operators.stats import box_stats, class_share, histogram_long, missing_report, missing_total
 
 
 def profile(df: DataFrame, sentinels: Mapping, label: str, box_col: str,
             hist_bins: Mapping[str, int]) -> dict[str, DataFrame]:
-    d = persist(sentinels_to_null(df, sentinels))  # read by every part below; unpersist when done
+    wanted = sentinels_to_null(df, sentinels)
+    d = cut_lineage(wanted, "profile")  # read by every part below
     out = {
         "missing_report": missing_report(d),
         "missing_total": missing_total(d),

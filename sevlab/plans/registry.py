@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import bin_by_ranges, hour_of, parse_date, remap
-from ..operators import balance, clean, features, model, outliers, sampling, stats
+from ..operators import balance, clean, features, model, outliers, quantiles, sampling, stats
 from ..session import scratch_path
 from ..sources import files
 from . import integrate as integ
@@ -24,7 +24,7 @@ from .correlate import correlate
 from .oracle_sql import (
     CASUALTY_SQL, JOINED_COLS, JOINED_SQL, R, SEVERITY_SQL, hash_condition_sql, lit, prepared_select_sql, testbed_ctes,
 )
-from .prepare import NUM_SCALED, prepare
+from .prepare import NUM_SCALED, cut_lineage, prepare
 from .train import split, train_and_evaluate
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,7 @@ ORACLES: dict[str, str] = {}
 
 CFG = tb.TESTBED_FLAG
 LINE_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"]
+LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def rule_prediction() -> F.Column:
@@ -65,11 +66,14 @@ def _nulled(spark, sf):
 
 # ---------------------------------------------------------------- sources and sinks
 
-@register("csv_header_scan", "SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in LINE_COLS) + " FROM lineitem")
+@register("csv_header_scan", "SELECT " + ", ".join([f"CAST({c} AS VARCHAR) AS {c}" for c in LINE_COLS] + LINE_NUMBERS)
+          + ", strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate FROM lineitem")
 def q_csv_header_scan(spark, sf):
+    """All eleven columns; the numbers' text is read back as the same numbers, the time's as its date."""
     path = scratch_path(spark, "csv-lineitem")
-    files.write_csv(_lineitem(spark, sf).select(*LINE_COLS), path)
-    return files.read_csv(spark, path)
+    files.write_csv(_lineitem(spark, sf), path)
+    raw = files.read_csv(spark, path)
+    return raw.select(*LINE_COLS, *[F.col(c).cast("double").alias(c) for c in LINE_NUMBERS], F.substring("l_shipdate", 1, 10).alias("l_shipdate"))
 
 
 @register("parquet_scan", "SELECT * FROM lineitem")
@@ -81,8 +85,9 @@ def q_parquet_scan(spark, sf):
 def q_parquet_recursive_scan(spark, sf):
     base = scratch_path(spark, "nested-orders")
     o = tb.table(spark, sf, "orders")
-    files.write_parquet(o.filter(F.year("o_orderdate") < 1998), f"{base}/archive")
-    files.write_parquet(o.filter(F.year("o_orderdate") >= 1998), f"{base}/recent/provisional")
+    old = F.coalesce(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp"), F.lit(True))  # a row without a date is old
+    files.write_parquet(o.filter(old), f"{base}/archive")
+    files.write_parquet(o.filter(~old), f"{base}/recent/provisional")
     return files.read_parquet(spark, base, recursive=True)
 
 
@@ -95,19 +100,6 @@ def q_parquet_overwrite_roundtrip(spark, sf):
     return files.read_parquet(spark, path)
 
 
-_SCHEMA_ROWS = [(0, "l_orderkey", "bigint"), (1, "l_linenumber", "int"), (2, "l_quantity", "int"), (3, "severity", "int"),
-                (4, "l_linestatus", "string"), (5, "l_tax", "double"), (6, "o_orderstatus", "string"),
-                (7, "o_orderdate", "date"), (8, "o_hour", "int"), (9, "o_dow", "int"), (10, "o_orderpriority", "string"),
-                (11, "o_totalprice", "double")]
-
-
-@register("schema_report", "SELECT * FROM (VALUES " + ", ".join(
-    f"({p}, {lit(n)}, {lit(t)}, TRUE)" for p, n, t in _SCHEMA_ROWS) +
-    ") AS t(position, column_name, data_type, nullable)")
-def q_schema_report(spark, sf):
-    return files.schema_report(tb.joined(spark, sf))
-
-
 @register("top_k", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
 def q_top_k(spark, sf):
     o = tb.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
@@ -367,9 +359,60 @@ def q_quantiles(spark, sf):
     return stats.quantile_table(_lineitem(spark, sf), _Q_COLS, _PROBS, 0.0)
 
 
-@register("quantiles_approx")
+@register("quantiles_approx", " UNION ALL ".join(
+    f"SELECT {lit(c)} AS column_name, CAST({p!r} AS DOUBLE) AS prob, count({c}) AS n, TRUE AS within_error, TRUE AS as_spark FROM lineitem" for c in _Q_COLS for p in _PROBS))
 def q_quantiles_approx(spark, sf):
-    return stats.quantile_table(_lineitem(spark, sf), _Q_COLS, _PROBS, C.QUANTILE_RELATIVE_ERROR)
+    """The sketch's answers checked over all rows: the rank error is at most 0.01 n, and the value is the
+    one that ``approxQuantile`` gives or one of equal standing (also within the error)."""
+    df, err = _lineitem(spark, sf), C.QUANTILE_RELATIVE_ERROR
+    table = stats.quantile_table(df, _Q_COLS, _PROBS, err)
+    theirs = dict(zip(_Q_COLS, df.approxQuantile(_Q_COLS, _PROBS, err)))
+    ranks = quantiles.ranked(quantiles.value_counts(df, _Q_COLS))
+    names = F.element_at(F.array(*map(F.lit, _Q_COLS)), F.col("c") + 1)
+    known = F.create_map(*[F.lit(x) for c in _Q_COLS for i, p in enumerate(_PROBS) for x in (f"{c}/{p}", theirs[c][i])])
+    found = table.withColumn("spark", F.element_at(known, F.concat_ws("/", "column_name", F.col("prob").cast("string")))).alias("t").join(
+        ranks.withColumn("column_name", names).alias("r"), "column_name")
+    slack = err * F.col("total") + 1
+    near = lambda v: F.bool_or((F.col("v") == v) & (F.col("before") <= F.col("prob") * F.col("total") + slack) & (F.col("upto") >= F.col("prob") * F.col("total") - slack))
+    return found.groupBy("column_name", "prob").agg(F.max("total").alias("n"), near(F.col("value")).alias("within_error"), near(F.col("spark")).alias("as_spark"))
+
+
+@register("quantiles_high_cardinality", " UNION ALL ".join(
+    f"SELECT CAST({p!r} AS DOUBLE) AS prob, CAST(quantile_disc(value, {p!r}) AS DOUBLE) AS value FROM events" for p in (0.0, 0.01, 0.25, 0.5, 0.9, 1.0)))
+def q_quantiles_high_cardinality(spark, sf):
+    """The same code on a column in which nearly every row has its own value."""
+    return stats.quantile_table(tb.table(spark, sf, "events"), ["value"], (0.0, 0.01, 0.25, 0.5, 0.9, 1.0), 0.0).select("prob", "value")
+
+
+_EVENT_FENCES = ("WITH q AS (SELECT quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.75) AS q3 FROM events), "
+                 "f AS (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q), "
+                 "flagged AS (SELECT event_id, value, CAST(value IS NOT NULL AND (value < lo OR value > hi) AS INTEGER) AS value_is_outlier FROM events, f) ")
+
+
+def _event_bounds(spark, sf):
+    return outliers.fences(outliers.fit_iqr_bounds(tb.table(spark, sf, "events"), ["value"], 0.0))
+
+
+@register("event_outlier_filter", _EVENT_FENCES + "SELECT event_id, value FROM flagged WHERE value IS NOT NULL AND value_is_outlier = 0")
+def q_event_outlier_filter(spark, sf):
+    """A column with real outliers: rows outside the fences go."""
+    return outliers.drop_outside(tb.table(spark, sf, "events").select("event_id", "value"), _event_bounds(spark, sf))
+
+
+@register("event_outlier_flag", _EVENT_FENCES + "SELECT event_id, value, value_is_outlier, value_is_outlier AS has_any_outlier FROM flagged")
+def q_event_outlier_flag(spark, sf):
+    return outliers.flag_outliers(tb.table(spark, sf, "events").select("event_id", "value"), _event_bounds(spark, sf))
+
+
+@register("event_outlier_counts", _EVENT_FENCES + "SELECT count(*) AS rows_before, count(*) FILTER (WHERE value IS NOT NULL AND value_is_outlier = 0) AS rows_after, "
+          "count(*) FILTER (WHERE value IS NULL OR value_is_outlier = 1) AS removed, CAST(sum(value_is_outlier) AS BIGINT) AS rows_with_any_outlier FROM flagged")
+def q_event_outlier_counts(spark, sf):
+    """Rows before and after the outlier step, removed by it, and with any outlier."""
+    events, bounds = tb.table(spark, sf, "events"), _event_bounds(spark, sf)
+    stays = outliers.between("value", *bounds["value"])
+    gone = ~F.coalesce(stays, F.lit(False))
+    return outliers.flag_outliers(events.select("value"), bounds).agg(
+        F.count(F.lit(1)).alias("rows_before"), F.count_if(~gone).alias("rows_after"), F.count_if(gone).alias("removed"), F.sum("has_any_outlier").alias("rows_with_any_outlier"))
 
 
 _IQR_COLS = ["l_quantity", "o_totalprice"]
@@ -408,11 +451,12 @@ _CONF_SQL = ("WITH p AS (SELECT severity, " + RULE_PREDICTION_SQL + " AS predict
 
 
 @register("confusion_matrix", _CONF_SQL + " SELECT severity, " + ", ".join(
-    f"count(*) FILTER (WHERE prediction = {k}) AS pred_{k}" for k in (1, 2, 3)) + " FROM p GROUP BY severity")
+    f"count(*) FILTER (WHERE prediction = {k}) AS pred_{k}" for k in (1, 2)) + ", count(*) FILTER (WHERE prediction IS NULL OR prediction NOT IN (1, 2)) AS other"
+    " FROM p GROUP BY severity")
 def q_confusion_matrix(spark, sf):
     p = tb.casualty(spark, sf).select("severity", rule_prediction().alias("prediction"))
-    ct = stats.crosstab(p, "severity", "prediction", [1, 2, 3])
-    return ct.select("severity", *[F.col(str(k)).alias(f"pred_{k}") for k in (1, 2, 3)])
+    ct = stats.crosstab(p, "severity", "prediction", [1, 2])  # 3 is not listed and counts as other
+    return ct.select("severity", *[F.col(str(k)).alias(f"pred_{k}") for k in (1, 2)], "other")
 
 
 _EVAL_SQL = _CONF_SQL + (
@@ -512,9 +556,25 @@ def q_stratified_sample(spark, sf):
     return sampling.hash_stratified_sample(_rows(spark, sf), "severity", C.TRAIN_FRACTIONS, tb.ROW_KEY)
 
 
-@register("stratified_sample_bernoulli")
+@register("stratified_sample_bernoulli", f"SELECT severity, count(*) AS rows, TRUE AS share_in_bounds, count(*) AS train_and_test, CAST(0 AS BIGINT) AS in_both "
+          f"FROM ({_ROWS_SQL}) GROUP BY severity")
 def q_stratified_sample_bernoulli(spark, sf):
-    return sampling.stratified_sample(_rows(spark, sf), "severity", C.TRAIN_FRACTIONS, C.SEED)
+    """The reference's own split (row id, ``sampleBy``, anti join on the id) over all rows, as facts: each
+    class's share lies within five standard deviations, train and test make up all rows, none is in both."""
+    path = scratch_path(spark, "split-rows")
+    files.write_parquet(sampling.with_row_id(_rows(spark, sf)), path)
+    rows = files.read_parquet(spark, path)
+    train = sampling.stratified_sample(rows, "severity", C.TRAIN_FRACTIONS, C.SEED)
+    files.write_parquet(train, f"{path}-train")
+    train = files.read_parquet(spark, f"{path}-train")
+    test = sampling.anti_join_split(rows, train, "id")
+    tagged = train.select("severity", "id", F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(test.select("severity", "id", F.lit(0).alias("a"), F.lit(1).alias("b")))
+    per_id = tagged.groupBy("severity", "id").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    facts = per_id.groupBy("severity").agg(F.sum("a").alias("a"), F.count(F.lit(1)).alias("train_and_test"), F.count_if((F.col("a") > 0) & (F.col("b") > 0)).alias("in_both"))
+    counts = stats.group_count(rows, "severity", "rows")
+    p = F.element_at(F.create_map(*[F.lit(x) for k, v in C.TRAIN_FRACTIONS.items() for x in (int(k), float(v))]), F.col("severity"))
+    bound = 5 * F.sqrt(p * (1 - p) * F.col("rows"))
+    return counts.join(facts, "severity").select("severity", "rows", (F.abs(F.col("a") - p * F.col("rows")) <= bound).alias("share_in_bounds"), "train_and_test", "in_both")
 
 
 @register("anti_join_split", f"SELECT * FROM ({_ROWS_SQL}) WHERE NOT {_COND}")
@@ -680,7 +740,8 @@ def q_integrate(spark, sf):
     raw_c, raw_k = tb.raw_casualty(spark, sf), tb.raw_collision(spark, sf)
     col = integ.type_table(raw_k, tb.COLLISION_KEEP, tb.collision_typing())
     slices = []
-    for cond in (F.col("l_shipdate") < "2000", F.col("l_shipdate") >= "2000"):  # archive years, then the latest year(s)
+    old = F.coalesce(F.col("l_shipdate") < "2000", F.lit(True))  # a row without a date is in the archive
+    for cond in (old, ~old):
         cas = integ.type_table(raw_c.filter(cond), tb.CASUALTY_KEEP, tb.casualty_typing())
         slices.append((cas, col))
     return integ.integrate(slices, "l_orderkey")
@@ -695,12 +756,13 @@ def q_integrate_csv(spark, sf):
     base = scratch_path(spark, "raw-csv")
     raw_c, raw_k = tb.raw_casualty(spark, sf), tb.raw_collision(spark, sf)
     year = F.substring(F.col("o_orderdate"), 7, 4)  # dd/MM/yyyy text
-    period = raw_k.select(F.col("o_orderkey").alias("l_orderkey"), (year < "2001").alias("_archive"))
+    archive = F.coalesce(year < "2001", F.lit(True))
+    period = raw_k.select(F.col("o_orderkey").alias("l_orderkey"), archive.alias("_archive"))
     tagged = raw_c.join(period, "l_orderkey")
     slices = []
     for name, flag in (("archive", True), ("latest", False)):
         files.write_csv(tagged.filter(F.col("_archive") == flag).drop("_archive"), f"{base}/casualty-{name}")
-        files.write_csv(raw_k.filter((year < "2001") == flag), f"{base}/collision-{name}")
+        files.write_csv(raw_k.filter(archive == flag), f"{base}/collision-{name}")
         cas = integ.type_table(files.read_csv(spark, f"{base}/casualty-{name}"), tb.CASUALTY_KEEP, tb.casualty_typing())
         col = integ.type_table(files.read_csv(spark, f"{base}/collision-{name}"), tb.COLLISION_KEEP, tb.collision_typing())
         slices.append((cas, col))
@@ -709,21 +771,23 @@ def q_integrate_csv(spark, sf):
 
 # ---------------------------------------------------------------- model jobs (no SQL oracle)
 
+FOREST_PARTITIONS = 16  # the bootstrap draws depend on it, so it is fixed
 _MODEL_CACHE: dict[tuple[str, str], str] = {}
 
 
 def _train(spark, sf):
     p = _prepared(spark, sf, CFG)
-    table = p.frame.select("features", CFG.label, "class_weight")
-    t = train_and_evaluate(table, CFG.label, CFG.train_fractions, C.FOREST_PARAMS, C.SEED, labels=[1, 2, 3],
-                           model_path=scratch_path(spark, "forest"))
+    table = cut_lineage(p.frame.select("features", CFG.label, "class_weight", *CFG.dedup_keys), "train-table")
+    p.release()
+    t = train_and_evaluate(table, CFG.label, CFG.train_fractions, C.FOREST_PARAMS, C.SEED, labels=[1, 2, 3], hash_cols=CFG.dedup_keys,
+                           model_path=scratch_path(spark, "forest"), partitions=FOREST_PARTITIONS)
     return t
 
 
 @register("rf_train_score")
 def q_rf_train_score(spark, sf):
-    """The training script: sqrt-smoothed weights, Bernoulli 0.8 per class with the rest held
-    out (complementary filters, no join), weighted forest (50 trees, depth 12, maxBins 64,
+    """The training script: sqrt-smoothed weights, 0.8 per class with the rest held out
+    (complementary hash filters, no join), weighted forest (50 trees, depth 12, maxBins 64,
     seed 42), weighted F1 and accuracy on the held-out rows."""
     return _train(spark, sf).metrics
 
@@ -738,8 +802,9 @@ def _model_path(spark, sf) -> str:
     if key not in _MODEL_CACHE:
         path = scratch_path(spark, "forest")
         p = _prepared(spark, sf, CFG)
-        train, _ = split(p.frame, CFG.label, CFG.train_fractions, C.SEED, "hash", CFG.dedup_keys)
-        train = sampling.spread(balance.smoothed_weight(train))
+        table = cut_lineage(p.frame.select("features", CFG.label, "class_weight", *CFG.dedup_keys), "train-table")
+        train, _ = split(table, CFG.label, CFG.train_fractions, C.SEED, "hash", CFG.dedup_keys)
+        train = balance.smoothed_weight(train).repartition(FOREST_PARTITIONS, *CFG.dedup_keys)
         m = model.fit_forest(train, CFG.label, C.FOREST_PARAMS, weight="smoothed_weight")
         from ..sources.models import save_model
         save_model(m, path)
@@ -752,7 +817,7 @@ def q_model_roundtrip(spark, sf):
     from ..sources.models import load_forest
     m = load_forest(_model_path(spark, sf))
     p = _prepared(spark, sf, CFG).frame
-    rows = sampling.spread(p.select("l_orderkey", "l_linenumber", "features"))
+    rows = p.select("l_orderkey", "l_linenumber", "features")
     return m.transform(rows).select("l_orderkey", "l_linenumber", "prediction")
 
 

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.balance import smoothed_weight
 from ..operators.model import evaluate, fit_forest, score
-from ..operators.sampling import (anti_join_split, bernoulli_split, hash_split, persist, spread, stratified_sample,
-                                  with_row_id)
+from ..operators.sampling import anti_join_split, bernoulli_split, hash_split, stratified_sample, with_row_id
 from ..operators.stats import crosstab
 from ..sources.models import load_forest, save_model
 
@@ -25,15 +24,15 @@ class Trained:
     test: DataFrame
 
 
-def split(table: DataFrame, label: str, fractions: Mapping, seed: int, method: str = "bernoulli",
+def split(table: DataFrame, label: str, fractions: Mapping, seed: int, method: str = "hash",
           hash_cols: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """``bernoulli`` (default): per-class Bernoulli draw, test = the complement, as two filters
-    over one persisted input (no id, no join, no shuffle).
+    """``hash`` (default): md5 of ``hash_cols`` — the same split on any layout, rerun or engine, as two
+    complementary filters (no id, no join, no shuffle).
     ``anti_join``: ``sampleBy`` + anti join on a row id, literally as the training script
-    (two shuffles of the table). Same distribution of splits; both depend on the layout.
-    ``hash``: md5 of ``hash_cols`` — the same split on any layout, rerun or engine."""
+    (two shuffles of the table); ``bernoulli``: a draw per row. Both depend on the layout and need
+    a plain scan of a written table."""
     if method == "hash":
-        return hash_split(table, label, fractions, hash_cols or table.columns)
+        return hash_split(table, label, fractions, hash_cols or [c for c, t in table.dtypes if t != "vector" and not t.startswith("struct")])
     if method == "bernoulli":
         return bernoulli_split(table, label, fractions, seed)
     t = with_row_id(table)
@@ -43,17 +42,17 @@ def split(table: DataFrame, label: str, fractions: Mapping, seed: int, method: s
 
 
 def train_and_evaluate(table: DataFrame, label: str, fractions: Mapping, params: Mapping, seed: int,
-                       labels: Sequence, method: str = "bernoulli", hash_cols: Sequence[str] | None = None,
-                       weight: str = "class_weight", model_path: str | None = None, smooth: bool = True) -> Trained:
-    """``smooth``: train with sqrt(weight) (the training script) or with the weight itself."""
+                       labels: Sequence, method: str = "hash", hash_cols: Sequence[str] | None = None,
+                       weight: str = "class_weight", model_path: str | None = None, smooth: bool = True,
+                       partitions: int | None = None) -> Trained:
+    """``smooth``: train with sqrt(weight) (the training script) or with the weight itself.
+    ``table`` should be the written training table: the forest reads it once and keeps its own binned
+    copy. Spark ML draws its bootstrap samples per partition, so the trees depend on the partitions of
+    the train rows; ``partitions`` fixes their number (by a hash of the row's columns)."""
     t = smoothed_weight(table, weight, "smoothed_weight") if smooth else table.withColumn("smoothed_weight", table[weight])
-    if method == "bernoulli":
-        # one cached copy: the spread input is persisted by the split, train and test are
-        # narrow filters over it (the forest keeps its own binned copy of train)
-        train, test = split(spread(t), label, fractions, seed, method, hash_cols)
-    else:
-        train, test = split(t, label, fractions, seed, method, hash_cols)
-        train, test = persist(spread(train)), persist(test)
+    train, test = split(t, label, fractions, seed, method, hash_cols)
+    if partitions:
+        train = train.repartition(partitions, *(hash_cols or [label]))
     model = fit_forest(train, label, params, weight="smoothed_weight")
     pred = model.transform(test)
     metrics = evaluate(pred, label)
@@ -64,7 +63,5 @@ def train_and_evaluate(table: DataFrame, label: str, fractions: Mapping, params:
 
 
 def score_job(model_path: str, rows: DataFrame) -> DataFrame:
-    """Load a saved forest and score a table: prediction and one probability per class.
-    Scoring is CPU-bound per row, so a frame with fewer partitions than task slots is
-    spread first (a no-op for large inputs)."""
-    return score(load_forest(model_path), spread(rows))
+    """Load a saved forest and score a table: prediction and one probability per class."""
+    return score(load_forest(model_path), rows)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -54,8 +55,32 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder (never a machine-local temp dir on a cluster)."""
-    return f"{shared_dir(spark)}/sevlab/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared folder (never a machine-local temp dir on a cluster).
+    It is deleted by ``release_scratch``, at the latest when the program ends."""
+    path = f"{shared_dir(spark)}/sevlab/{name}-{uuid.uuid4().hex[:12]}"
+    if not _SCRATCH:
+        atexit.register(_release_at_exit, spark)
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete every scratch folder that this program has made; frames that read them must not be used
+    afterwards. Returns how many there were."""
+    n = 0
+    while _SCRATCH:
+        n += delete_path(spark, _SCRATCH.pop())
+    return n
+
+
+def _release_at_exit(spark: SparkSession) -> None:
+    try:
+        release_scratch(spark)
+    except Exception:  # the JVM may be gone by then; its scratch folder outlives it only in that case
+        _SCRATCH.clear()
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:

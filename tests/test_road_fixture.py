@@ -136,7 +136,7 @@ def test_fit_on_train_marks_rows(spark):
     p = prepare(tb.joined(spark, "/root/testdata/sf0.001"), cfg)
     counts = {r.is_train: r["count"] for r in p.frame.groupBy("is_train").count().collect()}
     assert set(counts) == {True, False} and counts[True] > counts[False]
-    train_total = sum(p.fitted["class_count"].values())
+    train_total = p.fitted["class_weights"].agg({"count": "sum"}).first()[0]
     assert train_total == counts[True]  # weights fitted on the train rows only
 
 
