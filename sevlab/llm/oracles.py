@@ -60,7 +60,7 @@ WITH RECURSIVE tokens AS (
 ), placed AS (
   SELECT *, epoch * tokens + coalesce(sum(n_tokens) OVER (PARTITION BY source, epoch ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spot FROM hashed
 ), blocked AS (
-  SELECT *, CASE WHEN quota > 0 THEN least(CAST(floor(spot::DOUBLE / quota::DOUBLE * blocks::DOUBLE) AS BIGINT), blocks - 1) ELSE 0 END AS block FROM placed WHERE spot < quota OR tokens = 0
+  SELECT *, CASE WHEN quota > 0 THEN least(CAST(floor(spot::DOUBLE / quota::DOUBLE * blocks::DOUBLE) AS BIGINT), blocks - 1) ELSE 0 END AS block FROM placed WHERE spot < quota OR tokens = 0 OR epoch < quota // tokens
 )
 SELECT doc_id, source, n_tokens, CAST(epoch AS INTEGER) AS epoch, CAST(block AS BIGINT) AS block,
   CAST('0x' || md5('17:' || epoch || '/' || block || ':' || coalesce(doc_id::VARCHAR, ''))[1:15] AS BIGINT) AS draw FROM blocked

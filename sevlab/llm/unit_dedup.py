@@ -135,11 +135,12 @@ def repeated_runs(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
 
 def without_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """``docs`` with the runs cut out of the text, and (removed) their original offsets."""
-    spans = repeated_runs(docs, least_words).groupBy(F.col("doc_id").alias("run_id")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
-    joined = docs.join(spans, docs["doc_id"].eqNullSafe(F.col("run_id")), "left")
-    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("spans", lambda s: s["end"]))
-    starts = F.concat(F.transform("spans", lambda s: s["start"]), F.array(F.char_length(docs["text"]).cast("long")))
-    kept = F.zip_with(ends, starts, lambda a, b: F.substring(docs["text"], (a + 1).cast("int"), (b - a).cast("int")))
-    text = F.when(F.col("spans").isNull(), docs["text"]).otherwise(F.concat_ws("", kept))
+    runs = repeated_runs(docs, least_words).groupBy(F.col("doc_id").alias("run_id")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    joined = docs.join(runs, docs["doc_id"].eqNullSafe(runs["run_id"]), "left")
+    spans, whole = runs["spans"], docs["text"]
+    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform(spans, lambda s: s["end"]))
+    starts = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.char_length(whole).cast("long")))
+    kept = F.zip_with(ends, starts, lambda a, b: F.substring(whole, (a + 1).cast("int"), (b - a).cast("int")))
+    text = F.when(spans.isNull(), whole).otherwise(F.concat_ws("", kept))
     columns = [text.alias(c) if c == "text" else docs[c] for c in docs.columns]
-    return joined.select(*columns, F.col("spans").alias(free_name(docs, "removed")))
+    return joined.select(*columns, spans.alias(free_name(docs, "removed")))
