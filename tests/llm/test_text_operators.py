@@ -92,7 +92,7 @@ def units(text):
         begins.append(not i or "\n" in text[words[i - 1][1]:a] or text[words[i - 1][1] - 1] in ".!?" or bool(capital))
     starts = [a for (a, _), b in zip(words, begins, strict=True) if b]
     out = []
-    for a, b in zip(starts, [*starts[1:], len(text) + 1], strict=True):
+    for a, b in zip(starts, [*starts[1:], len(text) + 1], strict=False):
         inside = [i for i, (x, _) in enumerate(normal) if a <= x < b]
         if len(inside) > unit_dedup.LONG:
             return None
