@@ -10,6 +10,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -706,6 +707,11 @@ def q_prepare_drop_approx(spark, sf):
     return _prepared_out(spark, sf, tb.TESTBED_DROP_APPROX)
 
 
+#: The 95 % points of the chi-square distribution for 0 to 14 degrees of freedom (0: never reached).
+CHI_SQUARE_95 = (0.0, 3.841459, 5.991465, 7.814728, 9.487729, 11.070498, 12.591587, 14.067140, 15.507313, 16.918978, 18.307038, 19.675138, 21.026070, 22.362032, 23.684791)
+_CRITICAL = " ".join(f"WHEN {k} THEN {v}" for k, v in enumerate(CHI_SQUARE_95))
+
+
 def _chi_sql(cfg) -> str:
     feats = cfg.encoded_features
     hc = hash_condition_sql(cfg.label, cfg.train_fractions, cfg.dedup_keys)
@@ -719,7 +725,7 @@ def _chi_sql(cfg) -> str:
             " CAST((max(nt.nv) - 1) * (max(nt.ny) - 1) AS INTEGER) AS dof FROM obs JOIN rt USING (feature, v) JOIN ct USING (feature, y)"
             " JOIN nt USING (feature) GROUP BY obs.feature),"
             " fin AS (SELECT feature, CASE WHEN dof = 0 THEN 0.0 ELSE s END AS statistic, dof FROM st)"
-            f" SELECT feature, round(statistic, 6) AS statistic, dof AS degrees_of_freedom,"
+            f" SELECT feature, round(statistic, 6) AS statistic, dof AS degrees_of_freedom, statistic > CASE dof {_CRITICAL} END AS significant,"
             " CAST(row_number() OVER (ORDER BY statistic DESC, feature) AS INTEGER) AS rank FROM fin")
 
 
@@ -728,7 +734,7 @@ def q_chi_square_rank(spark, sf):
     final = _prepared(spark, sf, CFG).frame  # after the outlier step, as the original tests its train rows
     train = sampling.hash_stratified_sample(final, CFG.label, CFG.train_fractions, CFG.dedup_keys)
     r = stats.chi_square(train, CFG.encoded_features, CFG.label)
-    return r.select("feature", F.round("statistic", 6).alias("statistic"), "degrees_of_freedom", "rank")
+    return r.select("feature", F.round("statistic", 6).alias("statistic"), "degrees_of_freedom", (F.col("p_value") < 0.05).alias("significant"), "rank")
 
 
 def _integrate_sql() -> str:
@@ -772,7 +778,7 @@ def q_integrate_csv(spark, sf):
 # ---------------------------------------------------------------- model jobs (no SQL oracle)
 
 FOREST_PARTITIONS = 16  # the bootstrap draws depend on it, so it is fixed
-_MODEL_CACHE: dict[tuple[str, str], str] = {}
+_MODEL_CACHE: dict[tuple[str, str], tuple] = {}  # path and the fitted model
 
 
 def _train(spark, sf):
@@ -784,12 +790,26 @@ def _train(spark, sf):
     return t
 
 
-@register("rf_train_score")
+_TEST_SQL = testbed_ctes(CFG, "kept") + f", test AS (SELECT * FROM kept WHERE NOT {hash_condition_sql(CFG.label, CFG.train_fractions, CFG.dedup_keys)})"
+
+
+@register("rf_train_score", _TEST_SQL + " SELECT count(*) AS test_rows, count(*) AS in_matrix, TRUE AS f1_as_spark, TRUE AS accuracy_as_counts FROM test")
 def q_rf_train_score(spark, sf):
     """The training script: sqrt-smoothed weights, 0.8 per class with the rest held out
     (complementary hash filters, no join), weighted forest (50 trees, depth 12, maxBins 64,
-    seed 42), weighted F1 and accuracy on the held-out rows."""
-    return _train(spark, sf).metrics
+    seed 42). Facts over all held-out rows: how many there are, all of them in the confusion matrix,
+    F1 as Spark's evaluator has it, accuracy as the share of equal labels."""
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    t = _train(spark, sf)
+    pred = cut_lineage(t.predictions.select(CFG.label, "prediction"), "predictions")
+    f1 = MulticlassClassificationEvaluator(labelCol=CFG.label, predictionCol="prediction", metricName="f1").evaluate(pred)
+    ours = model.evaluate(pred, CFG.label).first()
+    matrix = stats.crosstab(pred.withColumn("prediction", F.col("prediction").cast("int")), CFG.label, "prediction", [1, 2, 3])
+    cells = matrix.agg(F.sum(F.col("1") + F.col("2") + F.col("3") + F.col("other"))).first()[0]
+    right = F.avg((F.col(CFG.label) == F.col("prediction")).cast("int"))
+    return pred.agg(F.count(F.lit(1)).alias("test_rows"), F.lit(cells).cast("long").alias("in_matrix"), F.lit(abs(f1 - ours.f1) < 1e-9).alias("f1_as_spark"),
+                    (F.abs(right - F.lit(ours.accuracy)) < 1e-9).alias("accuracy_as_counts"))
 
 
 def model_path(spark, sf) -> str:
@@ -808,25 +828,39 @@ def _model_path(spark, sf) -> str:
         m = model.fit_forest(train, CFG.label, C.FOREST_PARAMS, weight="smoothed_weight")
         from ..sources.models import save_model
         save_model(m, path)
-        _MODEL_CACHE[key] = path
-    return _MODEL_CACHE[key]
+        _MODEL_CACHE[key] = (path, m)
+    return _MODEL_CACHE[key][0]
+
+
+_KEPT_COUNT = testbed_ctes(CFG, "kept") + " SELECT count(*) AS rows, {} FROM kept"
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", _KEPT_COUNT.format("CAST(0 AS BIGINT) AS differences"))
 def q_model_roundtrip(spark, sf):
+    """Predictions of the fitted model and of the one read back, over all rows."""
     from ..sources.models import load_forest
-    m = load_forest(_model_path(spark, sf))
-    p = _prepared(spark, sf, CFG).frame
-    rows = p.select("l_orderkey", "l_linenumber", "features")
-    return m.transform(rows).select("l_orderkey", "l_linenumber", "prediction")
+    path = _model_path(spark, sf)
+    fitted = _MODEL_CACHE[spark.sparkContext.applicationId, sf][1]
+    rows = _prepared(spark, sf, CFG).frame.select("features")
+    both = load_forest(path).transform(fitted.transform(rows).select("features", F.col("prediction").alias("before"), F.col("probability").alias("p")))
+    same = (F.col("before") == F.col("prediction")) & (vector_to_array("p") == vector_to_array("probability"))
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~same).alias("differences"))
 
 
-@register("batch_score")
+@register("batch_score", _KEPT_COUNT.format("count(*) AS sums_to_one, count(*) AS class_0_unused, count(*) AS is_argmax, count(*) AS same_as_vectors"))
 def q_batch_score(spark, sf):
+    """All rows scored by the saved model, as facts: probabilities sum to 1, class 0 has none, the
+    prediction is the greatest one, and vectors made from rows in memory score as the table's do."""
     from .train import score_job
-    p = _prepared(spark, sf, CFG).frame.select("l_orderkey", "l_linenumber", "features")
-    out = score_job(_model_path(spark, sf), p)
-    return out.select("l_orderkey", "l_linenumber", "prediction", *[rnd(f"p_{k}") for k in range(4)])
+    path = _model_path(spark, sf)
+    rows = _prepared(spark, sf, CFG).frame.select("l_orderkey", "l_linenumber", "features")
+    scored = score_job(path, rows)
+    p = [F.col(f"p_{k}") for k in range(4)]
+    sample = rows.orderBy("l_orderkey", "l_linenumber").select("features").first()
+    one = score_job(path, files.rows_to_frame(spark, [(sample.features,)], ["features"])).select("features", F.col("prediction").alias("one")).first()
+    as_vector = (vector_to_array("features") != F.array(*[F.lit(float(x)) for x in sample.features.toArray()])) | (F.col("prediction") == F.lit(one["one"]))
+    return scored.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.abs(p[0] + p[1] + p[2] + p[3] - 1) < 1e-9).alias("sums_to_one"), F.count_if(p[0] == 0).alias("class_0_unused"),
+                      F.count_if(F.element_at(F.array(*p), F.col("prediction").cast("int") + 1) == F.greatest(*p)).alias("is_argmax"), F.count_if(as_vector).alias("same_as_vectors"))
 
 
 # ---------------------------------------------------------------- the profile job
