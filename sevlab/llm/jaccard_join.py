@@ -12,10 +12,12 @@ A document's set holds the 64-bit hashes of its distinct n-word shingles. How th
 3. Blocks with two classes or more are joined by signature trees (signature_trees.py): nodes with
    ORed bitmaps and size ranges, and a dual traversal that prunes by the greatest possible overlap.
    Blocks over ``CELL`` classes are split into cells of pairs of chunks, so no task gets a hot block.
-4. Candidates are checked exactly by intersecting the two sets. The first round checks a spanning
-   forest of each block's candidates; its links merge classes, and the second round checks every
-   remaining candidate between different components. Groups of m copies therefore cost about m
-   checks and not m * m, and no link between components is lost.
+4. Candidates are checked exactly by intersecting the two sets, which are made again from the texts of
+   the candidates alone. The first round checks a spanning forest of the candidates; its links merge
+   classes. The second round takes the blocks that left candidates out, now with the hashes, checks
+   those between different components inside the task, and returns only links that connect two
+   components. So rows grow with the members of a group of near copies, not with its pairs, pairs that
+   links have connected are not checked, and no link between components is lost.
 
 Defined results: null or wordless texts have an empty set and are linked with nothing; texts of
 fewer words than a shingle have the whole sequence as their one shingle; a component's id is its
@@ -28,7 +30,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ from sevlab.llm.components import components
 #: At most so many shingles are put last in the global order; and the bits of their bitmap.
 FREQUENT, FREQUENT_BITS = 1 << 20, 1 << 24
 #: A shingle counts as often in a batch from so many documents of it.
-OFTEN = 3
+OFTEN = 2
 #: Classes of a block that one task joins with each other; larger blocks are split.
 CELL = 2000
 
@@ -108,87 +109,143 @@ def frequent_shingles(docs: DataFrame, n: int) -> np.ndarray:
 
 
 def set_table(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """doc_id, text_hash, n_shingles, set (the digest) and the prefix of each document."""
+    """doc_id, text_hash, n_shingles, set (the digest), prefix and bitmap of each document."""
     mask = np.uint64(FREQUENT_BITS - 1)
 
     def rows(batch: pa.RecordBatch) -> dict:
         bits = np.unpackbits(frequent, bitorder="little")
-        sizes, digests, prefixes = [], [], []
+        sizes, digests, prefixes, bitmaps = [], [], [], []
         for hashes in shingle_sets(batch.column(1), n):
             sizes.append(len(hashes))
             digests.append(digest(hashes) if len(hashes) else None)
             last = bits[hashes & mask].astype(bool)
             ordered = np.concatenate([hashes[~last], hashes[last]])
+            bitmaps.append(signature_trees.bitmap(hashes))
             prefixes.append(ordered[:prefix_length(len(hashes), percent)].view(np.int64) if len(hashes) else np.zeros(0, np.int64))
-        return {"doc_id": batch.column(0), "text_hash": batch.column(2), "n_shingles": sizes, "set": digests, "prefix": prefixes}
+        return {"doc_id": batch.column(0), "text_hash": batch.column(2), "n_shingles": sizes, "set": digests, "prefix": prefixes, "bits": bitmaps}
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    return _arrow(hashed, f"doc_id {kind}, text_hash long, n_shingles long, set long, prefix array<long>", rows)
+    return _arrow(hashed, f"doc_id {kind}, text_hash long, n_shingles long, set long, prefix array<long>, bits binary", rows)
 
 
 def full_sets(docs: DataFrame, n: int) -> DataFrame:
-    """set (the digest), size, bitmap and hashes of each text, a row for each different set."""
+    """set (the digest) and hashes of each text, a row for each different set."""
 
     def rows(batch: pa.RecordBatch) -> dict:
         sets = [h for h in shingle_sets(batch.column(0), n) if len(h)]
-        return {"set": [digest(h) for h in sets], "size": [len(h) for h in sets], "bits": [signature_trees.bitmap(h) for h in sets], "hashes": [h.view(np.int64) for h in sets]}
-
-    return _arrow(docs.select("text"), "set long, size long, bits binary, hashes array<long>", rows).dropDuplicates(["set"])
-
-
-def _block_candidates(percent: int, forest: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    def join(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("set", ignore_index=True)
-        sizes, roots, chunk, sets = (pdf[c].to_numpy() for c in ("size", "root", "chunk", "set"))
-        classes = np.array([signature_trees.width_of(s) for s in sizes])
-        across = pdf["low"].iloc[0] != pdf["high"].iloc[0]
-        out = []
-        for width in np.unique(classes):  # sets that reach the threshold are in the same or the next class of sizes
-            at = np.flatnonzero((classes == width) | (classes == 2 * width))
-            bits = np.stack([signature_trees.folded(pdf["bits"].iloc[k], int(width)) for k in at])
-            i, j = signature_trees.candidates(bits, sizes[at], percent)
-            i, j = at[i], at[j]
-            use = (roots[i] != roots[j]) & ((classes[i] == width) | (classes[j] == width))
-            if across:
-                use &= chunk[i] != chunk[j]
-            out.append(np.stack([i[use], j[use]]))
-        i, j = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+        return {"set": [digest(h) for h in sets], "hashes": [h.view(np.int64) for h in sets]}
+
+    return _arrow(docs.select("text"), "set long, hashes array<long>", rows).dropDuplicates(["set"])
+
+
+def _spanning(i: np.ndarray, j: np.ndarray, linked: Callable[[int], bool] = lambda k: True) -> np.ndarray:
+    """Positions of the linked pairs that join two trees of the forest so far."""
+    parent: dict[int, int] = {}
+    keep = []
+
+    def find(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for k, (x, y) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
+        if (x := find(x)) != (y := find(y)) and linked(k):
+            parent[x] = y
+            keep.append(k)
+    return np.array(keep, np.int64)
+
+
+def _block_candidates(percent: int, forest: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Joins the cells of a partition that is sorted by cell; a cell that goes on in the next batch waits for it.
+    With ``forest`` a spanning forest of the candidates (and the blocks that have more), else one of the
+    links: candidates are checked by their hashes, but for those that links have connected already."""
+    columns = ("h", "low", "high", "set", "root", "chunk", "size")
+
+    def candidates(table: pa.Table) -> pa.RecordBatch:
+        h, low, high, sets, roots, chunk, sizes = (table.column(c).to_numpy() for c in columns)
+        change = np.flatnonzero((np.diff(h) != 0) | (np.diff(low) != 0) | (np.diff(high) != 0)) + 1
+        groups = np.diff(np.concatenate([[0], change, [len(h)]]))
+        bitmaps = signature_trees.Bitmaps(table.column("bits").to_pylist(), sizes.astype(np.int64))
+        i, j = bitmaps.group_pairs(groups, percent)
+        use = (roots[i] != roots[j]) & ((low[i] == high[i]) | (chunk[i] != chunk[j]))
+        i, j = i[use], j[use]
+        # Near copies meet in many blocks: each pair counts once, in its first block here.
+        pairs = np.stack([np.minimum(sets[i], sets[j]), np.maximum(sets[i], sets[j])], axis=1)
+        once = np.sort(np.unique(pairs, axis=0, return_index=True)[1]) if len(pairs) else np.zeros(0, np.int64)
+        i, j = i[once], j[once]
+        again = np.zeros(0, np.int64)
         if forest:
-            keep, parent = [], {}
-
-            def find(x: int) -> int:
-                while parent.setdefault(x, x) != x:
-                    parent[x] = x = parent[parent[x]]
-                return x
-
-            for k, (x, y) in enumerate(zip(roots[i].tolist(), roots[j].tolist(), strict=True)):
-                if (x := find(x)) != (y := find(y)):
-                    parent[x] = y
-                    keep.append(k)
-            i, j = i[keep], j[keep]
-        return pd.DataFrame({"a": sets[i], "b": sets[j]})
+            kept = _spanning(roots[i], roots[j])
+            left_out = np.ones(len(i), bool)
+            left_out[kept] = False
+            again = np.unique(h[i[left_out]])
+        else:
+            hashes = table.column("hashes").chunk(0)
+            offsets, values = hashes.offsets.to_numpy(), hashes.values.to_numpy()
+
+            def linked(k: int) -> bool:
+                a, b = (values[offsets[x]:offsets[x + 1]] for x in (i[k], j[k]))
+                shared = len(np.intersect1d(a, b, assume_unique=True))
+                return 100 * shared >= percent * (len(a) + len(b) - shared)
+
+            kept = _spanning(roots[i], roots[j], linked)
+        i, j = i[kept], j[kept]
+        known = np.concatenate([np.zeros(len(i), bool), np.ones(len(again), bool)])
+        side = lambda x: pa.array(np.concatenate([sets[x], again]), mask=known)
+        return pa.RecordBatch.from_arrays([side(i), side(j), pa.array(np.concatenate([sets[i], again]), mask=~known)], names=["a", "b", "again"])
+
+    def join(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in it:
+            if not batch.num_rows:
+                continue
+            key = [batch.column(c).to_numpy() for c in columns[:3]]
+            last = np.logical_and.reduce([k == k[-1] for k in key])
+            cut = batch.num_rows - int(np.argmin(last[::-1])) if not last.all() else 0
+            if not cut and (not held or all(held[-1].column(c)[-1].as_py() == k[0] for c, k in zip(columns[:3], key, strict=True))):
+                held.append(batch)
+                continue
+            done = pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = [batch.slice(cut)]
+            if done.num_rows:
+                yield candidates(done.combine_chunks())
+        if held:
+            yield candidates(pa.Table.from_batches(held).combine_chunks())
 
     return join
 
 
-def _candidates(postings: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """Pairs of classes in different components that share a block and pass the trees. ``postings``: h, set."""
-    known = postings.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
-    blocks = known.groupBy("h").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("n"))
-    blocks = blocks.filter(F.col("least") != F.col("most")).select("h", F.ceil(F.col("n") / CELL).cast("int").alias("chunks"))
+def _candidates(postings: DataFrame, roots: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): classes that share a block and pass the trees; a spanning forest of them, and (again) the blocks
+    that have more. With ``roots`` and the hashes in ``sets``, links between different components
+    that connect all that can be connected. ``postings``: h, set."""
+    forest = roots is None
+    known = postings.withColumn("root", F.col("set")) if forest else postings.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
+    blocks = known.groupBy("h").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.min("set").alias("lead"), F.count(F.lit(1)).alias("n"))
+    blocks = blocks.filter(F.col("least") != F.col("most")).select("h", "lead", F.ceil(F.col("n") / CELL).cast("int").alias("chunks"))
     rows = known.join(blocks, "h").withColumn("chunk", F.pmod(F.xxhash64("set"), F.col("chunks")).cast("int"))
     cells = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-        "h", "set", "root", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
-    grouped = cells.join(sets.select("set", "size", "bits"), "set").groupBy("h", "low", "high")
-    return grouped.applyInPandas(_block_candidates(percent, forest), "a long, b long").distinct()
+        "h", "lead", "set", "root", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
+    key = ["lead", "low", "high"]  # the blocks of one group of near copies have the same least set
+    sorted_cells = cells.join(sets, "set").repartition(*key).sortWithinPartitions(*key, "h")
+    return sorted_cells.select("h", "low", "high", "root", "chunk", *sets.columns).mapInArrow(_block_candidates(percent, forest), "a long, b long, again long").distinct()
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _different_blocks(postings: DataFrame) -> DataFrame:
+    """One block of all those that hold the same sets (told by their number and two sums of digests):
+    near copies share many shingles, and each pair need be looked at once."""
+    mixed = F.xxhash64("set")
+    blocks = postings.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.sum(mixed.bitwiseAND(2**40 - 1)).alias("x"), F.sum(F.shiftright(mixed, 24)).alias("y"))
+    return postings.join(blocks.groupBy("n", "x", "y").agg(F.min("h").alias("h")).select("h"), "h")
+
+
+def _links(pairs: DataFrame, sets: DataFrame, hashes: DataFrame, percent: int) -> DataFrame:
     """The pairs that do reach the threshold."""
-    side = lambda c: sets.select(F.col("set").alias(c), F.col("size").alias(f"size_{c}"), F.col("hashes").alias(f"hashes_{c}"))
+    whole = hashes.join(sets.select("set", "size"), "set")
+    side = lambda c: whole.select(F.col("set").alias(c), F.col("size").alias(f"size_{c}"), F.col("hashes").alias(f"hashes_{c}"))
     shared = F.size(F.array_intersect("hashes_a", "hashes_b"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", F.col("size_a") + F.col("size_b"), shared.alias("shared")).toDF("a", "b", "sizes", "shared")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", (F.col("size_a") + F.col("size_b")).alias("sizes"), shared.alias("shared"))
     return both.filter(100 * F.col("shared") >= percent * (F.col("sizes") - F.col("shared"))).select("a", "b")
 
 
@@ -197,18 +254,22 @@ def component_table(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
     set), a row for each row of ``docs``."""
     docs = docs.select("doc_id", "text")
     table = written(set_table(docs, n, percent, frequent_shingles(docs, n)), "sets")
-    classes = written(table.filter("n_shingles > 0").select("set", "prefix").dropDuplicates(["set"]), "classes")
-    spread = classes.select("set", F.explode("prefix").alias("h"))
+    spread = table.select("set", F.explode("prefix").alias("h"))
     shared = spread.groupBy("h").agg(F.min("set").alias("least"), F.max("set").alias("most")).filter(F.col("least") != F.col("most")).select("h")
-    postings = written(spread.join(shared, "h"), "postings")  # of blocks with two classes or more
-    one_each = table.join(postings.select("set").distinct(), "set", "left_semi").groupBy("set").agg(F.min("doc_id").alias("id")).select("id").distinct()
-    chosen = docs.join(one_each, docs["doc_id"].eqNullSafe(F.col("id")), "left_semi")
-    sets = written(full_sets(chosen, n), "full-sets")
-
-    none = postings.filter(F.lit(False)).select("set", F.col("set").alias("root"))
-    first = written(_links(_candidates(postings, none, sets, percent, True), sets, percent), "links")
+    common = written(spread.join(shared, "h").distinct(), "common")  # blocks with two classes or more
+    postings = written(_different_blocks(common), "postings")
+    signatures = table.select("set", F.col("n_shingles").alias("size"), "bits").join(postings.select("set").distinct(), "set", "left_semi")
+    sets = written(signatures.dropDuplicates(["set"]), "signatures")
+
+    found = written(_candidates(postings, None, sets, percent), "candidates")
+    pairs = found.filter("again IS NULL").select("a", "b")
+    used = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+    ids = table.join(used, "set", "left_semi").groupBy("set").agg(F.min("doc_id").alias("id")).select("id").distinct()
+    hashes = written(full_sets(docs.join(ids, docs["doc_id"].eqNullSafe(F.col("id")), "left_semi"), n).join(used, "set", "left_semi"), "full-sets")
+    first = written(_links(pairs, sets, hashes, percent), "links")
     roots = written(components(first).toDF("set", "root"), "roots")
-    second = written(_links(_candidates(postings, roots, sets, percent, False), sets, percent), "links")
+    left_out = postings.join(found.filter("again IS NOT NULL").select(F.col("again").alias("h")).distinct(), "h", "left_semi")
+    second = written(_candidates(left_out, roots, sets.join(hashes, "set"), percent).select("a", "b"), "links")
     roots = written(components(first.unionByName(second)).toDF("set", "root"), "roots")
 
     least = table.filter("n_shingles > 0").groupBy("set").agg(F.min("doc_id").alias("least"))
@@ -234,7 +295,8 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     members = rows.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).join(best, "root")
     chosen = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))
     gone = written(members.filter(~chosen | (F.col("n") > 1)).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), chosen.alias("again")), "gone")
-    same = docs["doc_id"].eqNullSafe(F.col("gone_id")) & (F.xxhash64(docs["text"]) == F.col("gone_hash"))
-    repeated = docs.join(gone.filter("again"), same, "left_semi")
-    one = repeated.withColumn(h := free_name(docs, "text_hash"), F.xxhash64("text")).dropDuplicates(["doc_id", h]).drop(h)
+    same = docs["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_hash"])
+    again = gone.filter("again").select(F.col("gone_id").alias("again_id"), F.col("gone_hash").alias("again_hash"))
+    repeated = docs.join(again, docs["doc_id"].eqNullSafe(again["again_id"]) & (F.xxhash64(docs["text"]) == again["again_hash"]), "left_semi")
+    one = repeated.withColumn(h := free_name(docs, "text_hash"), F.xxhash64(docs["text"])).dropDuplicates(["doc_id", h]).drop(h)
     return docs.join(gone, same, "left_anti").unionByName(one)

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 
 FANOUT = 8
-BITS_PER_ELEMENT = 8
+BITS_PER_ELEMENT = 4
 LEAST_WIDTH = 64
 SLICE_WORDS = 1 << 21  # of bitmaps that one step compares at once
 
@@ -30,12 +30,6 @@ def bitmap(hashes: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-def folded(bits: bytes, width: int) -> np.ndarray:
-    """A bitmap as words, ORed down to ``width`` bits."""
-    words = np.frombuffer(bits, np.uint64)
-    return np.bitwise_or.reduce(words.reshape(-1, width // 64), axis=0)
-
-
 @dataclass
 class Level:
     bits: np.ndarray
@@ -67,6 +61,83 @@ def _possible(x: Level, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarra
     return near
 
 
+SMALL = 32  # sets that are leaves of one root
+
+
+def _below(sizes: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of positions inside each run of ``groups`` lengths."""
+    last = np.repeat(np.cumsum(groups), groups)
+    each = last - np.arange(len(sizes)) - 1  # positions after each one in its run
+    i = np.repeat(np.arange(len(sizes)), each)
+    begin = np.cumsum(each) - each
+    return i, i + 1 + np.arange(len(i)) - np.repeat(begin, each)
+
+
+class Bitmaps:
+    """Bitmaps of several widths, one matrix for each width."""
+
+    def __init__(self, raw: list[bytes], sizes: np.ndarray) -> None:
+        self.sizes = sizes
+        self.widths = np.array([8 * len(b) for b in raw], np.int64)
+        self.place = np.zeros(len(raw), np.int64)
+        self.tables: dict[int, np.ndarray] = {}
+        for width in np.unique(self.widths).tolist():
+            at = np.flatnonzero(self.widths == width)
+            self.place[at] = np.arange(len(at))
+            self.tables[width] = np.frombuffer(b"".join(raw[k] for k in at), np.uint64).reshape(len(at), -1)
+
+    def folded(self, at: np.ndarray, width: int) -> np.ndarray:
+        """Rows of one width or twice as wide, ORed down to ``width`` bits."""
+        out = np.empty((len(at), width // 64), np.uint64)
+        same = self.widths[at] == width
+        out[same] = self.tables[width][self.place[at[same]]] if same.any() else 0
+        if not same.all():
+            wide = self.tables[2 * width][self.place[at[~same]]]
+            out[~same] = wide[:, :width // 64] | wide[:, width // 64:]
+        return out
+
+    def reach(self, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+        """Which pairs of rows can reach the threshold."""
+        a, b = self.sizes[i], self.sizes[j]
+        good = (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+        width = np.minimum(self.widths[i], self.widths[j])
+        for w in np.unique(width[good]).tolist():
+            pairs = np.flatnonzero(good & (width == w))
+            step = max(1, SLICE_WORDS * 64 // w)
+            for k in range(0, len(pairs), step):
+                p = pairs[k:k + step]
+                x, y = self.folded(i[p], w), self.folded(j[p], w)
+                excess = np.minimum(*(self.sizes[at[p]] - np.bitwise_count(bits).sum(axis=1).astype(np.int64) for at, bits in ((i, x), (j, y))))
+                shared = np.bitwise_count(x & y).sum(axis=1).astype(np.int64) + excess
+                good[p] = (100 + percent) * shared >= percent * (self.sizes[i[p]] + self.sizes[j[p]])
+        return good
+
+    def pairs(self, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs (i < j) of the rows ``at`` that can reach the threshold, by the trees. Sets that
+        reach it have the same width or the next one."""
+        out = [np.zeros((2, 0), np.int64)]
+        for width in np.unique(self.widths[at]).tolist():
+            near = at[(self.widths[at] == width) | (self.widths[at] == 2 * width)]
+            i, j = candidates(self.folded(near, width), self.sizes[near], percent)
+            use = (self.widths[near[i]] == width) | (self.widths[near[j]] == width)
+            out.append(np.sort(np.stack([near[i[use]], near[j[use]]]), axis=0))
+        i, j = np.concatenate(out, axis=1)
+        return i, j
+
+    def group_pairs(self, groups: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same for runs of rows of the given lengths; small groups are taken together."""
+        begin = np.cumsum(groups) - groups
+        small = groups <= SMALL
+        rows = np.flatnonzero(np.repeat(small, groups))
+        i, j = _below(rows, groups[small])
+        i, j = rows[i], rows[j]
+        good = self.reach(i, j, percent)
+        found = [np.stack([i[good], j[good]])]
+        found += [np.stack(self.pairs(np.arange(begin[g], begin[g] + groups[g]), percent)) for g in np.flatnonzero(~small)]
+        i, j = np.concatenate(found, axis=1)
+        return i, j
+
+
 def candidates(bits: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions (i < j) of all pairs of sets whose bound reaches the threshold."""
     order = np.argsort(sizes, kind="stable")
