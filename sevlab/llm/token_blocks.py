@@ -24,7 +24,9 @@ nulls first, ties by text hash; equal rows follow each other; empty tables give
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -54,8 +56,12 @@ def pack(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> byt
     low = np.minimum.reduceat(ids, starts) if n_blocks else ids[:0]
     rest = ids - low[block]
     counts = np.diff(np.append(starts, len(ids)))
-    ordered = rest[np.lexsort((rest, block))]
-    width = _bit_length(ordered[starts + np.maximum(np.ceil(PERCENTILE * counts).astype(np.int64) - 1, 0)]) if n_blocks else np.zeros(0, np.uint8)
+    width = np.zeros(n_blocks, np.uint8)
+    for at, size in ((slice(0, len(ids) // BLOCK), BLOCK), (slice(len(ids) // BLOCK, n_blocks), len(ids) % BLOCK)):
+        if at.start < at.stop:
+            kth = int(np.ceil(PERCENTILE * size)) - 1
+            values = rest[at.start * BLOCK:at.start * BLOCK + (at.stop - at.start) * size].reshape(-1, size)
+            width[at] = _bit_length(np.partition(values, kth, axis=1)[:, kth])
     patched = rest >= (np.uint64(1) << width.astype(np.uint64))[block]
     n_bytes = (counts * width + 7) // 8
     index = np.concatenate([[0], np.cumsum(n_bytes)]).astype("<u4")
@@ -112,59 +118,69 @@ def unpack(segment: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [None if m else int(d) for d, m in zip(docs, missing, strict=True)], lengths, ids
 
 
-class PieceEncoder:
-    """Ids of UTF-8 texts by a tokenizer whose pieces never cross ASCII white space."""
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level models write for each byte: itself if printable in Latin-1, else the next
+    code points from 256."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return {b: chr(b) if b in plain else chr(next(rest)) for b in range(256)}
+
+
+#: Letters and then signs: two pieces for the tokenizer, whose normal form is the lower case.
+_PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)")
+
+
+class PieceEncoder(dict):
+    """The ids (little-endian uint32) of pieces between ASCII white space, made when first asked for, by a
+    byte-level tokenizer that lower-cases and whose own pieces never cross white space. Plain words and
+    signs go straight to its model, all else through the whole tokenizer."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    @staticmethod
-    def _core(piece: bytes) -> tuple[bytes, bytes]:
-        """A piece that has the same ids, and a sign after it. A sign after a letter is a piece of its
-        own, and the tokenizer lower-cases."""
-        tail = piece[-1:]
-        core = piece[:-1] if tail in (b".", b",") and piece[-2:-1].isalpha() else piece
-        return (core.lower() if core.isascii() else core), (tail if core is not piece else b"")
-
-    def learn(self, pieces: set[bytes]) -> None:
-        if len(self.known) + len(pieces) > KNOWN_PIECES:
-            self.known.clear()
-        new = [(p, *self._core(p)) for p in pieces if p not in self.known]
-        forms = list({f for _, core, tail in new for f in (core, tail) if f})
-        found = {}
-        for k in range(0, len(forms), 20_000):
-            part = forms[k:k + 20_000]
-            for form, e in zip(part, self.tokenizer.encode_batch_fast([f.decode() for f in part], add_special_tokens=False), strict=True):
-                found[form] = np.array(e.ids, "<u4").tobytes()
-        for piece, core, tail in new:
-            self.known[piece] = found[core] + (found[tail] if tail else b"")
-
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        """The ids of each text as little-endian uint32."""
-        split = [t.split() for t in texts]
-        self.learn({p for pieces in split for p in pieces if p not in self.known})
-        get = self.known.__getitem__
-        for pieces in split:
-            yield b"".join(map(get, pieces))
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def _part(self, part: str) -> bytes:
+        found = self.parts.get(part)
+        if found is None:
+            letters = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
+            found = self.parts[part] = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        return found
+
+    def __missing__(self, piece: bytes) -> bytes:
+        text = piece.decode()
+        if m := _PLAIN.fullmatch(text):
+            ids = self._part(m[1].lower()) + self._part(m[2])
+        else:
+            ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        self[piece] = ids
+        return ids
+
+    def encode(self, text: bytes) -> bytes:
+        if len(self) > KNOWN_PIECES:
+            self.clear()
+            self.parts = {"": b""}
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 _encoders: dict[str, PieceEncoder] = {}
 
 
 def _encoded(batches: Iterable[pa.RecordBatch], path: str, end: bytes) -> Iterator[tuple[int | None, bytes]]:
-    """(doc_id, ids) of each row, in runs of texts of a few MB."""
+    """(doc_id, ids) of each row."""
     if path not in _encoders:
         _encoders[path] = PieceEncoder(path)
-    encoder = _encoders[path]
+    encode = _encoders[path].encode
     for batch in batches:
         for k in range(0, batch.num_rows, 256):
             part = batch.slice(k, 256)
-            texts = [t or b"" for t in part.column(1).cast(pa.large_string()).cast(pa.large_binary()).to_pylist()]
-            for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(texts), strict=True):
-                yield doc_id, ids + end
+            texts = part.column(1).cast(pa.large_string()).cast(pa.large_binary()).to_pylist()
+            for doc_id, text in zip(part.column(0).to_pylist(), texts, strict=True):
+                yield doc_id, encode(text or b"") + end
 
 
 def write_segments(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
