@@ -69,6 +69,30 @@ def test_leaks_equal_brute_force(spark):
     assert rows_of(clean, "doc_id") == sorted(((r[0],) for r in rows if r[0] not in bad), key=repr)
 
 
+def test_long_items_equal_common_subsequences_of_whole_texts(spark):
+    """Items of 60 to 1,000 words in documents, whole, with changed words and cut, against the whole text."""
+    rng = random.Random(12)
+    items = [(i, prose(rng, n)) for i, n in enumerate((60, 130, 200, 200, 1000, 1000))]
+    rows = corpus(60, seed=8)
+    for k, (i, item) in enumerate([x for x in items for _ in range(4)]):
+        words = item.split(" ")
+        text = (item, changed(rng, item, len(words) // 5), " ".join(words[len(words) // 5:]), " ".join(words[: len(words) // 2]))[k % 4]
+        rows.append((500 + k, prose(rng, rng.randint(0, 400)) + " " + text + " " + prose(rng, rng.randint(0, 400)), "en", "s", 0))
+    word = lambda t: re.findall(r"[^\W_]+", t.lower())
+    expected = {}
+    for doc_id, text, *_ in rows:
+        for item_id, item in items:
+            i, w = word(item), word(text)
+            answer = i[latent_leaks.answer_start(len(i)):]
+            common, tail = (latent_leaks.longest_common(latent_leaks.positions(x), len(x), w) for x in (i, answer))
+            if 100 * common >= 70 * len(i) and tail >= 0.5 * len(answer):
+                expected[doc_id, item_id] = common
+    found = latent_leaks.leaks(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == set(expected)
+    assert all(0.97 * expected[r.doc_id, r.item_id] <= r.lcs_words <= expected[r.doc_id, r.item_id] for r in found)
+    assert len(expected) >= 18
+
+
 def test_leaks_in_blocks_and_empty(spark, monkeypatch):
     rows, items = leaking_documents()
     benchmark = spark.createDataFrame(items, "item_id long, text string")
