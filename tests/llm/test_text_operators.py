@@ -93,6 +93,17 @@ def test_long_items_equal_common_subsequences_of_whole_texts(spark):
     assert len(expected) >= 18
 
 
+def test_short_items_of_a_full_block_are_all_found(spark):
+    """256 items of six to twelve words in frequent words of one small vocabulary, against each document's own copy."""
+    rng = random.Random(13)
+    vocabulary = prose(rng, 400).lower().replace(".", "").split()
+    draw = lambda n: [vocabulary[int(len(vocabulary) * rng.random() ** 3)] for _ in range(n)]
+    items = [(i, " ".join(draw(rng.choice((6, 8, 12))))) for i in range(latent_leaks.BLOCK_ITEMS)]
+    rows = [(i, " ".join([*draw(rng.randint(0, 150)), item, *draw(rng.randint(0, 150))]), "en", "s", 0) for i, item in items]
+    found = latent_leaks.leaks(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} >= {(i, i) for i, _ in items}
+
+
 def test_leaks_in_blocks_and_empty(spark, monkeypatch):
     rows, items = leaking_documents()
     benchmark = spark.createDataFrame(items, "item_id long, text string")
