@@ -1,14 +1,15 @@
 """Personal data by patterns and a linear-chain conditional random field.
 
-Patterns find the regular forms (email, ip, card, phone). The field labels tokens around digits and @
-signs and so adds what the patterns miss: phone numbers without a country code, spelled-out
+Patterns find the regular forms (email, ip, card, phone). The field labels the tokens of
+the text and so adds what the patterns miss: phone numbers without a country code, spelled-out
 addresses, card-like numbers with a typing error. Its features are word shapes of a token and its neighbours;
 it is trained on the driver from a small labelled table (at most ``MAX_LABELLED`` rows, by gradient ascent
 on the penalised likelihood) and decoded by Viterbi, batch-wise in numpy, inside the tasks.
 
-A token is decoded if a token with a digit or an @ sign stands at most ``REACH`` tokens away; every
-other token is outside any span. So texts without digits and @ signs cost one pass over their bytes. There is
-no shuffle: each row is judged alone, whatever its source or its copies.
+Every token of every text is scored (by classes of tokens with the same features) and the labels are the best path over
+the whole text. Viterbi itself runs only over tokens that can be labelled: where no run of tokens around one can gain
+by labels, whatever they are, the best path has it outside any span (``_may_be_inside``), so the result is that
+of whole texts. There is no shuffle: each row is judged alone, whatever its source or its copies.
 
 Defined results: null and empty texts have no span; a span of the field that overlaps a pattern's is dropped;
 offsets are code points, the end exclusive; equal texts get equal spans; empty tables give empty results.
@@ -31,12 +32,11 @@ from sevlab.llm import bytescan as scan
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *[f"{p}-{k}" for k in KINDS for p in "BI"])
-REACH = 3
 MAX_LABELLED = 2000
+MAX_SEEN = 1 << 19  # distinct tokens whose class a task keeps
 SMOOTHING = 0.02
 BATCH_TOKENS = 1 << 15  # that Viterbi takes at once, padding included; a longer sequence goes alone
 DIGIT, AT, PLUS = (scan.byte_set(s) for s in (b"0123456789", b"@", b"+"))
-TRIGGER = scan.byte_set(b"0123456789@")
 
 # A run of the first class is consumed whole even if the rest fails: no later start inside it can match.
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]++(@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)?")
@@ -131,18 +131,22 @@ class Field:
         return np.array([self.weights[a].sum(axis=0) for a in at]).reshape(len(words), len(LABELS))
 
     def decode(self, sequences: list[list[str]]) -> list[list[int]]:
-        """The best labels of each sequence; sequences of like length go through Viterbi together."""
-        out: list[list[int]] = [[] for _ in sequences]
+        """The best labels of each sequence."""
+        return self.paths([self.scores(s) for s in sequences])
+
+    def paths(self, scores: list[np.ndarray]) -> list[list[int]]:
+        """The best labels of scored sequences; those of like length go through Viterbi together."""
+        out: list[list[int]] = [[] for _ in scores]
         parts: list[list[int]] = [[]]
-        for i in sorted((i for i, s in enumerate(sequences) if s), key=lambda i: len(sequences[i])):
-            if (len(parts[-1]) + 1) * len(sequences[i]) > BATCH_TOKENS:
+        for i in sorted((i for i, s in enumerate(scores) if len(s)), key=lambda i: len(scores[i])):
+            if (len(parts[-1]) + 1) * len(scores[i]) > BATCH_TOKENS:
                 parts.append([])
             parts[-1].append(i)
         for part in filter(None, parts):
-            lengths = np.array([len(sequences[i]) for i in part])
+            lengths = np.array([len(scores[i]) for i in part])
             emit = np.zeros((len(part), lengths.max(), len(LABELS)))
             for row, i in enumerate(part):
-                emit[row, :lengths[row]] = self.scores(sequences[i])
+                emit[row, :lengths[row]] = scores[i]
             best = self.first + emit[:, 0]
             back = np.zeros(emit.shape, np.int64)
             for t in range(1, emit.shape[1]):
@@ -224,6 +228,10 @@ SENTENCES = (
     "version 1.2.3 of the program", "on 2021-03-04 at 10:30", "about 3,000,000 people", "a score of 17 to 3", "rooms 101 and 102", "In 2019 the 5 largest of 120 firms made 33.5 % more",
     'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" of the', "key 2abc3ff2ca8fb1e4c565a0eb63815530a948bdde was", "commit 9c8b45435718dcc700c184a7e303cdc64c6a8f7f", "order 48213 of item 77", "see section 4.2 and table 7",
     "from 1914 to 1918 the war", "the @ sign", "the 3rd of 4 parts", "call it a day at 5", "the card game of 52 cards", "write 100 lines", "on line 250 of 300", "id 20384756 was closed",
+    # Texts without digits and @ signs, so that signs between plain words are not taken for spelled-out addresses.
+    "home | news | sport | about us | help", "Next | Last | First. | more words | and others | here", "- one - two - three", "the * of # a $ or % in & by < to > we",
+    "a a a a a b b b at at at. at. at.", "Plain words of a text that names nobody and has no sign at all.", "They met at the house, and the dot on the map was small; it was so. Nobody looked at it again.",
+    "und so weiter und die der das | von | mit", "señor añadió | está | él, ésta école | été", "the com of net and org dot",
 )
 EXAMPLES = {
     "email": ("anna.bell@example.com", "19@mail5.example.com", "j_smith99@post.example.org", "anna [at] example.com", "info (at) firm.example.net", "tom@example", "bob.ray at example dot com", "x.y@mail.co"),
@@ -276,57 +284,123 @@ def fit(table: DataFrame, max_rows: int = MAX_LABELLED) -> Field:
     return train([x for x in (sequence(t, s) for t, s in rows) if x[0]])
 
 
-def _segments(text: str) -> list[list[tuple[int, int]]]:
-    """Runs of tokens near a digit or an @ sign. Only the neighbourhood of each is split into tokens."""
-    out: list[list[tuple[int, int]]] = []
-    done = 0
-    for m in re.finditer(r"[0-9@]", text):
-        if m.start() < done:
-            continue
-        low = m.start()
-        for _ in range(REACH + 1):  # token starts before the sign
-            while low > 0 and not text[low - 1].isspace():
-                low -= 1
-            if _ < REACH:
-                while low > 0 and text[low - 1].isspace():
-                    low -= 1
-        low = max(low, done)
-        high, left = m.start(), REACH
-        while high < len(text):
-            token = _TOKEN.search(text, high)
-            if token is None:
-                high = len(text)
-                break
-            high = token.end()
-            if re.search(r"[0-9@]", token[0]):
-                left = REACH
-            elif not left:
-                high = token.start()
-                break
-            else:
-                left -= 1
-        segment = tokens(text, low, high)
-        if out and low <= done:
-            out[-1] += segment
+class _Scorer:
+    """The field's scores of many tokens at once. What a token's own features add is looked up by the token; what its
+    neighbours add comes from small tables over the shapes and words that the field knows (number 0: all others)."""
+
+    def __init__(self, field: Field) -> None:
+        self.field, n_labels = field, len(LABELS)
+        named = {k: [f[len(k) + 1:] for f in field.index if f.startswith(f"{k}=")] for k in ("p", "q", "pw", "ps", "sq")}
+        cuts = {x: [(x[:i], x[i + 1:]) for i, c in enumerate(x) if c == "/"] for k in ("ps", "sq") for x in named[k]}  # shapes may hold the sign, too
+        self.shapes = {x: i for i, x in enumerate(sorted({"^", "$", *named["p"], *named["q"], *(y for c in cuts.values() for pair in c for y in pair)}), 1)}
+        self.lower = {x: i for i, x in enumerate(sorted({"^", *named["pw"]}), 1)}
+        n = len(self.shapes) + 1
+        self.before, self.after, self.word_before = np.zeros((n, n_labels)), np.zeros((n, n_labels)), np.zeros((len(self.lower) + 1, n_labels))
+        for table, key, numbers in ((self.before, "p", self.shapes), (self.after, "q", self.shapes), (self.word_before, "pw", self.lower)):
+            for x in named[key]:
+                table[numbers[x]] = field.weights[field.index[f"{key}={x}"]]
+        self.pairs = {k: np.full((n, n), -1) for k in ("ps", "sq")}
+        for k, table in self.pairs.items():
+            for x in named[k]:
+                for left, right in cuts[x]:
+                    table[self.shapes[left], self.shapes[right]] = field.index[f"{k}={x}"]
+        self.known = {f.split("=", 1)[1] for f in field.index if f.startswith(("w=", "pw="))}
+        self._clear()
+
+    def _clear(self) -> None:
+        self.seen: dict[str, int] = {}  # the class of each token
+        self.classes: dict[tuple, int] = {}  # what tokens of like features have in common
+        self.own, self.kinds = np.zeros((1024, len(LABELS))), np.zeros((1024, 2), np.int64)
+
+    def _new(self, raw: str) -> int:
+        word = raw.lstrip(_EDGE).rstrip(_EDGE + ".") or raw  # as in tokens
+        alpha = word.isalpha()
+        lower = word.lower() if alpha and len(word) < 12 else "-"
+        lower = lower if lower in self.known else None
+        if alpha and word.isascii() and (word.islower() or word[1:].islower() or word.isupper()):
+            key = ("a" if word.islower() else "A" if word.isupper() else "Aa" if word[0].isupper() else "a", lower)
         else:
-            out.append(segment)
-        done = max(high, m.end())
-    return out
+            key = (shape(word), lower, _amount(word), "@" in word, word.count("."), any(map(str.isdigit, word)), alpha)
+        i = self.classes.get(key)
+        if i is None:
+            i, index = len(self.classes), self.field.index
+            if i == len(self.own):
+                self.own, self.kinds = (np.concatenate([x, np.zeros_like(x)]) for x in (self.own, self.kinds))
+            mine = [index[f] for f in features([word])[0] if f in index and not f.startswith(("p=", "q=", "pw=", "ps=", "sq="))]
+            self.own[i] = self.field.weights[mine].sum(axis=0)
+            self.kinds[i] = self.shapes.get(shape(word), 0), self.lower.get(lower, 0)
+            self.classes[key] = i
+        self.seen[raw] = i
+        return i
+
+    def scores(self, raw: list[str], first: np.ndarray) -> np.ndarray:
+        """A row for each token of the texts whose first tokens' numbers are given (no text is without tokens)."""
+        if len(self.seen) > MAX_SEEN:
+            self._clear()
+        get, new = self.seen.get, self._new
+        number = np.array([i if (i := get(w)) is not None else new(w) for w in raw])
+        mine, lower = self.kinds[number].T
+        left, right, word = np.roll(mine, 1), np.roll(mine, -1), np.roll(lower, 1)
+        left[first], word[first] = self.shapes["^"], self.lower["^"]
+        right[np.append(first[1:], len(raw)) - 1] = self.shapes["$"]
+        out = self.own[number] + self.before[left] + self.after[right] + self.word_before[word]
+        for index in (self.pairs["ps"][left, mine], self.pairs["sq"][mine, right]):
+            some = np.flatnonzero(index >= 0)
+            out[some] += self.field.weights[index[some]]
+        return out
 
 
-def field_spans(field: Field, texts: list[str]) -> list[list[Span]]:
+def _may_be_inside(field: Field, scores: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Which tokens the best paths of the texts can label. If a run of labelled tokens is put outside, a path loses at
+    most the sum of ``gain`` over the run and ``close``; a token around which every run's sum is below nothing
+    is outside."""
+    gain = (scores + field.moves.max(axis=0))[:, 1:].max(axis=1) - scores[:, 0] - field.moves[0, 0]
+    gain[first] = (scores[first] + field.first)[:, 1:].max(axis=1) - scores[first, 0] - field.first[0]
+    close = max(0.0, float(field.moves[1:, 0].max() - field.moves[0, 0]))
+    row = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(gain))))
+    total = np.concatenate([[0.0], np.cumsum(gain)])
+    start, end = total[:-1] - total[first][row], total[1:] - total[first][row]
+    apart = row * (2 * max(np.abs(start).max(), np.abs(end).max()) + 1)  # so that no run crosses texts
+    lowest = np.minimum.accumulate(start - apart) + apart
+    highest = np.maximum.accumulate((end - apart)[::-1])[::-1] + apart
+    return highest - lowest + close > -0.01
+
+
+def field_spans(field: Field, texts: list[str], scorer: _Scorer | None = None) -> list[list[Span]]:
     """What the field labels in each text."""
-    found = [_segments(t) for t in texts]
-    flat = [(i, s) for i, segments in enumerate(found) for s in segments]
-    paths = field.decode([[texts[i][a:b] for a, b in s] for i, s in flat])
     out: list[list[Span]] = [[] for _ in texts]
-    for (i, segment), path in zip(flat, paths, strict=True):
-        for (a, b), label in zip(segment, path, strict=True):
+    split = [t.split() for t in texts]
+    used = [i for i, s in enumerate(split) if s]
+    if not used:
+        return out
+    counts = np.array([len(split[i]) for i in used])
+    first = np.cumsum(counts) - counts
+    scores = (scorer or _Scorer(field)).scores([w for i in used for w in split[i]], first)
+    inside = _may_be_inside(field, scores, first)
+    begins, finals = np.zeros(len(inside), bool), np.zeros(len(inside), bool)
+    begins[first], finals[first + counts - 1] = True, True
+    low = np.flatnonzero(inside & (begins | ~np.roll(inside, 1)))
+    high = np.flatnonzero(inside & (finals | ~np.roll(inside, -1))) + 1
+    segments = []
+    for a, b in zip(low.tolist(), high.tolist(), strict=True):
+        part = scores[a:b].copy()  # between tokens that are outside
+        if not begins[a]:
+            part[0] += field.moves[0] - field.first
+        if not finals[b - 1]:
+            part[-1] += field.moves[:, 0]
+        segments.append(part)
+    spots: dict[int, list[tuple[int, int]]] = {}
+    for a, r, path in zip(low.tolist(), (np.searchsorted(first, low, "right") - 1).tolist(), field.paths(segments), strict=True):
+        if not any(path):
+            continue
+        i = used[r]
+        at = spots.get(i) or spots.setdefault(i, tokens(texts[i]))
+        for (x, y), label in zip(at[a - first[r]:], path, strict=False):
             kind = (label - 1) // 2
             if label and label % 2:
-                out[i].append((a, kind, b))
+                out[i].append((x, kind, y))
             elif label and out[i]:
-                out[i][-1] = (out[i][-1][0], kind, b)
+                out[i][-1] = (out[i][-1][0], kind, y)
     return out
 
 
@@ -344,14 +418,15 @@ def find(docs: DataFrame, field: Field | None = None) -> DataFrame:
     field = field or fit(labelled_table(docs.sparkSession))
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(field)
         for batch in it:
             base: list[list[Span]] = [[] for _ in range(batch.num_rows)]
             every: list[list[Span]] = [[] for _ in range(batch.num_rows)]
             for first, _, data, offsets in scan.chunks(batch.column(1)):
                 has = {k: scan.per_row(t[data], offsets) > 0 for k, t in (("at", AT), ("digit", DIGIT), ("plus", PLUS))}
-                rows = np.flatnonzero(has["at"] | has["digit"])
+                rows = np.flatnonzero(np.diff(offsets))
                 texts = [data[offsets[r]:offsets[r + 1]].tobytes().decode() for r in rows]
-                for r, text, more in zip(rows, texts, field_spans(field, texts), strict=True):
+                for r, text, more in zip(rows, texts, field_spans(field, texts, scorer), strict=True):
                     base[first + r] = base_spans(text, has["at"][r], has["digit"][r], has["plus"][r])
                     every[first + r] = merged(base[first + r], more)
             counts = [pa.array([sum(s[1] == k for s in b) for b in base], pa.int64()) for k in range(len(KINDS))]

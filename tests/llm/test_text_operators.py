@@ -250,6 +250,28 @@ def test_personal_data_query(spark):
         crf_pii.fit(crf_pii.labelled_table(spark), max_rows=10)
 
 
+def test_spelled_out_addresses_in_texts_without_digits(spark):
+    texts = ["write to anna [at] example.com for more", "please contact bob.ray at example dot com about it", "mail info (at) firm.example.net please", "no address | in here | at all", " \n"]
+    got = {r.doc_id: r.spans for r in crf_pii.find(frame(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)]), field()).collect()}
+    assert got == {0: "email:9:30", 1: "email:15:41", 2: "email:5:31", 3: "", 4: ""}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["call", "at", "[at]", "(at)", "dot", "com", "a.b", "Anna,", "|", "x@y", "555-0142", "12", "the", "é.", "write", "to", "^", "..", "mail", "v.1/2"]), max_size=25), min_size=1, max_size=4))
+def test_field_equals_viterbi_over_whole_texts(lists):
+    texts = [" ".join(x) for x in lists]
+    expected = []
+    for text in texts:
+        at, out = crf_pii.tokens(text), []
+        for (a, b), label in zip(at, field().decode([[text[a:b] for a, b in at]])[0], strict=True):
+            if label and label % 2:
+                out.append((a, (label - 1) // 2, b))
+            elif label:
+                out[-1] = (out[-1][0], out[-1][1], b)
+        expected.append(out)
+    assert crf_pii.field_spans(field(), texts) == expected
+
+
 def spans(text):
     out = []
     for rank, r in enumerate(blob_ledger.RULES):
