@@ -137,3 +137,74 @@ WITH units AS (
 SELECT doc_id, CAST(line AS INTEGER) AS line, s.license, CAST(max(2000 * shared // (n + m)) AS INTEGER) AS dice_permille
 FROM scored s JOIN sizes USING (doc_id, line) JOIN template_sizes k ON k.id = s.id WHERE 200 * shared >= {PERCENT} * (n + m) GROUP BY doc_id, line, s.license
 """
+
+#: All products of anchors and rows; the first five of each label side by window functions.
+OP11 = """
+WITH r AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.rid, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.rid <> b.rid WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT rid, anchor_id, vec_id, score, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id NULLS LAST) AS k FROM s WHERE same QUALIFY k <= 5
+), n AS (
+  SELECT p.rid, p.k, p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.rid, p.k ORDER BY s.score DESC, s.vec_id NULLS LAST) AS rank
+  FROM p JOIN s ON s.rid = p.rid AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score QUALIFY rank <= 5
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n
+"""
+
+#: The checksum as in OP4; the repair row by row, the least (cost, audit) of each phase of the grammar kept.
+OP13 = """
+WITH RECURSIVE bits AS (
+  SELECT range AS i, list_reduce(list_prepend(range::BIGINT, [0,1,2,3]::BIGINT[]), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(16)
+), crc AS (
+  SELECT list(v ORDER BY i) AS t FROM bits
+), keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))) AS h FROM conversations
+), kinds AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(h)), lambda i: instr('123456789ABCDEF', h[i + 2 - 2 * (i % 2)])::BIGINT)),
+    lambda c, x: xor(c >> 4, t[(xor(c, x) & 15) + 1])), 4294967295) % 20 AS kind FROM keyed, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM kinds WHERE kind <> 0
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen FROM damaged
+), judged AS (
+  SELECT *, left(role, 1) AS initial, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' ELSE '' END AS fault,
+    i > 1 AND lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) NOT IN ('su', 'ua', 'au') AS illegal FROM numbered
+), facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+    count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE illegal) AS illegal, count(*) AS n
+  FROM judged GROUP BY conv_id
+), moves(phase, inserted, target) AS (
+  VALUES ('', '', 's'), ('', '', 'u'), ('', 'u', 'a'), ('s', '', 'u'), ('s', 'u', 'a'), ('u', '', 'a'), ('u', 'a', 'u'), ('a', '', 'u'), ('a', 'u', 'a'),
+    ('', '', NULL), ('s', '', NULL), ('u', '', NULL), ('a', '', NULL)
+), walk AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, '' AS phase, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS turns FROM conversations
+  UNION ALL
+  SELECT conv_id, i, phase, cost, audit, turns FROM (
+    SELECT w.conv_id, r.i, coalesce(m.target, w.phase) AS phase,
+      w.cost + CASE WHEN m.target IS NULL THEN 2 ELSE 5 * len(m.inserted) + CASE WHEN r.initial = m.target THEN 0 ELSE 1 END + CASE WHEN r.fault = 'truncated' THEN 5 ELSE 0 END END AS cost,
+      w.audit || CASE WHEN m.target IS NULL THEN 'D' ELSE repeat('I', len(m.inserted)) || CASE WHEN r.initial = m.target THEN 'K' ELSE 'R' END END AS audit,
+      CASE WHEN m.target IS NULL THEN w.turns ELSE list_concat(list_concat(w.turns, CASE m.inserted WHEN 'u' THEN ['user:'] WHEN 'a' THEN ['assistant:'] ELSE []::VARCHAR[] END),
+        [CASE WHEN r.initial = m.target THEN r.role WHEN m.target = 'u' THEN 'user' ELSE 'assistant' END || ':' || r.text]) END AS turns
+    FROM walk w JOIN judged r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1 JOIN moves m ON m.phase = w.phase
+    WHERE m.target IS NULL OR (r.fault NOT IN ('blank', 'duplicate') AND (m.target <> 's' OR r.initial = 's')))
+  QUALIFY row_number() OVER (PARTITION BY conv_id, phase ORDER BY cost, audit) = 1
+), ended AS (
+  SELECT w.conv_id, w.i, cost + 5 * len(rest) AS cost, audit || repeat('I', len(rest)) AS audit,
+    list_concat(turns, CASE rest WHEN 'a' THEN ['assistant:'] WHEN 'ua' THEN ['user:', 'assistant:'] ELSE []::VARCHAR[] END) AS turns
+  FROM walk w JOIN (VALUES ('', ''), ('s', 'ua'), ('u', 'a'), ('a', '')) e(phase, rest) ON e.phase = w.phase
+)
+SELECT e.conv_id, CAST(coalesce(f.gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(f.blank, 0) AS BIGINT) AS blank, CAST(coalesce(f.duplicate, 0) AS BIGINT) AS duplicate,
+  CAST(coalesce(f.truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(f.illegal, 0) AS BIGINT) AS illegal, CAST(e.cost AS BIGINT) AS cost, e.audit, sha256(array_to_string(e.turns, chr(10))) AS repaired_sha256
+FROM ended e LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM e.conv_id
+WHERE e.i = coalesce(f.n, 0)
+QUALIFY row_number() OVER (PARTITION BY e.conv_id ORDER BY e.cost, e.audit) = 1
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sevlab.llm import blob_ledger, crf_pii, jaccard_join, jump_shards, latent_leaks, license_templates, mcd_rules, oracles, temperature_mix, token_blocks, unit_dedup
+from sevlab.llm import blob_ledger, crf_pii, jaccard_join, jump_shards, latent_leaks, license_templates, mcd_rules, oracles, piece_codec, slot_negatives, temperature_mix, token_blocks, turn_repair, unit_dedup
 from sevlab.llm.common import documents
 
 
@@ -57,6 +57,24 @@ def op10_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_templates.scan(documents(spark, sf_dir))
 
 
+def op11_slot_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return slot_negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+#: The model file of op12.
+PIECE_FILE = "piece_bpe_32k.model"
+
+
+def op12_piece_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return piece_codec.round_trips(documents(spark, sf_dir), piece_codec.read_model(public_tokenizers.path(PIECE_FILE)))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.audits(turn_repair.damage(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mcd_quality": op1_mcd_quality,
     "op2_latent_leaks": op2_latent_leaks,
@@ -68,6 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_blob_ledger": op8_blob_ledger,
     "op9_signature_join": op9_signature_join,
     "op10_license_dice": op10_license_dice,
+    "op11_slot_negatives": op11_slot_negatives,
+    "op12_piece_rounds": op12_piece_rounds,
+    "op13_turn_repair": op13_turn_repair,
 }
 ORACLES: dict[str, str] = {
     "op4_jump_shards": oracles.OP4,
@@ -75,4 +96,6 @@ ORACLES: dict[str, str] = {
     "op8_blob_ledger": oracles.op8(),
     "op9_signature_join": oracles.OP9,
     "op10_license_dice": oracles.op10(),
+    "op11_slot_negatives": oracles.OP11,
+    "op13_turn_repair": oracles.OP13,
 }
