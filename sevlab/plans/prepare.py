@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from typing import Any
+from typing import Any, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
@@ -30,6 +30,7 @@ from ..functions import bin_by_ranges
 from ..operators.balance import attach
 from ..operators.clean import dedup, drop_nulls, fill_values, fit_medians_and_modes, sentinels_to_null
 from ..operators.features import assembler, string_indexer
+from ..operators.forest import row_key
 from ..operators.outliers import domain_filter, drop_outside, fences, fit_iqr_bounds, flag_outliers
 from ..session import scratch_path
 from ..sources.files import read_parquet, write_parquet
@@ -186,9 +187,10 @@ def prepare(df: DataFrame, cfg: PrepConfig, base_path: str | None = None) -> Pre
     return Prepared(final, fitted, indexer, stages, base_path if own_copy else None)
 
 
-def training_table(prepared: DataFrame, label: str) -> DataFrame:
-    """The compact model input: features, label, class weight."""
-    return prepared.select("features", label, "class_weight")
+def training_table(prepared: DataFrame, label: str, keys: Sequence[str]) -> DataFrame:
+    """The compact model input: features, label, class weight and ``row_key``, a hash of the ``keys`` that tell
+    rows apart, on which the train/test split and the forest's bootstrap draws stand."""
+    return prepared.select("features", label, "class_weight", row_key(*keys).alias("row_key"))
 
 
 def prepare_job(df: DataFrame, cfg: PrepConfig, out_dir: str) -> Prepared:
@@ -196,6 +198,6 @@ def prepare_job(df: DataFrame, cfg: PrepConfig, out_dir: str) -> Prepared:
     (``clean`` and ``train``; not nested, so overwriting one never deletes the other)."""
     p = prepare(df, cfg)
     write_parquet(p.frame, f"{out_dir}/clean")
-    write_parquet(training_table(read_parquet(df.sparkSession, f"{out_dir}/clean"), cfg.label), f"{out_dir}/train")
+    write_parquet(training_table(read_parquet(df.sparkSession, f"{out_dir}/clean"), cfg.label, cfg.dedup_keys), f"{out_dir}/train")
     p.release()  # both outputs are written; the scratch copy is no longer read
     return p

@@ -7,6 +7,7 @@ order by the two engines)."""
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from typing import Callable
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import bin_by_ranges, hour_of, parse_date, remap
-from ..operators import balance, clean, features, model, outliers, quantiles, sampling, stats
+from ..operators import balance, clean, features, forest, model, outliers, quantiles, sampling, stats
 from ..session import scratch_path
 from ..sources import files
 from . import integrate as integ
@@ -25,8 +26,9 @@ from .correlate import correlate
 from .oracle_sql import (
     CASUALTY_SQL, JOINED_COLS, JOINED_SQL, R, SEVERITY_SQL, hash_condition_sql, lit, prepared_select_sql, testbed_ctes,
 )
-from .prepare import NUM_SCALED, cut_lineage, prepare
-from .train import split, train_and_evaluate
+from .forest_sql import forest_sql
+from .prepare import NUM_SCALED, cut_lineage, prepare, training_table
+from .train import fit, split, train_and_evaluate
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -777,41 +779,58 @@ def q_integrate_csv(spark, sf):
 
 # ---------------------------------------------------------------- model jobs (no SQL oracle)
 
-FOREST_PARTITIONS = 16  # the bootstrap draws depend on it, so it is fixed
 _MODEL_CACHE: dict[tuple[str, str], tuple] = {}  # path and the fitted model
+_ROW_KEY_SQL = "('0x' || substr(md5(concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in CFG.dedup_keys) + ")), 1, 15))::BIGINT"
+_IN_TRAIN = hash_condition_sql(CFG.label, CFG.train_fractions, ["row_key"])
 
 
-def _train(spark, sf):
+def _training_table(spark, sf) -> DataFrame:
+    """What the prepare job writes for training: features, label, class weight, row key."""
     p = _prepared(spark, sf, CFG)
-    table = cut_lineage(p.frame.select("features", CFG.label, "class_weight", *CFG.dedup_keys), "train-table")
+    table = cut_lineage(training_table(p.frame, CFG.label, CFG.dedup_keys), "train-table")
     p.release()
-    t = train_and_evaluate(table, CFG.label, CFG.train_fractions, C.FOREST_PARAMS, C.SEED, labels=[1, 2, 3], hash_cols=CFG.dedup_keys,
-                           model_path=scratch_path(spark, "forest"), partitions=FOREST_PARTITIONS)
-    return t
+    return table
 
 
-_TEST_SQL = testbed_ctes(CFG, "kept") + f", test AS (SELECT * FROM kept WHERE NOT {hash_condition_sql(CFG.label, CFG.train_fractions, CFG.dedup_keys)})"
+_TEST_SQL = testbed_ctes(CFG, "kept") + f", keyed AS (SELECT *, {_ROW_KEY_SQL} AS row_key FROM kept), test AS (SELECT * FROM keyed WHERE NOT {_IN_TRAIN})"
 
 
-@register("rf_train_score", _TEST_SQL + " SELECT count(*) AS test_rows, count(*) AS in_matrix, TRUE AS f1_as_spark, TRUE AS accuracy_as_counts FROM test")
+@register("rf_train_score", _TEST_SQL + " SELECT count(*) AS test_rows, " + ", ".join(f"count(*) FILTER (WHERE {CFG.label} = {k}) AS test_{k}" for k in (1, 2, 3))
+          + ", count(*) AS in_matrix, TRUE AS f1_as_spark, TRUE AS accuracy_as_counts FROM test")
 def q_rf_train_score(spark, sf):
-    """The training script: sqrt-smoothed weights, 0.8 per class with the rest held out
-    (complementary hash filters, no join), weighted forest (50 trees, depth 12, maxBins 64,
-    seed 42). Facts over all held-out rows: how many there are, all of them in the confusion matrix,
-    F1 as Spark's evaluator has it, accuracy as the share of equal labels."""
+    """The training job on the training table (features, label, weight, row key): sqrt-smoothed weights, 0.8
+    per class with the rest held out (complementary hash filters, no join), weighted forest (50 trees, depth
+    12, maxBins 64, seed 42). Facts over all held-out rows: how many there are of each class, all of them in
+    the confusion matrix, F1 as Spark's evaluator has it, accuracy as the share of equal labels."""
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 
-    t = _train(spark, sf)
+    t = train_and_evaluate(_training_table(spark, sf), CFG.label, CFG.train_fractions, C.FOREST_PARAMS, C.SEED, labels=[1, 2, 3], model_path=scratch_path(spark, "forest"))
     pred = cut_lineage(t.predictions.select(CFG.label, "prediction"), "predictions")
     f1 = MulticlassClassificationEvaluator(labelCol=CFG.label, predictionCol="prediction", metricName="f1").evaluate(pred)
     ours = model.evaluate(pred, CFG.label).first()
     matrix = stats.crosstab(pred.withColumn("prediction", F.col("prediction").cast("int")), CFG.label, "prediction", [1, 2, 3])
     cells = matrix.agg(F.sum(F.col("1") + F.col("2") + F.col("3") + F.col("other"))).first()[0]
     right = F.avg((F.col(CFG.label) == F.col("prediction")).cast("int"))
-    return pred.agg(F.count(F.lit(1)).alias("test_rows"), F.lit(cells).cast("long").alias("in_matrix"), F.lit(abs(f1 - ours.f1) < 1e-9).alias("f1_as_spark"),
+    return pred.agg(F.count(F.lit(1)).alias("test_rows"), *[F.count_if(F.col(CFG.label) == k).alias(f"test_{k}") for k in (1, 2, 3)],
+                    F.lit(cells).cast("long").alias("in_matrix"), F.lit(abs(f1 - ours.f1) < 1e-9).alias("f1_as_spark"),
                     (F.abs(right - F.lit(ours.accuracy)) < 1e-9).alias("accuracy_as_counts"))
 
 
+SMALL_FOREST = {"numTrees": 4, "maxDepth": 2, "maxBins": 64, "seed": C.SEED}
+_FEATURES = [*CFG.numeric, *CFG.encoded_features]
+
+
+@register("forest_by_row_hash", forest_sql(
+    testbed_ctes(CFG), "final", _FEATURES, CFG.label, _ROW_KEY_SQL, "sqrt(class_weight)", _IN_TRAIN,
+    SMALL_FOREST["numTrees"], SMALL_FOREST["seed"], math.ceil(math.sqrt(len(_FEATURES))), [1, 2, 3]))
+def q_forest_by_row_hash(spark, sf):
+    """All nodes of a small forest on the training rows: cuts and weights by class."""
+    train, _ = split(_training_table(spark, sf), CFG.label, CFG.train_fractions, C.SEED)
+    trees = forest.grow(balance.smoothed_weight(train), CFG.label, "smoothed_weight", "row_key", "features", SMALL_FOREST)
+    nodes = forest.node_table(spark, trees)
+    return nodes.select("tree", "node", "feature", "threshold", *[F.round(F.col("weights")[k], 6).alias(f"weight_{k}") for k in (1, 2, 3)])
+
+
 def model_path(spark, sf) -> str:
     """Train (once per session and scale) and save the forest the scoring queries load."""
     return _model_path(spark, sf)
@@ -821,14 +840,8 @@ def _model_path(spark, sf) -> str:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MODEL_CACHE:
         path = scratch_path(spark, "forest")
-        p = _prepared(spark, sf, CFG)
-        table = cut_lineage(p.frame.select("features", CFG.label, "class_weight", *CFG.dedup_keys), "train-table")
-        train, _ = split(table, CFG.label, CFG.train_fractions, C.SEED, "hash", CFG.dedup_keys)
-        train = balance.smoothed_weight(train).repartition(FOREST_PARTITIONS, *CFG.dedup_keys)
-        m = model.fit_forest(train, CFG.label, C.FOREST_PARAMS, weight="smoothed_weight")
-        from ..sources.models import save_model
-        save_model(m, path)
-        _MODEL_CACHE[key] = (path, m)
+        train, _ = split(_training_table(spark, sf), CFG.label, CFG.train_fractions, C.SEED)
+        _MODEL_CACHE[key] = (path, fit(balance.smoothed_weight(train), CFG.label, C.FOREST_PARAMS, model_path=path))
     return _MODEL_CACHE[key][0]
 
 

@@ -172,11 +172,24 @@ def test_road_jobs_end_to_end(spark):
     run(spark, parse_args(["train", "--input", f"{out}/prep/train", "--model", f"{out}/forest"]))
     run(spark, parse_args(["score", "--model", f"{out}/forest", "--input", f"{out}/prep/train", "--out", f"{out}/scored"]))
     assert spark.read.parquet(f"{out}/joined").count() == 400
-    assert spark.read.parquet(f"{out}/prep/train").columns == ["features", "casualty_severity", "class_weight"]
+    assert spark.read.parquet(f"{out}/prep/train").columns == ["features", "casualty_severity", "class_weight", "row_key"]
     assert spark.read.parquet(f"{out}/corr").count() == 14 * 14
     assert spark.read.parquet(f"{out}/scored").count() == spark.read.parquet(f"{out}/prep/train").count()
+    # the job's own split: test rows in every class, and the metrics are over exactly those rows
+    from sevlab.plans.train import split
+    from sevlab.sources import load_forest
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    table = spark.read.parquet(f"{out}/prep/train")
+    train, test = split(table, C.LABEL, C.TRAIN_FRACTIONS, C.SEED)
+    n = {r[0]: r["count"] for r in table.groupBy(C.LABEL).count().collect()}
+    held = {r[0]: r["count"] for r in test.groupBy(C.LABEL).count().collect()}
+    assert set(held) == set(n) and all(abs(held[k] - 0.2 * n[k]) < 5 * (0.16 * n[k]) ** 0.5 for k in n)
     m = spark.read.parquet(f"{out}/forest-metrics").first()
-    assert 0.0 <= m.accuracy <= 1.0
+    pred = load_forest(f"{out}/forest").transform(test)
+    f1 = MulticlassClassificationEvaluator(labelCol=C.LABEL, predictionCol="prediction", metricName="f1").evaluate(pred)
+    assert abs(m.f1 - f1) < 1e-12
+    confusion = spark.read.parquet(f"{out}/forest-confusion").collect()
+    assert sum(r["1"] + r["2"] + r["3"] + r["other"] for r in confusion) == sum(held.values()) > 0
 
 
 def test_prepared_copy_released(spark):

@@ -77,9 +77,10 @@ def test_train_evaluate_save_load(spark, table):
 
 def test_split_and_fit_do_not_depend_on_the_layout(spark, table):
     args = ("casualty_severity", {1: 0.8, 2: 0.8, 3: 0.8}, SMALL_FOREST, 42)
-    runs = [train_and_evaluate(table.repartition(n, "id"), *args, labels=[1, 2, 3], hash_cols=["id"], partitions=2) for n in (2, 8)]
+    runs = [train_and_evaluate(table.repartition(n, "id"), *args, labels=[1, 2, 3], hash_cols=["id"]) for n in (2, 8)]
     ids = [sorted(r.id for r in t.train.select("id").collect()) for t in runs]
     assert ids[0] == ids[1]
+    assert runs[0].model.toDebugString.split("\n", 1)[1] == runs[1].model.toDebugString.split("\n", 1)[1]
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
