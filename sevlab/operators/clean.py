@@ -78,23 +78,26 @@ def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     return df.dropna(how="any", subset=list(subset) if subset else None)
 
 
-def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
+def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None, merged: str | None = None) -> DataFrame:
     """One row per value of ``keys`` (null keys compare equal).
 
     ``order_by=None`` is Spark's ``dropDuplicates``: which row survives is unspecified.
     With ``order_by`` the survivor is the row with the smallest (order_by, other columns)
     tuple, nulls first — reproducible on any layout. Both are aggregations with a map-side
     partial step, so a key holding a third of all rows collapses before the shuffle.
+    ``merged`` names a column for the number of rows that each survivor stands for.
     """
     keys = list(keys)
-    if order_by is None:
+    if order_by is None and not merged:
         return df.dropDuplicates(keys)
     rest = [c for c in df.columns if c not in keys]
-    order = [c for c in order_by if c in rest] + [c for c in rest if c not in order_by]
-    if not order:
+    order = [c for c in order_by or () if c in rest] + [c for c in rest if c not in (order_by or ())]
+    if not order and not merged:
         return df.select(*keys).distinct()
-    kept = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_survivor"))
-    return kept.select(*[F.col(c) for c in keys], *[F.col("_survivor")[c].alias(c) for c in order]).select(*df.columns)
+    survivor = [] if not order else [(F.first if order_by is None else F.min)(F.struct(*order)).alias("_survivor")]
+    count = [F.count(F.lit(1)).alias(merged)] if merged else []
+    kept = df.groupBy(*keys).agg(*survivor, *count)
+    return kept.select(*[F.col(c) for c in keys], *[F.col("_survivor")[c].alias(c) for c in order], *([merged] if merged else [])).select(*df.columns, *([merged] if merged else []))
 
 
 def fill_values(df: DataFrame, values: Mapping[str, Any]) -> DataFrame:

@@ -6,12 +6,12 @@ from __future__ import annotations
 from functools import reduce
 from typing import Mapping, Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import ChiSquareTest
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import is_missing, number
+from ..functions.special import chi_square_tail
+from ..session import scratch_path
 from .clean import fit_quantiles, quantile_expr
 
 
@@ -139,18 +139,34 @@ def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def chi_square(df: DataFrame, feature_cols: Sequence[str], label: str) -> DataFrame:
-    """Pearson chi-square independence test of each feature against the label
-    (Spark ML ``ChiSquareTest``, all features in one distributed pass).
-    Returns (feature, statistic, degrees_of_freedom, p_value, rank), rank 1 = largest statistic."""
-    vec = VectorAssembler(inputCols=list(feature_cols), outputCol="_chi_features", handleInvalid="keep")
-    data = vec.transform(df.select(*feature_cols, F.col(label).cast("double").alias(label)))
-    res = ChiSquareTest.test(data.select("_chi_features", label), "_chi_features", label, flatten=True)
-    rows = res.collect()  # a row for each listed feature
-    ranked = sorted(((feature_cols[r["featureIndex"]], float(r["statistic"]), int(r["degreesOfFreedom"]), float(r["pValue"]))
-                     for r in rows), key=lambda t: (-t[1], t[0]))
-    out = [t + (k + 1,) for k, t in enumerate(ranked)]
-    return df.sparkSession.createDataFrame(
-        out, "feature string, statistic double, degrees_of_freedom int, p_value double, rank int")
+    """Pearson chi-square independence test of each feature against the label, from contingency counts.
+
+    One aggregation counts the (feature, value, label) cells of all features with a map-side combine; row and
+    column sums come from the cells, so a feature may have any number of values and none of them reaches the
+    driver. Cells without rows add their expected counts, which are the total less those of the others.
+    Values are read as doubles; null and NaN are one value of their own; rows without a label take no part.
+    Returns (feature, statistic, degrees_of_freedom, p_value, rank), rank 1 = largest statistic, ties by name.
+    A feature with one value, or a table with one label, has statistic 0 and p-value 1."""
+    y = F.col(label).cast("double")
+    value = [F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in feature_cols]
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), v.alias("v")) for c, v in zip(feature_cols, value)])
+    cells = (df.select(y.alias("y"), F.explode(pairs).alias("p")).filter(F.col("y").isNotNull()).select("y", "p.*")
+             .groupBy("feature", "v", "y").agg(F.count(F.lit(1)).cast("double").alias("o")))
+    path = scratch_path(df.sparkSession, "contingency")  # the counts are read by each sum below
+    cells.write.parquet(path)
+    cells = df.sparkSession.read.parquet(path)
+    by_value = cells.groupBy("feature", "v").agg(F.sum("o").alias("r"))
+    by_label = cells.groupBy("feature", "y").agg(F.sum("o").alias("c"))
+    n = by_label.groupBy("feature").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("labels"))
+    n = n.join(by_value.groupBy("feature").agg(F.count(F.lit(1)).alias("values")), "feature")
+    expected = F.col("r") * F.col("c") / F.col("n")
+    joined = cells.join(by_value, ["feature", "v"]).join(by_label, ["feature", "y"]).join(n, "feature")
+    sums = joined.groupBy("feature").agg(F.sum(F.pow(F.col("o") - expected, F.lit(2.0)) / expected).alias("found"), F.sum(expected).alias("expected"),
+                                         F.max("n").alias("n"), F.max((F.col("values") - 1) * (F.col("labels") - 1)).cast("int").alias("degrees_of_freedom"))
+    statistic = F.when(F.col("degrees_of_freedom") == 0, 0.0).otherwise(F.greatest(F.col("found") + F.col("n") - F.col("expected"), F.lit(0.0)))
+    tested = sums.select("feature", statistic.alias("statistic"), "degrees_of_freedom", chi_square_tail(statistic, F.col("degrees_of_freedom")).alias("p_value"))
+    order = Window.orderBy(F.col("statistic").desc(), "feature")  # a row for each listed feature
+    return tested.withColumn("rank", F.row_number().over(order))
 
 
 def box_stats(df: DataFrame, label: str, col: str, factor: float = 1.5) -> DataFrame:

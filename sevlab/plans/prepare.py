@@ -6,7 +6,7 @@ Passes over the data (each a distributed aggregation returning a few numbers):
      every later fit reads the compact parquet copy, and a lost executor recomputes from it)
   2. medians, from one count of all median columns' values (exact), or one sketch
   3. modes, from one count of all mode columns' values
-  4. category counts for all indexes, one pass (multi-column StringIndexer), concurrently with
+  4. category counts for all indexes, one pass (``operators.categories``), concurrently with
   5. IQR quartiles of all outlier columns, as the medians
   6. class counts + per-class mean/variance of the numeric features, one aggregation
      (gives both the class weights and the z-score mean/std); concurrent with 4-5 in the
@@ -21,15 +21,15 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import TIME_BIN_OTHER, TIME_BINS, PrepConfig
 from ..functions import bin_by_ranges
 from ..operators.balance import attach
 from ..operators.clean import dedup, drop_nulls, fill_values, fit_medians_and_modes, sentinels_to_null
-from ..operators.features import assembler, string_indexer
+from ..operators.categories import CategoryIndex, fit_category_index
+from ..operators.features import assembler
 from ..operators.forest import row_key
 from ..operators.outliers import domain_filter, drop_outside, fences, fit_iqr_bounds, flag_outliers
 from ..session import scratch_path
@@ -43,9 +43,10 @@ NUM_SCALED = "numeric_features_scaled"
 class Prepared:
     frame: DataFrame
     fitted: dict[str, Any]
-    indexer: PipelineModel
+    indexer: CategoryIndex
     stages: dict[str, DataFrame] = field(default_factory=dict)
     base_path: str | None = None
+    counts: dict[str, int] = field(default_factory=dict)
 
     def release(self) -> None:
         """Delete the cleaned copy in the shared folder once ``frame`` has been written or
@@ -86,6 +87,37 @@ def clean_counts(df: DataFrame, cfg: PrepConfig) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+STEPS = ("input", "sentinels_to_null", "required", "dedup")
+
+
+def write_clean(df: DataFrame, cfg: PrepConfig, path: str) -> dict[str, int]:
+    """Write the cleaned table to ``path`` and count the rows of each step in the same job.
+
+    The counts are observed while the rows pass (no further pass over the data). A map task that is run again
+    after a lost executor would be observed twice, so the writing stage, whose tasks count once, observes the
+    rows that each survivor of the deduplication stands for: their sum must be the map side's count of rows
+    with all required columns. Where it is not, the steps are counted anew (``clean_counts``)."""
+    nulled = sentinels_to_null(df, cfg.sentinels)
+    complete = F.lit(True)
+    for c in cfg.required:
+        complete = complete & F.col(c).isNotNull()
+    one, merged = F.count(F.lit(1)), "_merged_rows"
+    before, after = Observation("clean-before"), Observation("clean-after")
+    required = nulled.observe(before, one.alias("input"), F.count_if(complete).alias("required")).filter(complete)
+    deduped = dedup(required, cfg.dedup_keys, cfg.dedup_order, merged).observe(after, one.alias("dedup"), F.sum(merged).alias("required"))
+    write_parquet(deduped.drop(merged), path)
+    seen, kept = before.get, after.get
+    if (kept.get("required") or 0) != seen.get("required", 0):
+        return {r.step: r.rows for r in clean_counts(df, cfg).collect()}
+    n = seen.get("input", 0)
+    return dict(zip(STEPS, (n, n, seen.get("required", 0), kept.get("dedup", 0))))
+
+
+def counts_table(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """(step_no, step, rows) of counted steps."""
+    return spark.createDataFrame([(i, step, n) for i, (step, n) in enumerate(counts.items())], "step_no int, step string, rows bigint")
+
+
 def cut_lineage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write to the shared folder and read back (reliable; never a local checkpoint)."""
     return cut_lineage_at(df, path or scratch_path(df.sparkSession, name))
@@ -106,7 +138,7 @@ def combine_moments(rows: DataFrame, cols: list[str]) -> dict[str, tuple[float |
     return {c: (mean, None if mean is None else ((m2 / (n - 1)) ** 0.5 if n > 1 else 0.0)) for (c, (n, mean)), m2 in zip(means.items(), squares)}
 
 
-def apply_fitted(df: DataFrame, cfg: PrepConfig, fitted: dict, indexer: PipelineModel, with_weight: bool = True) -> DataFrame:
+def apply_fitted(df: DataFrame, cfg: PrepConfig, fitted: dict, indexer: CategoryIndex, with_weight: bool = True) -> DataFrame:
     """Everything after the fits, as projections/filters with the fitted numbers as literals.
     Also used to prepare new rows (a batch or a stream) with what training learnt."""
     out = fill_values(df, fitted["fill"])
@@ -141,7 +173,8 @@ def prepare(df: DataFrame, cfg: PrepConfig, base_path: str | None = None) -> Pre
     stages = clean(df, cfg)
     own_copy = base_path is None
     base_path = base_path or scratch_path(df.sparkSession, "prepare-base")
-    base = cut_lineage_at(stages["dedup"], base_path)
+    counts = write_clean(df, cfg, base_path)
+    base = read_parquet(df.sparkSession, base_path)
     full = base
     if cfg.fit_on == "train":
         from ..operators.sampling import hash_sample_condition
@@ -167,7 +200,7 @@ def prepare(df: DataFrame, cfg: PrepConfig, base_path: str | None = None) -> Pre
     # the kept rows do not depend on the fences (flags only add columns), so the class pass
     # joins them; in the drop variant it waits for the fences.
     with ThreadPoolExecutor(max_workers=3) as pool:
-        f_index = pool.submit(Pipeline(stages=[string_indexer(cfg.categorical)]).fit, binned)
+        f_index = pool.submit(fit_category_index, binned, cfg.categorical)
         f_bounds = pool.submit(fit_iqr_bounds, imputed, cfg.outlier_columns, cfg.quantile_error, cfg.iqr_factor)
         f_rows = pool.submit(class_pass, domain_filter(imputed, cfg.domain_bounds)) if cfg.variant == "flag" else None
         indexer, bounds = f_index.result(), f_bounds.result()
@@ -180,11 +213,11 @@ def prepare(df: DataFrame, cfg: PrepConfig, base_path: str | None = None) -> Pre
     most = rows.agg(F.max("count")).first()[0] or 0
     fitted["class_weights"] = rows.select(cfg.label, "count", (F.lit(float(most)) / F.col("count")).alias("class_weight"))
     fitted["scale"] = combine_moments(rows, list(cfg.numeric))
-    fitted["index_labels"] = dict(zip(cfg.categorical, indexer.stages[0].labelsArray))
+    fitted["index_sizes"] = dict(zip(cfg.categorical, indexer.sizes))
 
     final = apply_fitted(full, cfg, fitted, indexer)
     stages.update({"imputed": imputed, "encoded": indexer.transform(binned), "kept": kept, "final": final})
-    return Prepared(final, fitted, indexer, stages, base_path if own_copy else None)
+    return Prepared(final, fitted, indexer, stages, base_path if own_copy else None, counts)
 
 
 def training_table(prepared: DataFrame, label: str, keys: Sequence[str]) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import bin_by_ranges, hour_of, parse_date, remap
-from ..operators import balance, clean, features, forest, model, outliers, quantiles, sampling, stats
+from ..operators import balance, categories, clean, features, forest, model, outliers, quantiles, sampling, stats
 from ..session import scratch_path
 from ..sources import files
 from . import integrate as integ
@@ -109,6 +109,16 @@ def q_top_k(spark, sf):
     return o.orderBy(F.col("o_totalprice").desc(), F.col("o_orderkey")).limit(10)
 
 
+_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date"}
+
+
+@register("schema_report", f"SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name, CASE column_type "
+          + " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in _TYPES.items()) + f" END AS data_type, \"null\" = 'YES' AS nullable FROM (DESCRIBE {JOINED_SQL})")
+def q_schema_report(spark, sf):
+    """The joined table's columns: position, name, type, nullable."""
+    return files.schema_report(tb.joined(spark, sf))
+
+
 # ---------------------------------------------------------------- projections and filters
 
 _KEEP = ["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_tax"]
@@ -322,10 +332,10 @@ _STEP_SQL = testbed_ctes(CFG, "dedup") + (
 
 @register("step_row_counts", _STEP_SQL)
 def q_step_row_counts(spark, sf):
-    """Rows after each cleaning step (the generic ``stats.step_row_counts`` counts any named
-    stages; the cleaning steps need only two passes, see ``prepare.clean_counts``)."""
-    from .prepare import clean_counts
-    return clean_counts(tb.joined(spark, sf), CFG)
+    """Rows after each cleaning step, observed by the job that writes the clean table (the generic
+    ``stats.step_row_counts`` counts any named stages with passes of its own)."""
+    from .prepare import counts_table, write_clean
+    return counts_table(spark, write_clean(tb.joined(spark, sf), CFG, scratch_path(spark, "clean")))
 
 
 @register("dedup_subset", testbed_ctes(CFG, "dedup") + " SELECT * FROM dedup")
@@ -615,6 +625,19 @@ def q_string_index(spark, sf):
     return e.select("l_orderkey", "l_linenumber", "l_quantity", "l_linestatus", *[f"{c}_idx" for c in CFG.categorical])
 
 
+_CATEGORIES = ["l_orderkey", "l_partkey", "l_returnflag", "l_tax"]
+
+
+@register("category_index", "SELECT l_orderkey, l_linenumber, " + ", ".join(f"i{i}.idx AS {c}_idx" for i, c in enumerate(_CATEGORIES)) + " FROM lineitem "
+          + " ".join(f"JOIN (SELECT {c} AS v, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) - 1 AS DOUBLE) AS idx FROM lineitem GROUP BY {c}) i{i} ON {c} = i{i}.v"
+                     for i, c in enumerate(_CATEGORIES)))
+def q_category_index(spark, sf):
+    """Frequency indexes of columns with very many values (order and part keys) and with few."""
+    li = _lineitem(spark, sf).select("l_linenumber", *_CATEGORIES)
+    out = categories.fit_category_index(li, _CATEGORIES).transform(li)
+    return out.select("l_orderkey", "l_linenumber", *[f"{c}_idx" for c in _CATEGORIES])
+
+
 @register("index_mapping", _encoded_sql(CFG, " UNION ".join(
     f"SELECT DISTINCT {lit(c)} AS column_name, CAST({c} AS VARCHAR) AS value, {c}_idx AS idx FROM encoded" for c in CFG.categorical)))
 def q_index_mapping(spark, sf):
@@ -709,6 +732,30 @@ def q_prepare_drop_approx(spark, sf):
     return _prepared_out(spark, sf, tb.TESTBED_DROP_APPROX)
 
 
+@register("prepare_approx_facts", testbed_ctes(tb.TESTBED_DROP_APPROX, "dedup") + " SELECT count(*) AS rows, TRUE AS medians_within_error, TRUE AS quartiles_within_error FROM dedup")
+def q_prepare_approx_facts(spark, sf):
+    """The approximate preparation's fitted numbers, ranked over all rows: each median and quartile lies
+    within the relative error of its place."""
+    cfg = tb.TESTBED_DROP_APPROX
+    p = _prepared(spark, sf, cfg)
+    base = files.read_parquet(spark, p.base_path)
+
+    def within(df, wanted):
+        """Whether every (column, probability, value) is in its place."""
+        n = [F.count(F.col(c)).alias(f"n{i}") for i, (c, _, _) in enumerate(wanted)]
+        below = [F.count_if(F.col(c) < v - 1e-9).alias(f"b{i}") for i, (c, _, v) in enumerate(wanted)]
+        upto = [F.count_if(F.col(c) <= v + 1e-9).alias(f"u{i}") for i, (c, _, v) in enumerate(wanted)]
+        row = df.agg(*n, *below, *upto).first()
+        return all(row[f"b{i}"] <= (q + cfg.quantile_error) * row[f"n{i}"] and row[f"u{i}"] >= (q - cfg.quantile_error) * row[f"n{i}"] for i, (_, q, _) in enumerate(wanted))
+
+    medians = [(c, 0.5, v) for c, v in p.fitted["medians"].items()]
+    quartiles = []
+    for c, (low, high) in p.fitted["bounds"].items():
+        reach = (high - low) / (1 + 2 * cfg.iqr_factor) * cfg.iqr_factor
+        quartiles += [(c, 0.25, low + reach), (c, 0.75, high - reach)]
+    return base.agg(F.count(F.lit(1)).alias("rows"), F.lit(within(base, medians)).alias("medians_within_error"), F.lit(within(p.stages["imputed"], quartiles)).alias("quartiles_within_error"))
+
+
 #: The 95 % points of the chi-square distribution for 0 to 14 degrees of freedom (0: never reached).
 CHI_SQUARE_95 = (0.0, 3.841459, 5.991465, 7.814728, 9.487729, 11.070498, 12.591587, 14.067140, 15.507313, 16.918978, 18.307038, 19.675138, 21.026070, 22.362032, 23.684791)
 _CRITICAL = " ".join(f"WHEN {k} THEN {v}" for k, v in enumerate(CHI_SQUARE_95))
@@ -728,6 +775,8 @@ def _chi_sql(cfg) -> str:
             " JOIN nt USING (feature) GROUP BY obs.feature),"
             " fin AS (SELECT feature, CASE WHEN dof = 0 THEN 0.0 ELSE s END AS statistic, dof FROM st)"
             f" SELECT feature, round(statistic, 6) AS statistic, dof AS degrees_of_freedom, statistic > CASE dof {_CRITICAL} END AS significant,"
+            # the tail from the power series of the lower incomplete gamma function
+            " round(CASE WHEN dof = 0 THEN 1.0 ELSE 1.0 - list_sum(list_transform(range(0, 2000), lambda k: exp((dof / 2.0 + k) * ln(statistic / 2.0) - statistic / 2.0 - lgamma(dof / 2.0 + k + 1)))) END, 9) AS p_value,"
             " CAST(row_number() OVER (ORDER BY statistic DESC, feature) AS INTEGER) AS rank FROM fin")
 
 
@@ -736,7 +785,8 @@ def q_chi_square_rank(spark, sf):
     final = _prepared(spark, sf, CFG).frame  # after the outlier step, as the original tests its train rows
     train = sampling.hash_stratified_sample(final, CFG.label, CFG.train_fractions, CFG.dedup_keys)
     r = stats.chi_square(train, CFG.encoded_features, CFG.label)
-    return r.select("feature", F.round("statistic", 6).alias("statistic"), "degrees_of_freedom", (F.col("p_value") < 0.05).alias("significant"), "rank")
+    return r.select("feature", F.round("statistic", 6).alias("statistic"), "degrees_of_freedom", (F.col("p_value") < 0.05).alias("significant"),
+                    F.round("p_value", 9).alias("p_value"), "rank")
 
 
 def _integrate_sql() -> str:

@@ -10,16 +10,16 @@ the watermark delay (bounded), not every key ever seen.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import PrepConfig
+from ..operators.categories import CategoryIndex
 from ..operators.clean import drop_nulls, sentinels_to_null
 from ..plans.prepare import apply_fitted
 
 
-def prepare_stream(rows: DataFrame, cfg: PrepConfig, fitted: dict, indexer: PipelineModel,
+def prepare_stream(rows: DataFrame, cfg: PrepConfig, fitted: dict, indexer: CategoryIndex,
                    event_time: str | None = None, delay: str = "1 day") -> DataFrame:
     """``event_time``: a date/timestamp column; rows repeating the dedup keys within ``delay``
     of event time are dropped (the first arrival is kept)."""
@@ -33,7 +33,7 @@ def prepare_stream(rows: DataFrame, cfg: PrepConfig, fitted: dict, indexer: Pipe
     return apply_fitted(d, cfg, fitted, indexer)
 
 
-def score_stream(rows: DataFrame, cfg: PrepConfig, fitted: dict, indexer: PipelineModel, forest,
+def score_stream(rows: DataFrame, cfg: PrepConfig, fitted: dict, indexer: CategoryIndex, forest,
                  event_time: str | None = None, delay: str = "1 day") -> DataFrame:
     """Prepared rows plus ``prediction`` and ``probability`` from a fitted forest."""
     return forest.transform(prepare_stream(rows, cfg, fitted, indexer, event_time, delay))
