@@ -10,21 +10,23 @@ Texts are lower-cased runs of letters and digits. A passage is ``2 * HALF`` word
 3. Randomised SVD of the passages-by-terms matrix A: every task adds its passages' part of ``A'(A Omega)``, the
    parts are summed in a tree, and the small result (terms by ``RANK + OVERSAMPLE``) gives the leading right
    singular vectors by the Nystrom formula (Tropp et al., 2017).
-4. Every passage is compared with every item of the block in the latent space: all pairs with a cosine of
-   ``COSINE`` or more are candidates (no limit on their number). ``COSINE`` is under -1, so all pairs are; any
-   higher bound lost short items (README). An item longer than a passage is compared
-   as a whole and in parts of a passage's size, one every ``HALF`` words.
-5. A candidate stays if its whole text and the text around the passage can hold enough of the item's words, and is then checked
+4. Every passage is compared with every item of the block in the latent space; a cosine of ``COSINE`` or more
+   makes a candidate (no limit on their number). An item longer than a passage is compared as a whole and in
+   parts of a passage's size, one every ``HALF`` words. Items of fewer than ``SHORT_WORDS`` words, for which a
+   cosine cannot vouch, are found by an exact index instead: a text that can match such an item holds one of
+   its rarest words (so many that the words it may lack are fewer).
+5. A candidate stays if the text around the passage can hold enough of the item's words, and is then checked
    by the longest common subsequence of the item and that text, and of the item's answer (its last fifth,
    three words at least). The text is the passage with the item's number of words and ``HALF`` more on
    either side, so it holds the whole item wherever in it the passage stands. That finds paraphrases that
    keep most words in order.
 
-What is sent to tasks is bounded by ``BLOCK_ITEMS`` items, however large the corpus or the benchmark; a larger
+Items with one text are compared once. What is sent to tasks is bounded by about ``BLOCK_ITEMS`` items, however large the corpus or the benchmark; a larger
 benchmark takes more blocks. Nothing is grouped by document or term beyond map-side sums.
 
 Defined results: null and empty texts and items without words match nothing; a document matches an item
-once, at its best passage (the earliest of equals); repeated documents and items each give rows; empty
+once, at its best passage (the earliest of equals); repeated documents and items each give rows; documents of
+one doc_id (or none) and different texts are judged apart; empty
 tables give empty results.
 """
 
@@ -38,7 +40,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,9 +50,11 @@ from sevlab.llm.common import written
 HALF = 32
 MAX_SHARE, LEAST_TERMS = 0.01, 8
 RANK, OVERSAMPLE, SEED = 128, 16, 7
-COSINE = -2.0  # under -1: the cosine only loses items (README), the whole-text bound leaves few enough pairs
+COSINE = 0.2
+SHORT_WORDS = 16  # items of fewer words are retrieved by their rarest words
 LCS_SHARE, ANSWER_SHARE = 0.7, 0.5
-BLOCK_ITEMS = 256
+BLOCK_ITEMS = 1024
+VECTORS = 256  # items and parts compared at once
 FAN_IN = 32
 CHECK_WORDS = 1 << 19  # of texts around candidates that are compared at once
 COLUMNS = ("doc_id", "item_id", "item_words", "lcs_words", "answer_lcs", "first_word")
@@ -114,15 +118,20 @@ class Items:
 
 
 def coded(docs: DataFrame, items: Items) -> DataFrame:
-    """doc_id and each word's number in the vocabulary, as packed integers."""
+    """doc_id, the text's md5 and each word's number in the vocabulary, as packed integers."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            codes = [items.numbers(h).tobytes() for h in word_hashes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.binary())], names=["doc_id", "words"])
+            codes = [items.numbers(h).tobytes() for h in word_hashes(batch.column(2))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(codes, pa.binary())], names=["doc_id", "text_key", "words"])
 
-    kind = T.StructType([docs.schema["doc_id"], T.StructField("words", T.BinaryType())])
-    return written(docs.select("doc_id", "text").mapInArrow(batches, kind), "coded")
+    kind = T.StructType([docs.schema["doc_id"], T.StructField("text_key", T.StringType()), T.StructField("words", T.BinaryType())])
+    return written(docs.select("doc_id", text_key().alias("text_key"), "text").mapInArrow(batches, kind), "coded")
+
+
+def text_key() -> Column:
+    """What tells rows with one doc_id apart."""
+    return F.md5(F.coalesce(F.col("text"), F.lit("")))
 
 
 def _halves(batch: pa.RecordBatch, column: int, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -308,32 +317,60 @@ def _known(latent: _Latent) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return known, codes, before
 
 
-def _able(latent: _Latent, bags: np.ndarray, least: np.ndarray) -> np.ndarray:
-    """Which rows' whole texts can hold enough of which items' words (a row's word may stand for all of an item's)."""
-    rows = len(latent.first) - 1
-    out = np.zeros((rows, bags.shape[1]), bool)
-    some = max(1, (1 << 24) // len(bags))
-    for r in range(0, rows, some):
-        first = latent.first[r:r + some + 1]
-        has = np.zeros((len(first) - 1, len(bags)), np.float32)
-        has[np.repeat(np.arange(len(first) - 1), np.diff(first)), latent.codes[first[0]:first[-1]]] = 1
-        out[r:r + some] = has @ bags >= least - 0.5
-    return out
-
-
-def search(rows: DataFrame, items: Items, weight: np.ndarray, space: np.ndarray) -> DataFrame:
-    """doc_id, item (its number in the block), lcs_words, answer_lcs and the region's first word of every leak."""
+class _RareWords:
+    """The exact index of short items: a text that holds all but n - least of an item's n words holds one of its
+    n - least + 1 rarest ones, so only passages whose checked text holds one of those can match."""
+
+    def __init__(self, items: Items, short: np.ndarray, least: np.ndarray, frequency: np.ndarray) -> None:
+        pairs = []
+        for i in short:
+            words = items.words[i]
+            rarest = words[np.argsort(frequency[words - 1], kind="stable")[:len(words) - least[i] + 1]]
+            pairs += [(int(w), int(i)) for w in np.unique(rarest)]
+        pairs.sort()
+        self.item = np.array([i for _, i in pairs], np.int64)
+        self.first = np.searchsorted([w for w, _ in pairs], np.arange(len(items.vocabulary) + 2))
+        self.reach = 3  # half passages on either side of a passage that its checked text can touch
+
+    def candidates(self, latent: "_Latent", row_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(passage, item) pairs."""
+        codes = latent.codes.astype(np.int64)
+        n = self.first[codes + 1] - self.first[codes]
+        n[codes == 0] = 0
+        at = np.flatnonzero(n)
+        if not len(at) or not len(latent.a):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        size = n[at]
+        ends = np.cumsum(size)
+        item = self.item[np.repeat(self.first[codes[at]] - (ends - size), size) + np.arange(ends[-1])]
+        half = np.repeat(_half_of(latent.first, latent.half)[at], size)
+        key = np.unique(half * (len(latent.codes) + 1 + int(self.item.max())) + item)  # a word more than once in a half is one pair
+        half, item = key // (len(latent.codes) + 1 + int(self.item.max())), key % (len(latent.codes) + 1 + int(self.item.max()))
+        passage_of = np.searchsorted(latent.a, half, "right") - 1  # the last passage that starts by this half
+        near, rows = [], np.searchsorted(latent.half, half, "right") - 1
+        for step in range(-self.reach, self.reach + 1):
+            p = passage_of + step
+            fine = (p >= 0) & (p < len(latent.a))
+            fine[fine] = row_of[p[fine]] == rows[fine]
+            near.append(p[fine] * (int(self.item.max()) + 1) + item[fine])
+        key = np.unique(np.concatenate(near))
+        return key // (int(self.item.max()) + 1), key % (int(self.item.max()) + 1)
+
+
+def search(rows: DataFrame, items: Items, weight: np.ndarray, space: np.ndarray, frequency: np.ndarray, cosine: float = COSINE, short_words: int = SHORT_WORDS) -> DataFrame:
+    """doc_id, text_key, item (its number in the block), lcs_words, answer_lcs and the region's first word of every leak."""
     held = np.zeros((len(items.words), len(weight)), np.int32 if max(map(len, items.words), default=0) > 255 else np.uint8)  # how often each item has each word
     for i, words in enumerate(items.words):
         np.add.at(held[i], words, 1)
-    bags = held.T.astype(np.float32)
-    owner = np.array([i for i, _ in items.parts])
-    vectors = np.array([np.bincount(words, weight[words]) @ space[:words.max() + 1] for _, words in items.parts])
+    lengths = np.array([len(w) for w in items.words])
+    long_parts = [(i, words) for i, words in items.parts if lengths[i] >= short_words]
+    owner = np.array([i for i, _ in long_parts], np.int64)
+    vectors = np.array([np.bincount(words, weight[words]) @ space[:words.max() + 1] for _, words in long_parts]).reshape(len(long_parts), space.shape[1])
     norms = np.linalg.norm(vectors, axis=1, keepdims=True)
     vectors = np.divide(vectors, norms, out=np.zeros_like(vectors), where=norms > 0).astype(np.float32)
-    lengths = np.array([len(w) for w in items.words])
     step = np.maximum(lengths // (2 * HALF), 1) * HALF  # passages in one step of a long item share the text that is checked
     least = np.array([-(-len(w) * int(100 * LCS_SHARE) // 100) for w in items.words])
+    rare = _RareWords(items, np.flatnonzero(lengths < short_words), least, frequency)
     lists = [w.tolist() for w in items.words]
     patterns = [(positions(w), positions(w[answer_start(len(w)):])) for w in lists]
 
@@ -341,16 +378,18 @@ def search(rows: DataFrame, items: Items, weight: np.ndarray, space: np.ndarray)
         for batch in it:
             out: dict[tuple[int, int], tuple[int, int, int]] = {}
             for k, part in enumerate(_slices(batch)):
-                latent = _Latent(part, 1, items.kind, weight)
+                latent = _Latent(part, 2, items.kind, weight)
                 own = latent.project(space)
                 size = np.linalg.norm(own, axis=1, keepdims=True)
                 row_of = np.searchsorted(latent.half, latent.a, "right") - 1
-                able = _able(latent, bags, least)[row_of]
-                near = [np.nonzero(able[:, owner[v:v + BLOCK_ITEMS]] & (own @ vectors[v:v + BLOCK_ITEMS].T >= COSINE * np.maximum(size, 1e-12))) for v in range(0, len(vectors), BLOCK_ITEMS)]
-                passage, item = np.concatenate([p for p, _ in near]), owner[np.concatenate([q + n * BLOCK_ITEMS for n, (_, q) in enumerate(near)])]
+                found_by = [rare.candidates(latent, row_of)]
+                for v in range(0, len(vectors), VECTORS):
+                    p, q = np.nonzero(own @ vectors[v:v + VECTORS].T >= cosine * np.maximum(size, 1e-12))
+                    found_by.append((p, owner[q + v]))
+                passage, item = (np.concatenate(x) for x in zip(*found_by))
                 row = row_of[passage]
                 begin = (latent.a[passage] - latent.half[row]) * HALF // step[item] * step[item]
-                key = np.unique(np.stack([lengths[item], row, item, begin]), axis=1) if len(owner) > len(lengths) else np.stack([lengths[item], row, item, begin])
+                key = np.unique(np.stack([lengths[item], row, item, begin]), axis=1) if len(items.parts) > len(lengths) else np.stack([lengths[item], row, item, begin])
                 size, row, item, begin = key[:, np.argsort(key[0], kind="stable")]
                 start = np.maximum(latent.first[row] + begin - size - HALF, latent.first[row])
                 end = np.minimum(latent.first[row] + begin + step[item] + size + 2 * HALF, latent.first[row + 1])
@@ -372,33 +411,42 @@ def search(rows: DataFrame, items: Items, weight: np.ndarray, space: np.ndarray)
                             out[key] = max(out.get(key, found), found)
                     x = s.stop
             at = pa.array([r for r, _ in out], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array([i for _, i in out], pa.int32()), *[pa.array([abs(v[c]) for v in out.values()], pa.int64()) for c in range(3)]],
-                                             names=["doc_id", "item", "lcs_words", "answer_lcs", "first_word"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array([i for _, i in out], pa.int32()), *[pa.array([abs(v[c]) for v in out.values()], pa.int64()) for c in range(3)]],
+                                             names=["doc_id", "text_key", "item", "lcs_words", "answer_lcs", "first_word"])
 
-    schema = T.StructType([rows.schema["doc_id"], *[T.StructField(c, t()) for c, t in (("item", T.IntegerType), ("lcs_words", T.LongType), ("answer_lcs", T.LongType), ("first_word", T.LongType))]])
-    return rows.select("doc_id", "words").mapInArrow(matches, schema)
+    schema = T.StructType([rows.schema["doc_id"], rows.schema["text_key"], *[T.StructField(c, t()) for c, t in (("item", T.IntegerType), ("lcs_words", T.LongType), ("answer_lcs", T.LongType), ("first_word", T.LongType))]])
+    return rows.select("doc_id", "text_key", "words").mapInArrow(matches, schema)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, short_words: int = SHORT_WORDS) -> DataFrame:
     """doc_id, item_id, item_words, lcs_words, answer_lcs and first_word of every (document, item) that leaks."""
-    ids = [benchmark.schema["item_id"], T.StructField("item", T.IntegerType()), T.StructField("item_words", T.LongType())]
-    found = []
-    blocks = -(-benchmark.count() // BLOCK_ITEMS)
+    return _leaks(docs, benchmark, cosine, short_words).select(*COLUMNS)
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, short_words: int = SHORT_WORDS) -> DataFrame:
+    """The rows of ``leaks`` and ``text_key``. Items with one text are compared once."""
+    spark = docs.sparkSession
+    ids = benchmark.select("item_id", F.sha2("text", 256).alias("item_key")).filter(F.col("item_key").isNotNull())
+    texts = benchmark.groupBy(F.sha2("text", 256).alias("item_id")).agg(F.first("text").alias("text")).filter(F.col("text").isNotNull())
+    found, blocks = [], -(-texts.count() // BLOCK_ITEMS)
     for block in range(blocks):
-        chosen = benchmark.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        items = Items(chosen.select("item_id", "text").orderBy("item_id", "text").collect())
+        items = Items(texts.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).orderBy("item_id").collect())  # about BLOCK_ITEMS
         if items.ids:
             rows = coded(docs, items)
-            weight = term_weights(items, *passage_frequencies(rows, items))
-            named = docs.sparkSession.createDataFrame([(x, i, len(items.words[i])) for i, x in enumerate(items.ids)], T.StructType(ids))
-            found.append(search(rows, items, weight, latent_space(rows, items, weight)).join(F.broadcast(named), "item"))
+            frequency, passages = passage_frequencies(rows, items)
+            weight = term_weights(items, frequency, passages)
+            space = latent_space(rows, items, weight) if any(len(w) >= short_words for w in items.words) else np.zeros((len(weight), 1), np.float32)
+            named = spark.createDataFrame([(x, i, len(items.words[i])) for i, x in enumerate(items.ids)], "item_key string, item int, item_words long")
+            found.append(search(rows, items, weight, space, frequency, cosine, short_words).join(F.broadcast(named), "item").drop("item"))
     if not found:
-        kinds = {"doc_id": docs.schema["doc_id"].dataType, "item_id": ids[0].dataType}
-        found = [docs.filter(F.lit(False)).select(*[F.lit(None).cast(kinds.get(c, T.LongType())).alias(c) for c in COLUMNS])]
-    return reduce(DataFrame.unionByName, [f.select(*COLUMNS) for f in found])
+        kinds = {"doc_id": docs.schema["doc_id"].dataType, "item_id": benchmark.schema["item_id"].dataType, "text_key": T.StringType()}
+        return docs.filter(F.lit(False)).select(*[F.lit(None).cast(kinds.get(c, T.LongType())).alias(c) for c in (*COLUMNS, "text_key")])
+    return reduce(DataFrame.unionByName, found).join(ids, "item_key").select(*COLUMNS, "text_key")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that leak no item. Only the ids of leaking documents are joined to the texts."""
-    leaking = written(leaks(docs, benchmark).select(F.col("doc_id").alias("leak_id")).distinct(), "leaking")
-    return docs.join(leaking, docs["doc_id"].eqNullSafe(leaking["leak_id"]), "left_anti")
+    """The rows of ``docs`` that leak no item. Rows are told apart by doc_id and text; only the keys of leaking
+    ones are joined to the texts."""
+    leaking = written(_leaks(docs, benchmark).select(F.col("doc_id").alias("leak_id"), F.col("text_key").alias("leak_key")).distinct(), "leaking")
+    same = docs["doc_id"].eqNullSafe(leaking["leak_id"]) & (F.md5(F.coalesce(docs["text"], F.lit(""))) == leaking["leak_key"])
+    return docs.join(leaking, same, "left_anti")

@@ -137,6 +137,36 @@ def units(text):
     return out
 
 
+def test_the_cosine_decides_and_rare_words_take_short_items(spark, monkeypatch):
+    rng = random.Random(12)
+    draw = lambda n: " ".join(f"w{int(rng.paretovariate(0.7)) % 5000}" for _ in range(n))
+    items = [(i, draw(10 if i < 40 else 30)) for i in range(80)]
+    rows = [(i, draw(60) + " " + items[i][1] + " " + draw(60), "en", "s", 1) for i in range(80)] + [(100 + i, draw(200), "en", "s", 1) for i in range(60)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+
+    def found(**how):
+        return {(r.doc_id, r.item_id) for r in latent_leaks.leaks(frame(spark, rows), benchmark, **how).collect()}
+
+    everything = found(cosine=-2.0, short_words=0)
+    assert found() == everything >= {(i, i) for i in range(80)}
+    assert len(found(short_words=0) & everything) >= 0.9 * len(everything)  # the cosine alone
+    monkeypatch.setattr(latent_leaks, "latent_space", lambda rows, items, weight: __import__("numpy").zeros((len(weight), 2), "float32"))
+    assert found() == {(d, i) for d, i in everything if i < 40}  # without a space only the short items are found
+    assert found(short_words=0) == set()
+
+
+def test_rows_of_one_id_and_items_of_one_text_are_told_apart(spark):
+    rng = random.Random(13)
+    item = prose(rng, 30)
+    leak, clean = prose(rng, 20) + " " + item + " " + prose(rng, 20), prose(rng, 60)
+    rows = [(d, t, "en", "s", 1) for d in (None, 5) for t in (leak, clean, leak, None)]
+    benchmark = spark.createDataFrame([(1, item), (1, item), (2, item), (None, item), (3, None), (4, "")], "item_id long, text string")
+    found = rows_of(latent_leaks.leaks(frame(spark, rows, clash=True), benchmark), "doc_id", "item_id")
+    assert found == sorted([(d, i) for d in (None, None, 5, 5) for i in (1, 1, 2, None)], key=repr)
+    kept = latent_leaks.keep_clean(frame(spark, rows, clash=True), benchmark)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(d, t) for d in (None, 5) for t in (clean, None)], key=repr)
+
+
 def test_repeated_units_equal_brute_force(spark):
     """Texts whose units are not cut by hashes; rows that share a doc_id or have none count once."""
     rows = [r for r in corpus(160) + edges() if units(r[1]) is not None]
