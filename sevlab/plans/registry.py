@@ -749,10 +749,7 @@ def q_prepare_approx_facts(spark, sf):
         return all(row[f"b{i}"] <= (q + cfg.quantile_error) * row[f"n{i}"] and row[f"u{i}"] >= (q - cfg.quantile_error) * row[f"n{i}"] for i, (_, q, _) in enumerate(wanted))
 
     medians = [(c, 0.5, v) for c, v in p.fitted["medians"].items()]
-    quartiles = []
-    for c, (low, high) in p.fitted["bounds"].items():
-        reach = (high - low) / (1 + 2 * cfg.iqr_factor) * cfg.iqr_factor
-        quartiles += [(c, 0.25, low + reach), (c, 0.75, high - reach)]
+    quartiles = [(c, q, b[k]) for c, b in p.fitted["bounds"].items() for q, k in ((0.25, "q1"), (0.75, "q3"))]
     return base.agg(F.count(F.lit(1)).alias("rows"), F.lit(within(base, medians)).alias("medians_within_error"), F.lit(within(p.stages["imputed"], quartiles)).alias("quartiles_within_error"))
 
 
