@@ -7,19 +7,19 @@ alike wherever it stands. Units are normalised (letters and digits only, lower c
 Latin-1) and identified by a 64-bit digest; a unit of fewer than ``LEAST_UNIT`` words is hashed with the
 words that follow it in the text, up to that number, so single common words are no repeats.
 
-Over all documents the digests are counted and their least doc_id is found; the earliest occurrence of a
-unit is its first one in that document. Every other occurrence is repeated text. Repeated units that
+Over all documents the digests are counted and their earliest document is found (least doc_id, then a hash of
+the text); the earliest occurrence of a unit is its first one in that document. Every other occurrence is repeated text. Repeated units that
 follow each other make a run, and a run of ``LEAST_WORDS`` words or more is removed; shorter ones stay,
 so common phrases and license lines don't tear up clean documents. Runs keep the offsets of the original
 text (code points, end exclusive) and the earliest document that holds one of their units.
 
-How it is spread: digests are counted with a map-side combine; only the digests found twice are joined
-back (an equi join, whose hot digests adaptive execution splits); runs are made per document.
+How it is spread: digests are counted with a map-side combine; those found twice are written as a table and
+joined back (an equi join of two plain sides, so adaptive execution can split a hot digest); runs are made
+per document.
 
-Defined results: null and empty texts have no unit; doc_id is the rank (nulls first, and no order among
-rows that share one: rows with the same doc_id count as one document, so both keep their first
-occurrences); equal units inside one document are repeated after the first; empty tables give empty
-results.
+Defined results: null and empty texts have no unit; doc_id is the rank (nulls first); rows with one doc_id and
+different texts are documents of their own, ordered by a hash of the text; rows alike in both are one document,
+cut alike; equal units inside one document are repeated after the first; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -105,38 +105,50 @@ def units(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def unit_table(docs: DataFrame) -> DataFrame:
-    """doc_id, unit, start, end, n_words, digest and first of every unit."""
-    columns = ("unit", "start", "end", "n_words", "digest")
+    """doc_id, text_key, digest, span, place and first of every unit. ``span`` packs start and end, ``place`` the
+    unit's number and its words, 32 bits each."""
+    columns = ("digest", "span", "place")
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            for first, _, data, offsets in scan.chunks(batch.column(1)):
+            for first, _, data, offsets in scan.chunks(batch.column(2)):
                 found = units(data, offsets)
-                ids = batch.column(0).take(pa.array(found["row"] + first, pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids, *[pa.array(found[c], pa.int64()) for c in columns], pa.array(found["first"].astype(bool))], names=["doc_id", *columns, "first"])
+                at = pa.array(found["row"] + first, pa.int64())
+                packed = {"digest": found["digest"], "span": found["start"] << 32 | found["end"], "place": found["unit"] << 32 | found["n_words"]}
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *[pa.array(packed[c], pa.int64()) for c in columns], pa.array(found["first"].astype(bool))],
+                                                 names=["doc_id", "text_key", *columns, "first"])
 
-    schema = T.StructType([docs.schema["doc_id"], *[T.StructField(c, T.LongType()) for c in columns], T.StructField("first", T.BooleanType())])
-    return docs.select("doc_id", "text").mapInArrow(batches, schema)
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("text_key", T.LongType()), *[T.StructField(c, T.LongType()) for c in columns], T.StructField("first", T.BooleanType())])
+    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(batches, schema)
+
+
+def _runs(docs: DataFrame, least_words: int) -> DataFrame:
+    """doc_id, text_key, start, end, n_words and first_doc_id of every run that is removed."""
+    table = written(unit_table(docs), "units")
+    rank = F.struct(F.col("doc_id").isNotNull().alias("has_id"), "doc_id", "text_key")
+    known = table.groupBy("digest").agg(F.min(rank).alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # a table of its own, so that the join below has nothing but its two sides and its hot digests can be split
+    known = written(known.select("digest", F.col("least.doc_id").alias("first_doc_id"), F.col("least.text_key").alias("first_key")), "repeated-digests")
+    earliest = F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.col("text_key") == F.col("first_key"))
+    found = table.join(known, "digest").filter(~F.col("first") | ~earliest)
+    low = (1 << 32) - 1
+    repeated = found.groupBy("doc_id", "text_key", "place", "span").agg(F.min("first_doc_id").alias("first_doc_id"))
+    unit, words = F.shiftright("place", 32), F.col("place").bitwiseAND(low)
+    island = unit - F.row_number().over(Window.partitionBy("doc_id", "text_key").orderBy("place"))
+    return repeated.withColumn("island", island).groupBy("doc_id", "text_key", "island").agg(
+        F.min(F.shiftright("span", 32)).alias("start"), F.max(F.col("span").bitwiseAND(low)).alias("end"), F.sum(words).alias("n_words"),
+        F.min("first_doc_id").alias("first_doc_id")).filter(F.col("n_words") >= least_words).drop("island")
 
 
 def repeated_runs(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id, start, end, n_words and first_doc_id of every run of repeated units that is removed."""
-    table = written(unit_table(docs), "units")
-    known = table.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max(F.col("doc_id").isNull()).alias("no_id"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    known = known.select("digest", F.when(~F.col("no_id"), F.col("least")).alias("first_doc_id"))
-    found = table.join(known, "digest").filter(~F.col("first") | ~F.col("doc_id").eqNullSafe(F.col("first_doc_id")))
-    repeated = found.groupBy("doc_id", "unit", "start", "end", "n_words").agg(F.min("first_doc_id").alias("first_doc_id"))
-    in_order = Window.partitionBy("doc_id").orderBy("unit", "start")
-    island = F.col("unit") - F.dense_rank().over(in_order)
-    runs = repeated.withColumn("island", island).groupBy("doc_id", "island").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_words").alias("n_words"), F.min("first_doc_id").alias("first_doc_id"))
-    return runs.filter(F.col("n_words") >= least_words).select("doc_id", "start", "end", "n_words", "first_doc_id")
+    return _runs(docs, least_words).select("doc_id", "start", "end", "n_words", "first_doc_id")
 
 
 def without_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """``docs`` with the runs cut out of the text, and (removed) their original offsets."""
-    runs = repeated_runs(docs, least_words).groupBy(F.col("doc_id").alias("run_id")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
-    joined = docs.join(runs, docs["doc_id"].eqNullSafe(runs["run_id"]), "left")
+    runs = _runs(docs, least_words).groupBy(F.col("doc_id").alias("run_id"), F.col("text_key").alias("run_key")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    joined = docs.join(runs, docs["doc_id"].eqNullSafe(runs["run_id"]) & (F.xxhash64(docs["text"]) == runs["run_key"]), "left")
     spans, whole = runs["spans"], docs["text"]
     ends = F.concat(F.array(F.lit(0).cast("long")), F.transform(spans, lambda s: s["end"]))
     starts = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.char_length(whole).cast("long")))

@@ -201,6 +201,18 @@ def test_repeated_units_equal_brute_force(spark):
     assert len(expected) > 20
 
 
+def test_rows_of_one_id_are_cut_apart(spark):
+    """A copy and a clean text under one id, or under none: only the copy loses text."""
+    rng = random.Random(21)
+    copied, clean = prose(rng, 80), [prose(rng, 90) for _ in range(2)]
+    rows = [(1, copied, "en", "s", 1), (5, copied, "en", "s", 1), (5, clean[0], "en", "s", 1), (None, clean[1], "en", "s", 1)]
+    cut = {(r.doc_id, hash(r.text)) for r in unit_dedup.without_repeats(frame(spark, rows, clash=True)).collect()}
+    assert {(1, hash(copied)), (5, hash(clean[0])), (None, hash(clean[1]))} <= cut and (5, hash(copied)) not in cut
+    rows = [(None, copied, "en", "s", 1), (None, copied + " " + clean[0], "en", "s", 1), (None, clean[1], "en", "s", 1)]
+    kept = [r.text for r in unit_dedup.without_repeats(frame(spark, rows)).collect()]
+    assert clean[1] in kept and "".join(kept).count(copied) == 1
+
+
 def test_passage_inside_lines_is_found_and_cut(spark):
     rng = random.Random(4)
     passage = prose(rng, 60)
