@@ -8,6 +8,7 @@ order by the two engines)."""
 from __future__ import annotations
 
 import math
+import uuid
 from functools import reduce
 from typing import Callable
 
@@ -17,9 +18,10 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import bin_by_ranges, hour_of, parse_date, remap
-from ..operators import balance, categories, clean, features, forest, model, outliers, quantiles, sampling, stats
+from ..operators import balance, categories, clean, exact_sample, features, forest, model, outliers, quantiles, sampling, stats, wide
 from ..session import scratch_path
-from ..sources import files
+from ..sources import bad_rows, files, slices
+from . import increments
 from . import integrate as integ
 from . import testbed as tb
 from .correlate import correlate
@@ -824,6 +826,103 @@ def q_integrate_csv(spark, sf):
     return integ.integrate(slices, "l_orderkey")
 
 
+# ---------------------------------------------------------------- slices: sinks, states, increments
+
+def _period() -> F.Column:
+    return F.coalesce((F.year("l_shipdate") - 1992).cast("int"), F.lit(-1)).alias("period")
+
+
+_PERIOD_SQL = "CAST(coalesce(year(l_shipdate) - 1992, -1) AS INTEGER)"
+
+
+@register("slice_sink", f"SELECT l_orderkey, l_linenumber, CASE WHEN period = 3 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity, period FROM (SELECT l_orderkey, l_linenumber, l_quantity, {_PERIOD_SQL} AS period FROM lineitem)")
+def q_slice_sink(spark, sf):
+    """All periods written, then one of them again with other values: only that one is replaced."""
+    path = scratch_path(spark, "periods")
+    li = _lineitem(spark, sf).select("l_orderkey", "l_linenumber", "l_quantity", _period())
+    slices.write_slices(li, path, "period")
+    slices.write_slices(li.filter("period = 3").withColumn("l_quantity", F.col("l_quantity") + 1), path, "period")
+    return slices.read_slices(spark, path).select("l_orderkey", "l_linenumber", "l_quantity", "period")
+
+
+_STATE_COLS = ["l_quantity", "l_extendedprice"]
+_STATE_PROBS = [0.01, 0.25, 0.5, 0.75, 0.99]
+
+
+@register("quantile_states", " UNION ALL ".join(f"SELECT {lit(c)} AS column_name, p AS prob, count({c}) AS n, TRUE AS within_error FROM lineitem, (SELECT unnest({_STATE_PROBS}::DOUBLE[]) AS p) GROUP BY p" for c in _STATE_COLS))
+def q_quantile_states(spark, sf):
+    """Quantiles from states kept by period, one period added after the others. Their true ranks are
+    counted over all rows: each lies within the stated error of its probability."""
+    path = scratch_path(spark, "states")
+    li = _lineitem(spark, sf).select(*_STATE_COLS, _period())
+    slices.write_quantile_states(li.filter("period <> 4"), _STATE_COLS, "period", path)
+    slices.write_quantile_states(li.filter("period = 4"), _STATE_COLS, "period", path)
+    found = slices.merged_quantiles(slices.read_slices(spark, path), _STATE_PROBS)
+    values = found.collect()  # a row for each listed column and probability
+    ranks = li.agg(*[f for i, r in enumerate(values) for f in (F.count_if(F.col(r.column_name) < r.value).alias(f"b{i}"), F.count_if(F.col(r.column_name) <= r.value).alias(f"u{i}"))]).first() if values else None
+    e = slices.rank_error()
+    rows = [(r.column_name, r.prob, r.n, bool(ranks[f"b{i}"] <= (r.prob + e) * r.n and ranks[f"u{i}"] >= (r.prob - e) * r.n)) for i, r in enumerate(values)]
+    return spark.createDataFrame(rows, "column_name string, prob double, n bigint, within_error boolean")
+
+
+@register("dedup_increment", testbed_ctes(CFG, "dedup") + " SELECT * FROM dedup")
+def q_dedup_increment(spark, sf):
+    """The cleaned table built from three quarters of the orders and then the rest added: the rows of a full run."""
+    d = clean.drop_nulls(_nulled(spark, sf), CFG.required)
+    late = F.pmod(F.xxhash64("l_linenumber", "l_quantity"), F.lit(4)) == 3
+    path = scratch_path(spark, "clean-ranges")
+    bounds = increments.start_clean_table(d.filter(~late), path, CFG.dedup_keys, CFG.dedup_order, 16)
+    increments.add_slice(d.filter(late), path, CFG.dedup_keys, bounds, CFG.dedup_order)
+    return slices.read_slices(spark, path).select(*d.columns)
+
+
+@register("integrate_bucketed", JOINED_SQL)
+def q_integrate_bucketed(spark, sf):
+    """The integrate join over tables stored by buckets of the key."""
+    names = [f"sevlab_{x}_{uuid.uuid4().hex[:12]}" for x in ("casualty", "collision")]
+    for name, df in zip(names, (tb.casualty(spark, sf), tb.collision(spark, sf))):
+        increments.store_bucketed(df, name, "l_orderkey", 16)
+    return increments.integrate_stored(spark, *names, "l_orderkey").select(*JOINED_COLS)
+
+
+_BAD = "l_linenumber = 2 AND l_quantity > 25"
+
+
+@register("csv_bad_rows", f"SELECT count(*) FILTER (WHERE NOT coalesce({_BAD}, FALSE) AND l_partkey % 50 <> 0) AS good, CAST(sum(l_orderkey) FILTER (WHERE NOT coalesce({_BAD}, FALSE) AND l_partkey % 50 <> 0) AS BIGINT) AS good_keys, "
+          f"count(*) FILTER (WHERE {_BAD}) AS short_lines, count(*) FILTER (WHERE NOT coalesce({_BAD}, FALSE) AND l_partkey % 50 = 0) AS no_numbers, count(*) AS placed FROM lineitem")
+def q_csv_bad_rows(spark, sf):
+    """The line items as CSV text in which some lines lack cells and some hold no number: every line is a good row or a
+    reject with its reason, file and line."""
+    path = scratch_path(spark, "bad-csv")
+    li = _lineitem(spark, sf)
+    bad = F.coalesce(F.expr(_BAD), F.lit(False))
+    line = F.when(bad, F.col("l_orderkey").cast("string")).otherwise(F.concat_ws(",", F.col("l_orderkey").cast("string"), F.when(F.col("l_partkey") % 50 == 0, "none").otherwise(F.col("l_partkey").cast("string")), F.col("l_quantity").cast("string")))
+    li.select(line.alias("l_orderkey,l_partkey,l_quantity")).write.option("header", "true").option("quote", "").option("escapeQuotes", "false").option("sep", "\t").csv(path)
+    good, rejects = bad_rows.read_csv_keeping_bad_rows(spark, path, {"l_orderkey": "bigint", "l_partkey": "bigint", "l_quantity": "double"})
+    a = good.agg(F.count(F.lit(1)).alias("good"), F.sum("l_orderkey").alias("good_keys"))
+    b = rejects.agg(F.count_if(F.col("reason") == "cells").alias("short_lines"), F.count_if(F.col("reason") == "type l_partkey").alias("no_numbers"),
+                    (F.count_distinct("file", "line")).alias("places"))
+    return a.join(b).select("good", "good_keys", "short_lines", "no_numbers", (F.col("good") + F.col("places")).alias("placed"))
+
+
+_EXACT_KEY_SQL = "('0x' || substr(md5(concat_ws('|', CAST(o_orderkey AS VARCHAR))), 1, 15))::BIGINT"
+
+
+@register("exact_split", f"SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY {_EXACT_KEY_SQL}) <= ceil(0.8 * count(*) OVER (PARTITION BY o_orderstatus) - 1e-9) AS in_sample FROM orders")
+def q_exact_split(spark, sf):
+    """Exactly ceil(0.8 n) orders of each status, and the rest."""
+    o = tb.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    sample, rest = exact_sample.exact_split(o, "o_orderstatus", 0.8, ["o_orderkey"])
+    return sample.withColumn("in_sample", F.lit(True)).unionByName(rest.withColumn("in_sample", F.lit(False)))
+
+
+@register("correlation_wide", _corr_sql())
+def q_correlation_wide(spark, sf):
+    """The correlation matrix from blocked cross products."""
+    swapped = tb.joined(spark, sf).withColumn("severity", remap("severity", C.SEVERITY_SWAP))
+    return wide.correlation_wide(swapped, _CORR_COLS).select("i", "j", "col_i", "col_j", rnd("r"))
+
+
 # ---------------------------------------------------------------- model jobs (no SQL oracle)
 
 _MODEL_CACHE: dict[tuple[str, str], tuple] = {}  # path and the fitted model
