@@ -15,8 +15,8 @@ Texts are lower-cased runs of letters and digits. A passage is ``2 * HALF`` word
    parts of a passage's size, one every ``HALF`` words. Items of fewer than ``SHORT_WORDS`` words, for which a
    cosine cannot vouch, are found by an exact index instead: a text that can match such an item holds one of
    its rarest words (so many that the words it may lack are fewer).
-5. A candidate stays if the text around the passage can hold enough of the item's words, and is then checked
-   by the longest common subsequence of the item and that text, and of the item's answer (its last fifth,
+5. A candidate stays if its whole text and the text around the passage can hold enough of the item's words, and
+   is then checked by the longest common subsequence of the item and that text, and of the item's answer (its last fifth,
    three words at least). The text is the passage with the item's number of words and ``HALF`` more on
    either side, so it holds the whole item wherever in it the passage stands. That finds paraphrases that
    keep most words in order.
@@ -317,6 +317,19 @@ def _known(latent: _Latent) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return known, codes, before
 
 
+def _able(latent: _Latent, bags: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Which rows' whole texts can hold enough of which items' words (a row's word may stand for all of an item's)."""
+    rows = len(latent.first) - 1
+    out = np.zeros((rows, bags.shape[1]), bool)
+    some = max(1, (1 << 24) // len(bags))
+    for r in range(0, rows, some):
+        first = latent.first[r:r + some + 1]
+        has = np.zeros((len(first) - 1, len(bags)), np.float32)
+        has[np.repeat(np.arange(len(first) - 1), np.diff(first)), latent.codes[first[0]:first[-1]]] = 1
+        out[r:r + some] = has @ bags >= least - 0.5
+    return out
+
+
 class _RareWords:
     """The exact index of short items: a text that holds all but n - least of an item's n words holds one of its
     n - least + 1 rarest ones, so only passages whose checked text holds one of those can match."""
@@ -363,6 +376,7 @@ def search(rows: DataFrame, items: Items, weight: np.ndarray, space: np.ndarray,
     for i, words in enumerate(items.words):
         np.add.at(held[i], words, 1)
     lengths = np.array([len(w) for w in items.words])
+    bags = held.T.astype(np.float32)
     long_parts = [(i, words) for i, words in items.parts if lengths[i] >= short_words]
     owner = np.array([i for i, _ in long_parts], np.int64)
     vectors = np.array([np.bincount(words, weight[words]) @ space[:words.max() + 1] for _, words in long_parts]).reshape(len(long_parts), space.shape[1])
@@ -387,6 +401,8 @@ def search(rows: DataFrame, items: Items, weight: np.ndarray, space: np.ndarray,
                     p, q = np.nonzero(own @ vectors[v:v + VECTORS].T >= cosine * np.maximum(size, 1e-12))
                     found_by.append((p, owner[q + v]))
                 passage, item = (np.concatenate(x) for x in zip(*found_by))
+                able = _able(latent, bags, least)[row_of[passage], item]  # a bound that no match breaks, before words are compared
+                passage, item = passage[able], item[able]
                 row = row_of[passage]
                 begin = (latent.a[passage] - latent.half[row]) * HALF // step[item] * step[item]
                 key = np.unique(np.stack([lengths[item], row, item, begin]), axis=1) if len(items.parts) > len(lengths) else np.stack([lengths[item], row, item, begin])
