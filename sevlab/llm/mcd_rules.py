@@ -17,8 +17,9 @@ spatial sign covariance. A floor (``FLOORS``) is added to each variance: most cl
 symbol at all, and without it the determinant of such a cell is zero.
 
 Defined results: null or empty texts fail the base rule; null languages and sources are cells of
-their own; cells of fewer than ``min_rows`` judged rows are pooled by language, and a pool that is
-still smaller has no verdict (its rows stay); equal rows get equal verdicts; empty tables give
+their own; cells of fewer than ``min_rows`` judged rows are pooled by language; a pool that is still
+smaller is judged by the estimate of all its language's rows, and if these are too few, by that of
+all rows, so every row has a verdict; equal rows get equal verdicts; empty tables give
 empty results.
 """
 
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -203,12 +204,18 @@ def _reweighted(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 def fit(judged: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     """(lang, source, center, inverse) of every cell that has an estimate. ``judged``: lang, source, x0..;
     the rows that the base rule keeps."""
-    lang, source = F.col("lang"), F.col("source")
+    lang, source, n = F.col("lang"), F.col("source"), F.col("n")
     counts = judged.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    cells = written(counts.select("lang", "source", F.when(F.col("n") >= min_rows, key_of(lang, source)).otherwise(key_of(lang)).alias("cell"), "n"), "mcd-cells")
-    large = cells.groupBy("cell").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_rows).select("cell")
-    cells = written(cells.select("lang", "source", "cell").join(large, "cell"), "mcd-large-cells")
-    named = cells.select(F.col("lang").alias("l"), F.col("source").alias("s"), "cell")
+    of_lang = Window.partitionBy("lang")
+    counts = counts.withColumns({"pooled": F.sum(F.when(n < min_rows, n)).over(of_lang), "of_lang": F.sum(n).over(of_lang)})
+    whole_lang, everything = key_of(F.lit("language"), lang), F.lit("all")
+    cell = (F.when(n >= min_rows, key_of(F.lit("cell"), lang, source)).when(F.col("pooled") >= min_rows, key_of(F.lit("pool"), lang))
+            .when(F.col("of_lang") >= min_rows, whole_lang).otherwise(everything))
+    cells = written(counts.select("lang", "source", cell.alias("cell")).withColumn("lang_asked", F.max(F.col("cell") == whole_lang).over(of_lang)), "mcd-cells")
+    all_asked = bool(cells.filter(F.col("cell") == everything).limit(1).count())
+    # a row counts for its own cell, and for the wider ones from which smaller cells are judged
+    counts_for = F.array_compact(F.array_distinct(F.array("cell", F.when(F.col("lang_asked"), whole_lang), F.when(F.lit(all_asked), everything))))
+    named = cells.select(F.col("lang").alias("l"), F.col("source").alias("s"), F.explode(counts_for).alias("cell"))
     same = lang.eqNullSafe(F.col("l")) & source.eqNullSafe(F.col("s"))
     rows = written(judged.join(named, same).select("cell", *[f"x{i}" for i in range(P)]), "mcd-rows")
     estimates = written(_first_estimates(rows), "mcd-start")
@@ -218,8 +225,7 @@ def fit(judged: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
 
 
 def verdicts(rows: DataFrame, estimates: DataFrame, failed: Column, quantile: float = QUANTILE) -> DataFrame:
-    """``rows`` (lang, source, x0.. and more) with ``kept``: not failed, and within its cell's ellipsoid.
-    Rows of a cell without an estimate are kept."""
+    """``rows`` (lang, source, x0.. and more) with ``kept``: not failed, and within its cell's ellipsoid."""
     e = estimates.select(F.col("lang").alias("e_lang"), F.col("source").alias("e_source"), F.col("center").alias("e_center"), F.col("inverse").alias("e_inverse"))
     joined = rows.join(e, F.col("lang").eqNullSafe(F.col("e_lang")) & F.col("source").eqNullSafe(F.col("e_source")), "left")
     far = F.coalesce(_distance("e_center", "e_inverse") > chi_square_quantile(quantile, P), F.lit(False))

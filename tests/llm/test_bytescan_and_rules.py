@@ -59,14 +59,25 @@ def verdicts(rows, min_rows):
         stats.append(([math.floor(min(x, 20) * mcd.UNIT + 0.5) for x in raw], failed))
         if not failed:
             cells.setdefault((lang, source), []).append(i)
-    pooled = {}
-    for (lang, source), members in cells.items():
-        pooled.setdefault((lang, source) if len(members) >= min_rows else (lang, None, "pool"), []).extend(members)
+    small = {c: m for c, m in cells.items() if len(m) < min_rows}
+    pools = {lang: sum(len(m) for c, m in small.items() if c[0] == lang) for lang, _ in small}
+    langs = {lang: [i for c, m in cells.items() if c[0] == lang for i in m] for lang, _ in cells}
+
+    def name(cell):
+        lang = cell[0]
+        return cell if cell not in small else ("pool", lang, 0) if pools[lang] >= min_rows else ("language", lang, 0, 0) if len(langs[lang]) >= min_rows else "all"
+
+    judged, counted = {}, {}
+    for cell, members in cells.items():
+        judged.setdefault(name(cell), []).extend(members)
+        counted.setdefault(name(cell), []).extend(members)
+    for group in judged:  # wider estimates are over all rows
+        if group == "all" or len(group) == 4:
+            counted[group] = [i for m in cells.values() for i in m] if group == "all" else langs[group[1]]
     kept = [not f for _, f in stats]
     floors = np.diag([(v * mcd.UNIT) ** 2 for v in mcd.FLOORS.values()])
-    for members in pooled.values():
-        if len(members) < min_rows:
-            continue
+    for group, its in judged.items():
+        members = counted[group]
         x = np.array([stats[i][0] for i in members], float)
 
         def distance(center, cov, x=x):
@@ -95,8 +106,10 @@ def verdicts(rows, min_rows):
             best = found if best is None or found[0] < best[0] - 1e-9 else best
         near = x[distance(best[1], best[2]) <= mcd.chi_square_quantile(0.975, mcd.P)]
         cov = mcd.consistency(0.975) * np.cov(near.T, bias=True) + floors
-        far = distance(near.mean(axis=0), cov) > mcd.chi_square_quantile(mcd.QUANTILE, mcd.P)
-        for i, out in zip(members, far, strict=True):
+        center = near.mean(axis=0)
+        own = np.array([stats[i][0] for i in its], float)
+        far = distance(center, cov, own) > mcd.chi_square_quantile(mcd.QUANTILE, mcd.P)
+        for i, out in zip(its, far, strict=True):
             kept[i] &= not out
     return [f for _, f in stats], kept
 
@@ -109,6 +122,19 @@ def test_rules_equal_brute_force(spark):
     assert any(f is False and k is False for f, k in zip(failed, kept, strict=True))  # the junk is far out
 
 
+def test_small_cells_and_rare_languages_are_judged(spark):
+    """A text of signs in a rare source, in a rare language and in both is rejected; plain ones stay."""
+    rows = [(i, t, "en", "src0", n) for i, t, _, _, n in corpus(200)]
+    plain, junk = rows[2][1], " ".join(["#%&|"] * 40 + ["w"] * 5)
+    odd = [("en", "rare"), ("xx", "src0"), (None, None), ("xx", None)]
+    rows += [(1000 + 2 * k + bad, junk if bad else plain + f" {k}", lang, source, 1) for k, (lang, source) in enumerate(odd) for bad in (0, 1)]
+    got = {r.doc_id: r.kept for r in mcd.judge(frame(spark, rows)).collect()}
+    assert [got[1000 + 2 * k] for k in range(4)] == [True] * 4 and [got[1001 + 2 * k] for k in range(4)] == [False] * 4
+    assert got == {r[0]: k for r, k in zip(rows, verdicts(rows, mcd.MIN_ROWS)[1])}
+    few = frame(spark, [(1, plain, "en", "s", 1), (2, plain + " more", "de", "t", 1)])
+    assert all(r.kept for r in mcd.judge(few).collect())
+
+
 def test_stage_keeps_the_kept_rows_and_all_columns(spark):
     rows = corpus(120) + edges()
     docs = frame(spark, rows, clash=True)
