@@ -118,6 +118,32 @@ def unpack(segment: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [None if m else int(d) for d, m in zip(docs, missing, strict=True)], lengths, ids
 
 
+def read_block(segment: bytes, block: int) -> np.ndarray:
+    """The ids of one block of a segment: only its heads, packed bytes and exceptions are decoded."""
+    if segment[:4] != MAGIC:
+        raise ValueError("not a segment of token blocks")
+    n_ids, n_docs, n_blocks, size = (int(x) for x in np.frombuffer(segment, "<u4", 4, 4))
+    if not 0 <= block < n_blocks:
+        raise IndexError(f"block {block} of {n_blocks}")
+    index_at = 20 + n_docs * (8 + 1 + 4)
+    low_at = index_at + 4 * (n_blocks + 1)
+    width_at, patched_at = low_at + 4 * n_blocks, low_at + 5 * n_blocks
+    packed_at = patched_at + 2 * n_blocks
+    start, end = (int(x) for x in np.frombuffer(segment, "<u4", 2, index_at + 4 * block))
+    packed_bytes = int(np.frombuffer(segment, "<u4", 1, index_at + 4 * n_blocks)[0])
+    low, width = int(np.frombuffer(segment, "<u4", 1, low_at + 4 * block)[0]), segment[width_at + block]
+    patched = np.frombuffer(segment, "<u2", n_blocks, patched_at).astype(np.int64)
+    before, here, every = int(patched[:block].sum()), int(patched[block]), int(patched.sum())
+    count = min(size, n_ids - block * size)
+    bits = np.zeros((count, 32), np.uint8)
+    bits[:, :width] = np.unpackbits(np.frombuffer(segment, np.uint8, end - start, packed_at + start), bitorder="little")[:count * width].reshape(count, width)
+    ids = np.packbits(bits, axis=1, bitorder="little").view("<u4")[:, 0].copy()
+    exceptions_at = packed_at + packed_bytes
+    position = np.frombuffer(segment, "<u2", here, exceptions_at + 2 * before)
+    ids[position] = np.frombuffer(segment, "<u4", here, exceptions_at + 2 * every + 4 * before)
+    return ids + np.uint32(low)
+
+
 def byte_letters() -> dict[int, str]:
     """The letter that byte-level models write for each byte: itself if printable in Latin-1, else the next
     code points from 256."""

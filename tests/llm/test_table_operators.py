@@ -139,16 +139,29 @@ def test_blocks_round_trip(ids, rng):
 def test_blocks_are_small_and_random_access():
     ids = np.random.default_rng(0).integers(0, 1000, 50_000).astype("<u4")
     ids[::97] += 40_000
-    assert len(token_blocks.pack([1], np.array([len(ids)]), ids)) < 1.5 * len(ids)
+    segment = token_blocks.pack([1], np.array([len(ids)]), ids)
+    assert len(segment) < 1.5 * len(ids)
+    for n in (1, 511, 512, 513, 5000):
+        ids[:3] = 2**32 - 1, 0, 70_000
+        part = token_blocks.pack([7, None], np.array([n - 1, 1]), ids[:n])
+        _, _, whole = token_blocks.unpack(part)
+        blocks = [token_blocks.read_block(part, k) for k in range(-(-n // token_blocks.BLOCK))]
+        assert np.array_equal(np.concatenate(blocks), ids[:n]) and np.array_equal(whole, ids[:n])
+        with pytest.raises(IndexError):
+            token_blocks.read_block(part, len(blocks))
+    same = token_blocks.pack([1], np.array([600]), np.full(600, 9, "<u4"))  # no bits at all
+    assert (token_blocks.read_block(same, 1) == 9).all()
 
 
-TOKENIZER = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+def tokenizer_file() -> str:
+    """Only tests of the tokenizer are left out where there is none."""
+    return pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
 
 
 def test_encoder_equals_the_whole_tokenizer():
     from tokenizers import Tokenizer
 
-    whole, pieces = Tokenizer.from_file(TOKENIZER), token_blocks.PieceEncoder(TOKENIZER)
+    whole, pieces = Tokenizer.from_file(tokenizer_file()), token_blocks.PieceEncoder(tokenizer_file())
     rng = random.Random(1)
     texts = [r[1] or "" for r in corpus(40) + edges()] + ["it's <|endoftext|> don't.' x_1 12.5!!", "É ÉA. Σ ΟΔΟΣ. İ ﬁ Ⅳ é a\x1cb a\x85b a b", "ÀÖØÞ×÷ß ÿ.%%% Ñandú###"]
     texts += ["".join(rng.choices("aBé.,'! 1\ńßÑ×<|>", k=30)) for _ in range(1500)]
@@ -160,9 +173,9 @@ def test_token_files(spark, monkeypatch):
     from tokenizers import Tokenizer
 
     monkeypatch.setattr(token_blocks, "SEGMENT_IDS", 500)
-    whole = Tokenizer.from_file(TOKENIZER)
+    whole = Tokenizer.from_file(tokenizer_file())
     rows = corpus(80) + edges()
-    segments = token_blocks.write_segments(frame(spark, rows, clash=True), TOKENIZER, 2)
+    segments = token_blocks.write_segments(frame(spark, rows, clash=True), tokenizer_file(), 2)
     assert segments.count() > 10
     got = token_blocks.read_documents(segments, with_ids=True).orderBy("start").collect()
     ids = {}
@@ -176,7 +189,7 @@ def test_token_files(spark, monkeypatch):
     assert not any(ids.values())
     order = [(r.doc_id is not None, r.doc_id or 0) for r in got]
     assert order == sorted(order)
-    assert token_blocks.read_documents(token_blocks.write_segments(frame(spark, rows).limit(0), TOKENIZER, 2)).count() == 0
+    assert token_blocks.read_documents(token_blocks.write_segments(frame(spark, rows).limit(0), tokenizer_file(), 2)).count() == 0
 
 
 def test_pipeline_equals_its_stages_on_the_small_tables(spark):
