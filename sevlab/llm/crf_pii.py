@@ -223,10 +223,10 @@ SENTENCES = (
     "You can reach me at {phone} after six.", "Call {phone} or write to {email} today", "phone {phone}", "tel. {phone}, room 12", "My number is {phone} and my card is {card}",
     "Please mail {email} for details.", "contact: {email}", "write to {email} or {email}", "The server {ip} did not answer", "host {ip} port 8080", "ping {ip} and {ip} first",
     "paid with {card} on 12 May 2021", "card {card} expired", "His card number {card} was stolen", "{phone}", "{email}", "{ip}", "{card}",
-    "and then {phone} the that of", "ered the in {card} onhe rest", "la de {phone} que por", "und die {ip} von der", "le la {email} ou pas",
+    "and then {phone} the that of", "red as the {card} on his desk", "la de {phone} que por", "und die {ip} von der", "le la {email} ou pas",
     "Licensed under the Apache License, Version 2.0.", "Licensed under CC BY-NC 4.0.", "the GNU General Public License, version 3.", "Chapter 12, page 345", "It cost 1500 dollars in 1998.",
     "version 1.2.3 of the program", "on 2021-03-04 at 10:30", "about 3,000,000 people", "a score of 17 to 3", "rooms 101 and 102", "In 2019 the 5 largest of 120 firms made 33.5 % more",
-    'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" of the', "key 2abc3ff2ca8fb1e4c565a0eb63815530a948bdde was", "commit 9c8b45435718dcc700c184a7e303cdc64c6a8f7f", "order 48213 of item 77", "see section 4.2 and table 7",
+    'token = "3f0a77c1d5e8b2946072ac1be95d4f3380167e2c" of the', "key b81e4470cf95d2a36e0137fd8c5ba92264ef1d0a was", "commit 7d52e1f09b3a4c8866f0135eabc97d2408f4b6e3", "order 48213 of item 77", "see section 4.2 and table 7",
     "from 1914 to 1918 the war", "the @ sign", "the 3rd of 4 parts", "call it a day at 5", "the card game of 52 cards", "write 100 lines", "on line 250 of 300", "id 20384756 was closed",
     # Texts without digits and @ signs, so that signs between plain words are not taken for spelled-out addresses.
     "home | news | sport | about us | help", "Next | Last | First. | more words | and others | here", "- one - two - three", "the * of # a $ or % in & by < to > we",
@@ -235,9 +235,9 @@ SENTENCES = (
 )
 EXAMPLES = {
     "email": ("anna.bell@example.com", "19@mail5.example.com", "j_smith99@post.example.org", "anna [at] example.com", "info (at) firm.example.net", "tom@example", "bob.ray at example dot com", "x.y@mail.co"),
-    "ip": ("192.168.10.254", "10.0.0.1", "43.21.141.162", "233.254.104.120", "8.20.209.178", "172.16.300.4"),
-    "card": ("4111 1111 1111 1111", "9807915762804490", "5927243074273351", "3782-822463-10005", "6011000990139424", "5105 1051 0510 5100", "4929-1234-5678-9012"),
-    "phone": ("+1 (017) 555-7713", "(974) 555-3436", "555-0142", "+49 30 901820", "030 90182000", "0171/5550199", "974-555-3436", "+44 20 7946 0018", "(017) 555-7713", "212.555.0187"),
+    "ip": ("192.168.10.254", "10.0.0.1", "198.51.100.162", "203.0.113.204", "8.41.77.130", "172.16.300.4"),
+    "card": ("4111 1111 1111 1111", "6304000000000000", "3530111333300000", "3782-822463-10005", "6011000990139424", "5105 1051 0510 5100", "4929-1234-5678-9012"),
+    "phone": ("+1 (202) 555-0143", "(312) 555-0187", "555-0142", "+49 30 901820", "030 90182000", "0171/5550199", "312-555-0187", "+44 20 7946 0018", "(202) 555-0143", "212.555.0187"),
 }
 
 
