@@ -17,6 +17,10 @@ How it is spread: digests are counted with a map-side combine; those found twice
 joined back (an equi join of two plain sides, so adaptive execution can split a hot digest); runs are made
 per document.
 
+A run's least length serves the query, whose clean documents share common phrases. Lines and paragraphs that
+are repeated whole are units of their own at any length (``repeated_whole_units``, told by 128 bits), and
+``without_repeats`` cuts them too if asked.
+
 Defined results: null and empty texts have no unit; doc_id is the rank (nulls first); rows with one doc_id and
 different texts are documents of their own, ordered by a hash of the text; rows alike in both are one document,
 cut alike; equal units inside one document are repeated after the first; empty tables give empty results.
@@ -24,7 +28,9 @@ cut alike; equal units inside one document are repeated after the first; empty t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+import re
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -145,9 +151,61 @@ def repeated_runs(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     return _runs(docs, least_words).select("doc_id", "start", "end", "n_words", "first_doc_id")
 
 
-def without_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """``docs`` with the runs cut out of the text, and (removed) their original offsets."""
-    runs = _runs(docs, least_words).groupBy(F.col("doc_id").alias("run_id"), F.col("text_key").alias("run_key")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+#: What a whole unit is told by: its words, lower case, without signs.
+_WORD = re.compile(r"[^\W_]+")
+
+
+def whole_units(docs: DataFrame, separator: str) -> DataFrame:
+    """doc_id, text_key, unit, start, end, n_words and digest (128 bits) of every line (``"\\n"``) or paragraph
+    (``"\\n\\n"``) with a word."""
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            rows, found = [], []
+            for row, text in enumerate(batch.column(2).to_pylist()):
+                start = 0
+                for unit, part in enumerate((text or "").split(separator)):
+                    words = _WORD.findall(part.lower())
+                    if words:
+                        rows.append(row)
+                        found.append((unit, start, start + len(part), len(words), hashlib.md5(" ".join(words).encode()).digest()))
+                    start += len(part) + len(separator)
+            at = pa.array(rows, pa.int64())
+            columns = list(zip(*found)) if found else [()] * 5
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *[pa.array(c, pa.int64()) for c in columns[:4]], pa.array(columns[4], pa.binary())],
+                                             names=["doc_id", "text_key", "unit", "start", "end", "n_words", "digest"])
+
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("text_key", T.LongType()), *[T.StructField(c, T.LongType()) for c in ("unit", "start", "end", "n_words")], T.StructField("digest", T.BinaryType())])
+    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(batches, schema)
+
+
+def repeated_whole_units(docs: DataFrame, separator: str = "\n") -> DataFrame:
+    """doc_id, text_key, start, end, n_words and first_doc_id of every line or paragraph, of any length, that stands
+    earlier (by doc_id, nulls first, then a hash of the text, then its place): all but the earliest one."""
+    table = written(whole_units(docs, separator), "whole-units")
+    rank = F.struct(F.col("doc_id").isNotNull().alias("has_id"), "doc_id", "text_key", "unit")
+    known = table.groupBy("digest").agg(F.min(rank).alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    known = written(known.select("digest", F.col("least.doc_id").alias("first_doc_id"), F.col("least.text_key").alias("first_key"), F.col("least.unit").alias("first_unit")), "repeated-whole-units")
+    earliest = F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.col("text_key") == F.col("first_key")) & (F.col("unit") == F.col("first_unit"))
+    return table.join(known, "digest").filter(~earliest).select("doc_id", "text_key", "start", "end", "n_words", "first_doc_id").distinct()
+
+
+def _merged_spans(spans: DataFrame) -> DataFrame:
+    """Spans of a text that touch or overlap, as one."""
+    before = Window.partitionBy("doc_id", "text_key").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("doc_id", "text_key").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
+    opens = F.coalesce(F.col("start") > F.max("end").over(before), F.lit(True))
+    islands = spans.withColumn("opens", opens.cast("int")).withColumn("island", F.sum("opens").over(upto))
+    return islands.groupBy("doc_id", "text_key", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+
+
+def without_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, whole: Sequence[str] = ()) -> DataFrame:
+    """``docs`` with the runs cut out of the text, and (removed) their original offsets. ``whole`` lists separators of
+    units (lines, paragraphs) that are also cut wherever they stand whole a second time, however short."""
+    spans = _runs(docs, least_words).select("doc_id", "text_key", "start", "end")
+    for separator in whole:
+        spans = spans.unionByName(repeated_whole_units(docs, separator).select("doc_id", "text_key", "start", "end"))
+    spans = _merged_spans(spans) if whole else spans
+    runs = spans.groupBy(F.col("doc_id").alias("run_id"), F.col("text_key").alias("run_key")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
     joined = docs.join(runs, docs["doc_id"].eqNullSafe(runs["run_id"]) & (F.xxhash64(docs["text"]) == runs["run_key"]), "left")
     spans, whole = runs["spans"], docs["text"]
     ends = F.concat(F.array(F.lit(0).cast("long")), F.transform(spans, lambda s: s["end"]))

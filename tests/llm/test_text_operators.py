@@ -201,6 +201,40 @@ def test_repeated_units_equal_brute_force(spark):
     assert len(expected) > 20
 
 
+@pytest.mark.parametrize("separator", ["\n", "\n\n"])
+def test_whole_units_equal_brute_force(spark, separator):
+    """Lines and paragraphs of any length: a 12-word line in five documents goes from four of them."""
+    rng = random.Random(22)
+    line = " ".join(prose(rng, 12).split())
+    rows = [(i, f"{prose(rng, 20)}\n\n{line if i % 2 else line.upper() + '!'}\n\n{prose(rng, 15)}", "en", "s", 1) for i in range(5)]
+    rows += corpus(40, 9)[:30] + [(d, t, "en", "s", 1) for d in (None, 70) for t in ("Yes.\nyes\n\nNo", "no\n...\n\nyes", None, "")] + [(80, "a\n\na", "en", "s", 1)] * 2
+    units = []
+    for doc_id, text in dict.fromkeys((r[0], r[1]) for r in rows):
+        start = 0
+        for n, part in enumerate((text or "").split(separator)):
+            words = re.findall(r"[^\W_]+", part.lower())
+            if words:
+                units.append((doc_id, text, n, start, start + len(part), " ".join(words)))
+            start += len(part) + len(separator)
+    keys = {r.text: r.k for r in frame(spark, rows).selectExpr("text", "xxhash64(text) AS k").collect()}
+    order = lambda u: (u[0] is not None, u[0] or 0, keys[u[1]], u[2])
+    first = {}
+    for u in sorted(units, key=order):
+        first.setdefault(u[5], u)
+    expected = sorted(((u[0], keys[u[1]], u[3], u[4]) for u in units if first[u[5]] != u), key=repr)
+    df = frame(spark, rows, clash=True)
+    assert rows_of(unit_dedup.repeated_whole_units(df, separator), "doc_id", "text_key", "start", "end") == expected
+    cut = unit_dedup.without_repeats(df, least_words=10**6, whole=[separator])
+    gone = {}
+    for d, k, a, b in expected:
+        gone.setdefault((d, k), []).append((a, b))
+    for r in cut.select("doc_id", "text", "removed").collect():
+        assert r.removed is None or sorted((s.start, s.end) for s in r.removed) in [sorted(v) for v in gone.values()]
+    both = unit_dedup.without_repeats(df, whole=["\n", "\n\n"]).select("text").collect()
+    assert len(both) == len(rows) and sum((r.text or "").lower().count(line.lower()) for r in both) == 1
+    assert unit_dedup.repeated_whole_units(df.limit(0), separator).count() == 0
+
+
 def test_rows_of_one_id_are_cut_apart(spark):
     """A copy and a clean text under one id, or under none: only the copy loses text."""
     rng = random.Random(21)
