@@ -29,7 +29,7 @@ from .oracle_sql import (
     CASUALTY_SQL, JOINED_COLS, JOINED_SQL, R, SEVERITY_SQL, hash_condition_sql, lit, prepared_select_sql, testbed_ctes,
 )
 from .forest_sql import forest_sql
-from .prepare import NUM_SCALED, cut_lineage, prepare, training_table
+from .prepare import NUM_SCALED, cut_lineage, prepare
 from .train import fit, split, train_and_evaluate
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -925,15 +925,16 @@ def q_correlation_wide(spark, sf):
 
 # ---------------------------------------------------------------- model jobs (no SQL oracle)
 
-_MODEL_CACHE: dict[tuple[str, str], tuple] = {}  # path and the fitted model
+_MODEL_CACHE: dict[tuple[str, str], tuple] = {}  # path, the fitted model, the rows it was made from
 _ROW_KEY_SQL = "('0x' || substr(md5(concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in CFG.dedup_keys) + ")), 1, 15))::BIGINT"
 _IN_TRAIN = hash_condition_sql(CFG.label, CFG.train_fractions, ["row_key"])
 
 
-def _training_table(spark, sf) -> DataFrame:
-    """What the prepare job writes for training: features, label, class weight, row key."""
+def _training_table(spark, sf, *more: str) -> DataFrame:
+    """What the prepare job writes for training: features, label, class weight, row key (and ``more`` columns)."""
     p = _prepared(spark, sf, CFG)
-    table = cut_lineage(training_table(p.frame, CFG.label, CFG.dedup_keys), "train-table")
+    keyed = p.frame.withColumn("row_key", forest.row_key(*CFG.dedup_keys))
+    table = cut_lineage(keyed.select("features", CFG.label, "class_weight", "row_key", *more), "train-table")
     p.release()
     return table
 
@@ -986,11 +987,18 @@ def _model_path(spark, sf) -> str:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MODEL_CACHE:
         path = scratch_path(spark, "forest")
-        train, _ = split(_training_table(spark, sf), CFG.label, CFG.train_fractions, C.SEED)
-        _MODEL_CACHE[key] = (path, fit(balance.smoothed_weight(train), CFG.label, C.FOREST_PARAMS, model_path=path))
+        table = _training_table(spark, sf, "l_orderkey", "l_linenumber")
+        train, _ = split(table, CFG.label, CFG.train_fractions, C.SEED)
+        _MODEL_CACHE[key] = (path, fit(balance.smoothed_weight(train), CFG.label, C.FOREST_PARAMS, model_path=path), table)
     return _MODEL_CACHE[key][0]
 
 
+def _scoring_rows(spark, sf) -> DataFrame:
+    """The prepared rows that the training of the saved model has written."""
+    _model_path(spark, sf)
+    return _MODEL_CACHE[spark.sparkContext.applicationId, sf][2]
+
+
 _KEPT_COUNT = testbed_ctes(CFG, "kept") + " SELECT count(*) AS rows, {} FROM kept"
 
 
@@ -1000,7 +1008,7 @@ def q_model_roundtrip(spark, sf):
     from ..sources.models import load_forest
     path = _model_path(spark, sf)
     fitted = _MODEL_CACHE[spark.sparkContext.applicationId, sf][1]
-    rows = _prepared(spark, sf, CFG).frame.select("features")
+    rows = _scoring_rows(spark, sf).select("features")
     both = load_forest(path).transform(fitted.transform(rows).select("features", F.col("prediction").alias("before"), F.col("probability").alias("p")))
     same = (F.col("before") == F.col("prediction")) & (vector_to_array("p") == vector_to_array("probability"))
     return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~same).alias("differences"))
@@ -1012,7 +1020,7 @@ def q_batch_score(spark, sf):
     prediction is the greatest one, and vectors made from rows in memory score as the table's do."""
     from .train import score_job
     path = _model_path(spark, sf)
-    rows = _prepared(spark, sf, CFG).frame.select("l_orderkey", "l_linenumber", "features")
+    rows = _scoring_rows(spark, sf).select("l_orderkey", "l_linenumber", "features")
     scored = score_job(path, rows)
     p = [F.col(f"p_{k}") for k in range(4)]
     sample = rows.orderBy("l_orderkey", "l_linenumber").select("features").first()

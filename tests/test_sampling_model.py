@@ -84,6 +84,16 @@ def test_split_and_fit_do_not_depend_on_the_layout(spark, table):
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
+def test_persist_keeps_rows_until_released(spark):
+    kept = sampling.persist(spark.range(100).filter("id % 3 = 0"))
+    try:
+        assert kept.count() == 34 and kept.storageLevel.useMemory and kept.storageLevel.useDisk
+        assert "InMemory" in kept.select("id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        kept.unpersist(blocking=True)
+    assert not kept.storageLevel.useMemory and spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
 def test_same_seed_same_forest(spark, table):
     a = model.fit_forest(table, "casualty_severity", SMALL_FOREST, weight="class_weight")
     b = model.fit_forest(table, "casualty_severity", SMALL_FOREST, weight="class_weight")
