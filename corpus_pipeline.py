@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sevlab.llm import jaccard_join, jump_shards, latent_leaks, mcd_rules, temperature_mix
-from sevlab.llm.common import documents, written
+from sevlab.llm.common import documents, release, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """All stages in turn. A stage's table is deleted once the next one's is written."""
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            release(before)
+        before = docs
     return docs

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sevlab.session import scratch_path
+from sevlab.session import delete_path, scratch_path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -14,7 +14,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch_path = path
+    return table
+
+
+def release(table: DataFrame) -> None:
+    """Delete a table that ``written`` has made, once nothing reads it any more (at the latest the program's
+    end does)."""
+    delete_path(table.sparkSession, table._scratch_path)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

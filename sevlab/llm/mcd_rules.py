@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from sevlab.llm import bytescan as scan
 from sevlab.llm import text_statistics
-from sevlab.llm.common import free_name, key_of, written
+from sevlab.llm.common import free_name, key_of, release, written
 
 UNIT = 1000  # a vector's integers are thousandths
 #: Lowest standard deviation of each statistic; part of the covariance, so that no determinant is zero.
@@ -220,7 +220,8 @@ def fit(judged: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     rows = written(judged.join(named, same).select("cell", *[f"x{i}" for i in range(P)]), "mcd-rows")
     estimates = written(_first_estimates(rows), "mcd-start")
     for _ in range(STEPS):
-        estimates = written(_concentrate(rows, estimates), "mcd-step")
+        before, estimates = estimates, written(_concentrate(rows, estimates), "mcd-step")
+        release(before)
     return written(cells.join(_reweighted(rows, estimates), "cell").select("lang", "source", "center", "inverse"), "mcd-estimates")
 
 
