@@ -24,6 +24,7 @@ import time
 import uuid
 from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,8 @@ UNIT = 1 << 16
 MIN_GAIN = 1e-9
 CHUNK_ROWS = 1 << 20
 CHUNK_CELLS = 1 << 22
+#: Rows walked down a tree at a time: their arrays stay in the core's cache.
+BLOCK_ROWS = 1 << 14
 _LEAF, _OPEN = -1, -2
 # The odd constants of the splitmix64 mixing function.
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -68,10 +71,23 @@ def poisson_points() -> list[int]:
         points.append(int(total * 2**32))
 
 
+@lru_cache(maxsize=1)
+def _draw_tables() -> tuple[np.ndarray, np.ndarray]:
+    """The points of a draw, and the count for each of its leading 16 bits, -1 where a point lies among the draws that begin so."""
+    points, begin = np.array(poisson_points(), np.uint64), np.arange(1 << 16, dtype=np.uint64) << np.uint64(16)
+    first, last = (np.searchsorted(points, x, side="right") for x in (begin, begin + np.uint64(0xFFFF)))
+    return points, np.where(first == last, first, -1)
+
+
 def draws(key: np.ndarray, tree: int, seed: int) -> np.ndarray:
     """How often each row is in a tree."""
     salt = np.uint64((tree + 1 + (seed << 20)) * MIX[0] % 2**64)
-    return np.searchsorted(np.array(poisson_points(), np.uint64), mixed(key.astype(np.uint64) + salt) >> np.uint64(32), side="right")
+    points, counts = _draw_tables()
+    draw = mixed(key.astype(np.uint64) + salt)
+    times = counts.take((draw >> np.uint64(48)).view(np.int64))
+    open_ = np.flatnonzero(times < 0)
+    times[open_] = np.searchsorted(points, draw[open_] >> np.uint64(32), side="right")
+    return times
 
 
 def candidates(nodes: np.ndarray, tree: int, seed: int, n_features: int, n: int) -> np.ndarray:
@@ -145,6 +161,14 @@ def _binned(batches: Iterable[pa.RecordBatch], cuts: list[np.ndarray]) -> Iterat
         yield pa.RecordBatch.from_arrays([packed, batch.column("y"), batch.column("w"), batch.column("k")], ["bins", "y", "w", "k"])
 
 
+def _joined(column: pa.Array) -> memoryview:
+    """The bytes of all values of a binary column without nulls, as they lie in its buffer."""
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int64 if pa.types.is_large_binary(column.type) else np.int32)
+    first, last = int(ends[column.offset]), int(ends[column.offset + len(column)])
+    return memoryview(data)[first:last] if data is not None else memoryview(b"")
+
+
 def _rows(batches: Iterable[pa.RecordBatch], n_features: int, wide: bool) -> Iterator[tuple[np.ndarray, ...]]:
     """Chunks of (bins, class, weight, key)."""
     held: list[tuple[np.ndarray, ...]] = []
@@ -154,8 +178,7 @@ def _rows(batches: Iterable[pa.RecordBatch], n_features: int, wide: bool) -> Ite
 
     for batch in batches:
         if len(batch):
-            packed = b"".join(batch.column("bins").to_pylist())
-            bins = np.frombuffer(packed, np.uint16 if wide else np.uint8).reshape(len(batch), n_features)
+            bins = np.frombuffer(_joined(batch.column("bins")), np.uint16 if wide else np.uint8).reshape(len(batch), n_features)
             held.append((bins, *(batch.column(c).to_numpy() for c in ("y", "w", "k"))))
         if sum(len(h[1]) for h in held) >= CHUNK_ROWS:
             yield chunk()
@@ -164,12 +187,44 @@ def _rows(batches: Iterable[pa.RecordBatch], n_features: int, wide: bool) -> Ite
         yield chunk()
 
 
+def _cells(x: np.ndarray, y: np.ndarray, w: np.ndarray, key: np.ndarray, trees: Trees, tree: int, level: int,
+           number: np.ndarray, options: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cells (open node, candidate, bin, class) that a block of rows adds to at a level of a tree, and the weights added.
+    ``number``: of each node of the level, -1 unless it is open; ``options``: candidates by (place, open node)."""
+    feature, cut, bins = trees.feature[tree].astype(np.int64), trees.cut[tree], x.ravel()
+    times = draws(key, tree, trees.seed)
+    row = np.flatnonzero(times != 0)
+    begin, node = row * x.shape[1], np.zeros(len(row), np.int64)
+    for step in range(level):
+        wanted = feature.take(node)
+        if step % 3 == 2:  # rows in leaves leave; until then they go on to nodes that no tree has
+            inner = wanted >= 0
+            if not inner.all():
+                row, begin, node, wanted = row[inner], begin[inner], node[inner], wanted[inner]
+        right = bins.take(begin + np.maximum(wanted, 0)) > cut.take(node)
+        node += node
+        node += 1
+        node += right
+    node = number.take(node - (2**level - 1))
+    inside = np.flatnonzero(node >= 0)
+    row, begin, node = row[inside], begin[inside], node[inside]
+    size = trees.bins * trees.n_classes
+    here = node * (len(options) * size) + y[row]
+    cells = np.empty((len(options), len(row)), np.int64)
+    for s, option in enumerate(options):
+        np.multiply(bins.take(begin + option.take(node)), trees.n_classes, out=cells[s], casting="unsafe", dtype=np.int64)
+        cells[s] += here + s * size
+    return cells.ravel(), np.tile((w[row] * times[row]).astype(np.float64), len(options))
+
+
 def histograms(batches: Iterable[pa.RecordBatch], trees: Trees, level: int) -> Iterator[pa.RecordBatch]:
     """Per chunk of rows, tree and open node of the level: the cells (candidate, bin, class) with their weights."""
     n_features, n_classes, bins = len(trees.cuts), trees.n_classes, trees.bins
     per_node = trees.subset * bins * n_classes
     first = 2**level - 1
     for x, y, w, key in _rows(batches, n_features, bins > 256):
+        blocks = [slice(start, start + BLOCK_ROWS) for start in range(0, len(y), BLOCK_ROWS)]
+        of_chunk, weight_of = np.empty(len(y) * trees.subset, np.int64), np.empty(len(y) * trees.subset)
         for tree in range(trees.n_trees):
             at_level = trees.feature[tree, first:2 * first + 1]
             nodes = np.flatnonzero(at_level == _OPEN)
@@ -177,24 +232,15 @@ def histograms(batches: Iterable[pa.RecordBatch], trees: Trees, level: int) -> I
                 continue
             number = np.full(len(at_level), -1, np.int64)
             number[nodes] = np.arange(len(nodes))
-            times = draws(key, tree, trees.seed)
-            row = np.flatnonzero(times)
-            node = np.zeros(len(row), np.int32)
-            for _ in range(level):
-                feature = trees.feature[tree, node]
-                inner = feature >= 0
-                if not inner.all():
-                    row, node, feature = row[inner], node[inner], feature[inner]
-                node = 2 * node + 1 + (x[row, feature] > trees.cut[tree, node])
-            open_here = number[node - first]
-            inside = open_here >= 0
-            row, open_here = row[inside], open_here[inside]
-            if not len(row):
+            options = np.ascontiguousarray(candidates(nodes + first, tree, trees.seed, n_features, trees.subset).T)
+            end = 0
+            for b in blocks:
+                found, added = _cells(x[b], y[b], w[b], key[b], trees, tree, level, number, options)
+                start, end = end, end + len(found)
+                of_chunk[start:end], weight_of[start:end] = found, added
+            if not end:
                 continue
-            options = candidates(nodes + first, tree, trees.seed, n_features, trees.subset)
-            weight = w[row] * times[row]
-            cells = [((open_here * trees.subset + s) * bins + x[row, options[open_here, s]]) * n_classes + y[row] for s in range(trees.subset)]
-            cell, weights = np.concatenate(cells), np.tile(weight, trees.subset).astype(np.float64)
+            cell, weights = of_chunk[:end], weight_of[:end]
             if len(nodes) * per_node <= CHUNK_CELLS:
                 sums = np.bincount(cell, weights=weights)
                 used = np.flatnonzero(sums)

@@ -931,9 +931,11 @@ _IN_TRAIN = hash_condition_sql(CFG.label, CFG.train_fractions, ["row_key"])
 
 
 def _training_table(spark, sf, *more: str) -> DataFrame:
-    """What the prepare job writes for training: features, label, class weight, row key (and ``more`` columns)."""
+    """What the prepare job writes for training: features, label, class weight, row key (and ``more`` columns).
+    Rows lie sorted by their features in each file, so that neighbours walk the same nodes of the trees: these
+    are then in the core's cache when a forest of any size scores the table."""
     p = _prepared(spark, sf, CFG)
-    keyed = p.frame.withColumn("row_key", forest.row_key(*CFG.dedup_keys))
+    keyed = p.frame.withColumn("row_key", forest.row_key(*CFG.dedup_keys)).sortWithinPartitions(*_FEATURES)
     table = cut_lineage(keyed.select("features", CFG.label, "class_weight", "row_key", *more), "train-table")
     p.release()
     return table

@@ -140,3 +140,82 @@ def test_training_table_without_columns_to_hash_is_split_by_its_vectors(table):
         split(bare.select("y", "class_weight"), "y", FRACTIONS, 42)
     t = train_and_evaluate(bare, "y", FRACTIONS, PARAMS, 42, labels=[1, 2, 3])
     assert t.metrics.first().accuracy > 0.6 and t.confusion.count() == 3
+
+
+def test_packed_bins_are_read_from_any_slice_of_a_column():
+    x = np.arange(60, dtype=np.uint8).reshape(20, 3)
+    for kind in (pa.binary(), pa.large_binary()):
+        batch = pa.record_batch({"bins": pa.array([r.tobytes() for r in x], kind), "y": pa.array(range(20), pa.int32()), "w": np.ones(20, np.int64), "k": np.arange(20)})
+        parts = [batch.slice(3, 5), batch.slice(0, 0), batch.slice(8, 12)]
+        (found, y, _, _), = forest._rows(parts, 3, False)
+        assert np.array_equal(found, x[3:]) and y.tolist() == list(range(3, 20))
+
+
+def test_draws_are_those_of_the_points():
+    """The table of leading bits gives the count that a search among the points gives, also for draws beside a point."""
+    points = np.array(forest.poisson_points(), np.uint64)
+    keys = np.random.default_rng(5).integers(0, 2**60, 300_000)
+    for tree, seed in ((0, 0), (7, 42)):
+        salt = np.uint64((tree + 1 + (seed << 20)) * forest.MIX[0] % 2**64)
+        draw = forest.mixed(keys.astype(np.uint64) + salt) >> np.uint64(32)
+        assert np.array_equal(forest.draws(keys, tree, seed), np.searchsorted(points, draw, side="right"))
+    _, counts = forest._draw_tables()
+    for p in points.tolist():
+        assert counts[p >> 16] == -1 or p & 0xFFFF == 0
+
+
+def test_a_pass_does_not_copy_its_rows_one_by_one(monkeypatch):
+    """Rows are walked in blocks: the sums are those of any block size, leaves above the level included."""
+    rng = np.random.default_rng(8)
+    n, cuts = 400, [np.arange(6) + 0.5, np.arange(4) + 0.5, np.arange(2) + 0.5]
+    x = np.stack([rng.integers(0, len(c) + 1, n) for c in cuts], axis=1).astype(np.uint8)
+    batch = pa.record_batch({"bins": pa.array([r.tobytes() for r in x]), "y": pa.array(rng.integers(0, 2, n), pa.int32()), "w": rng.integers(1, 9, n) << 16, "k": np.arange(n)})
+    trees = forest.Trees(2, 6, 2, 7, cuts, 2)
+    for node in range(2**5 - 1):  # five levels of cuts, the nodes 2 and 4 as leaves
+        trees.feature[:, node], trees.cut[:, node] = node % 3, node % 2
+    trees.feature[:, 2] = trees.feature[:, 4] = forest._LEAF
+    trees.feature[:, 2**5 - 1:2**6 - 1] = forest._LEAF
+    below = [n for n in range(2**5 - 1, 2**6 - 1) if not {2, 4} & {(n + 1 >> k) - 1 for k in range(1, 6)}]
+    trees.feature[:, below] = forest._OPEN
+
+    def sums():
+        return {(r["tree"], r["node"]): dict(zip(r["cells"], r["sums"])) for b in forest.histograms([batch], trees, 5) for r in b.to_pylist()}
+
+    whole = sums()
+    assert whole and all(node in below for _, node in whole)
+    want = {}
+    for tree in range(2):
+        for i, times in enumerate(forest.draws(np.arange(n), tree, 7).tolist()):
+            node = 0
+            while trees.feature[tree, node] >= 0:
+                node = 2 * node + 1 + int(x[i, trees.feature[tree, node]] > trees.cut[tree, node])
+            if times and trees.feature[tree, node] == forest._OPEN:
+                cells = want.setdefault((tree, node), {})
+                for s, f in enumerate(forest.candidates(np.array([node]), tree, 7, 3, 2)[0]):
+                    cell = int((s * trees.bins + x[i, f]) * 2 + batch.column("y")[i].as_py())
+                    cells[cell] = cells.get(cell, 0) + times * batch.column("w")[i].as_py()
+    assert whole == want
+    monkeypatch.setattr(forest, "BLOCK_ROWS", 37)
+    assert sums() == whole
+
+
+def test_the_training_table_is_sorted_by_its_features_in_each_file(spark, monkeypatch):
+    """Neighbours walk the same nodes of the trees, so scoring reads them from the core's cache."""
+    from types import SimpleNamespace
+
+    from sevlab.plans import registry
+
+    rng = random.Random(6)
+    names = registry._FEATURES
+    rows = [(*[float(rng.randrange(3)) for _ in names], 1 + i % 3, 1.0, i) for i in range(300)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names) + ", severity int, class_weight double, l_orderkey long").repartition(3, "l_orderkey")
+    for c in registry.CFG.dedup_keys:
+        df = df if c in df.columns else df.withColumn(c, F.lit(1))
+    df = df.withColumn("features", array_to_vector(F.array(*names)))
+    monkeypatch.setattr(registry, "_prepared", lambda *a: SimpleNamespace(frame=df, release=lambda: None))
+    table = registry._training_table(spark, "", "l_orderkey")
+    files = {}
+    for r in table.select(F.input_file_name().alias("f"), vector_to_array("features").alias("x"), "l_orderkey").collect():
+        files.setdefault(r.f, []).append(list(r.x))
+    assert sum(map(len, files.values())) == 300 and max(map(len, files.values())) > 50
+    assert all(x == sorted(x) for x in files.values())
