@@ -811,18 +811,19 @@ def q_integrate_csv(spark, sf):
     files are), then read back as all-string tables, pruned, typed, joined per period and
     unioned by name."""
     base = scratch_path(spark, "raw-csv")
-    raw_c, raw_k = tb.raw_casualty(spark, sf), tb.raw_collision(spark, sf)
+    raw_k, li = tb.raw_collision(spark, sf), _lineitem(spark, sf)
     year = F.substring(F.col("o_orderdate"), 7, 4)  # dd/MM/yyyy text
-    archive = F.coalesce(year < "2001", F.lit(True))
-    period = raw_k.select(F.col("o_orderkey").alias("l_orderkey"), archive.alias("_archive"))
-    tagged = raw_c.join(period, "l_orderkey")
+    period = F.when(F.coalesce(year < "2001", F.lit(True)), "archive").otherwise("latest").alias("_period")
+    raw_k = raw_k.select("*", period)
+    # Both periods come from one join of the typed rows, which are smaller than their text.
+    of_key = raw_k.select(F.col("o_orderkey").cast(li.schema["l_orderkey"].dataType).alias("l_orderkey"), "_period")
+    raw_c = tb.as_text(li.join(of_key, "l_orderkey"))
+    for name, raw in (("casualty", raw_c), ("collision", raw_k)):
+        files.write_csv(raw, f"{base}/{name}", partition_by=["_period"])
     slices = []
-    for name, flag in (("archive", True), ("latest", False)):
-        files.write_csv(tagged.filter(F.col("_archive") == flag).drop("_archive"), f"{base}/casualty-{name}")
-        files.write_csv(raw_k.filter(archive == flag), f"{base}/collision-{name}")
-        cas = integ.type_table(files.read_csv(spark, f"{base}/casualty-{name}"), tb.CASUALTY_KEEP, tb.casualty_typing())
-        col = integ.type_table(files.read_csv(spark, f"{base}/collision-{name}"), tb.COLLISION_KEEP, tb.collision_typing())
-        slices.append((cas, col))
+    for name in ("archive", "latest"):
+        cas, col = (files.read_csv(spark, f"{base}/{x}", raw.columns).filter(F.col("_period") == name) for x, raw in (("casualty", raw_c), ("collision", raw_k)))
+        slices.append((integ.type_table(cas, tb.CASUALTY_KEEP, tb.casualty_typing()), integ.type_table(col, tb.COLLISION_KEEP, tb.collision_typing())))
     return integ.integrate(slices, "l_orderkey")
 
 

@@ -49,8 +49,11 @@ def severity_of(flag: str | Column) -> Column:
 
 def raw_casualty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as header-CSV text: every column a string."""
-    li = table(spark, sf_dir, "lineitem")
-    return li.select(*[F.col(c).cast("string").alias(c) for c in li.columns])
+    return as_text(table(spark, sf_dir, "lineitem"))
+
+
+def as_text(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
 def raw_collision(spark: SparkSession, sf_dir: str) -> DataFrame:

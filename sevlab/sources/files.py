@@ -6,11 +6,16 @@ from typing import Any, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """CSV with a header row; every column a string (no schema inference, so no extra pass)."""
-    return spark.read.option("header", "true").option("inferSchema", "false").csv(path)
+def read_csv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] = ()) -> DataFrame:
+    """CSV with a header row; every column a string (no schema inference, so no extra pass). ``columns``: all
+    columns in order, those that the folder is partitioned by last; a folder without a file is then an empty table."""
+    reader = spark.read.option("header", "true").option("inferSchema", "false")
+    if columns:
+        reader = reader.schema(StructType([StructField(c, StringType()) for c in columns]))
+    return reader.csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str], recursive: bool = False) -> DataFrame:
@@ -32,8 +37,11 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     return path
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    df.write.mode(mode).option("header", "true").csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> str:
+    w = df.write.mode(mode).option("header", "true")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.csv(path)
     return path
 
 
