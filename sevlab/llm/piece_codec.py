@@ -30,9 +30,11 @@ import re
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
@@ -41,9 +43,10 @@ from sevlab.llm.common import free_name
 
 SPACE = "▁"
 MODEL_BYTES = 64 << 20
-#: Characters of text encoded at a time, and words that a task remembers.
-SLICE_CHARS = 4 << 20
-KNOWN_WORDS = 500_000
+#: Characters of text encoded at a time; words, and characters in them, that a task remembers.
+SLICE_CHARS = 1 << 19
+KNOWN_WORDS = 250_000
+KNOWN_CHARS = 4 << 20
 LONG_SEGMENT = 1024
 #: Kinds of pieces in a model file, and the model kind for byte pairs.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -272,7 +275,7 @@ def read_model(path: str) -> bytes:
 
 
 class Encoder:
-    """Encodes texts; remembers up to ``KNOWN_WORDS`` words."""
+    """Encodes texts; forgets its words before a slice once they are more than ``KNOWN_WORDS`` or ``KNOWN_CHARS``."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -280,19 +283,21 @@ class Encoder:
 
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
+        self.chars = 0
         self.ids, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
     def __call__(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, number of ids of each text)."""
-        if len(self.number) > KNOWN_WORDS:
+        if len(self.number) > KNOWN_WORDS or self.chars > KNOWN_CHARS:
             self._forget()
         known, number, words, n_words = len(self.number), self.number, [], []
         for text in texts:
             found = self.model.words.findall(SPACE + text.replace(" ", SPACE)) if text else []
             n_words.append(len(found))
             words += [number.setdefault(w, len(number)) for w in found]
-        fresh = list(number)[known:] if len(number) > known else []
+        fresh = list(islice(reversed(number), len(number) - known))[::-1]
         if fresh:
+            self.chars += sum(map(len, fresh))
             ids, counts = self.model.encode_words(fresh)
             self.ids, self.counts = np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts])
         starts = np.cumsum(self.counts) - self.counts
@@ -326,7 +331,7 @@ def encode(df: DataFrame, model: bytes, text: str = "text", out: str = "ids", ke
         encoder = Encoder(_model(model))
         for batch in batches:
             content = batch.column(len(columns))
-            for start, end in _slices((len(c) if (c := x.as_py()) else 0 for x in content), SLICE_CHARS) if len(batch) else ():
+            for start, end in _slices(pc.fill_null(pc.binary_length(content), 0).to_pylist(), SLICE_CHARS) if len(batch) else ():
                 texts = [b.decode("utf-8", "replace") if b else "" for b in content.slice(start, end - start).to_pylist()]
                 ids, counts = encoder(texts)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(ids, pa.int32()))

@@ -86,3 +86,20 @@ def test_columns_pass_through_and_bad_bytes_are_read(spark, content, library):
     assert [r["decoded"] for r in piece_codec.decode(nulls, content).collect()] == ["", ""]
     empty = frame(spark, []).select("doc_id", "text")
     assert piece_codec.round_trips(empty, content).collect() == []
+
+
+def test_memory_of_a_task_is_bounded(model, library):
+    """Words are forgotten by their number and by their length, and slices are small: what a task holds beside the
+    model stays far under an executor's memory, whatever the number of texts."""
+    import tracemalloc
+
+    rng, encoder = random.Random(9), piece_codec.Encoder(model)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=rng.randint(40, 400))) for _ in range(60)) for _ in range(900)]
+    tracemalloc.start()
+    for start, end in piece_codec._slices(map(len, texts), piece_codec.SLICE_CHARS):
+        ids, counts = encoder(texts[start:end])
+        assert encoder.chars == sum(map(len, encoder.number)) <= piece_codec.KNOWN_CHARS + 2 * piece_codec.SLICE_CHARS
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 160 << 20
+    assert ids[:counts[0]].tolist() == library.encode(texts[start])
