@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 _U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240229))
 BYTE_VALUE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)

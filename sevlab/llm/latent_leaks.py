@@ -56,17 +56,20 @@ LCS_SHARE, ANSWER_SHARE = 0.7, 0.5
 BLOCK_ITEMS = 1024
 VECTORS = 256  # items and parts compared at once
 FAN_IN = 32
+SLICE_ROWS, SLICE_BYTES = 512, 1 << 20  # of packed words that are worked on at once
 CHECK_WORDS = 1 << 19  # of texts around candidates that are compared at once
 COLUMNS = ("doc_id", "item_id", "item_words", "lcs_words", "answer_lcs", "first_word")
 
 
 def word_hashes(texts: pa.Array) -> Iterator[np.ndarray]:
     """The hashes of each text's words, in order."""
-    for first, end, data, offsets in scan.chunks(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))):
-        spans = scan.words(data, offsets, scan.NOT_ALNUM)
-        hashes = scan.word_hashes(data, spans)
-        for i in range(end - first):
-            yield hashes[spans.first[i]:spans.first[i + 1]]
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    for begin, stop, _, _ in scan.chunks(texts):  # lower-cased a chunk at a time
+        for first, end, data, offsets in scan.chunks(pc.utf8_lower(texts.slice(begin, stop - begin))):
+            spans = scan.words(data, offsets, scan.NOT_ALNUM)
+            hashes = scan.word_hashes(data, spans)
+            for i in range(end - first):
+                yield hashes[spans.first[i]:spans.first[i + 1]]
 
 
 def longest_common(pattern: dict[int, int], size: int, words: list[int]) -> int:
@@ -200,6 +203,10 @@ def passage_frequencies(rows: DataFrame, items: Items) -> tuple[np.ndarray, int]
     terms = len(items.vocabulary)
 
     def add(total: np.ndarray, batch: pa.RecordBatch) -> None:
+        for _, part in _slices(batch, 0):
+            add_slice(total, part)
+
+    def add_slice(total: np.ndarray, batch: pa.RecordBatch) -> None:
         codes, first, half = _halves(batch, 0, items.kind)
         if not half[-1]:
             return
@@ -267,9 +274,16 @@ class _Latent:
         total[term[starts]] += np.add.reduceat(by_half[self.at[order]] * self.weight[order][:, None], starts, axis=0)
 
 
-def _slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
-    for k in range(0, batch.num_rows, rows):
-        yield batch.slice(k, rows)
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Each run of at most ``SLICE_ROWS`` rows and ``SLICE_BYTES`` of their words (a longer row is one of its own),
+    after the number of its first row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        most = (ends[at - 1] if at else 0) + SLICE_BYTES
+        end = min(at + SLICE_ROWS, max(at + 1, int(np.searchsorted(ends, most, "right"))))
+        yield at, batch.slice(at, end - at)
+        at = end
 
 
 def latent_space(rows: DataFrame, items: Items, weight: np.ndarray, rank: int = RANK) -> np.ndarray:
@@ -280,7 +294,7 @@ def latent_space(rows: DataFrame, items: Items, weight: np.ndarray, rank: int =
     omega[used] = np.linalg.qr(np.random.default_rng(SEED).standard_normal((len(used), width)))[0]
 
     def add(total: np.ndarray, batch: pa.RecordBatch) -> None:
-        for part in _slices(batch):
+        for _, part in _slices(batch, 0):
             latent = _Latent(part, 0, items.kind, weight)
             latent.back(latent.project(omega), total)
 
@@ -321,7 +335,7 @@ def _able(latent: _Latent, bags: np.ndarray, least: np.ndarray) -> np.ndarray:
     """Which rows' whole texts can hold enough of which items' words (a row's word may stand for all of an item's)."""
     rows = len(latent.first) - 1
     out = np.zeros((rows, bags.shape[1]), bool)
-    some = max(1, (1 << 24) // len(bags))
+    some = max(1, (1 << 22) // len(bags))
     for r in range(0, rows, some):
         first = latent.first[r:r + some + 1]
         has = np.zeros((len(first) - 1, len(bags)), np.float32)
@@ -391,7 +405,7 @@ def search(rows: DataFrame, items: Items, weight: np.ndarray, space: np.ndarray,
     def matches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             out: dict[tuple[int, int], tuple[int, int, int]] = {}
-            for k, part in enumerate(_slices(batch)):
+            for begin_row, part in _slices(batch, 2):
                 latent = _Latent(part, 2, items.kind, weight)
                 own = latent.project(space)
                 size = np.linalg.norm(own, axis=1, keepdims=True)
@@ -422,7 +436,7 @@ def search(rows: DataFrame, items: Items, weight: np.ndarray, space: np.ndarray,
                         common, answer = _check(items, patterns, i, latent.codes[start[y]:end[y]].tolist())
                         n = len(lists[i])
                         if common >= least[i] and answer >= ANSWER_SHARE * (n - answer_start(n)):
-                            key = (k * 512 + int(row[y]), i)
+                            key = (begin_row + int(row[y]), i)
                             found = (common, answer, -int(start[y] - latent.first[row[y]]))
                             out[key] = max(out.get(key, found), found)
                     x = s.stop

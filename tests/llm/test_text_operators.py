@@ -5,6 +5,8 @@ import random
 import re
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import changed, corpus, edges, frame, prose, rows_of
 from hypothesis import given, settings
@@ -408,3 +410,38 @@ def test_licenses_equal_brute_force(spark):
     assert {tuple(r) for r in license_templates.scan(docs).collect()} == expected
     assert len(expected) >= 40 and any(e[0] == 102 for e in expected)
     assert license_templates.scan(docs.limit(0)).count() == 0
+
+
+def test_passage_frequencies_take_bounded_memory(monkeypatch):
+    """A batch's passages are counted a slice at a time, with the same counts."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    rng = np.random.default_rng(2)
+    items = latent_leaks.Items([SimpleNamespace(item_id=str(i), text=" ".join(f"t{k}" for k in rng.integers(0, 900, 40))) for i in range(60)])
+    sizes = rng.integers(0, 700, 6000)
+    rows = [rng.integers(0, 2 * len(items.vocabulary), n).astype(items.kind) for n in sizes]
+    rows = [np.where(x <= len(items.vocabulary), x, 0).astype(items.kind) for x in rows]
+    batch = pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in rows], pa.binary())], names=["words"])
+
+    def counted(slices):
+        def summed(_, terms, width, add):
+            total = np.zeros((terms, width))
+            for part in slices:
+                add(total, part)
+            return total
+
+        monkeypatch.setattr(latent_leaks, "_summed", summed)
+        return latent_leaks.passage_frequencies(None, items)
+
+    tracemalloc.start()
+    found, passages = counted([batch])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25e6, peak
+    one_by_one, n = counted([batch.slice(k, 1) for k in range(6000)])
+    assert passages == n and (found == one_by_one).all()
+    half = latent_leaks.HALF
+    assert n == sum(max(1, -(-int(x) // half) - 1) for x in sizes if x)
+    term = sum(int((x[k:k + 2 * half] == 5).any()) for x in rows for k in range(0, max(1, len(x) - half), half) if len(x))
+    assert found[4] == term
