@@ -46,6 +46,10 @@ FREQUENT, FREQUENT_BITS = 1 << 20, 1 << 24
 OFTEN = 2
 #: Classes of a block that one task joins with each other; larger blocks are split.
 CELL = 2000
+#: Hashes that are counted at once.
+COUNTED = 1 << 21
+#: Rows whose pairs are told apart at once (a bit for each pair); a larger cell is taken alone.
+TABLE_ROWS = 8 * CELL
 
 
 def shingle_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -85,14 +89,31 @@ def _arrow(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], dict[str
     return df.mapInArrow(batches, kind)
 
 
+def _repeated(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes that so many of the sets hold, and how many; empties the list."""
+    hashes = np.concatenate([np.zeros(0, np.uint64), *held])
+    held.clear()
+    hashes.sort()
+    starts = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1]))
+    counts = np.diff(starts, append=len(hashes))
+    at = counts >= OFTEN
+    return hashes[starts[at]], counts[at]
+
+
 def frequent_shingles(docs: DataFrame, n: int) -> np.ndarray:
     """A bitmap over the low bits of the hashes that occur most often."""
 
     def often(batch: pa.RecordBatch) -> dict:
-        sets = list(shingle_sets(batch.column(0), n))
-        values, counts = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        at = counts >= OFTEN
-        return {"h": values[at].view(np.int64), "n": counts[at].astype(np.int64)}
+        found, held, size = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], [], 0
+        for hashes in shingle_sets(batch.column(0), n):
+            held.append(hashes)
+            size += len(hashes)
+            if size >= COUNTED:
+                found.append(_repeated(held))
+                size = 0
+        found.append(_repeated(held))
+        values, counts = (np.concatenate(x) for x in zip(*found))
+        return {"h": values.view(np.int64), "n": counts}
 
     counts = written(_arrow(docs.select("text"), "h long, n long", often).groupBy("h").agg(F.sum("n").alias("n")), "often")
     sizes = dict(counts.groupBy(F.floor(F.log2("n")).cast("int").alias("k")).agg(F.count(F.lit(1))).collect())
@@ -113,12 +134,12 @@ def set_table(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> Da
     mask = np.uint64(FREQUENT_BITS - 1)
 
     def rows(batch: pa.RecordBatch) -> dict:
-        bits = np.unpackbits(frequent, bitorder="little")
         sizes, digests, prefixes, bitmaps = [], [], [], []
         for hashes in shingle_sets(batch.column(1), n):
             sizes.append(len(hashes))
             digests.append(digest(hashes) if len(hashes) else None)
-            last = bits[hashes & mask].astype(bool)
+            bit = hashes & mask
+            last = (frequent[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
             ordered = np.concatenate([hashes[~last], hashes[last]])
             bitmaps.append(signature_trees.bitmap(hashes))
             prefixes.append(ordered[:prefix_length(len(hashes), percent)].view(np.int64) if len(hashes) else np.zeros(0, np.int64))
@@ -139,9 +160,24 @@ def full_sets(docs: DataFrame, n: int) -> DataFrame:
     return _arrow(docs.select("text"), "set long, hashes array<long>", rows).dropDuplicates(["set"])
 
 
-def _spanning(i: np.ndarray, j: np.ndarray, linked: Callable[[int], bool] = lambda k: True) -> np.ndarray:
-    """Positions of the linked pairs that join two trees of the forest so far."""
-    parent: dict[int, int] = {}
+class _Pairs:
+    """Which pairs of n classes have been seen, a bit for each."""
+
+    def __init__(self, n: int) -> None:
+        self.n = n
+        self.bits = np.zeros(n * n // 8 + 1, np.uint8)
+
+    def first_seen(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Positions of the pairs that come up for the first time."""
+        key, at = np.unique(np.minimum(a, b) * self.n + np.maximum(a, b), return_index=True)
+        byte, bit = key >> 3, np.uint8(1) << (key & 7).astype(np.uint8)
+        new = self.bits[byte] & bit == 0
+        np.bitwise_or.at(self.bits, byte[new], bit[new])
+        return np.sort(at[new])
+
+
+def _spanning(parent: dict[int, int], i: np.ndarray, j: np.ndarray, linked: Callable[[int], bool] = lambda k: True) -> np.ndarray:
+    """Positions of the linked pairs that join two trees of the forest in ``parent``, which they grow."""
     keep = []
 
     def find(x: int) -> int:
@@ -167,34 +203,48 @@ def _block_candidates(percent: int, forest: bool) -> Callable[[Iterator[pa.Recor
         change = np.flatnonzero((np.diff(h) != 0) | (np.diff(low) != 0) | (np.diff(high) != 0)) + 1
         groups = np.diff(np.concatenate([[0], change, [len(h)]]))
         bitmaps = signature_trees.Bitmaps(table.column("bits").to_pylist(), sizes.astype(np.int64))
-        i, j = bitmaps.group_pairs(groups, percent)
-        use = (roots[i] != roots[j]) & ((low[i] == high[i]) | (chunk[i] != chunk[j]))
-        i, j = i[use], j[use]
-        # Near copies meet in many blocks: each pair counts once, in its first block here.
-        pairs = np.stack([np.minimum(sets[i], sets[j]), np.maximum(sets[i], sets[j])], axis=1)
-        once = np.sort(np.unique(pairs, axis=0, return_index=True)[1]) if len(pairs) else np.zeros(0, np.int64)
-        i, j = i[once], j[once]
-        again = np.zeros(0, np.int64)
-        if forest:
-            kept = _spanning(roots[i], roots[j])
-            left_out = np.ones(len(i), bool)
-            left_out[kept] = False
-            again = np.unique(h[i[left_out]])
-        else:
+        if not forest:
             hashes = table.column("hashes").chunk(0)
             offsets, values = hashes.offsets.to_numpy(), hashes.values.to_numpy()
 
-            def linked(k: int) -> bool:
-                a, b = (values[offsets[x]:offsets[x + 1]] for x in (i[k], j[k]))
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                return 100 * shared >= percent * (len(a) + len(b) - shared)
-
-            kept = _spanning(roots[i], roots[j], linked)
-        i, j = i[kept], j[kept]
+        def reach(x: int, y: int) -> bool:
+            a, b = (values[offsets[r]:offsets[r + 1]] for r in (x, y))
+            shared = len(np.intersect1d(a, b, assume_unique=True))
+            return 100 * shared >= percent * (len(a) + len(b) - shared)
+
+        classes, place = np.unique(sets, return_inverse=True)
+        seen, parent = _Pairs(len(classes)), {}
+        found, again = [np.zeros((2, 0), np.int64)], [np.zeros(0, np.int64)]
+        for i, j in bitmaps.group_pieces(groups, percent):
+            use = (roots[i] != roots[j]) & ((low[i] == high[i]) | (chunk[i] != chunk[j]))
+            i, j = i[use], j[use]
+            # Near copies meet in many blocks: each pair counts once, in its first block here.
+            once = seen.first_seen(place[i], place[j])
+            i, j = i[once], j[once]
+            if forest:
+                kept = _spanning(parent, roots[i], roots[j])
+                left_out = np.ones(len(i), bool)
+                left_out[kept] = False
+                again.append(np.unique(h[i[left_out]]))
+            else:
+                kept = _spanning(parent, roots[i], roots[j], lambda k, i=i, j=j: reach(i[k], j[k]))
+            found.append(np.stack([i[kept], j[kept]]))
+        (i, j), again = np.concatenate(found, axis=1), np.unique(np.concatenate(again))
         known = np.concatenate([np.zeros(len(i), bool), np.ones(len(again), bool)])
         side = lambda x: pa.array(np.concatenate([sets[x], again]), mask=known)
         return pa.RecordBatch.from_arrays([side(i), side(j), pa.array(np.concatenate([sets[i], again]), mask=~known)], names=["a", "b", "again"])
 
+    def pieces(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        """Runs of whole cells of at most ``TABLE_ROWS`` rows."""
+        table = table.combine_chunks()
+        h, low, high = (table.column(c).to_numpy() for c in columns[:3])
+        ends = np.append(np.flatnonzero((np.diff(h) != 0) | (np.diff(low) != 0) | (np.diff(high) != 0)) + 1, len(h))
+        at = 0
+        while at < len(h):
+            k = max(np.searchsorted(ends, at, "right"), np.searchsorted(ends, at + TABLE_ROWS, "right") - 1)
+            yield candidates(table.slice(at, ends[k] - at))
+            at = ends[k]
+
     def join(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in it:
@@ -209,9 +259,9 @@ def _block_candidates(percent: int, forest: bool) -> Callable[[Iterator[pa.Recor
             done = pa.Table.from_batches([*held, batch.slice(0, cut)])
             held = [batch.slice(cut)]
             if done.num_rows:
-                yield candidates(done.combine_chunks())
+                yield from pieces(done)
         if held:
-            yield candidates(pa.Table.from_batches(held).combine_chunks())
+            yield from pieces(pa.Table.from_batches(held))
 
     return join
 

@@ -4,11 +4,13 @@ A set of hashes is a bitmap (bit ``hash mod width``) with its size and its exces
 set). Two sets share at most ``popcount(x & y) + min(excess_x, excess_y)`` elements. A tree over the
 sets, ordered by size, holds in each node the OR of its bitmaps, its least and greatest size and its
 greatest excess, so the same bound holds for all pairs below a pair of nodes. The dual traversal
-starts at the roots and goes on only below node pairs that can reach the threshold.
+starts at the roots and goes on only below node pairs that can reach the threshold. Pairs come in pieces,
+so memory grows with the sets and not with the pairs (in a group of near copies, all of them).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,7 +18,8 @@ import numpy as np
 FANOUT = 8
 BITS_PER_ELEMENT = 4
 LEAST_WIDTH = 64
-SLICE_WORDS = 1 << 21  # of bitmaps that one step compares at once
+SLICE_WORDS = 1 << 18  # of bitmaps that one step compares at once
+SLICE_NODES = 1024  # node pairs whose children are taken at once
 
 
 def width_of(size: int) -> int:
@@ -112,51 +115,63 @@ class Bitmaps:
                 good[p] = (100 + percent) * shared >= percent * (self.sizes[i[p]] + self.sizes[j[p]])
         return good
 
-    def pairs(self, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    def pair_pieces(self, at: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """All pairs (i < j) of the rows ``at`` that can reach the threshold, by the trees. Sets that
         reach it have the same width or the next one."""
-        out = [np.zeros((2, 0), np.int64)]
         for width in np.unique(self.widths[at]).tolist():
             near = at[(self.widths[at] == width) | (self.widths[at] == 2 * width)]
-            i, j = candidates(self.folded(near, width), self.sizes[near], percent)
-            use = (self.widths[near[i]] == width) | (self.widths[near[j]] == width)
-            out.append(np.sort(np.stack([near[i[use]], near[j[use]]]), axis=0))
-        i, j = np.concatenate(out, axis=1)
-        return i, j
+            for i, j in candidates(self.folded(near, width), self.sizes[near], percent):
+                use = (self.widths[near[i]] == width) | (self.widths[near[j]] == width)
+                i, j = near[i[use]], near[j[use]]
+                yield np.minimum(i, j), np.maximum(i, j)
 
-    def group_pairs(self, groups: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    def group_pieces(self, groups: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The same for runs of rows of the given lengths; small groups are taken together."""
         begin = np.cumsum(groups) - groups
-        small = groups <= SMALL
-        rows = np.flatnonzero(np.repeat(small, groups))
-        i, j = _below(rows, groups[small])
-        i, j = rows[i], rows[j]
-        good = self.reach(i, j, percent)
-        found = [np.stack([i[good], j[good]])]
-        found += [np.stack(self.pairs(np.arange(begin[g], begin[g] + groups[g]), percent)) for g in np.flatnonzero(~small)]
-        i, j = np.concatenate(found, axis=1)
-        return i, j
-
-
-def candidates(bits: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        small = np.flatnonzero(groups <= SMALL)
+        for k in range(0, len(small), SLICE_NODES):
+            some = small[k:k + SLICE_NODES]
+            rows = np.repeat(begin[some] - np.cumsum(groups[some]) + groups[some], groups[some]) + np.arange(groups[some].sum())
+            i, j = _below(rows, groups[some])
+            i, j = rows[i], rows[j]
+            good = self.reach(i, j, percent)
+            yield i[good], j[good]
+        for g in np.flatnonzero(groups > SMALL):
+            yield from self.pair_pieces(np.arange(begin[g], begin[g] + groups[g]), percent)
+
+    def pairs(self, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """All that ``pair_pieces`` gives, for few rows."""
+        return _joined(self.pair_pieces(at, percent))
+
+    def group_pairs(self, groups: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """All that ``group_pieces`` gives, for few rows."""
+        return _joined(self.group_pieces(groups, percent))
+
+
+def _joined(pieces: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    i, j = np.concatenate([np.zeros((2, 0), np.int64), *map(np.stack, pieces)], axis=1)
+    return i, j
+
+
+def candidates(bits: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions (i < j) of all pairs of sets whose bound reaches the threshold."""
     order = np.argsort(sizes, kind="stable")
     tree = levels(bits[order], sizes[order])
-    found: list[np.ndarray] = [np.zeros((2, 0), np.int64)]
-    stack = [(len(tree) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
-    while stack:
-        depth, a, b = stack.pop()
+    child = np.arange(FANOUT)
+
+    def below(depth: int, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         keep = _possible(tree[depth], a, b, percent)
         a, b = a[keep], b[keep]
         if not depth:
-            found.append(np.stack([a, b])[:, a != b])
-            continue
-        n, child = len(tree[depth - 1].low), np.arange(FANOUT)
-        for k in range(0, len(a), 4096):
-            i = (a[k:k + 4096, None, None] * FANOUT + child[None, :, None] + 0 * child[None, None, :]).ravel()
-            j = (b[k:k + 4096, None, None] * FANOUT + child[None, None, :] + 0 * child[None, :, None]).ravel()
+            i, j = order[a[a != b]], order[b[a != b]]
+            yield np.minimum(i, j), np.maximum(i, j)
+            return
+        n = len(tree[depth - 1].low)
+        for k in range(0, len(a), SLICE_NODES):
+            i = (a[k:k + SLICE_NODES, None, None] * FANOUT + child[None, :, None] + 0 * child[None, None, :]).ravel()
+            j = (b[k:k + SLICE_NODES, None, None] * FANOUT + child[None, None, :] + 0 * child[None, :, None]).ravel()
             real = (i < n) & (j < n) & (i <= j)
             if real.any():
-                stack.append((depth - 1, i[real], j[real]))
-    i, j = order[np.concatenate(found, axis=1)]
-    return np.minimum(i, j), np.maximum(i, j)
+                yield from below(depth - 1, i[real], j[real])
+
+    return below(len(tree) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))

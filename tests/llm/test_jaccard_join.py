@@ -102,3 +102,56 @@ def test_components_of_a_path(spark):
     got = {r.node: r.root for r in components(links).collect()}
     assert all(got[i] == (i // 13) * 13 for i in got)
     assert components(links.limit(0)).count() == 0
+
+
+def _peak(work):
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        out = work()
+        return out, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_group_of_near_copies_takes_memory_by_its_sets_not_its_pairs():
+    """1,800 near copies meet in three blocks, two of them looked at together: 1.6 million pairs each, a forest of
+    1,799 links, and one block of the two to be looked at again."""
+    import pyarrow as pa
+
+    rng, n = np.random.default_rng(5), 1800
+    base = rng.integers(0, 1 << 62, 120, dtype=np.uint64)
+    sets = [np.unique(np.append(base[1:], rng.integers(0, 1 << 62, 1, dtype=np.uint64))) for _ in range(n)]
+    bits, size = [trees.bitmap(s) for s in sets], [len(s) for s in sets]
+    ids, zero = np.arange(n), np.zeros(3 * n, np.int64)
+    batch = pa.RecordBatch.from_pydict({"h": np.repeat([7, 8, 9], n), "low": zero, "high": zero, "root": np.tile(ids, 3), "chunk": zero,
+                                        "set": np.tile(ids, 3), "size": size * 3, "bits": bits * 3})
+    out, peak = _peak(lambda: list(jj._block_candidates(85, True)(iter([batch]))))
+    for part, block in zip(out, (7, 9), strict=True):
+        links = [(a, b) for a, b in zip(part.column("a").to_pylist(), part.column("b").to_pylist(), strict=True) if a is not None]
+        assert len(links) == n - 1 and {x for pair in links for x in pair} == set(range(n))
+        assert [x for x in part.column("again").to_pylist() if x is not None] == [block]
+    assert peak < 40e6, peak
+
+
+def test_counting_shingles_takes_bounded_memory(monkeypatch):
+    """4.5 million shingles of one batch; those of the first text come twice."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    asked = []
+
+    def keep(df, schema, rows):
+        asked.append(rows)
+        raise StopIteration
+
+    monkeypatch.setattr(jj, "_arrow", keep)
+    with pytest.raises(StopIteration):
+        jj.frequent_shingles(SimpleNamespace(select=lambda c: None), 4)
+    texts = [" ".join(f"w{i}x{k}" for k in range(3003)) for i in range(1500)]
+    batch = pa.RecordBatch.from_pydict({"text": [texts[0], None, *texts]})
+    found, peak = _peak(lambda: asked[0](batch))
+    assert len(found["h"]) == len(np.unique(found["h"])) == 3000 and set(found["n"].tolist()) == {2}
+    assert peak < 90e6, peak
