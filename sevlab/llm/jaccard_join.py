@@ -42,12 +42,14 @@ from sevlab.llm.components import components
 
 #: At most so many shingles are put last in the global order; and the bits of their bitmap.
 FREQUENT, FREQUENT_BITS = 1 << 20, 1 << 24
-#: A shingle counts as often in a batch from so many documents of it.
+#: A shingle counts as often in a batch from so many documents of it (two at least).
 OFTEN = 2
 #: Classes of a block that one task joins with each other; larger blocks are split.
 CELL = 2000
 #: Hashes that are counted at once.
 COUNTED = 1 << 21
+#: Rows of a batch whose sets are made and sent at once.
+SENT_ROWS = 512
 #: Rows whose pairs are told apart at once (a bit for each pair); a larger cell is taken alone.
 TABLE_ROWS = 8 * CELL
 
@@ -77,14 +79,16 @@ def prefix_length(size: int, percent: int) -> int:
     return size - (percent * size + 99) // 100 + 1
 
 
-def _arrow(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], dict[str, list]]) -> DataFrame:
+def _arrow(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], dict[str, list]], sent: int | None = None) -> DataFrame:
+    """What ``rows`` makes of each batch, or of each run of ``sent`` rows of it."""
     kind = T._parse_datatype_string(schema)
     from pyspark.sql.pandas.types import to_arrow_schema
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(kind)
         for batch in it:
-            yield pa.RecordBatch.from_pydict(rows(batch), schema=arrow)
+            for at in range(0, batch.num_rows, sent or max(1, batch.num_rows)):
+                yield pa.RecordBatch.from_pydict(rows(batch.slice(at, sent)), schema=arrow)
 
     return df.mapInArrow(batches, kind)
 
@@ -94,8 +98,10 @@ def _repeated(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     hashes = np.concatenate([np.zeros(0, np.uint64), *held])
     held.clear()
     hashes.sort()
-    starts = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1]))
-    counts = np.diff(starts, append=len(hashes))
+    same = np.zeros(len(hashes) + 1, bool)  # whether a hash equals the one before it
+    same[1:-1] = hashes[1:] == hashes[:-1]
+    starts, ends = np.flatnonzero(~same[:-1] & same[1:]), np.flatnonzero(same[:-1] & ~same[1:])
+    counts = ends - starts + 1
     at = counts >= OFTEN
     return hashes[starts[at]], counts[at]
 
@@ -147,7 +153,7 @@ def set_table(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> Da
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    return _arrow(hashed, f"doc_id {kind}, text_hash long, n_shingles long, set long, prefix array<long>, bits binary", rows)
+    return _arrow(hashed, f"doc_id {kind}, text_hash long, n_shingles long, set long, prefix array<long>, bits binary", rows, SENT_ROWS)
 
 
 def full_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -157,7 +163,7 @@ def full_sets(docs: DataFrame, n: int) -> DataFrame:
         sets = [h for h in shingle_sets(batch.column(0), n) if len(h)]
         return {"set": [digest(h) for h in sets], "hashes": [h.view(np.int64) for h in sets]}
 
-    return _arrow(docs.select("text"), "set long, hashes array<long>", rows).dropDuplicates(["set"])
+    return _arrow(docs.select("text"), "set long, hashes array<long>", rows, SENT_ROWS).dropDuplicates(["set"])
 
 
 class _Pairs:

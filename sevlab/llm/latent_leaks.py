@@ -57,19 +57,25 @@ BLOCK_ITEMS = 1024
 VECTORS = 256  # items and parts compared at once
 FAN_IN = 32
 SLICE_ROWS, SLICE_BYTES = 512, 1 << 20  # of packed words that are worked on at once
-CHECK_WORDS = 1 << 19  # of texts around candidates that are compared at once
+TERM_ROWS = 1 << 13  # words whose vectors are added up at once (more of one half passage or one term together)
+CHECK_WORDS = 1 << 17  # of texts around candidates that are compared at once
 COLUMNS = ("doc_id", "item_id", "item_words", "lcs_words", "answer_lcs", "first_word")
 
 
-def word_hashes(texts: pa.Array) -> Iterator[np.ndarray]:
-    """The hashes of each text's words, in order."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+def _hashed(texts: pa.Array) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+    """First row, end row and the hashes of each text's words, in order, for runs of rows."""
+    texts = texts.cast(pa.large_string())
     for begin, stop, _, _ in scan.chunks(texts):  # lower-cased a chunk at a time
-        for first, end, data, offsets in scan.chunks(pc.utf8_lower(texts.slice(begin, stop - begin))):
+        for first, end, data, offsets in scan.chunks(pc.utf8_lower(pc.fill_null(texts.slice(begin, stop - begin), ""))):
             spans = scan.words(data, offsets, scan.NOT_ALNUM)
             hashes = scan.word_hashes(data, spans)
-            for i in range(end - first):
-                yield hashes[spans.first[i]:spans.first[i + 1]]
+            yield begin + first, begin + end, [hashes[spans.first[i]:spans.first[i + 1]] for i in range(end - first)]
+
+
+def word_hashes(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The hashes of each text's words, in order."""
+    for _, _, found in _hashed(texts):
+        yield from found
 
 
 def longest_common(pattern: dict[int, int], size: int, words: list[int]) -> int:
@@ -125,8 +131,10 @@ def coded(docs: DataFrame, items: Items) -> DataFrame:
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            codes = [items.numbers(h).tobytes() for h in word_hashes(batch.column(2))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(codes, pa.binary())], names=["doc_id", "text_key", "words"])
+            for first, end, hashes in _hashed(batch.column(2)):  # a chunk's rows at a time
+                codes = pa.array([items.numbers(h).tobytes() for h in hashes], pa.binary())
+                own = batch.slice(first, end - first)
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), codes], names=["doc_id", "text_key", "words"])
 
     kind = T.StructType([docs.schema["doc_id"], T.StructField("text_key", T.StringType()), T.StructField("words", T.BinaryType())])
     return written(docs.select("doc_id", text_key().alias("text_key"), "text").mapInArrow(batches, kind), "coded")
@@ -236,6 +244,17 @@ def term_weights(items: Items, frequency: np.ndarray, passages: int) -> np.ndarr
     return np.concatenate([[0.0], np.where(use, weight, 0.0)])
 
 
+def _runs(starts: np.ndarray, n: int) -> Iterator[tuple[int, int, int, int]]:
+    """First and end group and first and end row of runs of whole groups that have at most ``TERM_ROWS`` rows (a
+    larger group is one of its own); ``starts``: the first of n rows of each group."""
+    ends = np.append(starts[1:], n)
+    g = 0
+    while g < len(starts):
+        k = max(g + 1, int(np.searchsorted(ends, starts[g] + TERM_ROWS, "right")))
+        yield g, k, int(starts[g]), int(ends[k - 1])
+        g = k
+
+
 class _Latent:
     """Sums of term vectors over the passages of a batch."""
 
@@ -255,7 +274,8 @@ class _Latent:
         sums = np.zeros((self.half[-1], vectors.shape[1]), np.float32)
         if len(self.at):
             starts = np.flatnonzero(np.diff(self.at, prepend=-1))
-            sums[self.at[starts]] = np.add.reduceat(vectors[self.term] * self.weight[:, None], starts, axis=0)
+            for g, k, x, y in _runs(starts, len(self.at)):
+                sums[self.at[starts[g:k]]] = np.add.reduceat(vectors[self.term[x:y]] * self.weight[x:y, None], starts[g:k] - x, axis=0)
         both = np.where((self.a == self.b)[:, None], 0, sums[self.b])
         return (sums[self.a] + both) * self.scale[:, None]
 
@@ -271,7 +291,9 @@ class _Latent:
         order = np.argsort(self.term, kind="stable")
         term = self.term[order]
         starts = np.flatnonzero(np.diff(term, prepend=-1))
-        total[term[starts]] += np.add.reduceat(by_half[self.at[order]] * self.weight[order][:, None], starts, axis=0)
+        for g, k, x, y in _runs(starts, len(term)):
+            at = order[x:y]
+            total[term[starts[g:k]]] += np.add.reduceat(by_half[self.at[at]] * self.weight[at][:, None], starts[g:k] - x, axis=0)
 
 
 def _slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, pa.RecordBatch]]:

@@ -83,10 +83,11 @@ def with_counts(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            found = [text_statistics.count(data, offsets) for _, _, data, offsets in scan.chunks(batch.column(at))]
-            arrays = [pa.array(np.concatenate([f[c] for f in found]) if found else np.zeros(0, np.int64)) for c in text_statistics.COUNTS]
-            counts = pa.StructArray.from_arrays(arrays, names=list(text_statistics.COUNTS))
-            yield pa.RecordBatch.from_arrays([*batch.columns, counts], names=[*batch.schema.names, name])
+            for first, end, data, offsets in scan.chunks(batch.column(at)):  # a chunk's rows at a time
+                found = text_statistics.count(data, offsets)
+                counts = pa.StructArray.from_arrays([pa.array(found[c]) for c in text_statistics.COUNTS], names=list(text_statistics.COUNTS))
+                own = batch.slice(first, end - first)
+                yield pa.RecordBatch.from_arrays([*own.columns, counts], names=[*batch.schema.names, name])
 
     return docs.mapInArrow(batches, schema)
 

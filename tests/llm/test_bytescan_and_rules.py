@@ -149,3 +149,25 @@ def test_partitions_do_not_matter_and_empty(spark):
     assert rows_of(mcd.judge(docs.repartition(7), 30), "doc_id", "kept") == rows_of(mcd.judge(docs.coalesce(1), 30), "doc_id", "kept")
     assert mcd.judge(docs.limit(0)).count() == 0
     assert mcd.keep_good(docs.limit(0)).count() == 0
+
+
+def test_counts_are_sent_a_chunk_at_a_time():
+    """Texts of 2 MB in one batch come back in several, each row with its own counts."""
+    from pyspark.sql import types as T
+
+    asked = []
+
+    class Docs:
+        schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+        columns = ["doc_id", "text"]
+
+        def mapInArrow(self, batches, kind):
+            asked.append(batches)
+
+    mcd.with_counts(Docs(), "counts")
+    texts = [None, "", *(f"word{i} " * (i % 60) for i in range(9000)), "", None]
+    out = list(asked[0](iter([pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})])))
+    assert len(out) > 3 and max(sum(len(t or "") for t in b.column(1).to_pylist()) for b in out) <= scan.CHUNK_BYTES
+    rows = pa.Table.from_batches(out).to_pylist()
+    assert [r["doc_id"] for r in rows] == list(range(len(texts))) and [r["text"] for r in rows] == texts
+    assert [r["counts"]["n_words"] for r in rows] == [len((t or "").split()) for t in texts]

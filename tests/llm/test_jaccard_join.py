@@ -155,3 +155,42 @@ def test_counting_shingles_takes_bounded_memory(monkeypatch):
     found, peak = _peak(lambda: asked[0](batch))
     assert len(found["h"]) == len(np.unique(found["h"])) == 3000 and set(found["n"].tolist()) == {2}
     assert peak < 90e6, peak
+
+
+def test_repeated_hashes_take_little_more_than_the_hashes():
+    """Two million hashes, 1,000 of them from two sets and one from three."""
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 1 << 63, 4000, dtype=np.uint64)) for _ in range(500)]
+    sets[1] = np.unique(np.concatenate([sets[1], sets[0][:1000]]))
+    sets[2] = np.unique(np.append(sets[2], sets[0][7]))
+    (values, counts), peak = _peak(lambda: jj._repeated(sets))
+    assert len(values) == 1000 and sorted(counts.tolist()) == [2] * 999 + [3] and not sets
+    assert peak < 30e6, peak
+    for few in ([], [np.zeros(0, np.uint64)], [np.array([5], np.uint64)]):
+        assert [len(x) for x in jj._repeated(few)] == [0, 0]
+    assert [x.tolist() for x in jj._repeated([np.array([2, 9], np.uint64), np.array([2], np.uint64), np.array([1, 9], np.uint64)])] == [[2, 9], [2, 2]]
+
+
+def test_sets_are_sent_some_rows_at_a_time():
+    """The sets of one batch come in several, in order."""
+    import pyarrow as pa
+
+    asked = []
+
+    class Docs:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, batches, kind):
+            asked.append(batches)
+            return self
+
+        def dropDuplicates(self, columns):
+            return self
+
+    jj.full_sets(Docs(), 2)
+    texts = ["", None, *(f"a{i} b{i} c{i % 7} d" for i in range(3 * jj.SENT_ROWS)), ""]
+    out = list(asked[0](iter([pa.RecordBatch.from_pydict({"text": texts}), pa.RecordBatch.from_pydict({"text": pa.array([], pa.string())})])))
+    assert len(out) >= 4 and max(b.num_rows for b in out) <= jj.SENT_ROWS
+    sets = [s for s in jj.shingle_sets(pa.array(texts), 2) if len(s)]
+    assert [r["hashes"] for r in pa.Table.from_batches(out).to_pylist()] == [s.view(np.int64).tolist() for s in sets]

@@ -445,3 +445,66 @@ def test_passage_frequencies_take_bounded_memory(monkeypatch):
     assert n == sum(max(1, -(-int(x) // half) - 1) for x in sizes if x)
     term = sum(int((x[k:k + 2 * half] == 5).any()) for x in rows for k in range(0, max(1, len(x) - half), half) if len(x))
     assert found[4] == term
+
+
+def test_latent_sums_take_bounded_memory():
+    """280,000 words in one slice: vectors are added up some words at a time, to the same sums."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    rows = [rng.integers(0, 500, n).astype("<u2") for n in (*[700] * 400, 0, 1, 33, 64, 65)]
+    batch = pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in rows], pa.binary())], names=["words"])
+    weight = np.concatenate([[0.0], rng.random(499) * (rng.random(499) < 0.9)])
+    vectors = rng.standard_normal((500, 128)).astype(np.float32)
+
+    def passed(part, total):
+        latent = latent_leaks._Latent(part, 0, "<u2", weight)
+        own = latent.project(vectors)
+        latent.back(own, total)
+        return own
+
+    whole, one_by_one = np.zeros((500, 128)), np.zeros((500, 128))
+    tracemalloc.start()
+    own = passed(batch, whole)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6, peak
+    each = np.concatenate([passed(batch.slice(k, 1), one_by_one) for k in range(len(rows))])
+    assert np.allclose(own, each, atol=1e-4) and np.allclose(whole, one_by_one, atol=1e-2)
+    text = rows[0][:2 * latent_leaks.HALF]
+    plain = (vectors[text] * weight[text, None]).sum(axis=0) / np.sqrt((weight[text] ** 2).sum())
+    assert np.allclose(own[0], plain, atol=1e-3)
+
+
+def test_word_numbers_are_sent_a_chunk_at_a_time(monkeypatch):
+    """Texts of 3 MB in one batch come back in several, each row with its own words, nulls and empty texts too."""
+    from types import SimpleNamespace
+
+    from pyspark.sql import types as T
+
+    rng = random.Random(8)
+    items = latent_leaks.Items([SimpleNamespace(item_id="a", text=" ".join(f"t{k}" for k in range(300)))])
+    texts = [None, "", *(" ".join(rng.choice(("T", "t")) + str(rng.randrange(600)) for _ in range(250)) for _ in range(2600)), "", None]
+    asked = []
+
+    class Docs:
+        schema = T.StructType([T.StructField("doc_id", T.LongType())])
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, batches, kind):
+            asked.append(batches)
+
+    monkeypatch.setattr(latent_leaks, "text_key", lambda: SimpleNamespace(alias=lambda name: name))
+    monkeypatch.setattr(latent_leaks, "written", lambda df, name: df)
+    latent_leaks.coded(Docs(), items)
+    ids = pa.array(range(len(texts)))
+    out = list(asked[0](iter([pa.RecordBatch.from_arrays([ids, ids.cast(pa.string()), pa.array(texts)], names=["doc_id", "text_key", "text"])])))
+    assert len(out) > 4 and max(b.num_rows for b in out) < 1000
+    found = pa.Table.from_batches(out).to_pylist()
+    assert [r["doc_id"] for r in found] == list(range(len(texts))) == [int(r["text_key"]) for r in found]
+    place = {h: i + 1 for i, h in enumerate(items.vocabulary.tolist())}
+    number = {f"t{k}": place[int(next(latent_leaks.word_hashes(pa.array([f"t{k}"])))[0])] for k in range(300)}
+    for r, text in zip(found, texts, strict=True):
+        assert np.frombuffer(r["words"], items.kind).tolist() == [number.get(w, 0) for w in (text or "").lower().split()]
