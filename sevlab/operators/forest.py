@@ -4,6 +4,9 @@
   same in any partition, on any rerun and after a lost executor.
 * Cuts: a feature with at most ``max_bins`` values is cut between all of them, others at exact quantiles
   (from value counts). Rows are binned once into a compact table: a byte or two a feature.
+* Rows alike: where rows of equal bins, class and weight are many (coded columns), they become one row with the
+  sum of their draws in each tree, so a level costs what the kinds of rows do. Groups may come in pieces (a hot
+  one is split), which adds up to the same sums. Other tables stay as rows.
 * Levels: a pass over the binned rows makes the histograms of all open nodes of all trees. A task walks its
   rows down the trees and sums weights by (tree, node, candidate feature, bin, class) before anything is
   shuffled; histograms meet by (tree, node), and one row a node, its best cut, comes to the driver, which
@@ -40,6 +43,11 @@ UNIT = 1 << 16
 MIN_GAIN = 1e-9
 CHUNK_ROWS = 1 << 20
 CHUNK_CELLS = 1 << 22
+#: Rows a kind, on average, from which rows alike are put together; kinds that a task holds while it does; and the
+#: draws of a kind beyond which it hands on what it has, so that weights stay exact as doubles.
+ALIKE_ROWS = 2
+ALIKE_KINDS = 1 << 17
+ALIKE_DRAWS = 1 << 24
 #: Rows walked down a tree at a time: their arrays stay in the core's cache.
 BLOCK_ROWS = 1 << 14
 _LEAF, _OPEN = -1, -2
@@ -170,8 +178,9 @@ def _joined(column: pa.Array) -> memoryview:
 
 
 def _rows(batches: Iterable[pa.RecordBatch], n_features: int, wide: bool) -> Iterator[tuple[np.ndarray, ...]]:
-    """Chunks of (bins, class, weight, key)."""
+    """Chunks of (bins, class, weight, key), of rows alike (bins, class, weight, draws by tree)."""
     held: list[tuple[np.ndarray, ...]] = []
+    most = CHUNK_ROWS
 
     def chunk():
         return tuple(np.concatenate(part) for part in zip(*held))
@@ -179,20 +188,87 @@ def _rows(batches: Iterable[pa.RecordBatch], n_features: int, wide: bool) -> Ite
     for batch in batches:
         if len(batch):
             bins = np.frombuffer(_joined(batch.column("bins")), np.uint16 if wide else np.uint8).reshape(len(batch), n_features)
-            held.append((bins, *(batch.column(c).to_numpy() for c in ("y", "w", "k"))))
-        if sum(len(h[1]) for h in held) >= CHUNK_ROWS:
+            if "times" in batch.schema.names:
+                most = max(1, CHUNK_ROWS // 4)
+                last = np.frombuffer(_joined(batch.column("times")), np.uint32).reshape(len(batch), -1)
+            else:
+                last = batch.column("k").to_numpy()
+            held.append((bins, batch.column("y").to_numpy(), batch.column("w").to_numpy(), last))
+        if sum(len(h[1]) for h in held) >= most:
             yield chunk()
             held = []
     if held:
         yield chunk()
 
 
-def _cells(x: np.ndarray, y: np.ndarray, w: np.ndarray, key: np.ndarray, trees: Trees, tree: int, level: int,
+def _words(bins: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Each row's bins, class and weight as whole 64-bit words."""
+    width = bins.shape[1] * bins.itemsize
+    words = np.zeros((len(bins), -(-width // 8) + 2), np.uint64)
+    words.view(np.uint8)[:, :width] = np.ascontiguousarray(bins).view(np.uint8).reshape(len(bins), width)
+    words[:, -2], words[:, -1] = y.astype(np.uint64), w.astype(np.uint64)
+    return words
+
+
+def _hashed(words: np.ndarray) -> np.ndarray:
+    hashed = np.zeros(len(words), np.uint64)
+    for column in words.T:
+        hashed = mixed((hashed ^ column) + np.uint64(MIX[0]))
+    return hashed
+
+
+def _runs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings rows alike together, and where each run of them starts. Rows are told apart by all words;
+    a collision of their hashes only makes more runs."""
+    order = np.argsort(_hashed(words), kind="stable")
+    ordered = words[order]
+    return order, np.flatnonzero(np.append(True, (ordered[1:] != ordered[:-1]).any(axis=1)))
+
+
+def alike(batches: Iterable[pa.RecordBatch], trees: Trees) -> Iterator[pa.RecordBatch]:
+    """Rows of equal bins, class and weight as one, with the sum of their draws in each tree."""
+    n_features, wide = len(trees.cuts), trees.bins > 256
+    width = n_features * (2 if wide else 1)
+
+    def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        words, times = (np.concatenate(part) for part in zip(*held))
+        order, starts = _runs(words)
+        return words[order[starts]], np.add.reduceat(times[order], starts, axis=0, dtype=np.uint32)
+
+    def fixed(values: np.ndarray, size: int) -> pa.Array:
+        offsets = pa.py_buffer((np.arange(len(values) + 1) * size).astype(np.int32))
+        return pa.Array.from_buffers(pa.binary(), len(values), [None, offsets, pa.py_buffer(np.ascontiguousarray(values))])
+
+    def out(words: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for start in range(0, len(words), BLOCK_ROWS):
+            part = words[start:start + BLOCK_ROWS]
+            bins = np.ascontiguousarray(part).view(np.uint8)[:, :width]
+            yield pa.RecordBatch.from_arrays([fixed(bins, width), pa.array(part[:, -2].astype(np.int32)), pa.array(part[:, -1].astype(np.int64)),
+                                              fixed(times[start:start + BLOCK_ROWS], 4 * trees.n_trees)], ["bins", "y", "w", "times"])
+
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for bins, y, w, key in _rows(batches, n_features, wide):
+        for start in range(0, len(y), max(1, CHUNK_ROWS // 4)):
+            b = slice(start, start + max(1, CHUNK_ROWS // 4))
+            words = _words(bins[b], y[b], w[b])
+            order, starts = _runs(words)
+            ordered, times = key[b][order], np.empty((len(starts), trees.n_trees), np.uint32)
+            for tree in range(trees.n_trees):
+                times[:, tree] = np.add.reduceat(draws(ordered, tree, trees.seed), starts)
+            held.append((words[order[starts]], times))
+            if sum(len(h[0]) for h in held) > ALIKE_KINDS or times.max() > ALIKE_DRAWS:
+                held = [merged(held)]
+            if len(held[0][0]) > ALIKE_KINDS or held[0][1].max() > ALIKE_DRAWS:
+                yield from out(*held.pop(0))
+    if held:
+        yield from out(*merged(held))
+
+
+def _cells(x: np.ndarray, y: np.ndarray, w: np.ndarray, times: np.ndarray, trees: Trees, tree: int, level: int,
            number: np.ndarray, options: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Cells (open node, candidate, bin, class) that a block of rows adds to at a level of a tree, and the weights added.
     ``number``: of each node of the level, -1 unless it is open; ``options``: candidates by (place, open node)."""
     feature, cut, bins = trees.feature[tree].astype(np.int64), trees.cut[tree], x.ravel()
-    times = draws(key, tree, trees.seed)
     row = np.flatnonzero(times != 0)
     begin, node = row * x.shape[1], np.zeros(len(row), np.int64)
     for step in range(level):
@@ -214,7 +290,16 @@ def _cells(x: np.ndarray, y: np.ndarray, w: np.ndarray, key: np.ndarray, trees:
     for s, option in enumerate(options):
         np.multiply(bins.take(begin + option.take(node)), trees.n_classes, out=cells[s], casting="unsafe", dtype=np.int64)
         cells[s] += here + s * size
-    return cells.ravel(), np.tile((w[row] * times[row]).astype(np.float64), len(options))
+    return cells.ravel(), np.tile((w[row] * times[row].astype(np.int64)).astype(np.float64), len(options))
+
+
+def _added(cells: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Sums of whole weights by cell: as doubles while these are exact."""
+    if weights.sum() <= 2.0**53:
+        return np.bincount(cells, weights=weights).astype(np.int64)
+    sums = np.zeros(int(cells.max()) + 1, np.int64)
+    np.add.at(sums, cells, weights.astype(np.int64))
+    return sums
 
 
 def histograms(batches: Iterable[pa.RecordBatch], trees: Trees, level: int) -> Iterator[pa.RecordBatch]:
@@ -223,6 +308,7 @@ def histograms(batches: Iterable[pa.RecordBatch], trees: Trees, level: int) -> I
     per_node = trees.subset * bins * n_classes
     first = 2**level - 1
     for x, y, w, key in _rows(batches, n_features, bins > 256):
+        drawn = np.ascontiguousarray(key.T) if key.ndim == 2 else None
         blocks = [slice(start, start + BLOCK_ROWS) for start in range(0, len(y), BLOCK_ROWS)]
         of_chunk, weight_of = np.empty(len(y) * trees.subset, np.int64), np.empty(len(y) * trees.subset)
         for tree in range(trees.n_trees):
@@ -235,26 +321,27 @@ def histograms(batches: Iterable[pa.RecordBatch], trees: Trees, level: int) -> I
             options = np.ascontiguousarray(candidates(nodes + first, tree, trees.seed, n_features, trees.subset).T)
             end = 0
             for b in blocks:
-                found, added = _cells(x[b], y[b], w[b], key[b], trees, tree, level, number, options)
+                times = draws(key[b], tree, trees.seed) if drawn is None else drawn[tree, b]
+                found, added = _cells(x[b], y[b], w[b], times, trees, tree, level, number, options)
                 start, end = end, end + len(found)
                 of_chunk[start:end], weight_of[start:end] = found, added
             if not end:
                 continue
             cell, weights = of_chunk[:end], weight_of[:end]
             if len(nodes) * per_node <= CHUNK_CELLS:
-                sums = np.bincount(cell, weights=weights)
+                sums = _added(cell, weights)
                 used = np.flatnonzero(sums)
                 sums = sums[used]
             else:
                 used, place = np.unique(cell, return_inverse=True)
-                sums = np.bincount(place, weights=weights)
+                sums = _added(place, weights)
             of_node = used // per_node
             here, starts = np.unique(of_node, return_index=True)
             offsets = pa.array(np.append(starts, len(used)), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(here), tree, np.int32)), pa.array((nodes[here] + first).astype(np.int32)),
                  pa.ListArray.from_arrays(offsets, pa.array((used % per_node).astype(np.int32))),
-                 pa.ListArray.from_arrays(offsets, pa.array(sums.astype(np.int64)))], ["tree", "node", "cells", "sums"])
+                 pa.ListArray.from_arrays(offsets, pa.array(sums))], ["tree", "node", "cells", "sums"])
 
 
 def _best(weights: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -339,6 +426,18 @@ def best_cuts(batches: Iterable[pa.RecordBatch], trees: Trees) -> Iterator[pa.Re
         yield from finish(*joined())
 
 
+def _put_together(binned: DataFrame, trees: Trees) -> DataFrame:
+    """The binned rows, those alike as one where that makes far fewer."""
+    kind = [F.col(c) for c in ("bins", "y", "w")]
+    n, kinds = binned.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(*kind))).first()
+    if n < ALIKE_ROWS * kinds:
+        return binned
+    path = scratch_path(binned.sparkSession, "forest-kinds")
+    walker = trees.walker()
+    binned.hint("rebalance", *kind).mapInArrow(lambda batches: alike(batches, walker), "bins binary, y int, w bigint, times binary").write.parquet(path)
+    return binned.sparkSession.read.parquet(path)
+
+
 def _grow(binned: DataFrame, trees: Trees) -> None:
     spark = binned.sparkSession
     for level in range(trees.depth + 1):
@@ -385,7 +484,7 @@ def grow(train: DataFrame, label: str, weight: str | None, key: str, features: s
     rows.mapInArrow(lambda batches: _binned(batches, cuts), "bins binary, y int, w bigint, k bigint").write.parquet(path)
     subset = int(params.get("featureSubset", math.ceil(math.sqrt(n_features))))
     trees = Trees(int(params.get("numTrees", 20)), int(params.get("maxDepth", 5)), facts.y + 1, int(params.get("seed", 0)), cuts, subset, int(params.get("maxBins", 32)))
-    _grow(train.sparkSession.read.parquet(path), trees)
+    _grow(_put_together(train.sparkSession.read.parquet(path), trees), trees)
     return trees
 
 

@@ -219,3 +219,49 @@ def test_the_training_table_is_sorted_by_its_features_in_each_file(spark, monkey
         files.setdefault(r.f, []).append(list(r.x))
     assert sum(map(len, files.values())) == 300 and max(map(len, files.values())) > 50
     assert all(x == sorted(x) for x in files.values())
+
+
+def test_rows_alike_are_put_together_and_grow_the_same_trees(spark, monkeypatch):
+    """Coded columns: the passes over the levels read a row a kind, not a row a row, and the trees stay what they were."""
+    df = spark.range(6000).select(F.col("id").alias("k"), (F.col("id") % 5).cast("double").alias("a"), (F.floor(F.col("id") / 7) % 4).cast("double").alias("b"))
+    df = df.select("k", array_to_vector(F.array("a", "b")).alias("features"), ((F.col("a") + F.col("b") + F.col("k") % 2) % 3).cast("int").alias("y"), (F.col("k") % 2 + 1.0).alias("w"))
+    read = []
+    grow = forest._grow
+    monkeypatch.setattr(forest, "_grow", lambda binned, trees: (read.append(binned.count()), grow(binned, trees)))
+    put = forest.grow(df, "y", "w", "k", "features", PARAMS)
+    monkeypatch.setattr(forest, "ALIKE_ROWS", 1e9)
+    rows = forest.grow(df, "y", "w", "k", "features", PARAMS)
+    assert same(put, rows) and read[0] < 1000 and read[1] == 6000
+
+
+def test_rows_alike_in_pieces_have_all_draws(monkeypatch):
+    """Small pieces, hashes that collide, two bytes a bin and weights beyond exact doubles give the same sums."""
+    rng = np.random.default_rng(9)
+    n = 700
+    for cuts in ([np.arange(3) + 0.5, np.arange(2) + 0.5], [np.arange(300) + 0.5, np.arange(2) + 0.5]):
+        kind = np.uint8 if len(cuts[0]) < 256 else np.uint16
+        x = np.stack([rng.integers(0, 4, n) * (len(cuts[0]) // 3), rng.integers(0, 3, n)], axis=1).astype(kind)
+        y, w = rng.integers(0, 2, n), rng.integers(1, 3, n) << 44
+        batch = pa.record_batch({"bins": [r.tobytes() for r in x], "y": pa.array(y, pa.int32()), "w": w, "k": np.arange(n)})
+        trees = forest.Trees(3, 4, 2, 7, cuts, 2)
+
+        def sums(batches):
+            out = {}
+            for r in (r for b in forest.histograms(batches, trees, 0) for r in b.to_pylist()):
+                for c, s in zip(r["cells"], r["sums"]):
+                    out[r["tree"], c] = out.get((r["tree"], c), 0) + s
+            return out
+
+        whole = sums([batch])
+        assert sum(whole.values()) == 2 * sum(int(t) * int(v) for tree in range(3) for t, v in zip(forest.draws(np.arange(n), tree, 7), w))
+        for chunk, kinds, most, hashed in ((1 << 20, 1 << 17, 1 << 24, forest.mixed), (100, 10, 1 << 24, forest.mixed), (64, 1 << 17, 3, forest.mixed), (100, 1 << 17, 1 << 24, None)):
+            with monkeypatch.context() as m:
+                m.setattr(forest, "CHUNK_ROWS", chunk)
+                m.setattr(forest, "ALIKE_KINDS", kinds)
+                m.setattr(forest, "ALIKE_DRAWS", most)
+                if hashed is None:
+                    m.setattr(forest, "_hashed", lambda words: words[:, -2] * np.uint64(0))
+                found = list(forest.alike([batch.slice(i, 70) for i in range(0, n, 70)], trees))
+            assert sums(found) == whole
+            if chunk > n:
+                assert sum(map(len, found)) == len(np.unique(np.column_stack([x, y, w]), axis=0))
