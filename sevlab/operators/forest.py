@@ -426,16 +426,26 @@ def best_cuts(batches: Iterable[pa.RecordBatch], trees: Trees) -> Iterator[pa.Re
         yield from finish(*joined())
 
 
-def _put_together(binned: DataFrame, trees: Trees) -> DataFrame:
-    """The binned rows, those alike as one where that makes far fewer."""
+def _few_kinds(n: int, kinds: int) -> bool:
+    return n >= ALIKE_ROWS * kinds
+
+
+def _written(table: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(table.sparkSession, name)
+    table.write.parquet(path)
+    return table.sparkSession.read.parquet(path)
+
+
+def _compact(binned: DataFrame, trees: Trees, few: bool) -> DataFrame:
+    """The binned rows as a table, those alike as one where that makes far fewer: ``few`` if that is known of the
+    rows before they were binned, else the written rows are counted."""
     kind = [F.col(c) for c in ("bins", "y", "w")]
-    n, kinds = binned.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(*kind))).first()
-    if n < ALIKE_ROWS * kinds:
-        return binned
-    path = scratch_path(binned.sparkSession, "forest-kinds")
+    if not few:
+        binned = _written(binned, "forest-rows")
+        if not _few_kinds(*binned.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(*kind))).first()):
+            return binned
     walker = trees.walker()
-    binned.hint("rebalance", *kind).mapInArrow(lambda batches: alike(batches, walker), "bins binary, y int, w bigint, times binary").write.parquet(path)
-    return binned.sparkSession.read.parquet(path)
+    return _written(binned.hint("rebalance", *kind).mapInArrow(lambda batches: alike(batches, walker), "bins binary, y int, w bigint, times binary"), "forest-kinds")
 
 
 def _grow(binned: DataFrame, trees: Trees) -> None:
@@ -475,16 +485,16 @@ def grow(train: DataFrame, label: str, weight: str | None, key: str, features: s
     ship_package(train.sparkSession)
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     rows = train.filter(F.col(features).isNotNull()).select(vector_to_array(F.col(features)).alias("x"), F.col(label).cast("int").alias("y"), F.round(w * UNIT).cast("bigint").alias("w"), F.col(key).cast("bigint").alias("k")).dropna()
-    facts = rows.agg(F.max(F.size("x")).alias("n"), F.max("y").alias("y"), F.min("y").alias("least"), F.min("w").alias("w")).first()
+    facts = rows.agg(F.max(F.size("x")).alias("n"), F.max("y").alias("y"), F.min("y").alias("least"), F.min("w").alias("w"),
+                     F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(F.xxhash64("x", "y", "w")).alias("kinds")).first()
     if facts.n is None or facts.least < 0 or facts.w < 0:
         raise ValueError("no rows to train on, or a negative label or weight")
     n_features = facts.n
     cuts = fit_cuts(rows, n_features, int(params.get("maxBins", 32)))
-    path = scratch_path(train.sparkSession, "forest-rows")
-    rows.mapInArrow(lambda batches: _binned(batches, cuts), "bins binary, y int, w bigint, k bigint").write.parquet(path)
+    binned = rows.mapInArrow(lambda batches: _binned(batches, cuts), "bins binary, y int, w bigint, k bigint")
     subset = int(params.get("featureSubset", math.ceil(math.sqrt(n_features))))
     trees = Trees(int(params.get("numTrees", 20)), int(params.get("maxDepth", 5)), facts.y + 1, int(params.get("seed", 0)), cuts, subset, int(params.get("maxBins", 32)))
-    _grow(_put_together(train.sparkSession.read.parquet(path), trees), trees)
+    _grow(_compact(binned, trees, _few_kinds(facts.rows, facts.kinds)), trees)
     return trees
 
 

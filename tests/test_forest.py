@@ -228,10 +228,14 @@ def test_rows_alike_are_put_together_and_grow_the_same_trees(spark, monkeypatch)
     read = []
     grow = forest._grow
     monkeypatch.setattr(forest, "_grow", lambda binned, trees: (read.append(binned.count()), grow(binned, trees)))
-    put = forest.grow(df, "y", "w", "k", "features", PARAMS)
-    monkeypatch.setattr(forest, "ALIKE_ROWS", 1e9)
-    rows = forest.grow(df, "y", "w", "k", "features", PARAMS)
-    assert same(put, rows) and read[0] < 1000 and read[1] == 6000
+    many = df.withColumn("features", array_to_vector(F.array((F.col("k") * 37 % 6007).cast("double"), F.col("k") % 5 + 0.0)))  # alike once binned only
+    for table in (df, many):
+        read.clear()
+        with monkeypatch.context() as m:
+            put = forest.grow(table, "y", "w", "k", "features", PARAMS)
+            m.setattr(forest, "ALIKE_ROWS", 1e9)
+            rows = forest.grow(table, "y", "w", "k", "features", PARAMS)
+        assert same(put, rows) and read[0] < 1500 and read[1] == 6000
 
 
 def test_rows_alike_in_pieces_have_all_draws(monkeypatch):
