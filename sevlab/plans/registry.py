@@ -1012,7 +1012,7 @@ def q_model_roundtrip(spark, sf):
     path = _model_path(spark, sf)
     fitted = _MODEL_CACHE[spark.sparkContext.applicationId, sf][1]
     rows = _scoring_rows(spark, sf).select("features")
-    both = load_forest(path).transform(fitted.transform(rows).select("features", F.col("prediction").alias("before"), F.col("probability").alias("p")))
+    both = model.transform(load_forest(path), model.transform(fitted, rows).select("features", F.col("prediction").alias("before"), F.col("probability").alias("p")))
     same = (F.col("before") == F.col("prediction")) & (vector_to_array("p") == vector_to_array("probability"))
     return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~same).alias("differences"))
 

@@ -4,6 +4,7 @@ import tempfile
 
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -115,3 +116,34 @@ def test_evaluate_ignores_predicted_only_classes(spark):
     ev = MulticlassClassificationEvaluator(labelCol="y", predictionCol="prediction", metricName="f1")
     assert abs(ours.f1 - ev.evaluate(p.withColumn("y", F.col("y").cast("double")))) < 1e-12
     assert ours.accuracy == 0.5
+
+
+def test_tables_are_scored_as_sparks_model_scores_them(spark, tmp_path):
+    """The same columns and numbers to the last bit, NaN and equal neighbours included; a batch goes down tree by tree."""
+    df = spark.range(3000).select("id", F.array((F.col("id") % 5).cast("double"), F.when(F.col("id") % 7 == 0, float("nan")).otherwise(F.col("id") % 11 / 3.0), -F.floor(F.col("id") / 9) % 6 * 0.0 + F.floor(F.col("id") / 9) % 6).alias("x"),
+                                  (F.floor(F.col("id") * F.col("id") / 5) % 3).cast("int").alias("y"))
+    df.select("id", "y", array_to_vector("x").alias("features")).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    for trees, depth in ((12, 7), (1, 0)):
+        m = model.fit_forest(rows.filter("id % 7 != 0"), "y", {"numTrees": trees, "maxDepth": depth, "seed": 3})
+        want, found = m.transform(rows).orderBy("id"), model.transform(m, rows)
+        assert [(c.name, c.dataType, c.metadata) for c in found.schema] == [(c.name, c.dataType, c.metadata) for c in want.schema]
+        assert "ArrowEvalPython" in found._jdf.queryExecution().executedPlan().toString()
+        assert repr(found.orderBy("id").collect()) == repr(want.collect())
+        assert model.transform(m, rows.filter("id < 0")).count() == 0
+    with pytest.raises(Exception, match="cannot be scored|non-null"):
+        model.transform(m, rows.select(F.when(F.col("id") > 5, F.col("features")).alias("features"))).collect()
+    limited = m.copy().setThresholds([0.1, 0.1, 0.8])  # asks for more than votes: Spark's own
+    assert repr(model.transform(limited, rows).orderBy("id").collect()) == repr(limited.transform(rows).orderBy("id").collect())
+
+
+def test_cuts_by_categories_are_left_to_spark(spark):
+    from pyspark.ml.feature import VectorAssembler, VectorIndexer
+
+    df = spark.range(300).select((F.col("id") % 4).cast("double").alias("a"), (F.col("id") % 4 % 2).cast("int").alias("y"))
+    rows = VectorAssembler(inputCols=["a"], outputCol="v").transform(df)
+    rows = VectorIndexer(inputCol="v", outputCol="features").fit(rows).transform(rows)
+    m = model.fit_forest(rows, "y", {"numTrees": 2, "maxDepth": 2, "seed": 1})
+    found = model.transform(m, rows)
+    assert "ArrowEvalPython" not in found._jdf.queryExecution().executedPlan().toString()
+    assert repr(found.collect()) == repr(m.transform(rows).collect())
