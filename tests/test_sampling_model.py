@@ -137,13 +137,11 @@ def test_tables_are_scored_as_sparks_model_scores_them(spark, tmp_path):
     assert repr(model.transform(limited, rows).orderBy("id").collect()) == repr(limited.transform(rows).orderBy("id").collect())
 
 
-def test_cuts_by_categories_are_left_to_spark(spark):
-    from pyspark.ml.feature import VectorAssembler, VectorIndexer
-
-    df = spark.range(300).select((F.col("id") % 4).cast("double").alias("a"), (F.col("id") % 4 % 2).cast("int").alias("y"))
-    rows = VectorAssembler(inputCols=["a"], outputCol="v").transform(df)
-    rows = VectorIndexer(inputCol="v", outputCol="features").fit(rows).transform(rows)
-    m = model.fit_forest(rows, "y", {"numTrees": 2, "maxDepth": 2, "seed": 1})
+def test_cuts_by_categories_are_left_to_spark(spark, tmp_path):
+    coded = {"ml_attr": {"attrs": {"nominal": [{"idx": 0, "name": "a", "vals": ["p", "q", "r", "s"]}]}, "num_attrs": 1}}
+    rows = spark.range(300).select(array_to_vector(F.array((F.col("id") % 4).cast("double"))).alias("features", metadata=coded), (F.col("id") % 4 % 2).cast("int").alias("y"))
+    model.fit_forest(rows, "y", {"numTrees": 2, "maxDepth": 2, "seed": 1}).write().save(str(tmp_path / "forest"))
+    m = load_forest(str(tmp_path / "forest"))  # as read back: a fitted model of two classes holds its session
     found = model.transform(m, rows)
     assert "ArrowEvalPython" not in found._jdf.queryExecution().executedPlan().toString()
     assert repr(found.collect()) == repr(m.transform(rows).collect())
